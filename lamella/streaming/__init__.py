@@ -1,0 +1 @@
+"""No streaming operators: every input is a finished file, so nothing here keeps state between batches."""
