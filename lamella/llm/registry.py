@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lamella.llm import bpe, quality_rules, simhash
+from lamella.llm import bpe, quality_rules, secrets, simhash
 
-_MODULES = (simhash, bpe, quality_rules)
+_MODULES = (simhash, bpe, secrets, quality_rules)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
