@@ -79,7 +79,9 @@ class Scratch:
 def row_keyed(df: DataFrame, name: str = "_row") -> DataFrame:
     """Add a unique row number that comes out the same each time the input is read.
 
-    Holds for tables read from files, whose splits are planned alike each time;
-    pass anything else through ``Scratch.keep`` first.
+    Scans of files are planned and read alike each time. Where the input's plan
+    shuffles, rows may arrive in another order, so it is written first.
     """
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        df = Scratch(df.sparkSession, "rows").keep(df, "rows")
     return df.withColumn(name, F.monotonically_increasing_id())
