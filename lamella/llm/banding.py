@@ -150,14 +150,20 @@ def classes(
     bands: int,
     rows: int,
     threshold: float,
+    write_bands: bool = True,
 ) -> DataFrame:
-    """(node, root) of the pieces (uid, text) that are similar to another, root the smallest of the class."""
-    keys = scratch.keep(band_rows(pieces, tokens_of, width, bands, rows), "bands")
+    """(node, root) of the pieces (uid, text) that are similar to another, root the smallest of the class.
+
+    Bands are read twice; without ``write_bands`` they are computed twice instead,
+    which takes more time and less disk.
+    """
+    keys = band_rows(pieces, tokens_of, width, bands, rows)
+    keys = scratch.keep(keys, "bands") if write_bands else keys
     drawn = F.min_by("uid", F.xxhash64("bucket", "uid")).alias("rep")
     shared = keys.groupBy("bucket").agg(drawn, F.min("uid").alias("lo"), F.max("uid").alias("hi")).where("lo < hi").select("bucket", "rep")
     shared = scratch.keep(shared, "shared")
     members = scratch.keep(keys.join(_small(shared), "bucket").distinct(), "members")
-    scratch.drop(keys, shared)
+    scratch.drop(shared, *[keys] * write_bands)
     ordered = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
     tested = scratch.keep(members.where("uid <> rep").select(*ordered("uid", "rep")).distinct(), "stars")
     links = _verified(tested, pieces, scratch, shingles_of, threshold)
