@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lamella.llm import bpe, decontaminate, line_dedup, quality_rules, secrets, simhash, substring_dedup
+from lamella.llm import bpe, decontaminate, line_dedup, quality_rules, secrets, simhash, substring_dedup, warc
 
-_MODULES = (simhash, substring_dedup, line_dedup, decontaminate, bpe, secrets, quality_rules)
+_MODULES = (simhash, warc, substring_dedup, line_dedup, decontaminate, bpe, secrets, quality_rules)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
