@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lamella.llm import bpe, decontaminate, line_dedup, quality_rules, secrets, simhash, substring_dedup, toxicity, warc
+from lamella.llm import bpe, decontaminate, line_dedup, quality_classifier, quality_rules, secrets, simhash, substring_dedup, toxicity, warc
 
-_MODULES = (simhash, warc, substring_dedup, line_dedup, decontaminate, toxicity, bpe, secrets, quality_rules)
+_MODULES = (simhash, warc, substring_dedup, line_dedup, decontaminate, toxicity, bpe, quality_classifier, secrets, quality_rules)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
