@@ -117,7 +117,9 @@ def _matches(keyed: DataFrame, items: DataFrame, threshold: float, item_col: str
     pairs = _with_shingles(words, widths, True)
     labelled = lambda w: F.transform(f"s{w}", lambda h: F.struct(F.lit(w).alias("width"), h.alias("h")))
     each = F.concat(*map(labelled, widths))
-    values = pairs.select("_row", F.explode(each if len(widths) > 1 else F.col(f"s{widths[0]}")).alias("x"))
+    # The outer form: for the inner one Spark infers a filter on the array's size, whose copy of
+    # the array's expression repeats every step inside every later one.
+    values = pairs.select("_row", F.explode_outer(each if len(widths) > 1 else F.col(f"s{widths[0]}")).alias("x"))
     values = values.select("_row", "x.*") if len(widths) > 1 else values.select("_row", F.lit(widths[0]).alias("width"), F.col("x").alias("h"))
     hits = values.join(sketches, ["width", "h"]).groupBy("_row", "item", "need").agg(F.countDistinct("h").alias("hits"))
     candidates = scratch.keep(hits.where("hits >= need").select("_row", F.col("item").alias("_item")), "candidates")
