@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import heapq
 import json
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,67 +59,73 @@ class Vocabulary:
         raw = lambda symbols: bytes(back[c] for c in symbols)
         self.ids = {raw(k): v for k, v in model["vocab"].items() if all(c in back for c in k)}
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.ranks = {(raw(a), raw(b)): rank for rank, (a, b) in enumerate(pairs)}
+        pairs = [(raw(a), raw(b)) for a, b in pairs]
+        self.ranks = {self.ids[a] << 32 | self.ids[b]: rank for rank, (a, b) in enumerate(pairs)}
+        self.merged = [self.ids[a + b] for a, b in pairs]
+        self.of_byte = [self.ids.get(bytes([b])) for b in range(256)]
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.bytes_of = {v: k for k, v in self.ids.items()} | {v: k.encode() for k, v in self.special.items()}
         self.words = regex.compile(WORDS)
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.known: dict[str, bytes] = {}
 
-    def _short(self, word: bytes) -> list[bytes]:
-        bounds = list(range(len(word) + 1))
-        rank = lambda i: self.ranks.get((word[bounds[i] : bounds[i + 1]], word[bounds[i + 1] : bounds[i + 2]]), NONE)
-        adjacent = [rank(i) for i in range(len(word) - 1)]
+    def _short(self, word: bytes) -> list[int]:
+        # parts[i] is the token that begins at boundary i; taking it out deletes the boundary.
+        get, merged = self.ranks.get, self.merged
+        parts = list(map(self.of_byte.__getitem__, word))
+        adjacent = [get(a << 32 | b, NONE) for a, b in zip(parts, parts[1:], strict=False)]
         while adjacent and (least := min(adjacent)) != NONE:
             i = adjacent.index(least)
-            del bounds[i + 1], adjacent[i]
+            new = merged[least]
+            parts[i] = new
+            del parts[i + 1], adjacent[i]
             if i:
-                adjacent[i - 1] = rank(i - 1)
+                adjacent[i - 1] = get(parts[i - 1] << 32 | new, NONE)
             if i < len(adjacent):
-                adjacent[i] = rank(i)
-        return [word[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+                adjacent[i] = get(new << 32 | parts[i + 1], NONE)
+        return parts
 
-    def _long(self, word: bytes) -> list[bytes]:
+    def _long(self, word: bytes) -> list[int]:
         n = len(word)
-        after, before, end = list(range(1, n + 1)), list(range(-1, n)), list(range(1, n + 1))
-        rank = lambda i: self.ranks.get((word[i : end[i]], word[after[i] : end[after[i]]]), NONE) if after[i] < n else NONE
-        heap = [(r, i, end[i], end[i + 1]) for i in range(n - 1) if (r := rank(i)) != NONE]
+        part: list[int | None] = list(map(self.of_byte.__getitem__, word))
+        after, before = list(range(1, n + 1)), list(range(-1, n))
+        rank = lambda i: self.ranks.get(part[i] << 32 | part[after[i]], NONE) if after[i] < n else NONE
+        heap = [(r, i) for i in range(n - 1) if (r := rank(i)) != NONE]
         heapq.heapify(heap)
-        alive = [True] * n
         while heap:
-            _, i, mid, stop = heapq.heappop(heap)
-            j = after[i] if alive[i] else n
-            if j >= n or end[i] != mid or end[j] != stop:
+            r, i = heapq.heappop(heap)
+            if part[i] is None or rank(i) != r:
                 continue  # one of the parts has grown since
-            alive[j], end[i], after[i] = False, stop, after[j]
-            if after[j] < n:
-                before[after[j]] = i
+            j = after[i]
+            part[i], part[j], after[i] = self.merged[r], None, after[j]
+            if after[i] < n:
+                before[after[i]] = i
             for k in (before[i], i):
                 if k >= 0 and (r := rank(k)) != NONE:
-                    heapq.heappush(heap, (r, k, end[k], end[after[k]]))
-        return [word[i : end[i]] for i in range(n) if alive[i]]
+                    heapq.heappush(heap, (r, k))
+        return [p for p in part if p is not None]
 
     def _pack(self, word: str) -> bytes:
-        if (got := self.known.get(word)) is None:
-            raw = word.encode()
-            parts = self._short(raw) if len(raw) <= LONG_WORD else self._long(raw)
-            got = np.array([self.ids[p] for p in parts], "<u4").tobytes()
-            if len(word) <= REMEMBERED_CHARS:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[word] = got
+        raw = word.encode()
+        got = array("I", self._short(raw) if len(raw) <= LONG_WORD else self._long(raw)).tobytes()
+        if len(word) <= REMEMBERED_CHARS:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            self.known[word] = got
         return got
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
+        known, pack = self.known.get, self._pack
         sections = self.split.split(text) if self.split else [text]
         out = []
         for k, section in enumerate(sections):
             if k % 2:
-                out.append(np.array([self.special[section]], "<u4").tobytes())
+                out.append(array("I", [self.special[section]]).tobytes())
             else:
-                out += map(self._pack, self.words.findall(section))
-        return b"".join(out)
+                out += [known(w) or pack(w) for w in self.words.findall(section)]
+        packed = b"".join(out)
+        return packed if sys.byteorder == "little" else np.frombuffer(packed, "=u4").astype("<u4").tobytes()
 
     def decode(self, packed: bytes) -> str:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(packed, "<u4").tolist())).decode("utf-8", "replace")
@@ -180,11 +188,12 @@ def decode(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
     return _mapped(df, "_packed", "decoded", T.StringType(), pa.string(), lambda packed: _vocabulary(sent).decode(packed or b""))
 
 
-def round_trip(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Digests of the ids and of the text decoded from them."""
+def round_trip(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", keep_tokens: bool = False) -> DataFrame:
+    """Digests of the ids and of the text decoded from them, with the packed tokens if asked for."""
     both = decode(encode(docs, vocabulary_path, id_col, text_col), vocabulary_path)
     return both.select(
         id_col,
+        *["tokens"] * keep_tokens,
         F.expr("octet_length(tokens) div 4").cast("long").alias("n_tokens"),
         F.sha2("tokens", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
