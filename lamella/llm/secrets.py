@@ -99,10 +99,10 @@ def train(docs: DataFrame, text_col: str = "text", prior: float = PRIOR) -> list
     kind_of = lambda v: F.when(v.rlike("^[0-9a-f]+$"), "hex").otherwise("mixed")
     label = lambda tokens, kind: F.transform(tokens, lambda t: F.struct(kind(t).alias("kind"), t.alias("t")))
     random = label(F.filter(values, lambda v: F.length(v) >= 8), kind_of)
-    tokens = df.select(F.explode(F.concat(random, label(ordinary, lambda _: F.lit("ordinary")))).alias("x")).select("x.*")
+    tokens = df.select(F.explode_outer(F.concat(random, label(ordinary, lambda _: F.lit("ordinary")))).alias("x")).select("x.*")
     # Equal tokens are counted first: ordinary words recur, and each is then cut into pairs once.
     counted = tokens.groupBy("kind", "t").agg(F.count(F.lit(1)).alias("n"))
-    pairs = counted.select("kind", "n", F.explode(_pairs(F.col("t"))).alias("pair")).where(F.length("pair") == 2)
+    pairs = counted.select("kind", "n", F.explode_outer(_pairs(F.col("t"))).alias("pair")).where(F.length("pair") == 2)
     counts = {(r.kind, r.pair): r.n for r in pairs.groupBy("kind", "pair").agg(F.sum("n").alias("n")).collect()}
     follows: dict[tuple[str, str], int] = {}
     seen: dict[tuple[str, str], int] = {}
