@@ -42,7 +42,7 @@ def manifest_json(spark, sf_dir):
     ch = channels.agg(F.transform(F.sort_array(F.collect_list(F.struct("channel_ord", "channel_id", "channel_name", "wave_length", "objective"))), lambda c: F.struct(c["channel_id"].alias("ChannelId"), c["channel_name"].alias("ChannelName"), c["wave_length"].alias("LaserWavelength"), c["objective"].alias("Objective"))).alias("Channels"))
     ac = listed.agg(F.collect_list(F.struct(F.col("slice_id").cast("string").alias("SliceID"), F.col("files").alias("FlsmList"))).alias("Acquisition Results"))
     info = F.struct(F.lit("P").alias("Project Name"), F.lit("S").alias("Subproject Name"), F.lit("A").alias("Animal ID")).alias("Project Info")
-    return ch.join(ac, F.lit(True)).select(F.lit("/data/set.visor").alias("path"), F.to_json(F.struct("Channels", "`Acquisition Results`", info)).alias("json"))
+    return ch.join(ac, F.lit(True)).select(F.lit("/data/set.json").alias("path"), F.to_json(F.struct("Channels", "`Acquisition Results`", info)).alias("json"))
 
 
 @query(f"with {_BUILT} select 'P_S_A' dataset, slice_id, channel_id, '/data/' || substr(path, 5) path from acq")
