@@ -156,9 +156,9 @@ def filter_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col:
     """The documents that the rules keep, with all their columns and no shuffle."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole")
     judged = judge(row_keyed(docs.select(whole, F.col(text_col).alias("_input"))), rules, "_row", "_input", ("_whole",))
-    # The row number keeps the filter above the measures: pushed below, it would hold a copy of
-    # every step inside every later one.
-    return row_keyed(judged, "_judged").where("kept").select("_whole.*")
+    # A filter on the row number can't be pushed below it, and so stays above the measures:
+    # pushed below, it would hold a copy of every step inside every later one.
+    return row_keyed(judged, "_judged").where("kept and _judged >= 0").select("_whole.*")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,3 +45,9 @@ def test_filter_keeps_columns_and_clean_rows(spark):
 def test_no_shuffle_and_no_python(spark):
     plan = q.judge(spark.createDataFrame([(1, "x", 1)], SCHEMA))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def test_filter_holds_each_step_once(spark):
+    df = spark.createDataFrame([(1, "x", 1)], SCHEMA)
+    plan = q.filter_documents(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("zip_with") < 20
