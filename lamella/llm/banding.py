@@ -78,17 +78,24 @@ def buckets(token_lists: list[np.ndarray], width: int, bands: int, rows: int) ->
     return out
 
 
-def bucket_rows(uids: list[int], lists: list[np.ndarray], width: int, bands: int, rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def bucket_rows(pieces: dict[int, str], tokens_of: Tokens, width: int, bands: int, rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(uids, buckets) arrays, a row for each band, of pieces with more than ``width`` tokens.
 
     A shorter piece is one shingle and similar only to its equals, which share its uid.
+    Tokens are made for some pieces at a time.
     """
-    at = size = 0
-    for k, tokens in enumerate(lists):
-        size += len(tokens)
-        if size >= _BLOCK or k == len(lists) - 1:
-            yield np.repeat(np.array(uids[at : k + 1], np.int64), bands), buckets(lists[at : k + 1], width, bands, rows).view(np.int64).ravel()
-            at, size = k + 1, 0
+    uids: list[int] = []
+    lists: list[np.ndarray] = []
+    size = 0
+    for uid, text in pieces.items():
+        uids.append(uid)
+        lists.append(tokens_of(text))
+        size += len(lists[-1])
+        if size >= _BLOCK:
+            yield np.repeat(np.array(uids, np.int64), bands), buckets(lists, width, bands, rows).view(np.int64).ravel()
+            uids, lists, size = [], [], 0
+    if uids:
+        yield np.repeat(np.array(uids, np.int64), bands), buckets(lists, width, bands, rows).view(np.int64).ravel()
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, scratch: Scratch, shingles_of: Callable[[str], frozenset], threshold: float) -> DataFrame:

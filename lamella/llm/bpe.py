@@ -36,7 +36,7 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 MAX_VOCABULARY_BYTES = 64 << 20
 LONG_WORD = 256
 #: Words whose tokens a worker remembers; a full memory is emptied, results don't depend on it.
-REMEMBERED = 150_000
+REMEMBERED = 50_000
 #: Longest word, in characters, that is remembered.
 REMEMBERED_CHARS = 40
 
@@ -57,14 +57,14 @@ class Vocabulary:
         spec = json.loads(content)
         model, back = spec["model"], byte_symbols()
         raw = lambda symbols: bytes(back[c] for c in symbols)
-        self.ids = {raw(k): v for k, v in model["vocab"].items() if all(c in back for c in k)}
+        ids = {raw(k): v for k, v in model["vocab"].items() if all(c in back for c in k)}
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         pairs = [(raw(a), raw(b)) for a, b in pairs]
-        self.ranks = {self.ids[a] << 32 | self.ids[b]: rank for rank, (a, b) in enumerate(pairs)}
-        self.merged = [self.ids[a + b] for a, b in pairs]
-        self.of_byte = [self.ids.get(bytes([b])) for b in range(256)]
+        self.ranks = {ids[a] << 32 | ids[b]: rank for rank, (a, b) in enumerate(pairs)}
+        self.merged = [ids[a + b] for a, b in pairs]
+        self.of_byte = [ids.get(bytes([b])) for b in range(256)]
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        self.bytes_of = {v: k for k, v in self.ids.items()} | {v: k.encode() for k, v in self.special.items()}
+        self.bytes_of = {v: k for k, v in ids.items()} | {v: k.encode() for k, v in self.special.items()}
         self.words = regex.compile(WORDS)
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.known: dict[str, bytes] = {}
@@ -131,34 +131,13 @@ class Vocabulary:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(packed, "<u4").tolist())).decode("utf-8", "replace")
 
 
-_LOADED: dict[int, Vocabulary] = {}
-
-
-def _vocabulary(sent) -> Vocabulary:
-    """One vocabulary for each worker process and broadcast."""
-    if sent.id not in _LOADED:
-        _LOADED.clear()
-        _LOADED[sent.id] = Vocabulary(sent.value)
-    return _LOADED[sent.id]
-
-
-class _Sent:
-    """A broadcast of the vocabulary file's content."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        with open(path, encoding="utf-8") as f:
-            content = f.read(MAX_VOCABULARY_BYTES + 1)
-        if len(content) > MAX_VOCABULARY_BYTES:
-            raise ValueError("the vocabulary file is larger than the bound for broadcasting")
-        self.broadcast = spark.sparkContext.broadcast(content)
-        self.id = self.broadcast._jbroadcast.id()
-
-    def __getstate__(self):
-        return {"broadcast": self.broadcast, "id": self.id}
-
-    @property
-    def value(self) -> str:
-        return self.broadcast.value
+def _sent(spark: SparkSession, path: str):
+    """A broadcast of the vocabulary, built once on the driver from a file of checked size."""
+    with open(path, encoding="utf-8") as f:
+        content = f.read(MAX_VOCABULARY_BYTES + 1)
+    if len(content) > MAX_VOCABULARY_BYTES:
+        raise ValueError("the vocabulary file is larger than the bound for broadcasting")
+    return spark.sparkContext.broadcast(Vocabulary(content))
 
 
 def _mapped(df: DataFrame, column: str, out: str, kind: T.DataType, arrow: pa.DataType, make) -> DataFrame:
@@ -176,16 +155,16 @@ def _mapped(df: DataFrame, column: str, out: str, kind: T.DataType, arrow: pa.Da
 
 def encode(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, tokens): the ids of each text, packed as little-endian unsigned 32-bit integers."""
-    sent = _Sent(docs.sparkSession, vocabulary_path)
+    sent = _sent(docs.sparkSession, vocabulary_path)
     df = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
-    return _mapped(df, "_text", "tokens", T.BinaryType(), pa.binary(), lambda text: _vocabulary(sent).encode(text or ""))
+    return _mapped(df, "_text", "tokens", T.BinaryType(), pa.binary(), lambda text: sent.value.encode(text or ""))
 
 
 def decode(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
     """Add ``decoded``, the text of packed ``tokens``."""
-    sent = _Sent(encoded.sparkSession, vocabulary_path)
+    sent = _sent(encoded.sparkSession, vocabulary_path)
     df = encoded.withColumn("_packed", F.col("tokens"))
-    return _mapped(df, "_packed", "decoded", T.StringType(), pa.string(), lambda packed: _vocabulary(sent).decode(packed or b""))
+    return _mapped(df, "_packed", "decoded", T.StringType(), pa.string(), lambda packed: sent.value.decode(packed or b""))
 
 
 def round_trip(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", keep_tokens: bool = False) -> DataFrame:
