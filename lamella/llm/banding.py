@@ -1,18 +1,16 @@
 """MinHash banding over pieces of text: signatures, colliding pairs, verification, classes.
 
 A piece is known by the hash of its text, so copies are one piece however many rows
-hold them. In each bucket three pieces are chosen, and every piece is compared with
-them: the most central one, which meets the most others over all its buckets, as the
-original does in a group of changed copies, and two drawn by hashes that differ from
-bucket to bucket. So a bucket costs a fixed number of pairs for each of its pieces,
-whatever its size. Pairs are verified exactly and joined into components.
-
-What may be lost: two pieces that are similar to each other, but each dissimilar to
-every piece chosen in all the buckets they share, and linked by no chain. A pair at the
-threshold shares several buckets with independent draws, and in a bucket of two or
-three pieces every pair holds a chosen one. An exact search of the rest (prefix
-filtering on rare shingles) was built and measured: in a large group of texts that are
-all 0.5 to 0.8 similar it meets most pairs of the group, so it isn't used.
+hold them. A first round is cheap: in each bucket three pieces are chosen, and every
+piece is compared with them: the most central one, which meets the most others over
+all its buckets, as the original does in a group of changed copies, and two drawn by
+hashes that differ from bucket to bucket. Verified pairs are joined into components.
+
+A second round settles what that left open. Where pieces of a bucket that were not
+chosen lie in two components or more, all of them are compared with each other: they
+are dealt into blocks, each two blocks meet in one group, and a group counts the common
+shingles of all its pairs by a matrix product. So every pair that shares a bucket is
+either verified, or joined by a chain already; only banding itself can miss one.
 """
 
 from __future__ import annotations
@@ -36,6 +34,10 @@ _BLOCK = 1 << 18
 BROADCAST_ROWS = 1_000_000
 #: Shingle sets that a task remembers while it verifies pairs.
 _REMEMBERED = 64
+#: Pieces, and bytes of text, in a block of an open bucket; two blocks are compared in memory.
+BLOCK_PIECES, BLOCK_BYTES = 256, 1 << 19
+#: Shingles in one matrix product.
+_COLUMNS = 4096
 
 Tokens = Callable[[str], np.ndarray]
 
@@ -185,6 +187,86 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def similar_pairs(sets: list[frozenset], roots: np.ndarray, sides: np.ndarray | None, threshold: float) -> list[tuple[int, int]]:
+    """Pairs of places, of different roots, at a similarity of ``threshold`` or more.
+
+    With ``sides`` only pairs of different sides count. A pair that the pairs before it
+    join already is left out.
+    """
+    number: dict = {}
+    columns = np.array([number.setdefault(x, len(number)) for s in sets for x in s], np.int64)
+    lengths = np.array([len(s) for s in sets])
+    places = np.repeat(np.arange(len(sets)), lengths)
+    met = np.bincount(columns) > 1
+    held = met[columns]
+    columns, places = (np.cumsum(met) - 1)[columns[held]], places[held]
+    order = np.argsort(columns, kind="stable")
+    columns, places = columns[order], places[order]
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for first in range(0, int(met.sum()), _COLUMNS):
+        lo, hi = np.searchsorted(columns, (first, first + _COLUMNS))
+        block = np.zeros((len(sets), min(_COLUMNS, int(met.sum()) - first)), np.float32)
+        block[places[lo:hi], columns[lo:hi] - first] = 1
+        common += block @ block.T
+    hit = common >= threshold * (lengths[:, None] + lengths[None, :] - common.astype(np.float64))
+    hit &= roots[:, None] != roots[None, :]
+    if sides is not None:
+        hit &= sides[:, None] != sides[None, :]
+    top: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while x in top:
+            x = top[x]
+        return x
+
+    out = []
+    for i, j in np.argwhere(np.triu(hit, 1)).tolist():
+        x, y = find(int(roots[i])), find(int(roots[j]))
+        if x != y:
+            top[max(x, y)] = min(x, y)
+            out.append((i, j))
+    return out
+
+
+def _open_links(met: DataFrame, chosen: DataFrame, roots: DataFrame, texts: DataFrame, scratch: Scratch, shingles_of: Callable[[str], frozenset], threshold: float) -> DataFrame:
+    """(a, b) that join components, from all pairs of a bucket's pieces that were not chosen."""
+    free = met.join(_small(chosen), "bucket").where((F.col("n") > F.size("chosen") + 1) & ~F.array_contains("chosen", F.col("uid"))).select("bucket", "uid").distinct()
+    free = scratch.keep(free.join(_small(roots), F.col("uid") == F.col("node"), "left").select("bucket", "uid", F.coalesce("root", "uid").alias("root")), "free")
+    mixed = free.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
+    left = scratch.keep(free.join(_small(scratch.keep(mixed, "mixed")), "bucket").join(texts, "uid").select("bucket", "uid", "root", "text"), "open")
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_PIECES), F.ceil(F.sum(F.octet_length("text")) / BLOCK_BYTES)).cast("int").alias("parts")
+    dealt = left.join(_small(scratch.keep(left.groupBy("bucket").agg(parts), "parts")), "bucket")
+    dealt = dealt.withColumn("side", F.pmod(F.xxhash64("bucket", "uid"), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select("bucket", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "uid", "root", "side", "text")
+    # A number of its own: by size alone these few bytes would go to one task.
+    tasks = int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.repartition(tasks, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple] = []
+        at = None
+
+        def links() -> pa.RecordBatch:
+            uids = [g[0] for g in group]
+            sides = np.array([g[2] for g in group]) if at[1] != at[2] else None
+            found = similar_pairs([shingles_of(g[3]) for g in group], np.array([g[1] for g in group], np.int64), sides, threshold) if len(group) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([uids[k] for k, _ in found], pa.int64()), pa.array([uids[k] for _, k in found], pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            keys = zip(*[batch.column(c).to_pylist() for c in ("bucket", "i", "j")], strict=True)
+            for key, *row in zip(keys, *[batch.column(c).to_pylist() for c in ("uid", "root", "side", "text")], strict=True):
+                if key != at:
+                    if group:
+                        yield links()
+                    group, at = [], key
+                group.append(tuple(row))
+        if group:
+            yield links()
+
+    return scratch.keep(dealt.mapInArrow(run, "a long, b long"), "joins")
+
+
 def classes(scratch: Scratch, keys: DataFrame, pieces: DataFrame, shingles_of: Callable[[str], frozenset], threshold: float) -> DataFrame:
     """(node, root) of the pieces that are similar to another, root the smallest of the class.
 
@@ -202,4 +284,10 @@ def classes(scratch: Scratch, keys: DataFrame, pieces: DataFrame, shingles_of: C
     needed = scratch.keep(members.select("uid").distinct(), "needed")
     texts = scratch.keep(pieces.join(_small(needed), "uid", "left_semi").groupBy("uid").agg(F.min("text").alias("text")), "texts")
     pairs = members.where("uid <> rep").select(F.least("uid", "rep").alias("a"), F.greatest("uid", "rep").alias("b")).distinct()
-    return components(scratch, _verified(scratch.keep(pairs, "pairs"), texts, scratch, shingles_of, threshold))
+    links = _verified(scratch.keep(pairs, "pairs"), texts, scratch, shingles_of, threshold)
+    roots = components(scratch, links)
+    joins = _open_links(met, chosen, roots, texts, scratch, shingles_of, threshold)
+    if joins.isEmpty():
+        return roots
+    # The stars that stand already, and the pairs that join them.
+    return components(scratch, roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(joins))

@@ -3,6 +3,7 @@ import re
 
 from pyspark.sql import types as T
 
+from lamella.llm import banding
 from lamella.llm import line_dedup as d
 
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("_row", T.StringType()), T.StructField("uid", T.IntegerType())])
@@ -72,3 +73,37 @@ def test_large_group_of_near_copies_is_one_class(spark):
         rows.append((i, " ".join(words), "r", i))
     got = d.dedup_lines(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sum(r.text != "" for r in got) == 1
+
+
+def test_large_group_without_an_original_matches_all_pairs(spark):
+    rnd = random.Random(13)
+    base = [f"word{k}" for k in range(50)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for _ in range(2):
+            words[rnd.randrange(50)] = f"v{rnd.randrange(10**6)}"
+        rows.append((i, " ".join(words), "r", i))
+    got = {r.uid: r.text for r in d.dedup_lines(spark.createDataFrame(rows, SCHEMA)).collect()}
+    want = dict(enumerate(brute(rows)))
+    assert sum(t != "" for t in want.values()) == 1
+    assert got == want
+
+
+def test_small_classes_in_a_bucket_of_half_similar_lines_are_found(spark, monkeypatch):
+    monkeypatch.setattr(banding, "BLOCK_PIECES", 16)  # several blocks
+    rnd = random.Random(14)
+    base = [f"field{k}" for k in range(30)]
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for k in rnd.sample(range(30), 6):
+            words[k] = f"v{rnd.randrange(10**6)}"
+        for _ in range(2):
+            changed = list(words)
+            changed[rnd.randrange(30)] = f"u{rnd.randrange(10**4)}"
+            rows.append((len(rows), " ".join(changed), "r", len(rows)))
+    got = {r.uid: r.text for r in d.dedup_lines(spark.createDataFrame(rows, SCHEMA)).collect()}
+    want = dict(enumerate(brute(rows)))
+    assert 60 < sum(t == "" for t in want.values()) < 200
+    assert sum(got[k] != want[k] for k in want) <= 1  # banding may miss a pair near the threshold
