@@ -77,24 +77,29 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict, int]:
     """The record at an offset, and where it ends."""
     if not data.startswith(b"WARC/1.", at):
         raise BadRecord("no version line")
-    close = data.find(b"\r\n\r\n", at, at + (1 << 16))
-    if close < 0:
-        raise BadRecord("unfinished header")
-    fields = {}
-    for line in data[at:close].split(b"\r\n")[1:]:
-        name, colon, value = line.partition(b":")
-        if not colon:
-            raise BadRecord("bad header line")
-        fields[name.strip().lower()] = value.strip().decode("utf-8", "replace")
+    fields, first, stop = {}, True, at
+    while True:  # line by line, so that a false version line ends at its first line that is no field
+        start, stop = stop, data.find(b"\r\n", stop)
+        if stop < 0:
+            raise BadRecord("unfinished header")
+        line, stop = data[start:stop], stop + 2
+        if not first:
+            if not line:
+                break
+            name, colon, value = line.partition(b":")
+            if not colon:
+                raise BadRecord("bad header line")
+            fields[name.strip().lower()] = value.strip().decode("utf-8", "replace")
+        first = False
     try:
         length = int(fields[b"content-length"])
         size = int(fields.get(b"warc-payload-length", length))
     except (KeyError, ValueError):
         raise BadRecord("no length") from None
-    end = close + 4 + length
+    end = stop + length
     if length < 0 or data[end : end + 4] != b"\r\n\r\n":
         raise BadRecord("wrong length")
-    payload = data[close + 4 : end]
+    payload = data[stop:end]
     digest = fields.get(b"warc-payload-digest", "").removeprefix("sha256:")
     kind = fields.get(b"warc-type", "")
     if kind != "revisit":

@@ -54,6 +54,18 @@ def test_salvage_skips_damage_and_reports_gaps(spark, tmp_path):
     assert records.count() == 6 and gaps.count() == sum("problem" in f for f in found)
 
 
+def test_long_urls_are_read_back(spark):
+    url = "http://a/" + "é?q=" * 100_000
+    big = "p" * 200
+    rows = [(1, url, big, "d"), (2, "u", big, "d"), (3, url, big, "d"), (4, "v", "x", "d")]
+    scratch = Scratch(spark, "t")
+    folder = scratch.path("w")
+    names = scratch.keep(warc.write_warc(warc.archive_rows(spark.createDataFrame(rows, SCHEMA), scratch), folder), "names")
+    records, gaps = warc.read_warc(spark, folder, names)
+    assert gaps.count() == 0
+    assert sorted((r.record_id, r.uri, r.refers_to) for r in records.collect()) == [("1", url, None), ("2", "u", "1"), ("3", url, "1"), ("4", "v", None)]
+
+
 def test_empty_table(spark):
     scratch = Scratch(spark, "t")
     rows = warc.archive_rows(spark.createDataFrame([], SCHEMA), scratch)
