@@ -7,8 +7,9 @@ attempts are read back, so a lost executor leaves no record twice.
 
 The reader checks every record: the gzip member's own checksum, the version line, the
 header fields, the declared length, the closing blank lines and the payload digest.
-After a failed check it searches for the next valid gzip member or version line, goes
-on there, and reports the bytes in between as a quarantined gap with the reason.
+After a failed check it searches for the next valid gzip member or version line, inside
+a member's content for the next version line, goes on there, and reports the bytes in
+between as a quarantined gap with the reason.
 
 Defined results: a null payload is empty; a null id, address or reference is left out
 of the record and read back as null; rows with equal payloads and the same smallest id
@@ -112,50 +113,101 @@ def parse_record(data: bytes, at: int = 0) -> tuple[dict, int]:
     return found | {"payload_bytes": size, "payload_digest": digest, "payload": None if kind == "revisit" else payload}, end + 4
 
 
-def inflate(data: memoryview, at: int) -> tuple[bytes, int]:
-    """The content of the gzip member at an offset, and where the member ends."""
+def inflate(data: memoryview, at: int) -> tuple[bytes, int, str]:
+    """The content of the gzip member at an offset, where it or its readable part ends, and what is wrong with it."""
     inflater, out, n = zlib.decompressobj(31), [], at
-    try:
-        while not inflater.eof:
-            if n >= len(data):
-                raise BadRecord("unfinished member")
-            chunk = data[n : n + _CHUNK]
+    while not inflater.eof:
+        if n >= len(data):
+            return b"".join(out), n, "unfinished member"
+        chunk, before = data[n : n + _CHUNK], inflater.copy()
+        try:
             out.append(inflater.decompress(chunk))
-            n += len(chunk)
-    except zlib.error:
-        raise BadRecord("broken member") from None
-    return b"".join(out), n - len(inflater.unused_data)
+        except zlib.error:
+            for k in range(len(chunk)):  # what comes before the byte that shows the damage
+                try:
+                    out.append(before.decompress(chunk[k : k + 1]))
+                except zlib.error:
+                    break
+            return b"".join(out), n + k + 1, "broken member"
+        n += len(chunk)
+    return b"".join(out), n - len(inflater.unused_data), ""
+
+
+def _inner(content: bytes) -> tuple[list[tuple[dict, int, int]], list[tuple[int, int, str]]]:
+    """(record, start, end) and gaps (start, end, problem) of a member's content; after a failed check at the next version line."""
+    records, gaps, at, gap, problem = [], [], 0, None, ""
+    while at < len(content):
+        try:
+            record, end = parse_record(content, at)
+        except BadRecord as e:
+            if gap is None:
+                gap, problem = at, str(e)
+            at = content.find(b"WARC/1.", at + 1)
+            at = len(content) if at < 0 else at
+            continue
+        if gap is not None:
+            gaps.append((gap, at, problem))
+            gap = None
+        records.append((record, at, end))
+        at = end
+    if gap is not None:
+        gaps.append((gap, len(content), problem))
+    return records, gaps
 
 
 def salvage(data: bytes) -> Iterator[dict]:
-    """Records in order, and gaps: dicts whose ``problem`` says which check failed first."""
+    """Records in order, and gaps: dicts whose ``problem`` says which check failed first.
+
+    Records of one gzip member, and the gaps between them, have the member's offsets; such a
+    gap's problem also gives its bytes in the member's content. From a broken or unfinished
+    member come the records that were whole before the damage showed; as its checksum says
+    nothing, they stand on their own checks like those of a plain archive.
+    """
     view, at, gap, problem = memoryview(data), 0, None, ""
+    known: set[bytes] = set()  # read from a broken member, whose stored blocks show them again
+    known_to = 0
 
-    def records(at: int) -> tuple[list[dict], int]:
-        if data.startswith(_MAGIC, at):
-            content, end = inflate(view, at)
-            found, inner = [], 0
-            while inner < len(content):
-                record, inner = parse_record(content, inner)
-                found.append(record)
-            return found, end
-        record, end = parse_record(data, at)
-        return [record], end
+    def after(at: int) -> int:
+        return min([p for p in (data.find(_MAGIC, at + 1), data.find(b"WARC/1.", at + 1)) if p >= 0], default=len(data))
 
     while at < len(data):
-        try:
-            found, end = records(at)
-        except BadRecord as e:
+        found: list[dict] = []
+        gaps: list[tuple[int, int, str]] = []
+        failed = ""
+        if data.startswith(_MAGIC, at):
+            content, end, failed = inflate(view, at)
+            inner, gaps = _inner(content)
+            found = [record for record, _, _ in inner]
+            if failed:
+                if found:
+                    known |= {hashlib.sha256(content[i:j]).digest() for _, i, j in inner}
+                    known_to = max(known_to, end)
+                    last = inner[-1][2]
+                    gaps = [g for g in gaps if g[0] < last] + [(last, len(content), failed)]
+                end = after(at)
+            elif not found and gaps:
+                failed = gaps[0][2]
+        else:
+            try:
+                record, end = parse_record(data, at)
+                if at >= known_to or hashlib.sha256(data[at:end]).digest() not in known:
+                    found = [record]
+                else:
+                    failed = "part of a broken member"
+            except BadRecord as e:
+                failed, end = str(e), after(at)
+        if failed and not found:
             if gap is None:
-                gap, problem = at, str(e)
-            places = [p for p in (data.find(_MAGIC, at + 1), data.find(b"WARC/1.", at + 1)) if p >= 0]
-            at = min(places, default=len(data))
+                gap, problem = at, failed
+            at = end
             continue
         if gap is not None:
             yield {"start": gap, "end": at, "problem": problem}
             gap = None
         for record in found:
             yield record | {"start": at, "end": end}
+        for first, last, why in gaps:
+            yield {"start": at, "end": end, "problem": f"{why}, bytes {first} to {last} of the content"}
         at = end
     if gap is not None:
         yield {"start": gap, "end": len(data), "problem": problem}

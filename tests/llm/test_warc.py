@@ -54,6 +54,34 @@ def test_salvage_skips_damage_and_reports_gaps(spark, tmp_path):
     assert records.count() == 6 and gaps.count() == sum("problem" in f for f in found)
 
 
+def test_damage_in_a_member_of_many_records():
+    rnd = random.Random(4)
+    parts = [record(k, bytes(rnd.choices(b"abcdefgh <>", k=40_000))) for k in range(8)]
+    ids = lambda found: [f["record_id"] for f in found if "record_id" in f]
+    problems = lambda found: [f["problem"] for f in found if "problem" in f]
+    # One record fails its check in a member that is whole.
+    bad = parts[3][:5000] + b"!!" + parts[3][5002:]
+    data = gzip.compress(b"".join([*parts[:3], bad, *parts[4:]]), mtime=0)
+    found = list(warc.salvage(data))
+    at = sum(map(len, parts[:3]))
+    assert ids(found) == ["0", "1", "2", "4", "5", "6", "7"]
+    assert problems(found) == [f"wrong digest, bytes {at} to {at + len(bad)} of the content"]
+    assert all((f["start"], f["end"]) == (0, len(data)) for f in found)
+    # A member that is cut short, or has a damaged byte, keeps what came before; the next member follows.
+    whole, one = gzip.compress(b"".join(parts), mtime=0), gzip.compress(record(9, b"next"), mtime=0)
+    half = len(whole) // 2
+    assert ids(warc.salvage(whole[:half])) == ["0", "1", "2"] or ids(warc.salvage(whole[:half])) == ["0", "1", "2", "3"]
+    for data in (whole[:half] + one, whole[:-8] + b"\0" * 8 + one):
+        found = list(warc.salvage(data))
+        assert ids(found)[-1] == "9" and ids(found)[:3] == ["0", "1", "2"] and len(set(ids(found))) == len(ids(found))
+        assert any("member" in p for p in problems(found))
+    assert len(ids(warc.salvage(whole[:-8] + b"\0" * 8))) == 8  # only the checksum is wrong
+    # Stored blocks show the records in the raw bytes as well: each comes once.
+    stored = gzip.compress(b"".join(parts), 0, mtime=0)
+    found = list(warc.salvage(stored[:-8] + b"\0" * 8 + one))
+    assert ids(found) == [*map(str, range(8)), "9"]
+
+
 def test_long_urls_are_read_back(spark):
     url = "http://a/" + "é?q=" * 100_000
     big = "p" * 200
