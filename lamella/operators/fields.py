@@ -62,8 +62,8 @@ _PAIR = "slice_id int, plane int, gy int, gx int, dx double, dy double"
 def relax_fields(fields: DataFrame, brain_col: str = "brain", steps: int | None = None) -> DataFrame:
     """Jointly smoothed fields of each brain; 100 n + 200 steps by default.
 
-    All fields of a brain on the grid reduced by four are one group, whose size is set by
-    the instrument; the work is parallel over brains.
+    All fields of a brain are one group, on the grid they are given on; the work is parallel
+    over brains. The reference reduces the grid by four before, which is not done here.
     """
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:

@@ -49,7 +49,9 @@ def rays(voxels: DataFrame, keys: list[str]) -> DataFrame:
 def surface_height_map(voxels: DataFrame, thickness: float, pixel: float, steps: int = 8000, down_z: int = 1) -> DataFrame:
     """(slice_id, y, x, u, l): upper and lower sheet of each slice by momentum steps.
 
-    One group is one slice on the halved grid, whose size is fixed by the instrument.
+    One group is one slice on the grid it is given on, whose size is fixed by the instrument.
+    The reference halves y and x before and brings the sheets back to full size by cubic
+    up-sampling; neither is done here.
     """
 
     def solve(rows: pd.DataFrame) -> pd.DataFrame:

@@ -178,7 +178,7 @@ def write_brain(spark, sf_dir):
 
 @query()
 def relax_fields(spark, sf_dir):
-    return o.relax_fields(pixel_field(spark, sf_dir).withColumn("brain", F.lit(1)), steps=50)
+    return o.relax_fields(pixel_field(spark, sf_dir).withColumn("brain", F.lit(1)))
 
 
 @query()

@@ -85,3 +85,15 @@ def test_results_do_not_depend_on_partitions(spark):
     v = v.cache()
     a, b = (sorted(map(tuple, surface.fill_blank(v.repartition(n), ["slice_id"]).select("slice_id", "z", "y", "x", "v").collect())) for n in (1, 7))
     assert a == b and surface.fill_blank(v.limit(0), ["slice_id"]).count() == 0
+
+
+def test_registered_solvers_take_all_steps(spark, monkeypatch):
+    run = catalog.queries()
+    taken = {}
+    relax, sheets = fields.relax_fields, surface.surface_height_map
+    monkeypatch.setattr(fields, "relax_fields", lambda *a, **k: taken.setdefault("relax", (relax(*a, **k), relax(a[0])))[0])
+    monkeypatch.setattr(surface, "surface_height_map", lambda *a, **k: taken.setdefault("sheets", (sheets(*a, **k), sheets(*a[:3], steps=8000)))[0])
+    run["relax_fields"](spark, DATA)
+    run["surface_height_map"](spark, DATA)
+    for got, want in taken.values():
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
