@@ -5,7 +5,8 @@ follow a model of random strings rather than one of ordinary identifiers:
 first-order Markov chains over the token alphabet, compared by log-likelihood
 ratio. The chains are trained from labelled samples that the corpus gives itself:
 the values of base spans are random strings, with one chain for hexadecimal ones
-and one for all others, and all other tokens of letters and joiners are ordinary. Counts cover all documents; they are one row per pair of
+and one for all others, and all other words of letters and joiners, with digits that
+end them, are ordinary. Every token of the stated length is scored, whatever characters it holds. Counts cover all documents; they are one row per pair of
 characters, so the trained table has at most ``len(ALPHABET) + 1`` squared
 entries whatever the corpus holds, and is put into the plan as literals.
 
@@ -95,7 +96,7 @@ def train(docs: DataFrame, text_col: str = "text", prior: float = PRIOR) -> list
     df = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     values = F.flatten(F.array(_of(ASSIGN, 2), _of(r"AKIA[A-Z0-9]{12,}"), _of(r"[0-9a-f]{32,}")))
     rest = F.regexp_replace("_text", f"{ASSIGN}|AKIA[A-Z0-9]{{12,}}|[0-9a-f]{{32,}}", " ")
-    ordinary = F.regexp_extract_all(rest, F.lit(r"[A-Za-z_-]{8,}"), F.lit(0))
+    ordinary = F.regexp_extract_all(rest, F.lit(r"[A-Za-z_-]{8,}(?:[0-9]+(?![A-Za-z0-9+/=]))?"), F.lit(0))
     kind_of = lambda v: F.when(v.rlike("^[0-9a-f]+$"), "hex").otherwise("mixed")
     label = lambda tokens, kind: F.transform(tokens, lambda t: F.struct(kind(t).alias("kind"), t.alias("t")))
     random = label(F.filter(values, lambda v: F.length(v) >= 8), kind_of)
@@ -141,10 +142,11 @@ def find_secrets(docs: DataFrame, ratios: list[list[float]] | None = None, id_co
     df = base_spans(df).withColumn("base", F.array_sort(F.concat("_assign", "_access", "_hex"), _by_start)).drop("_assign", "_access", "_hex")
     df = df.withColumn("_tokens", _located(F.col("_text"), _of(TOKEN), "markov"))
     clear = lambda x: ~F.exists("base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
-    # A random string mixes digits with letters; that is tested before the dearer score.
-    mixed = lambda v: v.rlike("[0-9]") & v.rlike("[A-Za-z]")
-    df = df.withColumn("_tokens", F.filter("_tokens", lambda x: mixed(x["v"]) & clear(x)))
-    added = F.filter("_tokens", lambda x: _score(x["v"], ratios) >= threshold)
+    df = df.withColumn("_tokens", F.filter("_tokens", lambda x: clear(x)))
+    # Each distinct token of a row is scored once.
+    scored = F.filter(F.array_distinct(F.transform("_tokens", lambda x: x["v"])), lambda v: _score(v, ratios) >= threshold)
+    df = df.withColumn("_random", F.when(F.size("_tokens") > 0, scored))
+    added = F.filter("_tokens", lambda x: F.array_contains("_random", x["v"]))
     return df.select(id_col, "base", F.when(F.size("_tokens") > 0, added).otherwise(F.col("_tokens")).alias("added"))
 
 

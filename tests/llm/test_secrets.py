@@ -49,6 +49,19 @@ def test_models_find_random_strings_only(spark):
     assert sum(len(r.added) for r in got.values()) == 1
 
 
+def test_tokens_of_letters_or_digits_only_are_scored(spark):
+    rnd = random.Random(10)
+    rand = lambda n, of="ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789": "".join(rnd.choice(of) for _ in range(n))
+    words = "configuration_manager internationalization data_processing_pipeline_2024 administrator_privileges".split()
+    words += [f"{c}lphabetical" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"] + [f"{c}ATALOGUE" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]
+    rows = [(i, f"the {' '.join(rnd.choices(words, k=200))} token = {rand(24)} end", "") for i in range(400)]
+    letters, digits = rand(40, "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"), rand(30, "0123456789")
+    rows += [(900, f"value {letters} and {letters} here", ""), (901, f"value {digits} here", ""), (902, "international_data_processing_pipeline_2024 here", "")]
+    got = {r.doc_id: [x.v for x in r.added] for r in secrets.find_secrets(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[900] == [letters, letters] and got[901] == [digits] and got[902] == []
+    assert sum(map(len, got.values())) == 3
+
+
 def test_runs_no_python(spark):
     df = spark.createDataFrame([(1, "x", "")], SCHEMA)
     plan = secrets.find_secrets(df, FLAT)._jdf.queryExecution().executedPlan().toString()
