@@ -1,21 +1,28 @@
 """MinHash banding over pieces of text: signatures, colliding pairs, verification, classes.
 
 A piece is known by the hash of its text, so copies are one piece however many rows
-hold them. A first round is cheap: in each bucket three pieces are chosen, and every
-piece is compared with them: the most central one, which meets the most others over
-all its buckets, as the original does in a group of changed copies, and two drawn by
-hashes that differ from bucket to bucket. Verified pairs are joined into components.
+hold them. A first round is cheap. A bucket of two pieces is one pair. In a larger one
+two pieces are chosen, and every piece is compared with them: the most central one, which
+meets the most others over all its buckets, as the original does in a group of changed
+copies, and the one with the least hash. Both come out the same in most buckets that a
+group of copies shares, so few pairs are met twice. Verified pairs are joined into
+components.
 
 A second round settles what that left open. Where pieces of a bucket that were not
 chosen lie in two components or more, all of them are compared with each other: they
 are dealt into blocks, each two blocks meet in one group, and a group counts the common
 shingles of all its pairs by a matrix product. So every pair that shares a bucket is
 either verified, or joined by a chain already; only banding itself can miss one.
+
+Buckets, pieces and pairs grow with the corpus, so they are joined by shuffles, whose hot
+keys Spark splits; counts and minima are merged in each task first. Only bitmaps of at
+most ``MOST_SLOTS`` bits are broadcast: they let the rows of large buckets, and the texts
+of pieces in pairs, be picked before those are shuffled. A full bitmap picks too many,
+never too few.
 """
 
 from __future__ import annotations
 
-from collections import OrderedDict
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -28,18 +35,19 @@ from lamella.llm.components import components
 
 #: Multiplier of the rolling hash and seed of the permutations.
 _STEP, _SEED = np.uint64(0x9E3779B97F4A7C15), 20_011
-#: Shingles hashed at once; bounds a task's memory.
+#: Tokens hashed at once; bounds a task's memory.
 _BLOCK = 1 << 18
-#: Numbers of pieces and buckets are broadcast up to so many rows of 16 bytes, else joined by shuffle.
-BROADCAST_ROWS = 1_000_000
-#: Shingle sets that a task remembers while it verifies pairs.
-_REMEMBERED = 64
 #: Pieces, and bytes of text, in a block of an open bucket; two blocks are compared in memory.
 BLOCK_PIECES, BLOCK_BYTES = 256, 1 << 19
 #: Shingles in one matrix product.
 _COLUMNS = 4096
+#: Bits in a broadcast bitmap for each row it stands for, and at least and at most.
+SLOTS_A_ROW, LEAST_SLOTS, MOST_SLOTS = 16, 1 << 18, 1 << 28
 
-Tokens = Callable[[str], np.ndarray]
+#: Tokens of texts in a row, and the number of each text's tokens.
+Tokens = Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
+#: Which of some keys a bitmap picks.
+Picks = Callable[[np.ndarray], np.ndarray]
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -57,158 +65,138 @@ def shingle_hashes(tokens: np.ndarray, width: int) -> np.ndarray:
         return _mix(h)
 
 
-def buckets(token_lists: list[np.ndarray], width: int, bands: int, rows: int) -> np.ndarray:
-    """(pieces, bands) bucket numbers; all pieces have more than ``width`` tokens."""
-    rnd = np.random.default_rng(_SEED)
-    masks = rnd.integers(0, 1 << 32, bands * rows, np.uint32)
-    factors = rnd.integers(0, 1 << 31, bands * rows, np.uint32) * np.uint32(2) + np.uint32(1)
-    lengths = np.array([len(t) for t in token_lists])
-    tokens = np.concatenate(token_lists)
+def _shingles(tokens: np.ndarray, lengths: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of texts that each have ``width`` tokens at least, and how many each text has."""
     ends = np.cumsum(lengths)
     valid = np.ones(len(tokens) - width + 1, bool)
-    for k in range(1, width):  # runs that reach into the next piece
+    for k in range(1, width):  # runs that reach into the next text
         valid[ends[:-1] - k] = False
-    hashes = (shingle_hashes(tokens, width)[valid] >> np.uint64(32)).astype(np.uint32)
-    starts = np.concatenate(([0], np.cumsum(lengths - width + 1)[:-1]))
-    out = np.empty((len(token_lists), bands), np.uint64)
+    return shingle_hashes(tokens, width)[valid], lengths - width + 1
+
+
+def buckets(tokens: np.ndarray, lengths: np.ndarray, width: int, bands: int, rows: int) -> np.ndarray:
+    """(pieces, bands) bucket numbers; ``tokens`` of all pieces in a row, each longer than ``width``."""
+    rnd = np.random.default_rng(_SEED)
+    masks = rnd.integers(0, 1 << 32, bands * rows, np.uint32)
+    factors = rnd.integers(0, 1 << 31, bands * rows, np.uint32) * np.uint32(2) + np.uint32(1)
+    hashes, counts = _shingles(tokens, lengths, width)
+    hashes = (hashes >> np.uint64(32)).astype(np.uint32)
+    starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
+    out = np.empty((len(lengths), bands), np.uint64)
+    scratch = np.empty_like(hashes)
     with np.errstate(over="ignore"):
         for band in range(bands):
-            key = np.full(len(token_lists), band + 1, np.uint64)
+            key = np.full(len(lengths), band + 1, np.uint64)
             for j in range(band * rows, (band + 1) * rows):
-                key = _mix(key * _STEP + np.minimum.reduceat((hashes ^ masks[j]) * factors[j], starts))
+                np.bitwise_xor(hashes, masks[j], out=scratch)
+                np.multiply(scratch, factors[j], out=scratch)
+                key = _mix(key * _STEP + np.minimum.reduceat(scratch, starts))
             out[:, band] = key
     return out
 
 
-def bucket_rows(pieces: dict[int, str], tokens_of: Tokens, width: int, bands: int, rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(uids, buckets) arrays, a row for each band, of pieces with more than ``width`` tokens.
+def bucket_rows(uids: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, width: int, bands: int, rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(uids, buckets) arrays, a row for each band, of the pieces with more than ``width`` tokens.
 
     A shorter piece is one shingle and similar only to its equals, which share its uid.
-    Tokens are made for some pieces at a time.
+    Of pieces with equal uid the first counts; hashes are made for some pieces at a time.
     """
-    uids: list[int] = []
-    lists: list[np.ndarray] = []
-    size = 0
-    for uid, text in pieces.items():
-        uids.append(uid)
-        lists.append(tokens_of(text))
-        size += len(lists[-1])
-        if size >= _BLOCK:
-            yield np.repeat(np.array(uids, np.int64), bands), buckets(lists, width, bands, rows).view(np.int64).ravel()
-            uids, lists, size = [], [], 0
-    if uids:
-        yield np.repeat(np.array(uids, np.int64), bands), buckets(lists, width, bands, rows).view(np.int64).ravel()
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, scratch: Scratch, shingles_of: Callable[[str], frozenset], threshold: float) -> DataFrame:
-    """The (a, b) of ``pairs`` whose texts have a Jaccard similarity of ``threshold`` or more."""
-    both = pairs.join(texts.select(F.col("uid").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("uid").alias("b"), F.col("text").alias("tb")), "b")
-
+    _, first = np.unique(uids, return_index=True)
+    wanted = np.zeros(len(uids), bool)
+    wanted[first] = True
+    wanted &= lengths > width
+    tokens, uids, lengths = tokens[np.repeat(wanted, lengths)], uids[wanted], lengths[wanted]
+    ends = np.cumsum(lengths)
+    at = 0
+    while at < len(uids):
+        begin = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, begin + _BLOCK, "right")))
+        keys = buckets(tokens[begin : ends[stop - 1]], lengths[at:stop], width, bands, rows)
+        yield np.repeat(uids[at:stop], bands), keys.view(np.int64).ravel()
+        at = stop
+
+
+def _bitmap(keys: DataFrame, column: str) -> Picks:
+    """A test, sent to all tasks, that holds for all values of a long column and for few others."""
+    spark, rows = keys.sparkSession, keys.count()
+    slots = min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (SLOTS_A_ROW * rows).bit_length()))
+    slot = F.col(column).bitwiseAND(F.lit(slots - 1)) + 1
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = keys.select(F.bitmap_bucket_number(slot).alias("part"), F.bitmap_bit_position(slot).alias("bit")).repartition(tasks, "part")
+    bits = np.zeros(slots // 8, np.uint8)
+    for r in dealt.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).toLocalIterator():  # MOST_SLOTS bits in all
+        at = (r.part - 1) * len(r.bits)
+        bits[at : at + len(r.bits)] = np.frombuffer(r.bits, np.uint8)[: len(bits) - at]
+    sent = spark.sparkContext.broadcast(bits)
+
+    def picks(values: np.ndarray) -> np.ndarray:
+        place = values & np.int64(slots - 1)
+        return (sent.value[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+
+    return picks
+
+
+def _picked(keys: DataFrame, picks: Picks) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: OrderedDict[int, frozenset] = OrderedDict()
-
-        def of(uid: int, text: pa.Scalar) -> frozenset:
-            if uid not in known:
-                if len(known) >= _REMEMBERED:
-                    known.popitem(last=False)
-                known[uid] = shingles_of(text.as_py())
-            known.move_to_end(uid)
-            return known[uid]
-
         for batch in batches:
-            a, b = batch.column("a"), batch.column("b")
-            hit = []
-            for i, j, ta, tb in zip(a.to_pylist(), b.to_pylist(), batch.column("ta"), batch.column("tb"), strict=True):
-                x, y = of(i, ta), of(j, tb)
-                common = len(x & y)
-                hit.append(common >= threshold * (len(x) + len(y) - common))
-            mask = pa.array(hit, pa.bool_())
-            yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], ["a", "b"])
-
-    return scratch.keep(both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "verified")
+            yield batch.filter(pa.array(picks(batch.column("bucket").to_numpy())))
 
+    return keys.mapInArrow(run, keys.schema)
 
-def _small(df: DataFrame) -> DataFrame:
-    """Marked for broadcast where its counted rows are within the bound."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
+def _verified(pairs: DataFrame, texts: DataFrame, scratch: Scratch, shingles_of: Callable[[str], frozenset], most_shingles: Callable[[str], int], threshold: float) -> DataFrame:
+    """The (a, b) of ``pairs`` (rep, uid) whose texts have a Jaccard similarity of ``threshold`` or more.
 
-def _small(df: DataFrame) -> DataFrame:
-    """Marked for broadcast where its counted rows are within the bound."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
-def _unique(tokens: np.ndarray, width: int) -> np.ndarray:
-    return np.unique(shingle_hashes(tokens, width))
-
-
-def _prefixes(placed: DataFrame, tokens_of: Tokens, width: int, threshold: float) -> DataFrame:
-    """(key, uid, root): the prefix shingles of pieces (uid, root, text)."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(_COUNTERS, np.int64)
-        for batch in batches:
-            for text in batch.column("text"):
-                counts += np.bincount((_unique(tokens_of(text.as_py()), width) % np.uint64(_COUNTERS)).astype(np.int64), minlength=_COUNTERS)
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], ["slot", "n"])
-
-    # At most _COUNTERS rows, whatever the corpus holds.
-    rows = placed.select("text").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
-    common = np.zeros(_COUNTERS, np.int64)
-    common[[r.slot for r in rows]] = [r.n for r in rows]
-    sent = placed.sparkSession.sparkContext.broadcast(common)
+    The second join sorts by the chosen piece, whose shingles are so made once for all its pairs.
+    """
+    both = pairs.join(texts.select("uid", F.col("text").alias("own")), "uid").join(texts.select(F.col("uid").alias("rep"), F.col("text").alias("other")), "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, known = None, frozenset()
         for batch in batches:
-            keys, lengths = [], []
-            for text in batch.column("text"):
-                h = _unique(tokens_of(text.as_py()), width)
-                n = len(h)
-                order = np.lexsort((h, sent.value[(h % np.uint64(_COUNTERS)).astype(np.int64)]))
-                keys.append(h[order[: n - int(np.ceil(round(threshold * n, 9))) + 1]].view(np.int64))
-                lengths.append(len(keys[-1]))
-            if keys:
-                repeat = lambda c: np.repeat(batch.column(c).to_numpy(zero_copy_only=False), lengths)  # noqa: E731, B023
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(repeat("uid")), pa.array(repeat("root"))], ["key", "uid", "root"])
-
-    return placed.select("uid", "root", "text").mapInArrow(run, "key long, uid long, root long")
-
-
-def _mixed(rows: DataFrame, key: str, scratch: Scratch) -> DataFrame:
-    """(key, root) of the keys that hold pieces of two components or more."""
-    groups = rows.select(key, "root").distinct()
-    keys = groups.groupBy(key).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select(key)
-    return scratch.keep(groups.join(keys, key, "left_semi"), "mixed")
-
+            hit, other = [], batch.column("other")
+            for i, (rep, own) in enumerate(zip(batch.column("rep").to_pylist(), batch.column("own"), strict=True)):
+                if rep != at:
+                    at, known = rep, shingles_of(other[i].as_py())
+                own = own.as_py()
+                if most_shingles(own) < threshold * len(known):
+                    hit.append(False)
+                    continue
+                mine = shingles_of(own)
+                # Without an overlap as large as this the similarity can't be reached, whatever is common.
+                common = len(known & mine) if threshold * len(mine) <= len(known) else 0
+                hit.append(common >= threshold * (len(known) + len(mine) - common))
+            mask = pa.array(hit, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("rep").filter(mask), batch.column("uid").filter(mask)], ["a", "b"])
 
-def _small(df: DataFrame) -> DataFrame:
-    """Marked for broadcast where its counted rows are within the bound."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    return scratch.keep(both.select("rep", "uid", "own", "other").mapInArrow(run, "a long, b long"), "verified")
 
 
-def similar_pairs(sets: list[frozenset], roots: np.ndarray, sides: np.ndarray | None, threshold: float) -> list[tuple[int, int]]:
+def similar_pairs(hashes: np.ndarray, counts: np.ndarray, roots: np.ndarray, sides: np.ndarray | None, threshold: float) -> list[tuple[int, int]]:
     """Pairs of places, of different roots, at a similarity of ``threshold`` or more.
 
+    ``hashes`` are the shingles of one piece after the other, ``counts`` how many each has.
     With ``sides`` only pairs of different sides count. A pair that the pairs before it
     join already is left out.
     """
-    number: dict = {}
-    columns = np.array([number.setdefault(x, len(number)) for s in sets for x in s], np.int64)
-    lengths = np.array([len(s) for s in sets])
-    places = np.repeat(np.arange(len(sets)), lengths)
+    n = len(counts)
+    order = np.argsort(hashes)
+    sorted_hashes = hashes[order]
+    column = np.zeros(len(hashes), np.int64)
+    np.cumsum(sorted_hashes[1:] != sorted_hashes[:-1], out=column[1:])
+    cells = np.unique(column * n + np.repeat(np.arange(n), counts)[order])  # a shingle counts once in a piece
+    columns, places = cells // n, cells % n
+    sizes = np.bincount(places, minlength=n)
     met = np.bincount(columns) > 1
     held = met[columns]
     columns, places = (np.cumsum(met) - 1)[columns[held]], places[held]
-    order = np.argsort(columns, kind="stable")
-    columns, places = columns[order], places[order]
-    common = np.zeros((len(sets), len(sets)), np.float32)
+    common = np.zeros((n, n), np.float32)
     for first in range(0, int(met.sum()), _COLUMNS):
         lo, hi = np.searchsorted(columns, (first, first + _COLUMNS))
-        block = np.zeros((len(sets), min(_COLUMNS, int(met.sum()) - first)), np.float32)
+        block = np.zeros((n, min(_COLUMNS, int(met.sum()) - first)), np.float32)
         block[places[lo:hi], columns[lo:hi] - first] = 1
         common += block @ block.T
-    hit = common >= threshold * (lengths[:, None] + lengths[None, :] - common.astype(np.float64))
+    hit = common >= threshold * (sizes[:, None] + sizes[None, :] - common.astype(np.float64))
     hit &= roots[:, None] != roots[None, :]
     if sides is not None:
         hit &= sides[:, None] != sides[None, :]
@@ -228,14 +216,15 @@ def similar_pairs(sets: list[frozenset], roots: np.ndarray, sides: np.ndarray |
     return out
 
 
-def _open_links(met: DataFrame, chosen: DataFrame, roots: DataFrame, texts: DataFrame, scratch: Scratch, shingles_of: Callable[[str], frozenset], threshold: float) -> DataFrame:
+def _open_links(met: DataFrame, chosen: DataFrame, roots: DataFrame, texts: DataFrame, scratch: Scratch, tokens_of: Tokens, width: int, threshold: float) -> DataFrame:
     """(a, b) that join components, from all pairs of a bucket's pieces that were not chosen."""
-    free = met.join(_small(chosen), "bucket").where((F.col("n") > F.size("chosen") + 1) & ~F.array_contains("chosen", F.col("uid"))).select("bucket", "uid").distinct()
-    free = scratch.keep(free.join(_small(roots), F.col("uid") == F.col("node"), "left").select("bucket", "uid", F.coalesce("root", "uid").alias("root")), "free")
+    free = met.join(chosen, "bucket").where("uid <> central and uid <> least").select("bucket", "uid").distinct()
+    free = scratch.keep(free.join(roots, F.col("uid") == F.col("node"), "left").select("bucket", "uid", F.coalesce("root", "uid").alias("root")), "free")
     mixed = free.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("bucket")
-    left = scratch.keep(free.join(_small(scratch.keep(mixed, "mixed")), "bucket").join(texts, "uid").select("bucket", "uid", "root", "text"), "open")
+    left = scratch.keep(free.join(mixed, "bucket").join(texts, "uid").select("bucket", "uid", "root", "text"), "open")
+    scratch.drop(free)
     parts = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_PIECES), F.ceil(F.sum(F.octet_length("text")) / BLOCK_BYTES)).cast("int").alias("parts")
-    dealt = left.join(_small(scratch.keep(left.groupBy("bucket").agg(parts), "parts")), "bucket")
+    dealt = left.join(left.groupBy("bucket").agg(parts), "bucket")
     dealt = dealt.withColumn("side", F.pmod(F.xxhash64("bucket", "uid"), F.col("parts")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.select("bucket", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "uid", "root", "side", "text")
@@ -248,9 +237,12 @@ def _open_links(met: DataFrame, chosen: DataFrame, roots: DataFrame, texts: Data
         at = None
 
         def links() -> pa.RecordBatch:
+            found: list[tuple[int, int]] = []
             uids = [g[0] for g in group]
-            sides = np.array([g[2] for g in group]) if at[1] != at[2] else None
-            found = similar_pairs([shingles_of(g[3]) for g in group], np.array([g[1] for g in group], np.int64), sides, threshold) if len(group) > 1 else []
+            if len(group) > 1:
+                sides = np.array([g[2] for g in group]) if at[1] != at[2] else None
+                hashes, counts = _shingles(*tokens_of([g[3] for g in group]), width)
+                found = similar_pairs(hashes, counts, np.array([g[1] for g in group], np.int64), sides, threshold)
             return pa.RecordBatch.from_arrays([pa.array([uids[k] for k, _ in found], pa.int64()), pa.array([uids[k] for _, k in found], pa.int64())], ["a", "b"])
 
         for batch in batches:
@@ -264,29 +256,47 @@ def _open_links(met: DataFrame, chosen: DataFrame, roots: DataFrame, texts: Data
         if group:
             yield links()
 
-    return scratch.keep(dealt.mapInArrow(run, "a long, b long"), "joins")
-
-
-def classes(scratch: Scratch, keys: DataFrame, pieces: DataFrame, shingles_of: Callable[[str], frozenset], threshold: float) -> DataFrame:
+    joins = scratch.keep(dealt.mapInArrow(run, "a long, b long"), "joins")
+    scratch.drop(left)
+    return joins
+
+
+def classes(
+    scratch: Scratch,
+    keys: DataFrame,
+    pieces: Callable[[Picks], DataFrame],
+    tokens_of: Tokens,
+    width: int,
+    shingles_of: Callable[[str], frozenset],
+    most_shingles: Callable[[str], int],
+    threshold: float,
+) -> DataFrame:
     """(node, root) of the pieces that are similar to another, root the smallest of the class.
 
-    ``keys`` is a written table (bucket, uid), ``pieces`` gives (uid, text) on demand; only
-    the texts of pieces that share a bucket are fetched.
+    ``keys`` is a written table (bucket, uid); ``pieces`` gives (uid, text) of the pieces that
+    a test picks, so that only texts of pieces in pairs are fetched. ``most_shingles`` bounds
+    the number of different shingles of a text from above. Its own tables are dropped again.
     """
-    sizes = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("lo"), F.max("uid").alias("hi")).where("lo < hi").select("bucket", "n")
-    met = scratch.keep(keys.join(_small(scratch.keep(sizes, "sizes")), "bucket"), "met")
+    sizes = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("lo"), F.max("uid").alias("hi")).where("lo < hi")
+    sizes = scratch.keep(sizes, "sizes")
+    large = sizes.where("n > 2").select("bucket", "n")
+    met = scratch.keep(_picked(keys, _bitmap(large, "bucket")).join(large, "bucket"), "met")
     # The hash in the low bits settles ties.
     rank = (F.sum("n") * (1 << 20) + F.first(F.pmod(F.xxhash64("uid"), F.lit(1 << 20)))).alias("rank")
-    ranked = met.join(_small(scratch.keep(met.groupBy("uid").agg(rank), "ranks")), "uid")
-    chosen = [F.max_by("uid", "rank"), F.min_by("uid", F.xxhash64("bucket", "uid")), F.max_by("uid", F.xxhash64("bucket", "uid"))]
-    chosen = scratch.keep(ranked.groupBy("bucket").agg(F.array_distinct(F.array(*chosen)).alias("chosen")), "chosen")
-    members = scratch.keep(met.join(_small(chosen), "bucket").select("uid", F.explode("chosen").alias("rep")).distinct(), "members")
-    needed = scratch.keep(members.select("uid").distinct(), "needed")
-    texts = scratch.keep(pieces.join(_small(needed), "uid", "left_semi").groupBy("uid").agg(F.min("text").alias("text")), "texts")
-    pairs = members.where("uid <> rep").select(F.least("uid", "rep").alias("a"), F.greatest("uid", "rep").alias("b")).distinct()
-    links = _verified(scratch.keep(pairs, "pairs"), texts, scratch, shingles_of, threshold)
+    ranked = met.join(met.groupBy("uid").agg(rank), "uid")
+    chosen = scratch.keep(ranked.groupBy("bucket").agg(F.max_by("uid", "rank").alias("central"), F.min_by("uid", F.xxhash64("uid")).alias("least")), "chosen")
+    members = met.join(chosen, "bucket").select("uid", F.explode(F.array("central", "least")).alias("rep"))
+    pairs = sizes.where("n = 2").select(F.col("hi").alias("uid"), F.col("lo").alias("rep")).union(members.where("uid <> rep"))
+    pairs = pairs.groupBy(F.least("uid", "rep").alias("a"), F.greatest("uid", "rep").alias("b")).agg(F.max("rep").alias("rep"))
+    pairs = scratch.keep(pairs.select("rep", F.when(F.col("rep") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("uid")), "pairs")
+    scratch.drop(sizes)
+    needed = scratch.keep(pairs.select("uid").union(pairs.select("rep")).distinct(), "needed")
+    texts = scratch.keep(pieces(_bitmap(needed, "uid")).join(needed, "uid", "left_semi").groupBy("uid").agg(F.first("text").alias("text")), "texts")
+    links = _verified(pairs, texts, scratch, shingles_of, most_shingles, threshold)
+    scratch.drop(pairs, needed)
     roots = components(scratch, links)
-    joins = _open_links(met, chosen, roots, texts, scratch, shingles_of, threshold)
+    joins = _open_links(met, chosen, roots, texts, scratch, tokens_of, width, threshold)
+    scratch.drop(met, chosen, texts, links)
     if joins.isEmpty():
         return roots
     # The stars that stand already, and the pairs that join them.

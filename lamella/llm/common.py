@@ -6,12 +6,16 @@ import atexit
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Fixed value: the separators of the word contracts, as a Java regex class.
 SPACES = r"[\x20\x09-\x0D]+"
 
+#: Frees the shuffle files of a finished write at once, not when the driver collects its garbage.
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -60,7 +64,12 @@ class Scratch:
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
-        df.write.option("compression", "zstd").parquet(path)
+        before = self.spark.conf.get(_FREE_SHUFFLES, None)
+        self.spark.conf.set(_FREE_SHUFFLES, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.unset(_FREE_SHUFFLES) if before is None else self.spark.conf.set(_FREE_SHUFFLES, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
@@ -76,12 +85,29 @@ class Scratch:
             pass
 
 
+def _of_files(df: DataFrame) -> bool:
+    """Whether ``df`` only selects and filters the rows of one file source."""
+    node = df._jdf.queryExecution().analyzed()
+    if not node.deterministic():
+        return False
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias", "View"):
+        node = node.children().apply(0)
+    return node.nodeName() == "LogicalRelation"
+
+
 def row_keyed(df: DataFrame, name: str = "_row") -> DataFrame:
-    """Add a unique row number that comes out the same each time the input is read.
+    """Add a unique row key that comes out the same each time the input is read.
 
-    Scans of files are planned and read alike each time. Where the input's plan
-    shuffles, rows may arrive in another order, so it is written first.
+    The key is the place of a row: its file, by a 64-bit hash of the path, and its number
+    in the file as the Parquet reader counts it. How a scan is split, and so the number of
+    cores and lost executors, doesn't matter. Rows that don't come straight from Parquet
+    files are numbered as they are written once, and read from there with their numbers.
     """
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-        df = Scratch(df.sparkSession, "rows").keep(df, "rows")
-    return df.withColumn(name, F.monotonically_increasing_id())
+    if _of_files(df):
+        try:
+            place = df.metadataColumn("_metadata")
+            return df.withColumn(name, F.struct(F.xxhash64(place["file_path"]).alias("file"), place["row_index"].alias("row")))
+        except AnalysisException:  # a file source whose reader doesn't number its rows
+            pass
+    numbered = df.withColumn(name, F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("row")))
+    return Scratch(df.sparkSession, "rows").keep(numbered, "rows")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamella.llm.common import Scratch
@@ -17,9 +17,9 @@ def components(scratch: Scratch, links: DataFrame, a: str = "a", b: str = "b") -
 
     Each round hangs the larger neighbours of a node below the smallest neighbour
     (large star), then the smaller ones (small star); trees become stars in a
-    number of rounds logarithmic in their depth. A node with very many neighbours
-    occurs only as the smaller end, where the minima are a written table, so that
-    both join sides come straight from a shuffle and Spark can split the hot node.
+    number of rounds logarithmic in their depth. The minima are aggregates, merged in
+    each task before they are shuffled, and are joined back from written tables, so
+    that both join sides come straight from a shuffle and Spark can split a hot node.
     Links with a null end or equal ends connect nothing. No links give no rows.
     """
     edges = links.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).where((F.col(a) != F.col(b))).distinct()
@@ -27,15 +27,15 @@ def components(scratch: Scratch, links: DataFrame, a: str = "a", b: str = "b") -
     state = _state(edges)
     while state[0]:
         parents = scratch.keep(edges.groupBy(F.col("hi").alias("lo")).agg(F.min("lo").alias("top")), "parents")
-        large = edges.join(parents, "lo", "left").select("hi", F.coalesce("top", "lo").alias("lo"))
         # The parent links stay, or large nodes would lose their smaller neighbours.
-        least = F.min("lo").over(Window.partitionBy("hi"))
-        small = large.select("hi", "lo", least.alias("top"))
+        large = scratch.keep(edges.join(parents, "lo", "left").select("hi", F.coalesce("top", "lo").alias("lo")), "large")
+        tops = scratch.keep(large.groupBy("hi").agg(F.min("lo").alias("top")), "tops")
+        small = large.join(tops, "hi")
         pairs = F.array(F.struct(F.col("hi").alias("hi"), F.col("top").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("top").alias("lo")))
         stars = small.select(F.explode(pairs).alias("p")).select("p.*").where("hi <> lo").distinct()
         after = scratch.keep(stars, "stars")
         new = _state(after)
-        scratch.drop(parents, edges)
+        scratch.drop(parents, large, tops, edges)
         edges = after
         if new == state:
             break

@@ -2,8 +2,8 @@
 
 A line is compared in lower case with its white space run together. Equal lines are
 one piece from the start; different lines are linked at a Jaccard similarity of 0.8
-of their character shingles. Of each class the first line stays, by the row as read
-and the line's place; the others are taken out of their documents.
+of their character shingles. Of each class the first line stays, by the row's file and
+number in it and the line's place; the others are taken out of their documents.
 
 Defined results: a null text stays null and counts no lines; lines without a visible
 character are never compared and stay where they are; a text whose lines all go
@@ -15,87 +15,116 @@ or not, and decide nothing; extra columns are carried by ``dedup_lines``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lamella.llm.banding import bucket_rows, classes
+from lamella.llm.banding import Picks, bucket_rows, classes
 from lamella.llm.common import Scratch, row_keyed, table
 
-#: Characters in a shingle, similarity, and banding: at 0.8 a pair is met with probability 0.995.
-SHINGLE_CHARS, THRESHOLD, BANDS, ROWS = 8, 0.8, 10, 4
+#: Characters in a shingle, similarity, and banding: at 0.8 a pair is met with probability 0.997.
+SHINGLE_CHARS, THRESHOLD, BANDS, ROWS = 8, 0.8, 8, 3
+#: Characters of lines that a task works on at once.
+BLOCK_CHARS = 1 << 20
 
-
-def characters(line: str) -> np.ndarray:
-    return np.frombuffer(line.encode("utf-32-le"), "<u4").astype(np.uint64)
+#: Made once, as nearly all lines are short enough for them.
+_RUNS = [slice(i, i + SHINGLE_CHARS) for i in range(2000)]
 
 
 def shingles(line: str) -> frozenset:
-    return frozenset(line[i : i + SHINGLE_CHARS] for i in range(max(1, len(line) - SHINGLE_CHARS + 1)))
+    n = len(line) - SHINGLE_CHARS + 1
+    if n <= 1:
+        return frozenset((line,))
+    if n > len(_RUNS):
+        return frozenset(line[i : i + SHINGLE_CHARS] for i in range(n))
+    return frozenset(map(line.__getitem__, _RUNS[:n]))
+
+
+def most_shingles(line: str) -> int:
+    return max(1, len(line) - SHINGLE_CHARS + 1)
+
+
+def characters(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer("".join(lines).encode("utf-32-le"), "<u4"), np.array([len(t) for t in lines])
 
 
 def lines_of(text: str | None) -> Iterator[tuple[int, str]]:
     """(place, normal form) of the comparable lines of a text."""
-    for pos, line in enumerate((text or "").split("\n")):
-        if normal := " ".join(line.lower().split()):
+    for pos, line in enumerate((text or "").lower().split("\n")):
+        if normal := " ".join(line.split()):
             yield pos, normal
 
 
-def _uid(normal: str) -> int:
-    return xxhash.xxh64_intdigest(normal.encode())
+def _uids(lines: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(t.encode()) for t in lines], np.uint64).view(np.int64)
 
 
-def _signed(uids: list[int]) -> np.ndarray:
-    return np.array(uids, np.uint64).view(np.int64)
+def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[int], list[str]]]:
+    """(rows of the batch, places, normal forms) of its lines, so many characters at once."""
+    rows, places, lines, size = [], [], [], 0
+    for i, text in enumerate(batch.column("text")):
+        for pos, normal in lines_of(text.as_py()):
+            rows.append(i)
+            places.append(pos)
+            lines.append(normal)
+            size += len(normal)
+            if size >= BLOCK_CHARS:
+                yield rows, places, lines
+                rows, places, lines, size = [], [], [], 0
+    if lines:
+        yield rows, places, lines
 
 
 def _scan(keyed: DataFrame) -> DataFrame:
     """One pass over (_row, text): rows (uid, _row, pos) of lines and rows (uid, bucket) of bands."""
+    key = keyed.schema["_row"].dataType
+    schema = T.StructType([T.StructField("uid", T.LongType()), T.StructField("_row", key), T.StructField("pos", T.IntegerType()), T.StructField("bucket", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        empty = lambda n, kind: pa.nulls(n, kind)
         for batch in batches:
-            found = [(row, pos, normal, _uid(normal)) for row, text in zip(batch.column("_row").to_pylist(), batch.column("text"), strict=True) for pos, normal in lines_of(text.as_py())]
-            if not found:
-                continue
-            n, uids = len(found), _signed([f[3] for f in found])
-            yield pa.RecordBatch.from_arrays([pa.array(uids), pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int32()), empty(n, pa.int64())], _NAMES)
-            new = {u: f[2] for u, f in zip(uids.tolist(), found, strict=True) if len(f[2]) > SHINGLE_CHARS}
-            for ids, keys in bucket_rows(new, characters, SHINGLE_CHARS, BANDS, ROWS):
-                yield pa.RecordBatch.from_arrays([pa.array(ids), empty(len(ids), pa.int64()), empty(len(ids), pa.int32()), pa.array(keys)], _NAMES)
-
-    return keyed.select("_row", "text").mapInArrow(run, "uid long, _row long, pos int, bucket long")
-
+            keys = batch.column("_row")
+            for rows, places, lines in _blocks(batch):
+                uids = _uids(lines)
+                yield pa.RecordBatch.from_arrays([pa.array(uids), keys.take(pa.array(rows)), pa.array(places, pa.int32()), pa.nulls(len(rows), pa.int64())], schema.names)
+                for ids, buckets in bucket_rows(uids, *characters(lines), SHINGLE_CHARS, BANDS, ROWS):
+                    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.nulls(len(ids), keys.type), pa.nulls(len(ids), pa.int32()), pa.array(buckets)], schema.names)
 
-_NAMES = ["uid", "_row", "pos", "bucket"]
+    return keyed.select("_row", "text").mapInArrow(run, schema)
 
 
-def _pieces(keyed: DataFrame) -> DataFrame:
-    """(uid, text) of the lines of more than one shingle."""
+def _pieces(keyed: DataFrame, picks: Picks) -> DataFrame:
+    """(uid, text) of the picked lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            new = {_uid(t): t for text in batch.column("text") for _, t in lines_of(text.as_py()) if len(t) > SHINGLE_CHARS}
-            yield pa.RecordBatch.from_arrays([pa.array(_signed(list(new)), pa.int64()), pa.array(list(new.values()), pa.string())], ["uid", "text"])
+            for _, _, lines in _blocks(batch):
+                uids = _uids(lines)
+                found = {int(uids[i]): lines[i] for i in np.flatnonzero(picks(uids))}
+                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.string())], ["uid", "text"])
 
     return keyed.select("text").mapInArrow(run, "uid long, text string")
 
 
 def removed_lines(keyed: DataFrame, scratch: Scratch) -> DataFrame:
-    """(_row, pos, component) of the lines to take out of (_row, text)."""
+    """(_row, gone): the places of the lines to take out of (_row, text), in order; a written table."""
     scanned = scratch.keep(_scan(keyed), "scanned")
     lines = scanned.where("bucket is null").select("uid", "_row", "pos")
     keys = scanned.where("bucket is not null").select("bucket", "uid")
-    roots = classes(scratch, keys, _pieces(keyed), shingles, THRESHOLD)
+    roots = classes(scratch, keys, partial(_pieces, keyed), characters, SHINGLE_CHARS, shingles, most_shingles, THRESHOLD)
     counted = lines.groupBy("uid").agg(F.min(F.struct("_row", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
     counted = counted.join(roots, counted["uid"] == roots["node"], "left").where("n > 1 or root is not null")
     counted = scratch.keep(counted.select("uid", "first", F.coalesce("root", "uid").alias("component")), "repeated")
-    first = scratch.keep(counted.groupBy("component").agg(F.min("first").alias("stays")), "firsts")
-    kept = scratch.keep(counted.join(first, "component").select("uid", "component", F.col("stays._row").alias("r"), F.col("stays.pos").alias("p")), "stays")
-    return lines.join(kept, "uid").where("_row <> r or pos <> p").select("_row", "pos", "component")
+    first = counted.groupBy("component").agg(F.min("first").alias("stays"))
+    kept = scratch.keep(counted.join(first, "component").select("uid", "stays"), "stays")
+    gone = lines.join(kept, "uid").where(F.struct("_row", "pos") != F.col("stays"))
+    gone = scratch.keep(gone.groupBy("_row").agg(F.array_sort(F.collect_list("pos")).alias("gone")), "gone")
+    scratch.drop(scanned, counted, kept)
+    return gone
 
 
 def dedup_lines(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -109,10 +138,10 @@ def _marked(docs: DataFrame, text_col: str) -> DataFrame:
     """(_whole, _new, _n_lines, _n_removed) for each row."""
     scratch = Scratch(docs.sparkSession, "lines")
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole")
-    keyed = row_keyed(docs.select(whole, F.col(text_col).alias("text")))
-    gone = removed_lines(keyed.select("_row", "text"), scratch)
-    places = scratch.keep(gone.groupBy("_row").agg(F.array_sort(F.collect_list("pos")).alias("gone")), "gone")
-    joined = keyed.select("_row", "_whole", "text").join(places, "_row", "left")
+    keyed = row_keyed(docs.select(whole))
+    text = F.col(f"_whole.`{text_col}`").alias("text")
+    places = removed_lines(keyed.select("_row", text), scratch)
+    joined = keyed.join(places, "_row", "left").select("_whole", text, "gone")
     split = joined.withColumn("_lines", F.split("text", "\n"))
     # A map from the removed places would be searched for each line; a merge by place is linear.
     flags = F.transform(F.array_repeat(F.lit(True), F.size("_lines")), lambda _, i: i)

@@ -7,8 +7,8 @@ piece; others are linked at a Jaccard similarity of 0.8. A paragraph counts as
 repeated if its class occurs in two rows or more, and a run of such paragraphs is
 reported once it has ``LEAST_WORDS`` words, so common short lines alone report nothing.
 
-Of each class the first paragraph stays, by row as read and place; the others are
-marked as removed.
+Of each class the first paragraph stays, by the row's file and number in it and the
+paragraph's place; the others are marked as removed.
 
 Defined results: null, empty and wordless texts have no paragraphs; a paragraph of up
 to five words is one shingle, similar to its equals only; repeated rows are different
@@ -20,14 +20,16 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lamella.llm.banding import bucket_rows, classes
+from lamella.llm.banding import Picks, bucket_rows, classes
 from lamella.llm.common import Scratch, row_keyed, table
 
 #: Words in a shingle, similarity, and banding: at 0.8 a pair is met with probability 0.983, at 0.9 with 0.9987.
@@ -35,66 +37,95 @@ SHINGLE_WORDS, THRESHOLD, BANDS, ROWS = 5, 0.8, 4, 2
 #: Words of a run of repeated paragraphs from which it is reported.
 LEAST_WORDS = 24
 
-_PARAGRAPH = re.compile(r"[^\n]+?(?:[.!?]+(?=[\x20\t\n\r]|$)|(?=\n)|$)")
-_KNOWN: dict[str, int] = {}
+#: From a character to the first end of a sentence or line; runs are taken whole, so the search is linear.
+_PARAGRAPH = re.compile(r"\S[^\n.!?]*+(?:[.!?]++(?![\x20\t\n\r]|\Z)[^\n.!?]*+)*+[.!?]*+")
+#: Characters of paragraphs that a task works on at once, and words whose hashes it remembers.
+BLOCK_CHARS, REMEMBERED = 1 << 20, 200_000
 
 
-def paragraphs(text: str) -> Iterator[tuple[int, int, str]]:
-    """(start, end, normal form) of the paragraphs that have words; offsets in code points."""
-    for m in _PARAGRAPH.finditer(text):
-        raw = m[0]
-        words = raw.lower().split()
-        if words:
-            yield m.start() + len(raw) - len(raw.lstrip()), m.start() + len(raw.rstrip()), " ".join(words)
+class _Hashes(dict):
+    def __missing__(self, word: str) -> int:
+        if len(self) > REMEMBERED:
+            self.clear()
+        h = self[word] = xxhash.xxh64_intdigest(word.encode())
+        return h
+
 
+_KNOWN = _Hashes()
 
-def words(paragraph: str) -> np.ndarray:
-    out = []
-    for w in paragraph.split(" "):
-        if (h := _KNOWN.get(w)) is None:
-            if len(_KNOWN) > 200_000:
-                _KNOWN.clear()
-            h = _KNOWN[w] = xxhash.xxh64_intdigest(w.encode())
-        out.append(h)
-    return np.array(out, np.uint64)
+
+def paragraphs(text: str) -> Iterator[tuple[int, int, str]]:
+    """(start, end, normal form) of the paragraphs; offsets in code points."""
+    low = text.lower()
+    moved = len(low) != len(text)  # a letter whose small form is longer
+    for m in _PARAGRAPH.finditer(text if moved else low):
+        raw = m[0]
+        words = (raw.lower() if moved else raw).split()
+        yield m.start(), m.start() + len(raw.rstrip()), " ".join(words)
 
 
 def shingles(paragraph: str) -> frozenset:
     w = paragraph.split(" ")
-    return frozenset(tuple(w[i : i + SHINGLE_WORDS]) for i in range(max(1, len(w) - SHINGLE_WORDS + 1)))
+    if len(w) <= SHINGLE_WORDS:
+        return frozenset((tuple(w),))
+    return frozenset(zip(*[w[k:] for k in range(SHINGLE_WORDS)], strict=False))
+
+
+def most_shingles(paragraph: str) -> int:
+    return max(1, paragraph.count(" ") + 2 - SHINGLE_WORDS)
+
+
+def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    hashes = np.array(list(map(_KNOWN.__getitem__, " ".join(texts).split(" "))), np.uint64)
+    return hashes, np.array([t.count(" ") + 1 for t in texts])
+
+
+def _uids(texts: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(t.encode()) for t in texts], np.uint64).view(np.int64)
 
 
-_NAMES = ["uid", "_row", "pos", "s", "e", "n_words", "bucket"]
+def _blocks(batch: pa.RecordBatch) -> Iterator[list[tuple[int, int, int, int, str]]]:
+    """(row of the batch, place, start, end, normal form) of its paragraphs, so many characters at once."""
+    found, size = [], 0
+    for i, text in enumerate(batch.column("text")):
+        for pos, (s, e, normal) in enumerate(paragraphs(text.as_py() or "")):
+            found.append((i, pos, s, e, normal))
+            size += e - s
+            if size >= BLOCK_CHARS:
+                yield found
+                found, size = [], 0
+    if found:
+        yield found
 
 
 def _scan(keyed: DataFrame) -> DataFrame:
     """One pass over (_row, text): rows of paragraphs, and rows (uid, bucket) of their bands."""
+    ints = [T.StructField(n, T.IntegerType()) for n in ("pos", "s", "e", "n_words")]
+    schema = T.StructType([T.StructField("uid", T.LongType()), T.StructField("_row", keyed.schema["_row"].dataType), *ints, T.StructField("bucket", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(row, pos, s, e, normal) for row, text in zip(batch.column("_row").to_pylist(), batch.column("text"), strict=True) for pos, (s, e, normal) in enumerate(paragraphs(text.as_py() or ""))]
-            if not found:
-                continue
-            uids = np.array([xxhash.xxh64_intdigest(f[4].encode()) for f in found], np.uint64).view(np.int64)
-            counts = [f[4].count(" ") + 1 for f in found]
-            ints = [pa.array([f[k] for f in found], pa.int32()) for k in (1, 2, 3)]
-            yield pa.RecordBatch.from_arrays([pa.array(uids), pa.array([f[0] for f in found], pa.int64()), *ints, pa.array(counts, pa.int32()), pa.nulls(len(found), pa.int64())], _NAMES)
-            new = {u: f[4] for u, f, n in zip(uids.tolist(), found, counts, strict=True) if n > SHINGLE_WORDS}
-            for ids, keys in bucket_rows(new, words, SHINGLE_WORDS, BANDS, ROWS):
-                n = len(ids)
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.nulls(n, pa.int64()), *[pa.nulls(n, pa.int32())] * 4, pa.array(keys)], _NAMES)
+            keys = batch.column("_row")
+            for found in _blocks(batch):
+                rows, pos, s, e, texts = zip(*found, strict=True)
+                uids, (hashes, counts) = _uids(texts), words(texts)
+                yield pa.RecordBatch.from_arrays([pa.array(uids), keys.take(pa.array(rows)), *[pa.array(c, pa.int32()) for c in (pos, s, e, counts)], pa.nulls(len(rows), pa.int64())], schema.names)
+                for ids, buckets in bucket_rows(uids, hashes, counts, SHINGLE_WORDS, BANDS, ROWS):
+                    n = len(ids)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.nulls(n, keys.type), *[pa.nulls(n, pa.int32())] * 4, pa.array(buckets)], schema.names)
 
-    return keyed.select("_row", "text").mapInArrow(run, "uid long, _row long, pos int, s int, e int, n_words int, bucket long")
+    return keyed.select("_row", "text").mapInArrow(run, schema)
 
 
-def _pieces(keyed: DataFrame) -> DataFrame:
-    """(uid, text) of the paragraphs with more than one shingle."""
+def _pieces(keyed: DataFrame, picks: Picks) -> DataFrame:
+    """(uid, text) of the picked paragraphs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = list({n for text in batch.column("text") for _, _, n in paragraphs(text.as_py() or "") if n.count(" ") >= SHINGLE_WORDS})
-            uids = np.array([xxhash.xxh64_intdigest(t.encode()) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(uids, pa.int64()), pa.array(texts, pa.string())], ["uid", "text"])
+            for found in _blocks(batch):
+                uids = _uids([f[4] for f in found])
+                texts = {int(uids[i]): found[i][4] for i in np.flatnonzero(picks(uids))}
+                yield pa.RecordBatch.from_arrays([pa.array(list(texts), pa.int64()), pa.array(list(texts.values()), pa.string())], ["uid", "text"])
 
     return keyed.select("text").mapInArrow(run, "uid long, text string")
 
@@ -106,15 +137,16 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     scanned = scratch.keep(_scan(keyed), "scanned")
     found = scanned.where("bucket is null").drop("bucket")
     keys = scanned.where("bucket is not null").select("bucket", "uid")
-    roots = classes(scratch, keys, _pieces(keyed), shingles, THRESHOLD)
+    roots = classes(scratch, keys, partial(_pieces, keyed), words, SHINGLE_WORDS, shingles, most_shingles, THRESHOLD)
     counted = found.groupBy("uid").agg(F.min(F.struct("_row", "pos")).alias("first"), F.max("_row").alias("last"))
     alone = counted.where("first._row < last")
     # A piece of one row only counts where its class reaches into another row.
     classed = scratch.keep(counted.join(roots, counted["uid"] == roots["node"]).select("uid", "first", "last", "root"), "classed")
     spans = classed.groupBy("root").agg(F.min("first").alias("stays"), F.max("last").alias("end")).where("stays._row < end")
-    reaching = classed.join(scratch.keep(spans, "spans"), "root").select("uid", F.col("root").alias("component_id"), "stays")
+    reaching = classed.join(spans, "root").select("uid", F.col("root").alias("component_id"), "stays")
     equal = alone.join(roots, alone["uid"] == roots["node"], "left_anti").select("uid", F.col("uid").alias("component_id"), F.col("first").alias("stays"))
     repeated = scratch.keep(reaching.union(equal), "repeated")
+    scratch.drop(classed)
 
     marked = found.join(repeated, "uid")
     by_row = Window.partitionBy("_row")
