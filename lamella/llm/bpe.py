@@ -15,6 +15,7 @@ default; repeated rows each get a row; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import sys
@@ -35,11 +36,17 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 
 MAX_VOCABULARY_BYTES = 64 << 20
 LONG_WORD = 256
-#: Words whose tokens a worker remembers; a full memory is emptied, results don't depend on it.
-REMEMBERED = 50_000
+#: Words whose tokens a worker remembers, twice: when the newer memory is full it becomes the older
+#: one, so that frequent words stay; results don't depend on it.
+REMEMBERED = 100_000
 #: Longest word, in characters, that is remembered.
 REMEMBERED_CHARS = 40
 
+#: Words looked up in the same memory; it may be replaced between.
+FOUND = 1 << 12
+#: Ids decoded at once; bounds a task's memory.
+DECODED = 1 << 16
+
 NONE = 1 << 62
 
 
@@ -64,10 +71,15 @@ class Vocabulary:
         self.merged = [ids[a + b] for a, b in pairs]
         self.of_byte = [ids.get(bytes([b])) for b in range(256)]
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        self.bytes_of = {v: k for k, v in ids.items()} | {v: k.encode() for k, v in self.special.items()}
+        of_id = {v: k for k, v in ids.items()} | {v: k.encode() for k, v in self.special.items()}
+        parts = [of_id.get(i, b"") for i in range(max(of_id, default=-1) + 1)]
+        self.table = np.frombuffer(b"".join(parts), np.uint8)
+        self.lengths = np.array([len(p) for p in parts], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
         self.words = regex.compile(WORDS)
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _short(self, word: bytes) -> list[int]:
         # parts[i] is the token that begins at boundary i; taking it out deletes the boundary.
@@ -106,29 +118,41 @@ class Vocabulary:
         return [p for p in part if p is not None]
 
     def _pack(self, word: str) -> bytes:
-        raw = word.encode()
-        got = array("I", self._short(raw) if len(raw) <= LONG_WORD else self._long(raw)).tobytes()
+        if (got := self.older.get(word)) is None:
+            raw = word.encode()
+            got = array("I", self._short(raw) if len(raw) <= LONG_WORD else self._long(raw)).tobytes()
         if len(word) <= REMEMBERED_CHARS:
             if len(self.known) >= REMEMBERED:
-                self.known.clear()
+                self.known, self.older = {}, self.known
             self.known[word] = got
         return got
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
-        known, pack = self.known.get, self._pack
+        pack = self._pack
         sections = self.split.split(text) if self.split else [text]
         out = []
         for k, section in enumerate(sections):
             if k % 2:
                 out.append(array("I", [self.special[section]]).tobytes())
-            else:
-                out += [known(w) or pack(w) for w in self.words.findall(section)]
+                continue
+            words = self.words.findall(section)
+            for at in range(0, len(words), FOUND):
+                known = self.known.get
+                out += [known(w) or pack(w) for w in words[at : at + FOUND]]
         packed = b"".join(out)
         return packed if sys.byteorder == "little" else np.frombuffer(packed, "=u4").astype("<u4").tobytes()
 
+    def decode_bytes(self, ids: np.ndarray) -> bytes:
+        """The bytes of ids, gathered from one table of all tokens' bytes."""
+        starts, lengths = self.starts[ids], self.lengths[ids]
+        ends = np.cumsum(lengths)
+        place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+        return self.table[place].tobytes()
+
     def decode(self, packed: bytes) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(packed, "<u4").tolist())).decode("utf-8", "replace")
+        ids = np.frombuffer(packed, "<u4")
+        return b"".join(self.decode_bytes(ids[k : k + DECODED]) for k in range(0, len(ids), DECODED)).decode("utf-8", "replace")
 
 
 def _sent(spark: SparkSession, path: str):
@@ -168,15 +192,26 @@ def decode(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text", keep_tokens: bool = False) -> DataFrame:
-    """Digests of the ids and of the text decoded from them, with the packed tokens if asked for."""
-    both = decode(encode(docs, vocabulary_path, id_col, text_col), vocabulary_path)
-    return both.select(
-        id_col,
-        *["tokens"] * keep_tokens,
-        F.expr("octet_length(tokens) div 4").cast("long").alias("n_tokens"),
-        F.sha2("tokens", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    """Digests of the ids and of the text decoded from them, with the packed tokens if asked for.
+
+    Both ways are gone in one pass, so that neither tokens nor decoded texts leave the task unless asked for.
+    """
+    sent = _sent(docs.sparkSession, vocabulary_path)
+    df = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
+    made = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
+    schema = T.StructType([df.schema[0], *[T.StructField("tokens", T.BinaryType())] * keep_tokens, *made])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, digest = sent.value, lambda x: hashlib.sha256(x).hexdigest()
+        for batch in batches:
+            packed, decoded = [], []
+            for text in batch.column(1):
+                packed.append(vocabulary.encode(text.as_py() or ""))
+                decoded.append(digest(vocabulary.decode(packed[-1]).encode()))
+            arrays = [pa.array([len(p) // 4 for p in packed], pa.int64()), pa.array(map(digest, packed), pa.string()), pa.array(decoded, pa.string())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(packed, pa.binary())] * keep_tokens, *arrays], schema.names)
+
+    return df.mapInArrow(run, schema)
 
 
 def public_vocabulary() -> str:
