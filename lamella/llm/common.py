@@ -111,3 +111,13 @@ def row_keyed(df: DataFrame, name: str = "_row") -> DataFrame:
             pass
     numbered = df.withColumn(name, F.struct(F.lit(0).cast("long").alias("file"), F.monotonically_increasing_id().alias("row")))
     return Scratch(df.sparkSession, "rows").keep(numbered, "rows")
+
+
+#: Keys of rows to take out are broadcast up to so many of about 100 bytes, else joined by shuffle.
+BROADCAST_KEYS = 500_000
+
+
+def without_rows(keyed: DataFrame, gone: DataFrame, name: str = "_row") -> DataFrame:
+    """The rows of ``keyed`` whose key isn't in the written table ``gone``; while that is small, whole rows are not shuffled."""
+    gone = gone.select(name)
+    return keyed.join(F.broadcast(gone) if gone.count() <= BROADCAST_KEYS else gone, name, "left_anti").drop(name)

@@ -26,7 +26,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamella.llm.common import Scratch, row_keyed, table
+from lamella.llm.common import BROADCAST_KEYS, Scratch, row_keyed, table, without_rows
 
 SHINGLE_WORDS, THRESHOLD = 5, 0.8
 #: Sketch size of the partition of items with up to 2**c shingles: the square root of the size, this at least.
@@ -126,7 +126,10 @@ def _matches(keyed: DataFrame, items: DataFrame, threshold: float, item_col: str
 
     own = F.coalesce(*[F.when(F.col("width") == w, F.col(f"s{w}")) for w in widths])
     exact_items = _with_shingles(tests, widths, False).select("_item", "item", "width", F.array_distinct(own).alias("wanted"))
-    held = keyed.join(candidates.select("_row").distinct(), "_row", "left_semi").select("_row", "id", _words(F.col("text")).alias("_words"))
+    # Only texts with a candidate are wanted; few rows of keys are broadcast, so that the others are not shuffled.
+    rows = scratch.keep(candidates.select("_row").distinct(), "rows")
+    rows = F.broadcast(rows) if rows.count() <= BROADCAST_KEYS else rows
+    held = keyed.join(rows, "_row", "left_semi").select("_row", "id", _words(F.col("text")).alias("_words"))
     held = _with_shingles(held, widths, False).withColumnsRenamed({f"s{w}": f"d{w}" for w in widths})
     both = candidates.join(exact_items, "_item").join(held, "_row")
     there = F.coalesce(*[F.when(F.col("width") == w, F.col(f"d{w}")) for w in widths])
@@ -138,7 +141,8 @@ def remove_contaminated(docs: DataFrame, items: DataFrame, threshold: float = TH
     """The documents that hold no item at the threshold, with all their columns."""
     keyed = row_keyed(docs)
     found = _matches(keyed.select("_row", F.lit(None).cast("string").alias("id"), F.col(text_col).alias("text")), items, threshold, item_col, item_text_col)
-    return keyed.join(found.select("_row").distinct(), "_row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = Scratch(docs.sparkSession, "contaminated").keep(found.select("_row").distinct(), "found")
+    return without_rows(keyed, found).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,7 +46,7 @@ def _slot(name: str) -> int:
 def shape(word: str) -> str:
     """Runs of lower, upper, digit and mark characters, and a length class."""
     out, last = [], ""
-    for c in word[:64]:
+    for c in word:
         kind = "x" if c.islower() else "X" if c.isupper() else "9" if c.isdigit() else "w" if c.isalpha() else c
         if kind != last:
             out.append(kind)

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamella.llm.common import SPACES, row_keyed, table
+from lamella.llm.common import SPACES, table
 
 #: Frequent function words of English, German, French and Spanish.
 STOP_WORDS = (
@@ -155,10 +155,10 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_i
 def filter_documents(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
     """The documents that the rules keep, with all their columns and no shuffle."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole")
-    judged = judge(row_keyed(docs.select(whole, F.col(text_col).alias("_input"))), rules, "_row", "_input", ("_whole",))
-    # A filter on the row number can't be pushed below it, and so stays above the measures:
-    # pushed below, it would hold a copy of every step inside every later one.
-    return row_keyed(judged, "_judged").where("kept and _judged >= 0").select("_whole.*")
+    judged = judge(docs.select(whole, F.col(text_col).alias("_input")), rules, "_whole", "_input")
+    # A filter on a number that isn't deterministic can't be pushed below it, and so stays above the
+    # measures: pushed below, it would hold a copy of every step inside every later one.
+    return judged.withColumn("_judged", F.monotonically_increasing_id()).where("kept and _judged >= 0").select("_whole.*")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
