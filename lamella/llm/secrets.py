@@ -10,9 +10,10 @@ end them, are ordinary. Every token of the stated length is scored, whatever cha
 characters, so the trained table has at most ``len(ALPHABET) + 1`` squared
 entries whatever the corpus holds, and is put into the plan as literals.
 
-Everything is built-in column expressions. A pattern's matches are taken in order
-and each is located after the end of the one before: with no look-around, the
-first place where a match's own text occurs is where the pattern matched.
+Everything is built-in column expressions, and their work follows the length of the
+text: a text is split at the matches of a pattern, and the places of the matches are
+running sums of the lengths of what lies between. Running sums and maxima are taken in
+blocks, as each step of a fold over an array copies what it has gathered.
 
 Defined results: a null text counts as empty; an empty text has no spans and the
 digest of the empty string; repeated rows each get a row; other columns are ignored.
@@ -22,6 +23,7 @@ A chain without samples holds all characters alike.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +39,8 @@ LEAST = {"assign": 8, "access": 16, "hex": 32}
 #: Fixed value: characters that tokens are made of.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 
+#: Elements of an array that are folded at once.
+BLOCK = 256
 #: Tokens that are scored: this many characters of the alphabet at least.
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
 #: Mean log-likelihood ratio per character pair, in nats, from which a token is a secret.
@@ -47,16 +51,28 @@ PRIOR = 1.0
 BACK_OFF = 20.0
 
 
-def _located(text: Column, matches: Column, kind: str) -> Column:
-    """(kind, start, end, value) of each match, in code points, ends exclusive."""
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<kind:string,s:int,e:int,v:string>>)").alias("out"))
+def _running(values: Column, zero: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """What ``step`` has gathered before each element of an array, in blocks of ``BLOCK``."""
 
-    def step(acc: Column, m: Column) -> Column:
-        s = F.call_function("locate", m, text, acc["at"] + 1) - 1
-        span = F.struct(F.lit(kind).alias("kind"), s.alias("s"), (s + F.length(m)).alias("e"), m.alias("v"))
-        return F.struct((s + F.length(m)).alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+    def fold(array: Column) -> Column:
+        start = F.struct(zero.alias("now"), F.array_repeat(zero, 0).alias("seen"))
+        return F.aggregate(array, start, lambda acc, x: F.struct(step(acc["now"], x).alias("now"), F.concat(acc["seen"], F.array(acc["now"])).alias("seen")))
 
-    return F.aggregate(matches, start, step)["out"]
+    firsts = F.sequence(F.lit(1), F.greatest(F.size(values), F.lit(1)), F.lit(BLOCK))
+    blocks = F.transform(firsts, lambda at: fold(F.slice(values, at, F.lit(BLOCK))))
+    return F.flatten(F.zip_with(blocks, fold(F.transform(blocks, lambda b: b["now"]))["seen"], lambda b, offset: F.transform(b["seen"], lambda x: step(offset, x))))
+
+
+def _located(df: DataFrame, column: str, pattern: str, kind: str) -> DataFrame:
+    """Add ``column``: (kind, s, e, v) of each match of a pattern in ``_text``, in code points, ends exclusive."""
+    df = df.withColumn("_found", _of(pattern))
+    gaps = F.transform(F.split("_text", pattern), F.length)
+    # The last gap has no match.
+    df = df.withColumn("_steps", F.zip_with(gaps, "_found", lambda g, v: F.struct(g.alias("gap"), F.length(v).alias("n"), v.alias("v"))))
+    df = df.withColumn("_steps", F.when(F.size("_found") > 0, F.slice("_steps", F.lit(1), F.size("_found"))).otherwise(F.slice("_steps", F.lit(1), F.lit(0))))
+    df = df.withColumn("_before", _running(F.transform("_steps", lambda x: x["gap"] + x["n"]), F.lit(0), lambda a, x: a + x))
+    span = lambda at, x: F.struct(F.lit(kind).alias("kind"), (at + x["gap"]).alias("s"), (at + x["gap"] + x["n"]).alias("e"), x["v"].alias("v"))
+    return df.withColumn(column, F.zip_with("_before", "_steps", span)).drop("_found", "_steps", "_before")
 
 
 def _of(pattern: str, group: int = 0) -> Column:
@@ -65,22 +81,23 @@ def _of(pattern: str, group: int = 0) -> Column:
 
 def base_spans(df: DataFrame) -> DataFrame:
     """Add ``_assign``, ``_access`` and ``_hex``, arrays of (kind, s, e, v), to rows with ``_text``."""
-    text = F.col("_text")
     # Runs that fail their length hold no shorter match, so the length can stand in the pattern;
     # not so for assignments, where a failing match uses up the text of a later keyword.
-    found = {"access": _of(r"AKIA[A-Z0-9]{12,}"), "hex": _of(r"[0-9a-f]{32,}"), "assign": _of(ASSIGN)}
-    for kind, matches in found.items():
-        df = df.withColumn(f"_m_{kind}", matches)
+    for kind, pattern in (("access", r"AKIA[A-Z0-9]{12,}"), ("hex", r"[0-9a-f]{32,}"), ("assign", ASSIGN)):
+        df = _located(df, f"_{kind}", pattern, kind)
     df = df.withColumn("_values", _of(ASSIGN, 2))
-    for kind in found:
-        df = df.withColumn(f"_{kind}", _located(text, F.col(f"_m_{kind}"), kind))
     with_value = F.zip_with("_assign", "_values", lambda a, v: F.struct(a["kind"].alias("kind"), a["s"].alias("s"), a["e"].alias("e"), v.alias("v")))
     df = df.withColumn("_assign", F.filter(with_value, lambda x: F.length(x["v"]) >= LEAST["assign"]))
-    return df.drop(*[f"_m_{k}" for k in found], "_values")
+    return df.drop("_values")
+
+
+def _tail(array: Column) -> Column:
+    return F.slice(array, F.lit(2), F.greatest(F.size(array) - 1, F.lit(0)))
 
 
 def _pairs(token: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(token) - 1, F.lit(1))), lambda i: F.substr(token, i, F.lit(2)))
+    characters = F.split(token, "")
+    return F.zip_with(characters, _tail(characters), lambda a, b: F.concat(a, b))
 
 
 KINDS = ("hex", "mixed", "ordinary")
@@ -122,12 +139,13 @@ def train(docs: DataFrame, text_col: str = "text", prior: float = PRIOR) -> list
 def _score(token: Column, ratios: list[list[float]]) -> Column:
     """Mean log-likelihood ratio of a token's character pairs, for the random chain that fits better."""
     k = len(ALPHABET)
-    place = lambda at: F.call_function("locate", F.substr(token, at, F.lit(1)), F.lit(ALPHABET))
-    steps = F.sequence(F.lit(1), F.length(token) - 1)
+    codes = F.array(*[F.lit(ALPHABET.find(chr(c))) for c in range(128)])
+    places = F.transform(F.split(token, ""), lambda c: F.element_at(codes, F.ascii(c) + 1))
+    cells = F.filter(F.zip_with(places, _tail(places), lambda a, b: a * k + b + 1), lambda x: x.isNotNull())
 
     def total(chain: list[float]) -> Column:
         lookup = F.array(*[F.lit(round(x, 6)) for x in chain])
-        return F.aggregate(steps, F.lit(0.0), lambda acc, i: acc + F.element_at(lookup, (place(i) - 1) * k + place(i + 1)))
+        return F.aggregate(cells, F.lit(0.0), lambda acc, x: acc + F.element_at(lookup, x))
 
     return F.greatest(*map(total, ratios)) / (F.length(token) - 1)
 
@@ -140,14 +158,18 @@ def find_secrets(docs: DataFrame, ratios: list[list[float]] | None = None, id_co
     ratios = train(docs, text_col) if ratios is None else ratios
     df = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     df = base_spans(df).withColumn("base", F.array_sort(F.concat("_assign", "_access", "_hex"), _by_start)).drop("_assign", "_access", "_hex")
-    df = df.withColumn("_tokens", _located(F.col("_text"), _of(TOKEN), "markov"))
-    clear = lambda x: ~F.exists("base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
-    df = df.withColumn("_tokens", F.filter("_tokens", lambda x: clear(x)))
-    # Each distinct token of a row is scored once.
-    scored = F.filter(F.array_distinct(F.transform("_tokens", lambda x: x["v"])), lambda v: _score(v, ratios) >= threshold)
-    df = df.withColumn("_random", F.when(F.size("_tokens") > 0, scored))
-    added = F.filter("_tokens", lambda x: F.array_contains("_random", x["v"]))
-    return df.select(id_col, "base", F.when(F.size("_tokens") > 0, added).otherwise(F.col("_tokens")).alias("added"))
+    df = _located(df, "_tokens", TOKEN, "markov")
+    # In the order of base starts and token ends, what base spans reach before a token's end.
+    none = F.lit(None).cast("int")
+    starts = F.transform("base", lambda b: F.struct(b["s"].alias("at"), F.lit(1).alias("base"), b["e"].alias("e"), none.alias("s"), F.lit("").alias("v")))
+    ends = F.transform("_tokens", lambda t: F.struct(t["e"].alias("at"), F.lit(0).alias("base"), t["e"].alias("e"), t["s"].alias("s"), t["v"].alias("v")))
+    df = df.withColumn("_order", F.sort_array(F.concat(starts, ends)))
+    df = df.withColumn("_reach", _running(F.transform("_order", lambda x: F.when(x["base"] == 1, x["e"]).otherwise(0)), F.lit(0), F.greatest))
+    df = df.withColumn("_free", F.zip_with("_order", "_reach", lambda x, r: F.when((x["base"] == 0) & (r <= x["s"]), x)))
+    df = df.withColumn("_free", F.filter("_free", lambda x: x.isNotNull()))
+    added = F.filter("_free", lambda x: _score(x["v"], ratios) >= threshold)
+    span = lambda x: F.struct(F.lit("markov").alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["v"].alias("v"))
+    return df.select(id_col, "base", F.transform(added, span).alias("added"))
 
 
 def _by_start(a: Column, b: Column) -> Column:

@@ -67,3 +67,30 @@ def test_runs_no_python(spark):
     plan = secrets.find_secrets(df, FLAT)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
     assert secrets.find_secrets(df.limit(0)).collect() == []
+
+
+def brute_added(text, base, ratios):
+    """Tokens that touch no base span and that a chain finds random, one by one."""
+    k, out = len(secrets.ALPHABET), []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text or ""):
+        if any(s < m.end() and m.start() < e for _, s, e in base):
+            continue
+        at = [secrets.ALPHABET.index(c) for c in m[0]]
+        if max(sum(round(chain[a * k + b], 6) for a, b in zip(at, at[1:])) for chain in ratios) / (len(at) - 1) >= secrets.THRESHOLD:
+            out.append((m.start(), m.end()))
+    return out
+
+
+def test_added_spans_match_brute_force_on_long_texts(spark):
+    rnd = random.Random(11)
+    rand = lambda n, of: "".join(rnd.choice(of) for _ in range(n))
+    mixed, hexes, small = "ABCXYZabcxyz0123456789+/_-=", "0123456789abcdef", "abcdefghijklmnopqrstuvwxyz"
+    parts = [lambda: rand(rnd.randrange(18, 60), mixed), lambda: rand(40, hexes), lambda: rand(25, small), lambda: "é漢 word", lambda: f"token={rand(12, mixed)}", lambda: "AKIA" + rand(14, "ABC123")]
+    texts = [" ".join(rnd.choice(parts)() for _ in range(n)) for n in (0, 1, 3, 40, 700, 6000)] + [rand(50_000, mixed), None]
+    ratios = [[rnd.uniform(-1, 1.6) for _ in range(len(secrets.ALPHABET) ** 2)] for _ in range(2)]
+    got = secrets.find_secrets(spark.createDataFrame([(i, t, "") for i, t in enumerate(texts)], SCHEMA), ratios).collect()
+    for r in got:
+        base = brute(texts[r.doc_id])
+        assert [(x.kind, x.s, x.e) for x in r.base] == base
+        assert [(x.s, x.e) for x in r.added] == brute_added(texts[r.doc_id], base, ratios)
+    assert len(got) == len(texts) and sum(len(r.added) for r in got) > 100
