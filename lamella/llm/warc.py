@@ -268,11 +268,30 @@ def _read(files: DataFrame) -> DataFrame:
 
 def read_warc(spark: SparkSession, folder: str, names: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(records, gaps) of the archives in a folder, plain or gzipped; ``names`` keeps to those archives."""
+    found = _found(spark, folder, names)
+    return found.where("problem is null").drop("problem"), found.where("problem is not null").select("path", "start", "end", "problem")
+
+
+def _found(spark: SparkSession, folder: str, names: DataFrame | None) -> DataFrame:
     files = spark.read.format("binaryFile").load(folder)
     if names is not None:
         files = files.withColumn("name", F.element_at(F.split("path", "/"), -1)).join(F.broadcast(names.select("name")) if names.count() <= BROADCAST_ROWS else names.select("name"), "name", "left_semi")
-    found = _read(files)
-    return found.where("problem is null").drop("problem"), found.where("problem is not null").select("path", "start", "end", "problem")
+    return _read(files)
+
+
+def read_all(spark: SparkSession, folder: str, written: DataFrame, scratch: Scratch) -> DataFrame:
+    """The records, without payloads, of archives that ``write_warc`` has just written, as a written table.
+
+    Raises ``BadRecord`` if any part of them can't be read, or if not as many records come back as were written.
+    """
+    if written.isEmpty():
+        return spark.createDataFrame([], _SCHEMA).drop("payload", "problem")
+    found = scratch.keep(_found(spark, folder, written).drop("payload"), "records")
+    n, gaps = found.agg(F.count_if(F.col("problem").isNull()), F.count("problem")).first()
+    wanted = written.agg(F.sum("records")).first()[0]
+    if gaps or n != wanted:
+        raise BadRecord(f"{n} of {wanted} records came back, with {gaps} gaps")
+    return found.drop("problem")
 
 
 def archive_rows(pages: DataFrame, scratch: Scratch, id_col: str = "page_id", uri_col: str = "url", payload_col: str = "html") -> DataFrame:
@@ -293,10 +312,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "warc")
     folder = scratch.path("archives")
     written = scratch.keep(write_warc(archive_rows(table(spark, sf_dir, "pages"), scratch), folder), "names")
-    if written.isEmpty():
-        records = spark.createDataFrame([], _SCHEMA)
-    else:
-        records, _ = read_warc(spark, folder, written)
+    records = read_all(spark, folder, written, scratch)
     return records.select(
         F.col("record_id").cast("long").alias("page_id"),
         "payload_bytes",

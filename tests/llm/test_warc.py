@@ -2,6 +2,7 @@ import gzip
 import hashlib
 import random
 
+import pytest
 from pyspark.sql import types as T
 
 from lamella.llm import warc
@@ -98,3 +99,16 @@ def test_empty_table(spark):
     scratch = Scratch(spark, "t")
     rows = warc.archive_rows(spark.createDataFrame([], SCHEMA), scratch)
     assert warc.write_warc(rows, scratch.path("w")).count() == 0
+
+
+def test_every_written_record_must_come_back(spark, tmp_path):
+    scratch = warc.Scratch(spark, "test")
+    long_url = "http://a/" + "x" * 1_000_000
+    pages = spark.createDataFrame([(1, long_url, "p" * 200, "d"), (2, "http://b/", "p" * 200, None), (3, None, None, "d")], "page_id long, url string, html string, digest string")
+    folder = scratch.path("archives")
+    written = scratch.keep(warc.write_warc(warc.archive_rows(pages, scratch), folder), "names")
+    got = {r.record_id: (r.uri, r.record_type) for r in warc.read_all(spark, folder, written, scratch).collect()}
+    assert got == {"1": (long_url, "response"), "2": ("http://b/", "revisit"), "3": (None, "response")}
+    short = scratch.keep(written.withColumn("records", written["records"] + 1), "short")
+    with pytest.raises(warc.BadRecord):
+        warc.read_all(spark, folder, short, scratch)
