@@ -103,10 +103,17 @@ def _inside(strict: bool) -> Column:
 
 
 def locate_column_strict(points: DataFrame, boxes: DataFrame) -> DataFrame:
-    """Lowest column of the point's slice whose box holds the point on all axes, ends excluded; null if none."""
-    b = boxes.select("slice_id", F.col("column_id"), *[f"{e}_{x}" for e in ("lo", "hi") for x in AXES])
-    hits = points.join(small(b), "slice_id", "left").groupBy("point_id").agg(F.min(F.when(_inside(True), F.col("column_id"))).alias("column_id"))
-    return points.join(hits, "point_id")
+    """Lowest column of the point's slice whose box holds the point on all axes, ends excluded; null if none.
+
+    Columns of a slice come as one array, so each point is one row, repeated ids included.
+    """
+    box = F.struct("column_id", *[f"{e}_{x}" for e in ("lo", "hi") for x in AXES])
+    per = boxes.groupBy("slice_id").agg(F.sort_array(F.collect_list(box)).alias("_cs"))
+    df = points.join(small(per), "slice_id", "left")
+    p = {x: F.col(x) for x in AXES}
+    holds = lambda c: (c["lo_x"] < p["x"]) & (p["x"] < c["hi_x"]) & (c["lo_y"] < p["y"]) & (p["y"] < c["hi_y"]) & (c["lo_z"] < p["z"]) & (p["z"] < c["hi_z"])
+    hit = F.try_element_at(F.filter("_cs", holds), F.lit(1))["column_id"]
+    return df.select(*points.columns, hit.alias("column_id"))
 
 
 def locate_column(points: DataFrame, boxes: DataFrame) -> DataFrame:
@@ -132,54 +139,86 @@ def column_to_slice(points: DataFrame, columns: DataFrame) -> DataFrame:
     return points.join(inv, ["slice_id", "column_id"]).select("*", x.alias("x"), y.alias("y"), z.alias("z")).drop("inv")
 
 
+def _levels(df: DataFrame, cell: float) -> set[int]:
+    """The size classes of boxes (lo_*, hi_*): powers of two of the cell, so a few dozen at most."""
+    return {r[0] for r in df.select(_level(cell)).distinct().collect() if r[0] is not None}
+
+
+def _level(cell: float) -> Column:
+    extent = F.greatest(*[F.abs(F.col(f"hi_{x}") - F.col(f"lo_{x}")) for x in AXES])
+    return F.greatest(F.ceil(F.log2(F.greatest(extent / cell, F.lit(1e-9)))), F.lit(0)).cast("int")
+
+
+def _in_cells(df: DataFrame, low: dict[str, Column], high: dict[str, Column], cell: float) -> DataFrame:
+    """Spread rows with a grid ``level`` over the cells that they touch; at their own level at most two on an axis."""
+    size = F.lit(cell) * F.pow(F.lit(2.0), F.col("level"))
+    for x in AXES:
+        df = df.withColumn(f"c{x}", F.explode(F.sequence(F.floor(low[x] / size), F.floor(high[x] / size))))
+    return df
+
+
 def boxes_overlapping(a: DataFrame, b: DataFrame, cell: float) -> DataFrame:
     """(a_id, b_id) of boxes that touch or overlap on all axes; ends may come in any order.
 
-    Both sides are spread over x-y grid cells and equi-joined there; a pair is kept in the
-    cell that holds the lower corner of its intersection, so it comes once without a distinct.
+    Each size class has a grid of its own, whose cells are as large as its boxes, so that a
+    long box touches few of them. Two boxes meet on the grid of the larger one, in x, y and
+    z, and are kept in the cell that holds the lower corner of their intersection, so a pair
+    comes once without a distinct. Boxes with a null end are in no pair.
     """
+    levels = sorted(_levels(a, cell) | _levels(b, cell))
 
     def spread(df: DataFrame, side: str) -> DataFrame:
         lo = {x: F.least(f"lo_{x}", f"hi_{x}") for x in AXES}
         hi = {x: F.greatest(f"lo_{x}", f"hi_{x}") for x in AXES}
-        df = df.select(F.col("id").alias(f"{side}_id"), *[lo[x].alias(f"{side}lo_{x}") for x in AXES], *[hi[x].alias(f"{side}hi_{x}") for x in AXES])
-        for x in "xy":
-            df = df.withColumn(f"c{x}", F.explode(F.sequence(F.floor(F.col(f"{side}lo_{x}") / cell), F.floor(F.col(f"{side}hi_{x}") / cell))))
-        return df
-
-    both = spread(a, "a").join(spread(b, "b"), ["cx", "cy"])
+        own = _level(cell).alias(f"{side}level")
+        whole = F.expr(" and ".join(f"{e}_{x} is not null" for e in ("lo", "hi") for x in AXES))
+        df = df.where(whole).select(F.col("id").alias(f"{side}_id"), own, *[lo[x].alias(f"{side}lo_{x}") for x in AXES], *[hi[x].alias(f"{side}hi_{x}") for x in AXES])
+        grids = F.filter(F.array(*map(F.lit, levels)).cast("array<int>"), lambda g: g >= F.col(f"{side}level"))
+        return _in_cells(df.withColumn("level", F.explode(grids)), {x: F.col(f"{side}lo_{x}") for x in AXES}, {x: F.col(f"{side}hi_{x}") for x in AXES}, cell)
+
+    both = spread(a, "a").join(spread(b, "b"), ["level", "cx", "cy", "cz"]).where(F.col("level") == F.greatest("alevel", "blevel"))
+    size = F.lit(cell) * F.pow(F.lit(2.0), F.col("level"))
     for x in AXES:
-        both = both.where((F.col(f"alo_{x}") <= F.col(f"bhi_{x}")) & (F.col(f"blo_{x}") <= F.col(f"ahi_{x}")))
-    for x in "xy":
-        both = both.where(F.col(f"c{x}") == F.floor(F.greatest(f"alo_{x}", f"blo_{x}") / cell))
+        both = both.where((F.col(f"alo_{x}") <= F.col(f"bhi_{x}")) & (F.col(f"blo_{x}") <= F.col(f"ahi_{x}")) & (F.col(f"c{x}") == F.floor(F.greatest(f"alo_{x}", f"blo_{x}") / size)))
     return both.select("a_id", "b_id")
 
 
-def box_contains(points: DataFrame, boxes: DataFrame) -> DataFrame:
-    """(point_id, id) of boxes that hold a point, ends excluded."""
-    return points.join(small(boxes), _inside(True)).select("point_id", "id")
+def box_contains(points: DataFrame, boxes: DataFrame, cell: float) -> DataFrame:
+    """(point_id, id) of boxes that hold a point, ends excluded: an equi-join by the cells of each size class of boxes."""
+    levels = F.array(*map(F.lit, sorted(_levels(boxes, cell)))).cast("array<int>")
+    at = {x: F.col(x) for x in AXES}
+    spread = _in_cells(points.select("point_id", *AXES).withColumn("level", F.explode(levels)), at, at, cell)
+    ends = [f"{e}_{x}" for e in ("lo", "hi") for x in AXES]
+    placed = _in_cells(boxes.select("id", *ends, _level(cell).alias("level")), {x: F.col(f"lo_{x}") for x in AXES}, {x: F.col(f"hi_{x}") for x in AXES}, cell)
+    return spread.join(placed, ["level", "cx", "cy", "cz"]).where(_inside(True)).select("point_id", "id")
+
+
+def _one_row(slices: DataFrame, *columns: str) -> DataFrame:
+    """The slices of a brain as one sorted array in a row to broadcast; their number is checked."""
+    found = slices.select(*columns).limit(SMALL_ROWS + 1)
+    row = found.agg(F.count(F.lit(1)).alias("_n"), F.sort_array(F.collect_list(F.struct(*columns))).alias("_s"))
+    too_many = F.raise_error(F.lit(f"a brain has more than {SMALL_ROWS} slices"))
+    return F.broadcast(row.select(F.when(F.col("_n") > SMALL_ROWS, too_many).otherwise(F.col("_s")).alias("_s")))
 
 
 def locate_slice(points: DataFrame, slices: DataFrame) -> DataFrame:
-    """As-of join: the slice last begun at or below z; the first slice below all.
+    """As-of join: the slice last begun at or below z; the first slice below all; null without slices.
 
     The slice starts come as one sorted array in one broadcast row.
     """
-    starts = slices.agg(F.sort_array(F.collect_list(F.struct("lo_z", "slice_id"))).alias("s"))
-    df = points.join(F.broadcast(starts), F.lit(True))
-    begun = F.filter("s", lambda s: s["lo_z"] <= F.col("z"))
+    df = points.join(_one_row(slices, "lo_z", "slice_id"), F.lit(True))
+    begun = F.filter("_s", lambda s: s["lo_z"] <= F.col("z"))
     at = F.greatest(F.size(begun), F.lit(1))
-    return df.withColumn("slice_id", F.element_at("s", at)["slice_id"]).drop("s")
+    return df.withColumn("slice_id", F.try_element_at("_s", at)["slice_id"]).drop("_s")
 
 
 def locate_slice_strict(points: DataFrame, slices: DataFrame) -> DataFrame:
-    """First slice whose box [lo, hi) holds the point; the first slice of all if none."""
-    boxes = slices.agg(F.sort_array(F.collect_list(F.struct("slice_id", *[f"{e}_{x}" for e in ("lo", "hi") for x in AXES]))).alias("s"))
-    df = points.join(F.broadcast(boxes), F.lit(True))
+    """First slice whose box [lo, hi) holds the point; the first slice of all if none; null without slices."""
+    df = points.join(_one_row(slices, "slice_id", *[f"{e}_{x}" for e in ("lo", "hi") for x in AXES]), F.lit(True))
     p = {x: F.col(x) for x in AXES}
     holds = lambda b: (b["lo_x"] <= p["x"]) & (p["x"] < b["hi_x"]) & (b["lo_y"] <= p["y"]) & (p["y"] < b["hi_y"]) & (b["lo_z"] <= p["z"]) & (p["z"] < b["hi_z"])
-    hit = F.try_element_at(F.filter("s", holds), F.lit(1))["slice_id"]
-    return df.withColumn("slice_id", F.coalesce(hit, F.element_at("s", 1)["slice_id"])).drop("s")
+    hit = F.try_element_at(F.filter("_s", holds), F.lit(1))["slice_id"]
+    return df.withColumn("slice_id", F.coalesce(hit, F.try_element_at("_s", F.lit(1))["slice_id"])).drop("_s")
 
 
 def _corners(df: DataFrame, gx: Column, gy: Column, width: int, height: int) -> DataFrame:
@@ -193,24 +232,37 @@ def _corners(df: DataFrame, gx: Column, gy: Column, width: int, height: int) ->
     return df.withColumn("_k", F.explode(F.array(*[corner(i, j) for i in (0, 1) for j in (0, 1)]))).select(*[c for c in df.columns if c not in ("_cx", "_cy")], "_k.*")
 
 
+def field_cells(field: DataFrame) -> DataFrame:
+    """(slice_id, cy, cx, d{axis}{plane}{j}{i}): the eight corners of each cell of a field in one row; absent corners are null."""
+    corners = [F.struct((F.col("gy") - j).alias("cy"), (F.col("gx") - i).alias("cx"), F.lit(2 * j + i).alias("k")) for j in (0, 1) for i in (0, 1)]
+    spread = field.select("slice_id", "plane", *[f"d{x}" for x in AXES], F.explode(F.array(*corners)).alias("c")).where("c.cy >= 0 and c.cx >= 0")
+    at = lambda plane, k: (F.col("plane") == plane) & (F.col("c.k") == k)
+    values = [F.max(F.when(at(p, 2 * j + i), F.col(f"d{x}"))).alias(f"d{x}{p}{j}{i}") for x in AXES for p in (0, 1) for j in (0, 1) for i in (0, 1)]
+    return spread.groupBy("slice_id", F.col("c.cy").cast("long").alias("cy"), F.col("c.cx").cast("long").alias("cx")).agg(*values)
+
+
 def apply_field(points: DataFrame, field: DataFrame, pixel: float, width: int, height: int, thickness: float) -> DataFrame:
     """Add (qx, qy, qz) = p + D(p) for points (point_id, slice_id, x, y, z).
 
     The field has plane 0 at the top (i - 1) t and plane 1 at i t of slice i: linear in
-    between, bilinear in x and y, from one equi-join of the eight weighted corners on
-    (slice, plane, cell). Outside the field a point stays.
+    between, bilinear in x and y. The corners of a cell are one row, so each point meets
+    one row, is shuffled once and stays one row, repeated ids included. Outside the field,
+    and where it has no value, a point stays.
     """
-    depth = (F.col("z") - (F.col("slice_id") - 1) * F.lit(thickness)) / thickness
-    base = points.withColumn("_u", depth)
-    corners = _corners(base, F.col("x") / pixel, F.col("y") / pixel, width, height)
-    zin = (F.col("_u") >= -0.5) & (F.col("_u") < 1.5)
-    level = F.least(F.greatest(F.col("_u"), F.lit(0.0)), F.lit(1.0))
-    planes = corners.withColumn("_p", F.explode(F.array(*[F.struct(F.lit(k).alias("plane"), (level if k else 1 - level).alias("wz")) for k in (0, 1)])))
-    planes = planes.select("point_id", "slice_id", "gx", "gy", "_p.plane", (F.col("w") * F.col("_p.wz")).alias("w"), (F.col("_in") & zin).alias("_ok"))
-    moved = planes.where("_ok and w > 0").join(field.select("slice_id", "plane", "gy", "gx", "dx", "dy", "dz"), ["slice_id", "plane", "gy", "gx"])
-    sums = moved.groupBy("point_id").agg(*[F.sum(F.col("w") * F.col(f"d{x}")).alias(f"d{x}") for x in AXES])
-    out = points.join(sums, "point_id", "left")
-    return out.select(*points.columns, *[(F.col(x) + F.coalesce(f"d{x}", F.lit(0.0))).alias(f"q{x}") for x in AXES])
+    u = (F.col("z") - (F.col("slice_id") - 1) * F.lit(thickness)) / thickness
+    gx, gy = F.col("x") / pixel, F.col("y") / pixel
+    inside = (gx >= -0.5) & (gx < width - 0.5) & (gy >= -0.5) & (gy < height - 0.5) & (u >= -0.5) & (u < 1.5)
+    clamp = lambda v, top: F.least(F.greatest(v, F.lit(0.0)), F.lit(float(top)))
+    df = points.withColumns({"_x": clamp(gx, width - 1), "_y": clamp(gy, height - 1), "_u": clamp(u, 1), "_in": inside})
+    df = df.withColumns({"cx": F.floor("_x"), "cy": F.floor("_y")})
+    df = df.join(field_cells(field), ["slice_id", "cy", "cx"], "left")
+    wx, wy, wz = F.col("_x") - F.col("cx"), F.col("_y") - F.col("cy"), F.col("_u")
+
+    def shift(x: str) -> Column:
+        parts = [(wz if p else 1 - wz) * (wy if j else 1 - wy) * (wx if i else 1 - wx) * F.coalesce(f"d{x}{p}{j}{i}", F.lit(0.0)) for p in (0, 1) for j in (0, 1) for i in (0, 1)]
+        return F.when(F.col("_in"), sum(parts[1:], parts[0])).otherwise(0.0)
+
+    return df.select(*points.columns, *[(F.col(x) + shift(x)).alias(f"q{x}") for x in AXES])
 
 
 def brain_to_column(points: DataFrame, slices: DataFrame, field: DataFrame, boxes: DataFrame, pixel: float, width: int, height: int, thickness: float, strict: bool = False) -> DataFrame:

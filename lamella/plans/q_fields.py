@@ -55,11 +55,11 @@ def translation_ncc(spark, sf_dir):
     return r.translation_ncc(pick("1"), pick("2"), ["slice_id"], [(-1, 1)] * 3, 200)
 
 
-@query(f"""with {sql('cols')}, e as (select cast(l_orderkey % 6 + 1 as int) slice_id, cast(l_suppkey % 4 as int) column_id, cast(l_partkey % 11 - 5 as double) ex, cast(l_suppkey % 7 - 3 as double) ey, cast(l_orderkey % 5 - 2 as double) ez from lineitem where l_suppkey % 4 > 0 and l_linenumber = 1),
+@query(f"""with {sql('cols')}, e as (select cast(l_orderkey % 6 + 1 as int) slice_id, cast(l_suppkey % 4 as int) column_id, cast(l_partkey % 11 - 5 as double) ex, cast(l_suppkey % 7 - 3 as double) ey, cast(l_orderkey % 5 - 2 as double) ez from lineitem where l_suppkey % 4 > 0),
 m as (select slice_id, column_id, median(ex) mx, median(ey) my, median(ez) mz from e group by all)
 select slice_id, column_id, sum(coalesce(-mx - 0.25::double, 0)) over w dx, sum(coalesce(-my, 0)) over w dy, sum(coalesce(-mz - 2, 0)) over w dz from cols left join m using (slice_id, column_id) window w as (partition by slice_id order by column_id rows unbounded preceding)""")
 def stitch_columns(spark, sf_dir):
-    line = spark.read.parquet(f"{sf_dir}/lineitem.parquet").where("l_suppkey % 4 > 0 and l_linenumber = 1")
+    line = spark.read.parquet(f"{sf_dir}/lineitem.parquet").where("l_suppkey % 4 > 0")
     d = lambda e: F.expr(f"cast({e} as double)")
     est = line.select(F.expr("cast(l_orderkey % 6 + 1 as int)").alias("slice_id"), F.expr("cast(l_suppkey % 4 as int)").alias("column_id"), d("l_partkey % 11 - 5").alias("ex"), d("l_suppkey % 7 - 3").alias("ey"), d("l_orderkey % 5 - 2").alias("ez"), F.lit(0.25).alias("offset"), F.lit(2).alias("z_offset"))
     return r.stitch_columns(view(spark, sf_dir, "cols").select("slice_id", "column_id"), est)
@@ -120,12 +120,12 @@ def smooth_cells(spark, sf_dir):
     return out.select("slice_id", "cy", "cx", F.round("sx", 6).alias("sx"), F.round("sy", 6).alias("sy"))
 
 
-@query(f"""with {sql('pts')}, pp as (select cast(point_id % 6 + 1 as int) slice_id, x px, y py, x + point_id % 3 qx, y - point_id % 2 qy from pts where point_id % 50 = 1),
+@query(f"""with {sql('pts')}, pp as (select cast(point_id % 6 + 1 as int) slice_id, x px, y py, x + point_id % 3 qx, y - point_id % 2 qy from pts),
 s as (select * from (select cast(unnest(range(-2, 3)) as int) sx), (select cast(unnest(range(-2, 3)) as int) sy)),
 e as (select slice_id, sx, sy, round((sx + sy) * 0.5::double - 0.1::double * sum(sqrt((px + sx - qx) * (px + sx - qx) + (py + sy - qy) * (py + sy - qy))), 9) mi from pp, s group by slice_id, sx, sy)
 select slice_id, sx, sy, round(mi, 6) mi from (select *, row_number() over (partition by slice_id order by mi desc, sx, sy) k from e) where k = 1""")
 def anchor_points(spark, sf_dir):
-    p = view(spark, sf_dir, "pts").where("point_id % 50 = 1").select((F.col("point_id") % 6 + 1).cast("int").alias("slice_id"), F.col("x").alias("px"), F.col("y").alias("py"), (F.col("x") + F.col("point_id") % 3).alias("qx"), (F.col("y") - F.col("point_id") % 2).alias("qy"))
+    p = view(spark, sf_dir, "pts").select((F.col("point_id") % 6 + 1).cast("int").alias("slice_id"), F.col("x").alias("px"), F.col("y").alias("py"), (F.col("x") + F.col("point_id") % 3).alias("qx"), (F.col("y") - F.col("point_id") % 2).alias("qy"))
     seq = F.sequence(F.lit(-2), F.lit(2))
     scores = p.select("slice_id").distinct().withColumn("sx", F.explode(seq)).withColumn("sy", F.explode(seq)).withColumn("mi", (F.col("sx") + F.col("sy")) * 0.5)
     return r.anchor_points(scores, p, ["slice_id"], 0.1).withColumn("mi", F.round("mi", 6))
@@ -176,11 +176,6 @@ def write_brain(spark, sf_dir):
     return o.build_brain(pixel_field(spark, sf_dir).withColumn("dz", F.lit(0.0)), slices(spark), 4.0, 300.0, 200, 200)[0]
 
 
-@query()
-def relax_fields(spark, sf_dir):
-    return o.relax_fields(pixel_field(spark, sf_dir).withColumn("brain", F.lit(1)))
-
-
 @query()
 def invert_field(spark, sf_dir):
     return o.invert_field(pixel_field(spark, sf_dir))

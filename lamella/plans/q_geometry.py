@@ -132,7 +132,7 @@ def boxes_overlapping(spark, sf_dir):
 
 @query(f"with {sql('pts')}, {SLICES_SQL} select point_id, slice_id id from pts join slices on {_INSIDE}")
 def box_contains(spark, sf_dir):
-    return g.box_contains(view(spark, sf_dir, "pts"), slices(spark).withColumnRenamed("slice_id", "id"))
+    return g.box_contains(view(spark, sf_dir, "pts"), slices(spark).withColumnRenamed("slice_id", "id"), 100.0)
 
 
 def field_sql(src: str, out: str) -> str:

@@ -100,22 +100,15 @@ def read_params(spark, sf_dir):
     return m.read_params(lines.select("path", F.concat(F.lit("// no bracket\n"), F.array_join(F.transform("l", lambda x: x["l"]), "\n")).alias("json"))).select("path", "key", F.array_join("values", "|").alias("values"))
 
 
-def _point_texts(spark, sf_dir):
-    p = view(spark, sf_dir, "pts").withColumn("path", (F.col("point_id") % 7).cast("string"))
-    line = F.concat_ws(" ", *[F.col(c).cast("string") for c in "xyz"])
-    per = p.groupBy("path").agg(F.sort_array(F.collect_list(F.struct("point_id", line.alias("l")))).alias("l"))
-    return per.select("path", F.concat_ws("\n", F.lit("point"), F.size("l").cast("string"), F.array_join(F.transform("l", lambda x: x["l"]), "\n"), F.lit("")).alias("json"))
-
-
-@query(f"with {sql('pts')} select cast(point_id % 7 as varchar) path, cast(row_number() over (partition by point_id % 7 order by point_id) - 1 as int) point_id, x, y, z from pts")
+@query(f"with {sql('pts')} select cast(point_id // 1000 as varchar) path, cast(row_number() over (partition by point_id // 1000 order by point_id) - 1 as int) point_id, x, y, z from pts")
 def read_points(spark, sf_dir):
-    return m.read_points(_point_texts(spark, sf_dir))
+    return m.read_points(m.write_points(view(spark, sf_dir, "pts"), 1000))
 
 
-@query(f"with {sql('pts')} select cast(row_number() over (order by point_id) - 1 as int) point_id, x, y, z from pts where point_id % 7 = 3")
+@query(f"with {sql('pts')} select cast(point_id // 100000 as varchar) path, count(*) n, cast(round(sum(x), 3) as double) sx, cast(round(sum(y), 3) as double) sy, cast(round(sum(z), 3) as double) sz from pts group by 1")
 def write_points(spark, sf_dir):
-    texts = m.write_points(view(spark, sf_dir, "pts").where("point_id % 7 = 3"))
-    return m.read_points(texts.select(F.lit("one").alias("path"), "json")).drop("path")
+    back = m.read_points(m.write_points(view(spark, sf_dir, "pts")))
+    return back.groupBy("path").agg(F.count(F.lit(1)).alias("n"), *[F.round(F.sum(c), 3).alias(f"s{c}") for c in "xyz"])
 
 
 @query("""with d as (select p_brand k, min(p_partkey) v, 0 l from part group by all union all select p_brand, max(p_partkey), 1 from part where p_size % 2 = 0 group by all
@@ -130,7 +123,7 @@ def resolve_params(spark, sf_dir):
 def product_index(spark, sf_dir):
     h = view(spark, sf_dir, "hdr")
     index = m.product_index(h.select(F.array("wave_length", F.lit("all")).alias("category"), F.col("file").alias("path"), F.col("slice_index").alias("slice_id"), F.col("wave_length").alias("channel_name"), "pixel_size"))
-    return index.select("category", F.size("paths").cast("bigint").alias("n"), F.aggregate(F.map_values("paths"), F.lit(0).cast("bigint"), lambda a, x: a + x["slice_id"]).alias("ids"), F.array_min(F.map_keys("paths")).alias("first_path"))
+    return index.groupBy("category").agg(F.count(F.lit(1)).alias("n"), F.sum("meta.slice_id").alias("ids"), F.min("path").alias("first_path"))
 
 
 @query(f"with {sql('tasks').replace('done from', 'done from')} select task_id, count(*) n_outputs, count(*) filter (where not done) n_missing from tasks group by task_id having not bool_and(done)")

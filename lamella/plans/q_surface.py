@@ -52,11 +52,6 @@ def extract_surface(spark, sf_dir):
     return o.extract_surface(v.where("channel_id = '1'"), heights, SIZES["z"])
 
 
-@query()
-def surface_height_map(spark, sf_dir):
-    return o.surface_height_map(dense(spark, sf_dir).where("channel_id = '1'").drop("channel_id"), 6.0, 1.0)
-
-
 _CORNERS = "case when y in (0, 7) and x in (0, 7) then 0 else v end"
 
 

@@ -116,12 +116,12 @@ def shear_volume(spark, sf_dir):
     return o.shear_volume(vox(spark, sf_dir), 0.7)
 
 
-@query(f"""with {_VOX}, {sql('surf')}, {FIELD_SQL}, gr as (select row_number() over () point_id, * from {_GRID} where x % 2 = 0 and y % 2 = 0), pt as (select point_id, slice_id, x * 50.0::double x, y * 50.0::double y, (slice_id - 1) * 300 + z * 30.0::double z from gr), {field_sql('pt', 'mv')},
+@query(f"""with {_VOX}, {sql('surf')}, {FIELD_SQL}, gr as (select row_number() over () point_id, * from {_GRID}), pt as (select point_id, slice_id, x * 50.0::double x, y * 50.0::double y, (slice_id - 1) * 300 + z * 30.0::double z from gr), {field_sql('pt', 'mv')},
 ps as (select gr.*, qx / 50 px, qy / 50 py, (qz - (gr.slice_id - 1) * 300) / 50 pz from gr join mv using (point_id)), {_corner_sql('ps', 'cr')},
 su as (select cr.point_id, sum(w * vox.v) v from cr join vox on vox.slice_id = cr.slice_id and vox.channel_id = cr.channel_id and vox.x = s_x and vox.y = s_y and vox.z = s_z group by all)
 select slice_id, channel_id, z, y, x, round(coalesce(v, 0), 4) v from gr left join su using (point_id)""")
 def warp_slice(spark, sf_dir):
-    grid = _grid(spark, sf_dir).where("x % 2 = 0 and y % 2 = 0").withColumn("point_id", F.concat_ws(":", *K, "z", "y", "x"))
+    grid = _grid(spark, sf_dir).withColumn("point_id", F.concat_ws(":", *K, "z", "y", "x"))
     at = grid.select("point_id", "slice_id", (F.col("x") * 50.0).alias("x"), (F.col("y") * 50.0).alias("y"), ((F.col("slice_id") - 1) * 300 + F.col("z") * 30.0).alias("z"))
     moved = g.apply_field(at, field(spark, sf_dir), 100.0, 8, 8, 300.0).select("point_id", "qx", "qy", (F.col("qz") - (F.col("slice_id") - 1) * 300).alias("qz"))
     out = o.warp_slice(grid, vox(spark, sf_dir), moved, K, SIZES, 50.0)

@@ -52,7 +52,7 @@ _VIEWS: dict[str, tuple[str, str, list[str], bool]] = {
         ],
         False,
     ),
-    "surf": ("embeddings", "vec_id < 24", ["cast(vec_id // 4 + 1 as int) slice_id", "cast(vec_id % 4 as int) comp", "embedding"], False),
+    "surf": ("embeddings", "", ["cast(vec_id // 4 + 1 as int) slice_id", "cast(vec_id % 4 as int) comp", "embedding"], False),
     "hdr": (
         "supplier",
         "",

@@ -124,11 +124,16 @@ def read_points(files: DataFrame) -> DataFrame:
     return body.select("path", (F.col("pos") - 2).alias("point_id"), *[F.get(v, F.lit(k)).cast("double").alias(x) for k, x in enumerate("xyz")])
 
 
-def write_points(points: DataFrame) -> DataFrame:
-    """(json): one point text from (point_id, x, y, z), a line a point, in the order of the ids."""
+def write_points(points: DataFrame, per_file: int = 100_000) -> DataFrame:
+    """(path, json): point texts from (point_id, x, y, z), a line a point, in the order of the ids.
+
+    Ids are cut into ranges of ``per_file``, each a text of its own with its count, so that
+    a text is bounded and all are made side by side; ``path`` numbers the ranges.
+    """
     line = F.concat_ws(" ", *[F.col(x).cast("string") for x in "xyz"])
-    rows = points.agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(F.struct("point_id", line.alias("l")))).alias("p"))
-    return rows.select(F.concat_ws("\n", F.lit("point"), F.col("n").cast("string"), F.array_join(F.transform("p", lambda p: p["l"]), "\n")).alias("json"))
+    keyed = points.select(F.floor(F.col("point_id") / per_file).cast("string").alias("path"), F.struct("point_id", line.alias("l")).alias("p"))
+    rows = keyed.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("p")).alias("p"))
+    return rows.select("path", F.concat_ws("\n", F.lit("point"), F.col("n").cast("string"), F.array_join(F.transform("p", lambda p: p["l"]), "\n")).alias("json"))
 
 
 def resolve_params(*levels: DataFrame) -> DataFrame:
@@ -141,9 +146,12 @@ def resolve_params(*levels: DataFrame) -> DataFrame:
 
 
 def product_index(products: DataFrame) -> DataFrame:
-    """(category, paths): for each category its relative paths with slice, channel and pixel size."""
+    """(category, path, meta): the relative paths of each category with slice, channel and pixel size, a row a path.
+
+    A path that comes twice in a category stays once, with its largest ``meta``.
+    """
     meta = F.struct("slice_id", "channel_name", "pixel_size").alias("meta")
-    return products.select(F.explode("category").alias("category"), "path", meta).groupBy("category").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("path", "meta")))).alias("paths"))
+    return products.select(F.explode("category").alias("category"), "path", meta).groupBy("category", "path").agg(F.max("meta").alias("meta"))
 
 
 def pending_products(outputs: DataFrame) -> DataFrame:
