@@ -96,24 +96,30 @@ class Model:
         return (1 / (1 + np.exp(np.clip(self.thresholds - score, -40, 40)))).tolist()
 
 
+def loss_and_gradients(weights: np.ndarray, cuts: np.ndarray, rows: np.ndarray, slots: np.ndarray, values: np.ndarray, grades: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Mean negative log-likelihood with the pull of the weights, and its gradients; the first cut is a threshold, the others logs of gaps."""
+    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+    thresholds = np.cumsum(np.concatenate((cuts[:1], np.exp(cuts[1:]))))
+    score = np.bincount(rows, values * weights[slots], len(grades))
+    upper = np.append(thresholds, np.inf)[grades] - score
+    lower = np.insert(thresholds, 0, -np.inf)[grades] - score
+    su, sl = np.where(np.isinf(upper), 1, sigmoid(upper)), np.where(np.isinf(lower), 0, sigmoid(lower))
+    p = np.maximum(su - sl, 1e-12)
+    du, dl = su * (1 - su) / p, sl * (1 - sl) / p
+    d_score = (du - dl) / len(grades)
+    d_cut = np.array([dl[grades == k + 1].sum() - du[grades == k].sum() for k in range(len(cuts))]) / len(grades)
+    tail = np.cumsum(d_cut[::-1])[::-1]
+    loss = -np.log(p).mean() + RIDGE / 2 * (weights @ weights)
+    return float(loss), np.bincount(slots, values * d_score[rows], len(weights)) + RIDGE * weights, np.concatenate((tail[:1], tail[1:] * np.exp(cuts[1:])))
+
+
 def fit(rows: np.ndarray, slots: np.ndarray, values: np.ndarray, grades: np.ndarray, n_grades: int) -> Model:
     """Full-batch Adam on the cumulative-link likelihood; entries are (row, slot, value)."""
     weights, cuts = np.zeros(FEATURES), np.concatenate(([-0.5 * (n_grades - 2)], np.zeros(n_grades - 2)))
     params = [weights, cuts]
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
     for t in range(1, (STEPS if len(grades) else 0) + 1):
-        thresholds = np.cumsum(np.concatenate((cuts[:1], np.exp(cuts[1:]))))
-        score = np.bincount(rows, values * weights[slots], len(grades))
-        upper = np.append(thresholds, np.inf)[grades] - score
-        lower = np.insert(thresholds, 0, -np.inf)[grades] - score
-        su, sl = np.where(np.isinf(upper), 1, sigmoid(upper)), np.where(np.isinf(lower), 0, sigmoid(lower))
-        p = np.maximum(su - sl, 1e-12)
-        du, dl = su * (1 - su) / p, sl * (1 - sl) / p
-        d_score = (du - dl) / len(grades)  # of the negative log-likelihood
-        d_cut = np.array([dl[grades == k + 1].sum() - du[grades == k].sum() for k in range(n_grades - 1)]) / len(grades)
-        tail = np.cumsum(d_cut[::-1])[::-1]
-        gradients = [np.bincount(slots, values * d_score[rows], FEATURES) + RIDGE * weights, np.concatenate((tail[:1], tail[1:] * np.exp(cuts[1:])))]
+        _, *gradients = loss_and_gradients(weights, cuts, rows, slots, values, grades)
         for k, g in enumerate(gradients):
             first[k] = 0.9 * first[k] + 0.1 * g
             second[k] = 0.999 * second[k] + 0.001 * g * g

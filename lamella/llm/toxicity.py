@@ -17,6 +17,8 @@ are fitted to labels; the insult arcs are widened by words that the labelled sam
 shows in toxic texts only, in ever different surroundings.
 
 Only clauses with an insult or threat can match, so the transducers run on those alone.
+How far the score rests on the words of the insult arcs, and how little the fitted weights
+of targets add on the given labels, is told in the README.
 
 Defined results: null, empty and wordless texts match nothing and get the score of the
 bias; repeated rows each get a row; extra columns are ignored; without labels the
@@ -183,9 +185,9 @@ def learn_insults(sample: DataFrame) -> list[str]:
     near = F.zip_with("w", F.concat(F.array(F.lit("")), F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0)))), lambda w, p: F.struct(w.alias("word"), p.alias("before")))
     df = sample.select("toxic", F.xxhash64("text").alias("d"), words.alias("w")).select("toxic", "d", F.explode(near).alias("x")).select("toxic", "d", "x.*")
     counted = df.groupBy("word").agg(
-        F.approx_count_distinct(F.when(F.col("toxic") == 1, F.col("d"))).alias("bad"),
-        F.approx_count_distinct("d").alias("all"),
-        F.approx_count_distinct("before").alias("variety"),
+        F.count_distinct(F.when(F.col("toxic") == 1, F.col("d"))).alias("bad"),
+        F.count_distinct("d").alias("all"),
+        F.count_distinct("before").alias("variety"),
         F.count(F.lit(1)).alias("n"),
     )
     good = counted.where((F.col("bad") >= LEARNED_DOCS) & (F.col("bad") >= LEARNED_SHARE * F.col("all")) & (F.col("variety") >= LEARNED_VARIETY * F.least("n", F.lit(40))))

@@ -34,3 +34,20 @@ def test_edges(spark):
     got = q.score(df, model).collect()
     assert len(got) == 5 and all(0 <= r.expected_grade <= 2 and len(r.tails) == 2 for r in got)
     assert q.score(df.limit(0), model).collect() == []
+
+
+def test_gradients_match_finite_differences():
+    rnd = np.random.default_rng(3)
+    rows, slots = np.repeat(np.arange(30), 6), rnd.integers(0, 12, 180)
+    data = (rows, slots, rnd.normal(size=180), rnd.integers(0, 4, 30))
+    weights, cuts = rnd.normal(size=12), np.array([-0.7, 0.2, -0.4])
+    _, by_weight, by_cut = q.loss_and_gradients(weights, cuts, *data)
+    for k, got in [*enumerate(by_weight), *((12 + k, g) for k, g in enumerate(by_cut))]:
+        step = np.zeros(15)
+        step[k] = 1e-6
+        ends = [q.loss_and_gradients(weights + sign * step[:12], cuts + sign * step[12:], *data)[0] for sign in (1, -1)]
+        assert abs((ends[0] - ends[1]) / 2e-6 - got) < 1e-6
+
+
+def test_long_words_are_read_whole():
+    assert q.shape("a" * 70 + "9") != q.shape("a" * 71)

@@ -1,4 +1,5 @@
 import random
+import re
 
 from pyspark.sql import types as T
 
@@ -46,3 +47,33 @@ def test_edges(spark):
     got = x.score(df, model).collect()
     assert sorted((str(r.doc_id), r.predicted) for r in got) == [("1", 0), ("1", 0), ("2", 0), ("3", 1), ("None", 1)]
     assert x.score(df.limit(0), model).collect() == []
+
+
+def brute_clauses(text):
+    """Clause types counted without transducers."""
+    found = {}
+    for clause in re.split(r"[.!?;:\n]+", text.lower()):
+        words = re.findall(r"[^\W_]+(?:'[^\W_]+)?", clause)
+        best = 0
+        for i, w in enumerate(words):
+            if w in x.INSULTS or w in x.THREATS:
+                denied = any(v in x.NEGATIONS for v in words[max(0, i - x.NEGATION_REACH) : i])
+                reported = any(v in x.REPORTS for v in words[:i])
+                best = max(best, 1 if denied else 2 if reported else 3 if w in x.THREATS else 4)
+        if best:
+            kind = ["denied", "reported", "threat", "insult"][best - 1] + "_target" * (best > 2 and any(w in x.TARGETS for w in words))
+            found[kind] = found.get(kind, 0) + 1
+    return found
+
+
+def test_clauses_match_brute_force():
+    rnd = random.Random(17)
+    vocab = [*x.INSULTS[:3], *x.THREATS[:2], "you", "them", "not", "never", "said", "wrote", "fine", "day", "sky", ".", "!", "\n", ";"]
+    grammar = x.Grammar(x.INSULTS)
+    seen = set()
+    for _ in range(3000):
+        text = " ".join(rnd.choice(vocab) for _ in range(rnd.randrange(0, 14)))
+        want = brute_clauses(text)
+        assert grammar.clauses(text) == want, text
+        seen |= set(want)
+    assert seen == set(x.TYPES)
