@@ -24,13 +24,13 @@ def trilinear(block: np.ndarray, z: np.ndarray, y: np.ndarray, x: np.ndarray) ->
     for p, n in zip((z, y, x), block.shape, strict=True):
         inside &= (p >= -0.5) & (p < n - 0.5)
     out = np.zeros(z.shape)
-    zc = np.clip(z[inside], 0, block.shape[0] - 1)
-    z0 = np.floor(zc).astype(int)
-    part = np.zeros(z0.shape)
-    for k, w in ((z0, 1 - (zc - z0)), (np.minimum(z0 + 1, block.shape[0] - 1), zc - z0)):
-        for plane in np.unique(k):
-            at = k == plane
-            part[at] += w[at] * bilinear(block[plane], y[inside][at], x[inside][at])
+    at = [np.clip(p[inside], 0, n - 1) for p, n in zip((z, y, x), block.shape, strict=True)]
+    low = [np.floor(p).astype(int) for p in at]
+    high = [np.minimum(k + 1, n - 1) for k, n in zip(low, block.shape, strict=True)]
+    part = np.zeros(at[0].shape)
+    for corner in np.ndindex(2, 2, 2):
+        w = np.prod([p - k if c else 1 - (p - k) for c, p, k in zip(corner, at, low, strict=True)], axis=0)
+        part += w * block[tuple(h if c else k for c, k, h in zip(corner, low, high, strict=True))]
     out[inside] = part
     return out
 

@@ -193,6 +193,23 @@ def sphere_map(spark, sf_dir):
     return g.sphere_map(g.brain_box(box), 50, mapper)
 
 
+@query(f"""with {_B}, {SLICES_SQL}, {sql('surf')}, {FIELD_SQL},
+gr as (select * from (select cast(unnest(range(0, 800, 50)) as int) x), (select cast(unnest(range(0, 800, 50)) as int) y), (select cast(unnest(range(0, 1800, 50)) as int) z)),
+gs as (select (cast(x as bigint) * 1000 + y) * 10000 + z point_id, x, y, z, z // 300 + 1 slice_id from gr), {field_sql('gs', 'mv')},
+h as (select mv.point_id, min(column_id) column_id from mv join bx on bx.slice_id = mv.slice_id and lo_x < qx and qx < hi_x and lo_y < qy and qy < hi_y and lo_z < qz and qz < hi_z group by mv.point_id)
+select gs.x, gs.y, gs.z, case when h.column_id is null then 0 else gs.slice_id end slice_id, coalesce(h.column_id, 0) column_id, case when h.column_id is null then 0 else cast(trunc(round(a20 * qx + a22 * qz + t2, 6)) as int) end frame, h.column_id is not null hit
+from gs join mv using (point_id) left join h using (point_id) left join bx on bx.slice_id = gs.slice_id and bx.column_id = h.column_id""")
+def sphere_map_field(spark, sf_dir):
+    """The sphere map through the displacement field, as brain points go to columns."""
+    box, boxes = slices(spark), _boxes(spark, sf_dir)
+
+    def mapper(grid):
+        at = g.brain_to_column(grid, box, field(spark, sf_dir), boxes, 100.0, 8, 8, 300.0, strict=True)
+        return at.withColumn("frame", F.round("frame", 6))
+
+    return g.sphere_map(g.brain_box(box), 50, mapper)
+
+
 @query(f"with {sql('pts')} select point_id, round(2 * ((x - 50) * cos(0.1) - (y - 20) * sin(0.1) + 50 + 3) + 1, 6) x, round((x - 50) * sin(0.1) + (y - 20) * cos(0.1) + 20 - 2, 6) y, round(z + 5, 6) z from pts")
 def apply_transforms(spark, sf_dir):
     stages = [{"kind": "euler2d", "angle": 0.1, "shift": (3.0, -2.0), "centre": (50.0, 20.0)}, {"kind": "affine", "params": [2, 0, 0, 0, 1, 0, 0, 0, 1, 1, 0, 5]}]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lamella.operators import chunks
 from lamella.operators import geometry as g
 from lamella.operators import volume as o
 from lamella.plans.catalog import query
@@ -65,19 +66,26 @@ def _corner_sql(src: str, out: str) -> str:
 _P = [0.9, 0.1, 0.0, -0.1, 0.95, 0.0, 0.0, 0.0, 1.1, 0.3, 0.4, -0.6]
 
 
-@query(f"""with {_VOX}, gr as (select * from {_GRID}), ps as (select *, 0.9::double * x + 0.1::double * y + 0.3::double px, -0.1::double * x + 0.95::double * y + 0.4::double py, 1.1::double * z - 0.6::double pz from gr), {_corner_sql('ps', 'cr')},
-su as (select cr.slice_id, cr.channel_id, cr.z, cr.y, cr.x, sum(w * vox.v) v from cr join vox on vox.slice_id = cr.slice_id and vox.channel_id = cr.channel_id and vox.x = s_x and vox.y = s_y and vox.z = s_z group by all)
-select slice_id, channel_id, z, y, x, cast(floor(round(coalesce(v, 0), 6) + 0.5) as int) v from gr left join su using (slice_id, channel_id, z, y, x)""")
+_RESAMPLED = f"""with {_VOX}, gr as (select * from {_GRID}), ps as (select *, 0.9::double * x + 0.1::double * y + 0.3::double px, -0.1::double * x + 0.95::double * y + 0.4::double py, 1.1::double * z - 0.6::double pz from gr), {_corner_sql('ps', 'cr')},
+su as (select cr.slice_id, cr.channel_id, cr.z, cr.y, cr.x, sum(w * vox.v) v from cr join vox on vox.slice_id = cr.slice_id and vox.channel_id = cr.channel_id and vox.x = s_x and vox.y = s_y and vox.z = s_z group by all)"""
+
+
+@query(f"{_RESAMPLED} select slice_id, channel_id, z, y, x, cast(floor(round(coalesce(v, 0), 6) + 0.5) as int) v from gr left join su using (slice_id, channel_id, z, y, x)")
 def resample_affine(spark, sf_dir):
     return o.resample_affine(_grid(spark, sf_dir), vox(spark, sf_dir), K, _P, SIZES).select(*K, "z", "y", "x", "v")
 
 
+@query(f"{_RESAMPLED} select slice_id, channel_id, z, y, x, cast(floor(round(v, 6) + 0.5) as int) v from su where round(v, 6) >= 0.5")
+def resample_chunks(spark, sf_dir):
+    return store.to_voxels(chunks.resample_chunks(store.from_voxels(vox(spark, sf_dir), K, 8), K, _P, SIZES, SIZES, 8))
+
+
 def _tiles(spark, sf_dir):
-    """Voxels as two overlapping columns: channels 1 and 2 of a slice."""
-    return vox(spark, sf_dir).where("channel_id < '3'").select("slice_id", "z", "y", "x", F.col("channel_id").cast("int").alias("column_id"), F.col("y").alias("ly"), F.lit(16).alias("n"), "v")
+    """Voxels as three overlapping columns, the channels of a slice."""
+    return vox(spark, sf_dir).select("slice_id", "z", "y", "x", F.col("channel_id").cast("int").alias("column_id"), F.col("y").alias("ly"), F.lit(16).alias("n"), "v")
 
 
-_T = f"{_VOX}, ti as (select slice_id, z, y, x, cast(channel_id as int) c, v from vox where channel_id < '3')"
+_T = f"{_VOX}, ti as (select slice_id, z, y, x, cast(channel_id as int) c, v from vox)"
 for _mode, _e in {"middle": "case when y < 8 then min_by(v, c) else max_by(v, c) end", "right_side": "max_by(v, c)", "left_side": "min_by(v, c)", "average": "(min_by(v, c) + max_by(v, c)) * cast(0.5 as double)"}.items():
 
     @query(f"with {_T} select slice_id, z, y, x, cast({_e} as double) v from ti group by slice_id, z, y, x", f"blend_tiles_{_mode}")
@@ -85,7 +93,10 @@ for _mode, _e in {"middle": "case when y < 8 then min_by(v, c) else max_by(v, c)
         return o.blend_tiles(_tiles(spark, sf_dir), ["slice_id", "z", "y", "x"], mode)
 
 
-@query(f"with {_T}, f as (select slice_id, z, y, x, min_by(v, c) a, case when count(*) > 1 then max_by(v, c) end b from ti group by all), s as (select *, (a * a + cast(1 as double)) / (1 + a) e from f) select slice_id, z, y, x, round(case when b is null then e else (b * b + e * e) / (e + b) end - 1, 6) v from s")
+@query(f"""with {_T}, f as (select slice_id, z, y, x, list(cast(v as double) order by c) l from ti group by all),
+f1 as (select *, (l[1] * l[1] + 1) / (1 + l[1]) e1 from f),
+f2 as (select *, case when len(l) > 1 then (l[2] * l[2] + e1 * e1) / (e1 + l[2]) else e1 end e2 from f1)
+select slice_id, z, y, x, round(case when len(l) > 2 then (l[3] * l[3] + e2 * e2) / (e2 + l[3]) else e2 end - 1, 6) v from f2""")
 def energy_blend(spark, sf_dir):
     return o.energy_blend(_tiles(spark, sf_dir), ["slice_id", "z", "y", "x"]).withColumn("v", F.round("v", 6))
 
@@ -116,10 +127,12 @@ def shear_volume(spark, sf_dir):
     return o.shear_volume(vox(spark, sf_dir), 0.7)
 
 
-@query(f"""with {_VOX}, {sql('surf')}, {FIELD_SQL}, gr as (select row_number() over () point_id, * from {_GRID}), pt as (select point_id, slice_id, x * 50.0::double x, y * 50.0::double y, (slice_id - 1) * 300 + z * 30.0::double z from gr), {field_sql('pt', 'mv')},
+_WARPED = f"""with {_VOX}, {sql('surf')}, {FIELD_SQL}, gr as (select row_number() over () point_id, * from {_GRID}), pt as (select point_id, slice_id, x * 50.0::double x, y * 50.0::double y, (slice_id - 1) * 300 + z * 30.0::double z from gr), {field_sql('pt', 'mv')},
 ps as (select gr.*, qx / 50 px, qy / 50 py, (qz - (gr.slice_id - 1) * 300) / 50 pz from gr join mv using (point_id)), {_corner_sql('ps', 'cr')},
-su as (select cr.point_id, sum(w * vox.v) v from cr join vox on vox.slice_id = cr.slice_id and vox.channel_id = cr.channel_id and vox.x = s_x and vox.y = s_y and vox.z = s_z group by all)
-select slice_id, channel_id, z, y, x, round(coalesce(v, 0), 4) v from gr left join su using (point_id)""")
+su as (select cr.point_id, sum(w * vox.v) v from cr join vox on vox.slice_id = cr.slice_id and vox.channel_id = cr.channel_id and vox.x = s_x and vox.y = s_y and vox.z = s_z group by all)"""
+
+
+@query(f"{_WARPED} select slice_id, channel_id, z, y, x, round(coalesce(v, 0), 4) v from gr left join su using (point_id)")
 def warp_slice(spark, sf_dir):
     grid = _grid(spark, sf_dir).withColumn("point_id", F.concat_ws(":", *K, "z", "y", "x"))
     at = grid.select("point_id", "slice_id", (F.col("x") * 50.0).alias("x"), (F.col("y") * 50.0).alias("y"), ((F.col("slice_id") - 1) * 300 + F.col("z") * 30.0).alias("z"))
@@ -128,6 +141,12 @@ def warp_slice(spark, sf_dir):
     return out.select(*K, "z", "y", "x", F.round("v", 4).alias("v"))
 
 
+@query(f"{_WARPED} select slice_id, channel_id, z, y, x, cast(floor(round(v, 6) + 0.5) as int) v from gr join su using (point_id) where round(v, 6) >= 0.5")
+def warp_chunks(spark, sf_dir):
+    stored = store.from_voxels(vox(spark, sf_dir), K, 8)
+    return store.to_voxels(chunks.warp_chunks(stored, K, field(spark, sf_dir), SIZES, SIZES, 8, {"x": 50.0, "y": 50.0, "z": 30.0}, 50.0, 100.0, 8, 8, 300.0))
+
+
 @query(f"with {_VOX} select distinct slice_id, z k, cast((slice_id - 1) * 75 + z as int) plane, slice_id || '/Z' || lpad(cast((slice_id - 1) * 75 + z as varchar), 5, '0') || '_C488' as \"name\", cast(0.004 as double) spacing_mm from vox")
 def brain_planes(spark, sf_dir):
     return o.brain_planes(vox(spark, sf_dir).select("slice_id", F.col("z").alias("k")).distinct(), 300.0, 4.0, "488")

@@ -3,12 +3,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lamella.operators import fields, geometry, register, surface
+from lamella.functions import kernels
+from lamella.operators import chunks, fields, geometry, register, surface, volume
 from lamella.plans import catalog
 from lamella.sources import manifest, store
 
 DATA = "/root/testdata/sf0.001"
-FAST = ["max_projection", "locate_slice", "locate_column", "apply_field", "pending_products", "is_background", "quantize", "plan_blocks", "fill_blank", "fill_outside", "compose_fields", "surface_pairs", "slab_projection", "mosaic"]
+FAST = ["max_projection", "locate_slice", "locate_column", "apply_field", "pending_products", "is_background", "quantize", "plan_blocks", "fill_blank", "fill_outside", "compose_fields", "surface_pairs", "slab_projection", "mosaic", "resample_chunks", "warp_chunks", "sphere_map_field", "energy_blend", "blend_tiles_middle", "blend_tiles_average"]
 
 
 def _value(v):
@@ -125,3 +126,71 @@ def test_point_texts_are_bounded(spark):
     assert sorted(r.json.split("\n")[1] for r in texts.collect()) == ["10", "10", "5"]
     back = manifest.read_points(texts).collect()
     assert sorted((int(r.path) * 10 + r.point_id, r.x) for r in back) == [(k, float(k)) for k in range(25)]
+
+
+def _random_volume(spark, sizes):
+    rnd = np.random.default_rng(11)
+    full = [(1, int(z), int(y), int(x), int(rnd.integers(1, 70_000))) for z in range(sizes["z"]) for y in range(sizes["y"]) for x in range(sizes["x"]) if rnd.random() < 0.7]
+    voxels = spark.createDataFrame(full, "slice_id int, z int, y int, x int, v int").withColumn("v", F.least("v", F.lit(65535)))
+    grid = voxels.select("slice_id").distinct()
+    for a in "zyx":
+        grid = grid.withColumn(a, F.explode(F.sequence(F.lit(0), F.lit(sizes[a] - 1))))
+    return voxels, grid
+
+
+def _cells(df):
+    return sorted((r.z, r.y, r.x, r.v) for r in df.where("v > 0").collect())
+
+
+def test_chunk_resampling_matches_the_long_form(spark):
+    sizes = {"x": 10, "y": 9, "z": 7}  # no multiples of the chunk's edge
+    voxels, grid = _random_volume(spark, sizes)
+    stored = store.from_voxels(voxels, ["slice_id"], 4)
+    for params in ([0.8, -0.3, 0.0, 0.3, 0.8, 0.1, 0.0, -0.1, 1.2, 1.5, -2.0, 0.4], [1, 0, 0, 0, 1, 0, 0, 0, 1, 400, 0, 0], [-1, 0, 0, 0, -1, 0, 0, 0, -1, 9, 8, 6]):
+        got = store.to_voxels(chunks.resample_chunks(stored, ["slice_id"], params, sizes, sizes, 4))
+        assert _cells(got) == _cells(volume.resample_affine(grid, voxels, ["slice_id"], params, sizes))
+    assert chunks.resample_chunks(stored.limit(0), ["slice_id"], params, sizes, sizes, 4).count() == 0
+
+
+def test_chunk_warping_matches_the_long_form(spark):
+    sizes = {"x": 10, "y": 9, "z": 7}
+    voxels, grid = _random_volume(spark, sizes)
+    rnd = np.random.default_rng(12)
+    rows = [(1, p, y, x, *map(float, rnd.uniform(-60, 60, 3))) for p in (0, 1) for y in range(3) for x in range(4) if (y, x) != (1, 1)]
+    field = spark.createDataFrame(rows, "slice_id int, plane int, gy int, gx int, dx double, dy double, dz double")
+    points = grid.select(F.concat_ws(":", "z", "y", "x").alias("point_id"), "slice_id", "z", "y", "x")
+    spacing = {"x": 20.0, "y": 20.0, "z": 30.0}
+    at = points.select("point_id", "slice_id", *[(F.col(a) * spacing[a]).alias(a) for a in "xyz"])
+    stored = store.from_voxels(voxels, ["slice_id"], 4)
+    for used in (field, field.limit(0)):
+        moved = geometry.apply_field(at, used, 50.0, 4, 3, 150.0).select("point_id", "qx", "qy", "qz")
+        long = volume.warp_slice(points, voxels, moved, ["slice_id"], sizes, 20.0).withColumn("v", F.floor(F.round("v", 6) + 0.5).cast("int"))
+        got = store.to_voxels(chunks.warp_chunks(stored, ["slice_id"], used, sizes, sizes, 4, spacing, 20.0, 50.0, 4, 3, 150.0))
+        want = _cells(long)
+        assert _cells(got) == want and want
+
+
+def test_column_to_brain_inverts_the_way_there(spark):
+    from lamella.plans import q_fields, q_geometry, views
+
+    back = catalog.queries()["column_to_brain"](spark, DATA).cache()
+    again = geometry.apply_field(back.select("point_id", "slice_id", *[F.col(f"b{a}").alias(a) for a in "xyz"]), views.field(spark, DATA), 100.0, 8, 8, 300.0)
+    boxes = q_geometry._boxes(spark, DATA)
+    placed = geometry.locate_column(geometry.locate_slice(views.view(spark, DATA, "pts"), views.slices(spark)), boxes).where("column_id is not null")
+    there = geometry.column_to_slice(placed.select("point_id", "slice_id", "column_id", "px", "py", "frame"), boxes).select("point_id", "x", "y", "z")
+    rows = again.select("point_id", "qx", "qy", "qz").join(there, "point_id").join(back.where("converged").select("point_id"), "point_id").collect()
+    assert len(rows) >= 100 and q_fields.column_to_brain
+    for r in rows:
+        assert max(abs(r.qx - r.x), abs(r.qy - r.y), abs(r.qz - r.z)) < 1.1e-3
+
+
+def test_invert_field_job_undoes_the_field(spark):
+    y, x = np.mgrid[:12, :12]
+    dx, dy = 0.8 * np.sin(y / 4) * np.sin(np.pi * x / 11), 0.6 * np.sin(x / 5) * np.sin(np.pi * y / 11)
+    rows = [(s, p, i, j, float(dx[i, j] * (s + p)), float(dy[i, j] * (s + p))) for s in (1, 2) for p in (0, 1) for i in range(12) for j in range(12)]
+    got = fields.invert_field(spark.createDataFrame(rows, "slice_id int, plane int, gy int, gx int, dx double, dy double")).toPandas()
+    assert len(got) == len(rows) and (got["change"] < 1e-6).all()
+    for (s, p), part in got.groupby(["slice_id", "plane"]):
+        at_y, at_x = part["gy"] + part["dy"], part["gx"] + part["dx"]
+        there = [kernels.bilinear(d * (s + p), at_y.to_numpy(), at_x.to_numpy()) for d in (dx, dy)]
+        assert np.abs(there[0] + part["dx"]).max() < 1e-5 and np.abs(there[1] + part["dy"]).max() < 1e-5
