@@ -124,7 +124,7 @@ def _bitmap(keys: DataFrame, column: str) -> Picks:
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = keys.select(F.bitmap_bucket_number(slot).alias("part"), F.bitmap_bit_position(slot).alias("bit")).repartition(tasks, "part")
     bits = np.zeros(slots // 8, np.uint8)
-    for r in dealt.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).toLocalIterator():  # MOST_SLOTS bits in all
+    for r in dealt.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():  # MOST_SLOTS bits in all
         at = (r.part - 1) * len(r.bits)
         bits[at : at + len(r.bits)] = np.frombuffer(r.bits, np.uint8)[: len(bits) - at]
     sent = spark.sparkContext.broadcast(bits)
@@ -187,19 +187,23 @@ def similar_pairs(hashes: np.ndarray, counts: np.ndarray, roots: np.ndarray, sid
     cells = np.unique(column * n + np.repeat(np.arange(n), counts)[order])  # a shingle counts once in a piece
     columns, places = cells // n, cells % n
     sizes = np.bincount(places, minlength=n)
-    met = np.bincount(columns) > 1
+    # No pair lies inside the largest component, so only the other pieces, and their shingles, are counted.
+    _, component, members = np.unique(roots, return_inverse=True, return_counts=True)
+    others = component != members.argmax()
+    rows = np.flatnonzero(others)
+    met = (np.bincount(columns) > 1) & (np.bincount(columns, others[places]) > 0)
     held = met[columns]
     columns, places = (np.cumsum(met) - 1)[columns[held]], places[held]
-    common = np.zeros((n, n), np.float32)
+    common = np.zeros((len(rows), n), np.float32)
     for first in range(0, int(met.sum()), _COLUMNS):
         lo, hi = np.searchsorted(columns, (first, first + _COLUMNS))
         block = np.zeros((n, min(_COLUMNS, int(met.sum()) - first)), np.float32)
         block[places[lo:hi], columns[lo:hi] - first] = 1
-        common += block @ block.T
-    hit = common >= threshold * (sizes[:, None] + sizes[None, :] - common.astype(np.float64))
-    hit &= roots[:, None] != roots[None, :]
+        common += block[rows] @ block.T
+    hit = common >= threshold * (sizes[rows, None] + sizes[None, :] - common.astype(np.float64))
+    hit &= roots[rows, None] != roots[None, :]
     if sides is not None:
-        hit &= sides[:, None] != sides[None, :]
+        hit &= sides[rows, None] != sides[None, :]
     top: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -208,7 +212,8 @@ def similar_pairs(hashes: np.ndarray, counts: np.ndarray, roots: np.ndarray, sid
         return x
 
     out = []
-    for i, j in np.argwhere(np.triu(hit, 1)).tolist():
+    at, to = np.nonzero(hit)
+    for i, j in zip(rows[at].tolist(), to.tolist(), strict=True):
         x, y = find(int(roots[i])), find(int(roots[j]))
         if x != y:
             top[max(x, y)] = min(x, y)
