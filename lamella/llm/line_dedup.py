@@ -32,6 +32,8 @@ SHINGLE_CHARS, THRESHOLD, BANDS, ROWS = 8, 0.8, 8, 3
 #: Characters of lines that a task works on at once.
 BLOCK_CHARS = 1 << 20
 
+#: White space other than blanks and line ends; few texts hold any.
+_ODD_SPACES = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"]
 #: Made once, as nearly all lines are short enough for them.
 _RUNS = [slice(i, i + SHINGLE_CHARS) for i in range(2000)]
 
@@ -55,8 +57,10 @@ def characters(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def lines_of(text: str | None) -> Iterator[tuple[int, str]]:
     """(place, normal form) of the comparable lines of a text."""
-    for pos, line in enumerate((text or "").lower().split("\n")):
-        if normal := " ".join(line.split()):
+    text = (text or "").lower()
+    plain = "  " not in text and not any(c in text for c in _ODD_SPACES)
+    for pos, line in enumerate(text.split("\n")):
+        if normal := line.strip(" ") if plain else " ".join(line.split()):
             yield pos, normal
 
 
