@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 from pyspark.sql import types as T
 
 from lamella.llm import banding
@@ -107,3 +108,38 @@ def test_small_classes_in_a_bucket_of_half_similar_lines_are_found(spark, monkey
     want = dict(enumerate(brute(rows)))
     assert 60 < sum(t == "" for t in want.values()) < 200
     assert sum(got[k] != want[k] for k in want) <= 1  # banding may miss a pair near the threshold
+
+
+def test_similar_pairs_join_what_all_pairs_join():
+    rnd = np.random.default_rng(1)
+    for trial in range(200):
+        base, n = rnd.integers(0, 1000, 40), int(rnd.integers(2, 30))
+        pieces = []
+        for _ in range(n):
+            changed, k = base.copy(), rnd.integers(0, 8)
+            changed[rnd.integers(0, 40, k)] = rnd.integers(0, 1000, k)
+            pieces.append(changed[: rnd.integers(30, 41)])
+        roots = rnd.integers(0, rnd.integers(1, 6), n)
+        sides = rnd.integers(0, 2, n) if trial % 2 else None
+        sets = [set(p.tolist()) for p in pieces]
+        similar = {(i, j) for i in range(n) for j in range(n) if roots[i] != roots[j] and (sides is None or sides[i] != sides[j]) and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+        got = banding.similar_pairs(np.concatenate(pieces).astype(np.uint64), np.array([len(p) for p in pieces]), roots, sides, 0.8)
+        assert set(got) <= similar
+
+        def joined(pairs):
+            label = {int(r): int(r) for r in roots}
+            for i, j in pairs:
+                a, b = label[int(roots[i])], label[int(roots[j])]
+                label = {r: min(a, b) if x in (a, b) else x for r, x in label.items()}
+            return label
+
+        assert joined(got) == joined(similar)
+
+
+def test_lines_are_normal_with_any_white_space():
+    rnd = np.random.default_rng(2)
+    for trial in range(2000):
+        signs = list("ab \n\t　\r\x85 ") if trial % 2 else list("abc \n")
+        text = "".join(rnd.choice(signs, int(rnd.integers(0, 14))))
+        want = [(i, " ".join(line.split())) for i, line in enumerate(text.split("\n")) if line.split()]
+        assert list(d.lines_of(text)) == want
