@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lamella.llm import bpe, centroids, decontaminate, line_dedup, quality_classifier, quality_rules, secrets, simhash, substring_dedup, topk, toxicity, warc
+from lamella.llm import bpe, centroids, conversations, decontaminate, line_dedup, quality_classifier, quality_rules, secrets, simhash, substring_dedup, topk, toxicity, warc
 
-_MODULES = (simhash, warc, substring_dedup, line_dedup, decontaminate, toxicity, bpe, quality_classifier, secrets, quality_rules, topk, centroids)
+_MODULES = (simhash, warc, substring_dedup, line_dedup, decontaminate, toxicity, bpe, quality_classifier, secrets, quality_rules, conversations, topk, centroids)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
