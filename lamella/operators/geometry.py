@@ -298,20 +298,3 @@ def euler_2d(x: Column, y: Column, angle: float, tx: float, ty: float, cx: float
     c, s = math.cos(angle), math.sin(angle)
     return [(x - cx) * c - (y - cy) * s + cx + tx, (x - cx) * s + (y - cy) * c + cy + ty]
 
-
-def apply_transforms(points: DataFrame, stages: list[dict]) -> DataFrame:
-    """Points (x, y, z) through a chain of stages, the first stage first.
-
-    A stage is ``{"kind": "euler2d", angle, shift, centre}`` or ``{"kind": "affine", params}``.
-    """
-    df = points
-    for stage in stages:
-        x, y, z = F.col("x"), F.col("y"), F.col("z")
-        if stage["kind"] == "euler2d":
-            new = [*euler_2d(x, y, stage["angle"], *stage["shift"], *stage["centre"]), z]
-        elif stage["kind"] == "affine":
-            new = affine(F.array(*[F.lit(float(v)) for v in stage["params"]]), x, y, z)
-        else:
-            raise ValueError(f"unknown kind of transform: {stage['kind']}")
-        df = df.select(*[c for c in df.columns if c not in AXES], *[n.alias(a) for n, a in zip(new, AXES, strict=True)])
-    return df

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lamella.operators import geometry as g
+from lamella.operators import transforms as tf
 from lamella.plans.catalog import query
 from lamella.plans.views import FIELD_SQL, SLICES_SQL, field, slices, sql, view
 
@@ -213,4 +214,49 @@ def sphere_map_field(spark, sf_dir):
 @query(f"with {sql('pts')} select point_id, round(2 * ((x - 50) * cos(0.1) - (y - 20) * sin(0.1) + 50 + 3) + 1, 6) x, round((x - 50) * sin(0.1) + (y - 20) * cos(0.1) + 20 - 2, 6) y, round(z + 5, 6) z from pts")
 def apply_transforms(spark, sf_dir):
     stages = [{"kind": "euler2d", "angle": 0.1, "shift": (3.0, -2.0), "centre": (50.0, 20.0)}, {"kind": "affine", "params": [2, 0, 0, 0, 1, 0, 0, 0, 1, 1, 0, 5]}]
-    return _r(g.apply_transforms(view(spark, sf_dir, "pts"), stages))
+    return _r(tf.apply_transforms(view(spark, sf_dir, "pts"), stages))
+
+
+#: A grid of 8 x 8 x 4 nodes for each slice: its four patches are the layers in z.
+_NODES_SQL = f"""{sql('surf')}, nodes as (select slice_id, comp iz, cast(k // 8 as int) iy, cast(k % 8 as int) ix, e * 40 dx, e * e * 60 dy, (cast(0.3 as double) - e) * 25 dz
+  from (select slice_id, comp, k, cast(embedding[k + 1] as double) e from surf, (select cast(unnest(range(0, 64)) as int) k)))"""
+_GRID = {"size": [8, 8, 4], "origin": [-200.0, -200.0, -2000.0], "spacing": [160.0, 200.0, 2000.0]}
+_ROTATION = {"kind": "euler3d", "angles": (0.1, -0.05, 0.2), "shift": (3.0, -2.0, 5.0), "centre": (100.0, 200.0, 300.0)}
+
+
+def spline_nodes(spark, sf_dir):
+    e = F.col("e").cast("double")
+    cells = view(spark, sf_dir, "surf").select("slice_id", F.col("comp").alias("iz"), F.posexplode("embedding").alias("k", "e")).where("k < 64")
+    return cells.select("slice_id", "iz", F.expr("cast(k div 8 as int)").alias("iy"), (F.col("k") % 8).alias("ix"), (e * 40).alias("dx"), (e * e * 60).alias("dy"), ((0.3 - e) * 25).alias("dz"))
+
+
+def _weight(axis: str) -> str:
+    t = f"t{axis}"
+    return f"case k{axis} when 0 then (1 - {t}) ** 3 when 1 then 3 * {t} ** 3 - 6 * {t} ** 2 + 4 when 2 then -3 * {t} ** 3 + 3 * {t} ** 2 + 3 * {t} + 1 else {t} ** 3 end / 6"
+
+
+def _cells_sql() -> str:
+    at = ", ".join(f"({a} - ({o})) / {s} u{a}" for a, o, s in zip("xyz", _GRID["origin"], _GRID["spacing"], strict=True))
+    inside = " and ".join(f"u{a} between 1 and {n - 2}" for a, n in zip("xyz", _GRID["size"], strict=True))
+    first = ", ".join(f"least(floor(u{a}), {n - 3}) - 1 c{a}, u{a} - least(floor(u{a}), {n - 3}) t{a}" for a, n in zip("xyz", _GRID["size"], strict=True))
+    return f"ua as (select *, {at} from af), uc as (select *, {first} from ua where {inside})"
+
+
+@query(f"""with {sql('pts')}, {_NODES_SQL}, m as (select cos(0.1) cx, sin(0.1) sx, cos(-0.05) cy, sin(-0.05) sy, cos(0.2) cz, sin(0.2) sz, (select max(slice_id) from surf) n),
+ro as (select point_id, cast(point_id % n + 1 as int) slice_id,
+  (cz * cy - sz * sx * sy) * (x - 100) - sz * cx * (y - 200) + (cz * sy + sz * sx * cy) * (z - 300) + 103 x,
+  (sz * cy + cz * sx * sy) * (x - 100) + cz * cx * (y - 200) + (sz * sy - cz * sx * cy) * (z - 300) + 198 y,
+  -cx * sy * (x - 100) + sx * (y - 200) + cx * cy * (z - 300) + 305 z from pts, m),
+af as (select point_id, slice_id, x * cast(1.1 as double) + y * cast(0.1 as double) + 1 x, y * cast(0.9 as double) - 4 y, z + x * cast(0.05 as double) + 5 z from ro),
+{_cells_sql()},
+mv as (select point_id, sum(w * dx) mx, sum(w * dy) my, sum(w * dz) mz
+  from (select *, ({_weight('x')}) * ({_weight('y')}) * ({_weight('z')}) w from uc, (select unnest(range(0, 4)) kx), (select unnest(range(0, 4)) ky), (select unnest(range(0, 4)) kz)) q
+  join nodes on nodes.slice_id = q.slice_id and ix = cx + kx and iy = cy + ky and iz = cz + kz group by point_id having count(*) = 64)
+select point_id, slice_id, round(x + coalesce(mx, 0), 6) x, round(y + coalesce(my, 0), 6) y, round(z + coalesce(mz, 0), 6) z from af left join mv using (point_id)""")
+def apply_transforms_spline(spark, sf_dir):
+    """Points through a rotation in space, an affine map and the B-spline grid of their slice."""
+    nodes = spline_nodes(spark, sf_dir)
+    n = nodes.agg(F.max("slice_id").alias("n"))
+    pts = view(spark, sf_dir, "pts").join(F.broadcast(n), F.lit(True)).withColumn("slice_id", (F.col("point_id") % F.col("n") + 1).cast("int")).drop("n")
+    stages = [_ROTATION, {"kind": "affine", "params": [1.1, 0.1, 0, 0, 0.9, 0, 0.05, 0, 1, 1, -4, 5]}, {"kind": "bspline", "nodes": nodes, "keys": ["slice_id"], **_GRID}]
+    return _r(tf.apply_transforms(pts, stages))
