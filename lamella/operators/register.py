@@ -65,9 +65,14 @@ def translation_ncc(fixed: DataFrame, moving: DataFrame, keys: list[str], ranges
     at = a.select(*keys, "sx", "sy", "sz", (F.col("z") + F.col("sz")).alias("z"), (F.col("y") + F.col("sy")).alias("y"), (F.col("x") + F.col("sx")).alias("x"), "a")
     both = at.join(moving.select(*keys, "z", "y", "x", F.col("v").cast("double").alias("b")), [*keys, "z", "y", "x"])
     sums = both.groupBy(*keys, "sx", "sy", "sz").agg(F.count(F.lit(1)).alias("n"), *[F.sum(e).alias(n) for n, e in {"sa": F.col("a"), "sb": F.col("b"), "saa": F.col("a") * F.col("a"), "sbb": F.col("b") * F.col("b"), "sab": F.col("a") * F.col("b")}.items()])
+    return best_by_ncc(sums, keys, F.lit(n_fixed))
+
+
+def best_by_ncc(sums: DataFrame, keys: list[str], n_fixed: F.Column) -> DataFrame:
+    """(keys, sx, sy, sz, ncc, n) of the best shift by six sums; at least a tenth of ``n_fixed`` voxels have to overlap."""
     spread = F.sqrt((F.col("saa") - F.col("sa") * F.col("sa") / F.col("n")) * (F.col("sbb") - F.col("sb") * F.col("sb") / F.col("n")))
     ncc = F.try_divide(F.col("sab") - F.col("sa") * F.col("sb") / F.col("n"), spread)
-    scored = sums.withColumn("ncc", F.round(ncc, 9)).where((F.col("n") >= 0.1 * n_fixed) & F.col("ncc").isNotNull())
+    scored = sums.withColumn("ncc", F.round(ncc, 9)).where((F.col("n") >= n_fixed * 0.1) & F.col("ncc").isNotNull())
     best = scored.groupBy(*keys).agg(F.max(F.struct("ncc", (-F.col("sx")).alias("x"), (-F.col("sy")).alias("y"), (-F.col("sz")).alias("z"), "n")).alias("m"))
     return best.select(*keys, *[(-F.col(f"m.{a}")).alias(f"s{a}") for a in "xyz"], "m.ncc", "m.n")
 
@@ -85,15 +90,19 @@ def stitch_columns(columns: DataFrame, estimates: DataFrame) -> DataFrame:
     return df.select(*columns.columns, *[F.sum(F.coalesce(steps[a], F.lit(0.0))).over(by).alias(f"d{a}") for a in "xyz"])
 
 
-def mutual_information(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, n, mi) of binned value pairs (keys, a, b): joint histogram, then marginals by windows on it."""
-    joint = pairs.groupBy(*keys, "a", "b").agg(F.count(F.lit(1)).alias("c"))
+def joint_histogram(pairs: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, a, b, c): how often each pair of bins meets."""
+    return pairs.groupBy(*keys, "a", "b").agg(F.count(F.lit(1)).alias("c"))
+
+
+def mutual_information(joint: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, n, mi) of joint histograms (keys, a, b, c), with marginals by windows on them."""
     w = lambda *k: F.sum("c").over(Window.partitionBy(*keys, *k))
     df = joint.withColumn("n", w()).withColumn("ca", w("a")).withColumn("cb", w("b"))
     return df.groupBy(*keys, "n").agg(F.sum(F.col("c") / F.col("n") * F.ln(F.col("c") * F.col("n") / (F.col("ca") * F.col("cb")))).alias("mi"))
 
 
-def _best(scores: DataFrame, group: list[str], params: list[str]) -> DataFrame:
+def best_by_information(scores: DataFrame, group: list[str], params: list[str]) -> DataFrame:
     order = F.struct(F.round("mi", 9).alias("mi"), *[(-F.col(p)).alias(p) for p in params])
     return scores.groupBy(*group).agg(F.max(order).alias("m")).select(*group, *[(-F.col(f"m.{p}")).alias(p) for p in params], "m.mi")
 
@@ -103,7 +112,7 @@ def align_channel(reference: DataFrame, moving: DataFrame, keys: list[str], rang
     a = reference.select(*keys, "z", "y", "x", F.floor(F.col("v") / bin_width).alias("a")).withColumn("s", F.explode(_shifts(*ranges))).select("*", "s.*").drop("s")
     at = a.select(*keys, "sx", "sy", "sz", (F.col("z") + F.col("sz")).alias("z"), (F.col("y") + F.col("sy")).alias("y"), (F.col("x") + F.col("sx")).alias("x"), "a")
     both = at.join(moving.select(*keys, "z", "y", "x", F.floor(F.col("v") / bin_width).alias("b")), [*keys, "z", "y", "x"])
-    return _best(mutual_information(both, [*keys, "sx", "sy", "sz"]), keys, ["sx", "sy", "sz"])
+    return best_by_information(mutual_information(joint_histogram(both, [*keys, "sx", "sy", "sz"]), [*keys, "sx", "sy", "sz"]), keys, ["sx", "sy", "sz"])
 
 
 def surface_pairs(surfaces: DataFrame) -> DataFrame:
@@ -129,8 +138,8 @@ def rigid_align(fixed: DataFrame, moving: DataFrame, keys: list[str], angles: li
     ny = F.floor(F.round(px * F.col("t.s") + py * F.col("t.c") + centre[1] + F.col("sy"), 6) + 0.5).cast("int")
     at = a.select(*keys, "channel", F.col("t.k").alias("k"), "sx", "sy", nx.alias("x"), ny.alias("y"), "a")
     both = at.join(moving.select(*keys, "channel", "y", "x", F.floor(F.col("v") / bin_width).alias("b")), [*keys, "channel", "y", "x"])
-    scores = mutual_information(both, [*keys, "channel", "k", "sx", "sy"]).groupBy(*keys, "k", "sx", "sy").agg(F.sum("mi").alias("mi"))
-    return _best(scores, keys, ["k", "sx", "sy"])
+    scores = mutual_information(joint_histogram(both, [*keys, "channel", "k", "sx", "sy"]), [*keys, "channel", "k", "sx", "sy"]).groupBy(*keys, "k", "sx", "sy").agg(F.sum("mi").alias("mi"))
+    return best_by_information(scores, keys, ["k", "sx", "sy"])
 
 
 def nonrigid_align(fixed: DataFrame, moving: DataFrame, keys: list[str], cell: int, reach: int) -> DataFrame:
@@ -158,5 +167,5 @@ def anchor_points(scores: DataFrame, points: DataFrame, keys: list[str], weight:
     both = scores.join(points, keys)
     far = F.sqrt(F.pow(F.col("px") + F.col("sx") - F.col("qx"), 2) + F.pow(F.col("py") + F.col("sy") - F.col("qy"), 2))
     pulled = both.groupBy(*keys, "sx", "sy", "mi").agg(F.sum(far).alias("far"))
-    return _best(pulled.withColumn("mi", F.col("mi") - weight * F.col("far")), keys, ["sx", "sy"])
+    return best_by_information(pulled.withColumn("mi", F.col("mi") - weight * F.col("far")), keys, ["sx", "sy"])
 

@@ -11,7 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
-_MODULES = ("q_manifest", "q_select", "q_geometry", "q_volume", "q_surface", "q_fields")
+_MODULES = ("q_manifest", "q_select", "q_geometry", "q_volume", "q_surface", "q_fields", "q_register")
 
 
 def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
