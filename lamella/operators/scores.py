@@ -128,8 +128,8 @@ def align_channel_chunks(fixed: DataFrame, moving: DataFrame, keys: list[str], r
     """(keys, sx, sy, sz, mi): shift with the largest mutual information of binned values."""
 
     def score(a: np.ndarray, b: np.ndarray) -> list[list[int]]:
-        pairs, counts = np.unique(np.stack((a // bin_width, b // bin_width)).astype(int), axis=1, return_counts=True)
-        return [[int(x), int(y), int(c)] for (x, y), c in zip(pairs.T, counts, strict=True)]
+        pairs, counts = np.unique(((a // bin_width).astype(int) << 16) + (b // bin_width).astype(int), return_counts=True)
+        return [[p >> 16, p & 0xFFFF, c] for p, c in zip(pairs.tolist(), counts.tolist(), strict=True)]
 
     bins = _scored(fixed, moving, keys, ranges, base, None, score, "a int, b int, c long")
     joint = bins.groupBy(*keys, "sx", "sy", "sz", "a", "b").agg(F.sum("c").alias("c"))
