@@ -35,105 +35,6 @@ def trilinear(block: np.ndarray, z: np.ndarray, y: np.ndarray, x: np.ndarray) ->
     return out
 
 
-def _ring(sheet: np.ndarray) -> np.ndarray:
-    """Bend of a sheet: weighted neighbours less the centre, reflected at the border."""
-    p = np.pad(sheet, 1, mode="reflect")
-    k = np.outer([0.25, 0.5, 0.25], [0.25, 0.5, 0.25])
-    k[1, 1] = -1.0
-    h, w = sheet.shape
-    return sum(k[i, j] * p[i : i + h, j : j + w] for i in range(3) for j in range(3))
-
-
-EDGE_FORCE = 20.0
-
-
-def edges(block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Upper and lower edge strength along z."""
-    kernel, difference = np.array([0.5, 1, 2, 4, 8, 0, -8, -4, -2, -1, 0.5]), np.array([1.0, 0, -1])
-
-    def along(v: np.ndarray, k: np.ndarray) -> np.ndarray:
-        half, n = len(k) // 2, v.shape[0]
-        p = np.pad(v, ((half, half), (0, 0), (0, 0)), mode="edge")
-        return sum(c * p[i : i + n] for i, c in enumerate(k[::-1]))
-
-    e = along(block, kernel)
-    return along(np.maximum(e, 0), difference), -along(np.minimum(e, 0), difference)
-
-
-def solve_sheets(block: np.ndarray, thickness: float, pixel: float, steps: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two sheets pulled by edges, bending and their wanted distance, with momentum 0.9.
-
-    Edge forces are scaled to ``EDGE_FORCE`` at most: unscaled ones let a sheet leap over
-    the volume in one step.
-    """
-    n = block.shape[0]
-    upper, lower = edges(block)
-    scale = EDGE_FORCE / max(np.abs(upper).max(), np.abs(lower).max(), 1e-9)
-    upper, lower = upper * scale, lower * scale
-    u, low = np.zeros(block.shape[1:]), np.full(block.shape[1:], float(n - 1))
-    du, dl = np.zeros_like(u), np.zeros_like(low)
-    yy, xx = np.mgrid[: block.shape[1], : block.shape[2]]
-    for k in range(steps):
-        gap = np.clip(low - u - thickness, -1000, 10)
-        for sheet, step, edge, sign in ((u, du, upper, 1.0), (low, dl, lower, -1.0)):
-            z = np.clip(np.floor(sheet + 0.5).astype(int), 0, n - 1)
-            step *= 0.9
-            step += edge[z, yy, xx] + 1200 * pixel * _ring(sheet) + 0.004 * thickness * sign * gap
-        rate = 0.001 * (1 - 1e-4) ** k
-        u, low = np.clip(u + rate * du, 0, n - 1), np.clip(low + rate * dl, 0, n - 1)
-        if k > 100 and rate * max(np.abs(du).max(), np.abs(dl).max()) < 1e-5:
-            break
-    return u, low
-
-
-def springs(d: np.ndarray) -> np.ndarray:
-    """Force on each grid point (2, h, w of y, x displacement) from springs of rest length 1 to its four neighbours."""
-    h, w = d.shape[1:]
-    at = d + np.mgrid[:h, :w]
-    force = np.zeros_like(d)
-    for axis in (1, 2):
-        gap = np.diff(at, axis=axis)
-        length = np.sqrt((gap**2).sum(axis=0))
-        pull = gap * (1 - 1 / np.maximum(length, 1e-9))
-        lo, hi = [slice(None)] * 3, [slice(None)] * 3
-        lo[axis], hi[axis] = slice(None, -1), slice(1, None)
-        force[tuple(lo)] += pull
-        force[tuple(hi)] -= pull
-    return force
-
-
-def limit(step: np.ndarray, most: float = 2.0) -> np.ndarray:
-    """Steps of a norm over ``most`` are scaled to it."""
-    norm = np.sqrt((step**2).sum(axis=0))
-    return step * np.where(norm > most, most / np.maximum(norm, 1e-9), 1.0)
-
-
-def moved(field: np.ndarray, correction: np.ndarray) -> np.ndarray:
-    """A field (2, h, w) seen at p + correction, clamped at the border, plus four times the correction."""
-    yy, xx = np.mgrid[: field.shape[1], : field.shape[2]].astype(float)
-    return np.stack([bilinear(f, yy + correction[0], xx + correction[1]) for f in field]) + 4 * correction
-
-
-def relax(u: np.ndarray, low: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
-    """Joint smoothing of the fields (slices, 2, h, w) of all slices of a brain.
-
-    The correction of a slice's lower field is that of the next slice's upper field. All
-    forces of a step are computed before any update.
-    """
-    n = len(u)
-    corrections = np.zeros((n + 1, *u.shape[1:]))  # surface k lies above slice k
-    for _ in range(steps):
-        now_u = np.stack([moved(u[i], corrections[i]) for i in range(n)])
-        now_l = np.stack([moved(low[i], corrections[i + 1]) for i in range(n)])
-        force = np.zeros_like(corrections)
-        for i in range(n):
-            apart = now_u[i] - now_l[i]
-            force[i] += 0.001 * springs(now_u[i]) - 0.002 * apart
-            force[i + 1] += 0.001 * springs(now_l[i]) + 0.002 * apart
-        corrections += np.stack([limit(f) for f in force])
-    return np.stack([moved(u[i], corrections[i]) for i in range(n)]), np.stack([moved(low[i], corrections[i + 1]) for i in range(n)])
-
-
 def invert_displacement(d: np.ndarray, steps: int = 100, accuracy: float = 1e-6) -> tuple[np.ndarray, float]:
     """Inverse of a displacement (2, h, w of y, x) by fixed-point steps, and the last change."""
     yy, xx = np.mgrid[: d.shape[1], : d.shape[2]].astype(float)
@@ -145,8 +46,3 @@ def invert_displacement(d: np.ndarray, steps: int = 100, accuracy: float = 1e-6)
         if change < accuracy:
             break
     return inverse, change
-
-
-def bspline_weights(t: np.ndarray) -> np.ndarray:
-    """The four cubic B-spline weights of fractional positions."""
-    return np.stack([(1 - t) ** 3, 3 * t**3 - 6 * t**2 + 4, -3 * t**3 + 3 * t**2 + 3 * t + 1, t**3]) / 6

@@ -1,4 +1,4 @@
-"""Displacement fields: rasterising, composing, lifting, relaxing, inverting, and the brain built from them.
+"""Displacement fields: rasterising, composing, lifting, inverting, and the brain built from them.
 
 Fields are tables (keys, gy, gx, dx, dy[, dz]) on an integer grid.
 """
@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamella.functions.kernels import bilinear, invert_displacement, relax
+from lamella.functions.kernels import bilinear, invert_displacement
 from lamella.operators.geometry import _corners, euler_2d
 
 
@@ -59,28 +59,6 @@ def build_brain(fields: DataFrame, slices: DataFrame, pixel: float, thickness: f
 _PAIR = "slice_id int, plane int, gy int, gx int, dx double, dy double"
 
 
-def relax_fields(fields: DataFrame, brain_col: str = "brain", steps: int | None = None) -> DataFrame:
-    """Jointly smoothed fields of each brain; 100 n + 200 steps by default.
-
-    All fields of a brain are one group, on the grid they are given on; the work is parallel
-    over brains. The reference reduces the grid by four before, which is not done here.
-    """
-
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        ids = np.sort(rows["slice_id"].unique())
-        h, w = rows["gy"].max() + 1, rows["gx"].max() + 1
-        d = np.zeros((2, len(ids), 2, h, w))
-        place = np.searchsorted(ids, rows["slice_id"])
-        d[rows["plane"], place, 0, rows["gy"], rows["gx"]] = rows["dy"]
-        d[rows["plane"], place, 1, rows["gy"], rows["gx"]] = rows["dx"]
-        d[0], d[1] = relax(d[0], d[1], 100 * len(ids) + 200 if steps is None else steps)
-        p, s, y, x = (a.ravel() for a in np.meshgrid((0, 1), range(len(ids)), range(h), range(w), indexing="ij"))
-        return pd.DataFrame({brain_col: key[0], "slice_id": ids[s], "plane": p, "gy": y, "gx": x, "dx": d[p, s, 1, y, x], "dy": d[p, s, 0, y, x]})
-
-    kind = fields.schema[brain_col].dataType.simpleString()
-    return fields.groupBy(brain_col).applyInPandas(run, f"{brain_col} {kind}, {_PAIR}")
-
-
 def invert_field(fields: DataFrame) -> DataFrame:
     """(slice_id, plane, gy, gx, dx, dy, change): inverse displacement of each field by fixed-point steps."""
 

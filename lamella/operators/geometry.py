@@ -8,6 +8,7 @@ through ``small``, which counts them; beyond its bound the joins are bucketed by
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ TAN = math.tan(math.pi / 4)
 AXES = "xyz"
 #: Rows up to which a geometry table is broadcast.
 SMALL_ROWS = 100_000
+#: Slices in a cut of a larger table of them.
+CUT_ROWS = 2_000
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -201,15 +204,35 @@ def _one_row(slices: DataFrame, *columns: str) -> DataFrame:
     return F.broadcast(row.select(F.when(F.col("_n") > SMALL_ROWS, too_many).otherwise(F.col("_s")).alias("_s")))
 
 
+def _begun(starts: Column, z: Column, start: Callable[[Column], Column]) -> Column:
+    """How many entries of a sorted array begin at or below z, by halving steps: about seventeen looks for each point."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(SMALL_ROWS.bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(start(F.try_element_at(starts, at + step)) <= z, at + step).otherwise(at))
+
+
 def locate_slice(points: DataFrame, slices: DataFrame) -> DataFrame:
     """As-of join: the slice last begun at or below z; the first slice below all; null without slices.
 
-    The slice starts come as one sorted array in one broadcast row.
+    The starts of up to ``SMALL_ROWS`` slices come as one sorted array in one broadcast row, in
+    which each point searches by halves. More of them are cut at quantiles of their starts, so
+    that a point finds its cut the same way and meets one row with the slices of that cut by an
+    equi-join. A slice without a start is in no place.
     """
-    df = points.join(_one_row(slices, "lo_z", "slice_id"), F.lit(True))
-    begun = F.filter("_s", lambda s: s["lo_z"] <= F.col("z"))
-    at = F.greatest(F.size(begun), F.lit(1))
-    return df.withColumn("slice_id", F.try_element_at("_s", at)["slice_id"]).drop("_s")
+    known = slices.where("lo_z is not null").select("lo_z", "slice_id")
+    n = known.count()
+    by_start = lambda s: s["lo_z"]
+    if n <= SMALL_ROWS:
+        df = points.join(_one_row(known, "lo_z", "slice_id"), F.lit(True))
+        at = F.greatest(_begun(F.col("_s"), F.col("z"), by_start), F.lit(1))
+        return df.withColumn("slice_id", F.try_element_at("_s", at)["slice_id"]).drop("_s")
+    cuts = min(-(-n // CUT_ROWS), SMALL_ROWS)
+    # Quantiles are starts of slices themselves, so a point past a cut has a slice begun within it.
+    bounds = known.agg(F.array_distinct(F.percentile_approx("lo_z", [k / cuts for k in range(1, cuts)], 100 * cuts)).alias("_b"))
+    cut_of = lambda df, z: df.join(F.broadcast(bounds), F.lit(True)).withColumn("_cut", _begun(F.col("_b"), F.col(z), lambda b: b)).drop("_b")
+    held = cut_of(known, "lo_z").groupBy("_cut").agg(F.sort_array(F.collect_list(F.struct("lo_z", "slice_id"))).alias("_s"))
+    df = cut_of(points, "z").join(held, "_cut", "left")
+    at = F.greatest(_begun(F.col("_s"), F.col("z"), by_start), F.lit(1))
+    return df.withColumn("slice_id", F.try_element_at("_s", at)["slice_id"]).drop("_s", "_cut")
 
 
 def locate_slice_strict(points: DataFrame, slices: DataFrame) -> DataFrame:

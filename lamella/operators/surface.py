@@ -7,7 +7,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lamella.functions.kernels import solve_sheets
 from lamella.functions.pixels import log_intensity
 
 #: The edge kernel along z (its last tap is positive), and the difference kernel.
@@ -46,26 +45,6 @@ def rays(voxels: DataFrame, keys: list[str]) -> DataFrame:
     return voxels.groupBy(*keys, "y", "x").agg(F.transform(F.sort_array(F.collect_list(F.struct("z", "v"))), lambda s: s["v"].cast("double")).alias("v"))
 
 
-def surface_height_map(voxels: DataFrame, thickness: float, pixel: float, steps: int = 8000, down_z: int = 1) -> DataFrame:
-    """(slice_id, y, x, u, l): upper and lower sheet of each slice by momentum steps.
-
-    One group is one slice on the grid it is given on, whose size is fixed by the instrument.
-    The reference halves y and x before and brings the sheets back to full size by cubic
-    up-sampling; neither is done here.
-    """
-
-    def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        z, y, x = (rows[a].to_numpy() for a in "zyx")
-        block = np.zeros((z.max() + 1, y.max() + 1, x.max() + 1))
-        block[z, y, x] = rows["v"]
-        u, low = solve_sheets(block, thickness / pixel / down_z, pixel, steps)
-        yy, xx = np.mgrid[: block.shape[1], : block.shape[2]]
-        return pd.DataFrame({"slice_id": rows["slice_id"].iloc[0], "y": yy.ravel(), "x": xx.ravel(), "u": (u * down_z + 0.5).ravel(), "l": (low * down_z - 1.5).ravel()})
-
-    filled = fill_blank(voxels, ["slice_id"]).withColumn("v", log_intensity(F.col("v")))
-    return filled.select("slice_id", "z", "y", "x", "v").groupBy("slice_id").applyInPandas(solve, "slice_id int, y int, x int, u double, l double")
-
-
 def extract_surface(voxels: DataFrame, heights: DataFrame, n_z: int) -> DataFrame:
     """(slice_id, side, y, x, v): voxels sampled linearly in z at u + 1 and at l, as bytes; outside 0."""
     sides = F.array(F.struct(F.lit("u").alias("side"), (F.col("u") + 1).alias("d")), F.struct(F.lit("l").alias("side"), F.col("l").alias("d")))

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lamella.operators import align as al
 from lamella.operators import scores as sc
 from lamella.plans.catalog import query
 from lamella.plans.q_volume import vox
-from lamella.plans.views import sql
+from lamella.plans.views import sql, view
 from lamella.sources import store
+from lamella.sources.cut import cut
 
 _KEYS = ["slice_id", "channel_id"]
 
@@ -63,3 +65,116 @@ def translation_coarse_to_fine(spark, sf_dir):
     """Two levels: the best shift of the halved volumes, then its surroundings on the full ones."""
     fixed, moving = _channel_chunks(spark, sf_dir)
     return sc.coarse_to_fine(fixed, moving, _KEYS, 2, 1)
+
+
+_SIDE = 8
+_STEP, _BIN, _CENTRE = 0.05, 40, (3.5, 3.5)
+
+
+def _surfaces(spark, sf_dir, size=8):
+    """Tiles of the previous lower, the following upper and a template surface of each slice, in two channels."""
+    cells = view(spark, sf_dir, "surf").select("slice_id", "comp", F.posexplode("embedding").alias("k", "e")).where("k < 64")
+    v = F.greatest(F.floor((F.col("e").cast("double") + 0.6) * 200).cast("int"), F.lit(0))
+    img = cells.select("slice_id", F.expr("cast(comp div 2 + 1 as string)").alias("channel"), (F.col("comp") % 2).alias("surface"), F.expr("cast(k div 8 as int)").alias("y"), (F.col("k") % 8).alias("x"), v.alias("v"))
+    upper = img.where("surface = 0").drop("surface")
+    previous = img.where("surface = 1").drop("surface").withColumn("slice_id", F.col("slice_id") + 1)
+    template = upper.withColumn("slice_id", F.col("slice_id") - 1).where("slice_id % 3 <> 0")
+    return [cut(al.tiles(i, ["slice_id"], size)) for i in (previous, upper, template)]
+
+
+_IMAGES = f"""{sql('surf')}, img as (select slice_id, cast(comp // 2 + 1 as varchar) channel, comp % 2 surface, cast(k // 8 as int) y, cast(k % 8 as int) x, greatest(cast(floor((cast(embedding[k + 1] as double) + 0.6) * 200) as int), 0) v
+  from surf, (select cast(unnest(range(0, 64)) as int) k)),
+pv as (select slice_id + 1 slice_id, channel, y, x, v from img where surface = 1), nx as (select slice_id, channel, y, x, v from img where surface = 0),
+tm as (select slice_id - 1 slice_id, channel, y, x, v from nx where (slice_id - 1) % 3 <> 0),
+mv0 as (select * from pv union all select * from nx where slice_id not in (select slice_id from pv)),
+fx0 as (select * from tm union all select * from mv0 where slice_id not in (select slice_id from tm)),
+{', '.join(f'{n}1 as (select slice_id, channel, y // 2 y, x // 2 x, cast(floor(avg(v) + cast(0.5 as double)) as int) v from {n}0 group by slice_id, channel, y // 2, x // 2)' for n in ('fx', 'mv'))},
+d3 as (select cast(unnest([-1, 0, 1]) as int) d)"""
+
+
+def _turned(level: int) -> str:
+    c = _CENTRE[0] if level == 0 else (_CENTRE[0] - 0.5) / 2
+    cos, sin = f"round(cos(k * {_STEP}::double), 12)", f"round(sin(k * {_STEP}::double), 12)"
+    near = lambda e: f"cast(floor(round({e}, 6) + 0.5) as int)"
+    return f"{near(f'(x - {c}::double) * {cos} - (y - {c}::double) * {sin} + {c} + sx')} nx, {near(f'(x - {c}::double) * {sin} + (y - {c}::double) * {cos} + {c} + sy')} ny"
+
+
+def _rigid(level: int, candidates: str, keep: int) -> str:
+    return f"""p{level} as (select q.slice_id, q.channel, k, sx, sy, q.v // {_BIN} a, m.v // {_BIN} b from (select f.*, k, sx, sy, {_turned(level)} from fx{level} f join {candidates} c using (slice_id)) q
+  join mv{level} m on m.slice_id = q.slice_id and m.channel = q.channel and m.x = nx and m.y = ny),
+j{level} as (select slice_id, channel, k, sx, sy, a, b, count(*) c from p{level} group by all),
+w{level} as (select *, sum(c) over w n, sum(c) over (partition by slice_id, channel, k, sx, sy, a) ca, sum(c) over (partition by slice_id, channel, k, sx, sy, b) cb from j{level} window w as (partition by slice_id, channel, k, sx, sy)),
+i{level} as (select slice_id, channel, k, sx, sy, sum(c / n * ln(c * n / (ca * cb))) mi from w{level} group by all),
+o{level} as (select slice_id, k, sx, sy, round(sum(mi), 9) mi from i{level} group by slice_id, k, sx, sy),
+best{level} as (select slice_id, k, sx, sy, mi from (select *, row_number() over (partition by slice_id order by mi desc, k, sx, sy) r from o{level}) where r <= {keep})"""
+
+
+_FOUND = f"""{_IMAGES}, can1 as (select distinct slice_id, 2 * a.d k, b.d sx, c.d sy from fx0, d3 a, d3 b, d3 c), {_rigid(1, 'can1', 2)},
+can0 as (select distinct slice_id, k + a.d k, 2 * sx + b.d sx, 2 * sy + c.d sy from best1, d3 a, d3 b, d3 c), {_rigid(0, 'can0', 1)}"""
+
+
+def _found(spark, sf_dir):
+    previous, following, template = _surfaces(spark, sf_dir)
+    fixed, moving = (cut(al.first_of(["slice_id"], *i)) for i in ((template, previous, following), (previous, following)))
+    return fixed, moving, al.rigid_levels(fixed, moving, ["slice_id"], 2, _STEP, 1, 1, _CENTRE, _BIN, beam=2)
+
+
+@query(f"with {_FOUND} select * from best0")
+def rigid_levels(spark, sf_dir):
+    """Two levels, the two best candidates carried, both channels summed, template before previous before following."""
+    return _found(spark, sf_dir)[2]
+
+
+_SHIFTS = f"""{_FOUND}, s2 as (select a.d ex, b.d ey from (select cast(unnest(range(-2, 3)) as int) d) a, (select cast(unnest(range(-2, 3)) as int) d) b),
+ats as (select f.slice_id, channel, y // 4 cy, x // 4 cx, v, {_turned(0)} from fx0 f join best0 using (slice_id)),
+e as (select ats.slice_id, cy, cx, ex, ey, round(sum((ats.v - m.v) * (ats.v - m.v)) / count(*), 6) e from ats cross join s2 join mv0 m on m.slice_id = ats.slice_id and m.channel = ats.channel and m.x = nx + ex and m.y = ny + ey group by all),
+ce as (select slice_id, cy, cx, cast(ex as double) sx, cast(ey as double) sy from (select *, row_number() over (partition by slice_id, cy, cx order by e, abs(ex) + abs(ey), ex, ey) r from e) where r = 1)"""
+
+
+def _cells(spark, sf_dir):
+    fixed, moving, found = _found(spark, sf_dir)
+    return fixed, cut(al.local_shifts(fixed, moving, ["slice_id"], found, _STEP, _CENTRE, 4, 2))
+
+
+@query(f"with {_SHIFTS} select * from ce")
+def local_shifts(spark, sf_dir):
+    return _cells(spark, sf_dir)[1]
+
+
+_SMOOTH = f"""{_SHIFTS}, pe as (select slice_id, y // 4 cy, x // 4 cx, cast(0.2 as double) + cast(0.5 as double) * avg(case when v >= 121 then 1.0::double else 0.0::double end) w from fx0 where channel = '1' group by slice_id, y // 4, x // 4),
+ne as (select a.slice_id, a.cy, a.cx, avg(b.sx) mx, avg(b.sy) my from ce a join ce b on b.slice_id = a.slice_id and abs(a.cy - b.cy) + abs(a.cx - b.cx) = 1 group by all),
+sm as (select slice_id, cy, cx, (1 - w) * sx + w * coalesce(mx, sx) sx, (1 - w) * sy + w * coalesce(my, sy) sy from ce join pe using (slice_id, cy, cx) left join ne using (slice_id, cy, cx))"""
+
+
+def _smoothed(spark, sf_dir):
+    fixed, cells = _cells(spark, sf_dir)
+    masks = al.pixels(fixed, ["slice_id"]).where("channel = '1'").withColumn("m", (F.col("v") >= 121).cast("int"))
+    return al.smooth_penalised(cells, al.cell_penalties(masks, ["slice_id"], 4, 0.2, 0.7), ["slice_id"], 1)
+
+
+@query(f"with {_SMOOTH} select slice_id, cy, cx, round(sx, 6) + 0 sx, round(sy, 6) + 0 sy from sm")
+def smooth_penalised(spark, sf_dir):
+    out = _smoothed(spark, sf_dir)
+    return out.select("slice_id", "cy", "cx", *[(F.round(c, 6) + 0.0).alias(c) for c in ("sx", "sy")])
+
+
+def _basis(axis: str) -> str:
+    return f"case k{axis} when 0 then (1 - t{axis}) ** 3 when 1 then 3 * t{axis} ** 3 - 6 * t{axis} ** 2 + 4 when 2 then -3 * t{axis} ** 3 + 3 * t{axis} ** 2 + 3 * t{axis} + 1 else t{axis} ** 3 end / 6"
+
+
+@query(f"""with {_SMOOTH}, g as (select slice_id, gy, gx, floor((gy + 0.5::double) / 4 - 0.5) fy, floor((gx + 0.5::double) / 4 - 0.5) fx, (gy + 0.5::double) / 4 - 0.5 - floor((gy + 0.5::double) / 4 - 0.5) ty, (gx + 0.5::double) / 4 - 0.5 - floor((gx + 0.5::double) / 4 - 0.5) tx
+  from (select distinct slice_id from sm), (select cast(unnest(range(0, 8)) as int) gy), (select cast(unnest(range(0, 8)) as int) gx)),
+b as (select *, ({_basis('y')}) * ({_basis('x')}) w, least(greatest(fy - 1 + ky, 0), 1) py, least(greatest(fx - 1 + kx, 0), 1) px from g, (select unnest(range(0, 4)) ky), (select unnest(range(0, 4)) kx))
+select b.slice_id, gy, gx, round(sum(w * sx), 6) + 0 dx, round(sum(w * sy), 6) + 0 dy from b join sm on sm.slice_id = b.slice_id and cy = py and cx = px group by b.slice_id, gy, gx having count(*) = 16""")
+def dense_field(spark, sf_dir):
+    """The smoothed shifts of the control cells on every pixel."""
+    out = al.dense_field(_smoothed(spark, sf_dir), ["slice_id"], 4, (_SIDE, _SIDE))
+    return out.select("slice_id", "gy", "gx", *[(F.round(c, 6) + 0.0).alias(c) for c in ("dx", "dy")])  # no negative zeros
+
+
+@query()
+def align_surfaces(spark, sf_dir):
+    """The whole chain: fields from each slice's template to its previous and its following surface."""
+    previous, following, template = _surfaces(spark, sf_dir)
+    out = al.align_surfaces(previous, following, template, ["slice_id"], (_SIDE, _SIDE), levels=2, step=_STEP, turns=1, reach=1, bin_width=_BIN, cell=4, local_reach=2, beam=2)
+    return out.select("slice_id", "side", "gy", "gx", F.round("dx", 6).alias("dx"), F.round("dy", 6).alias("dy"))

@@ -194,3 +194,22 @@ def test_invert_field_job_undoes_the_field(spark):
         at_y, at_x = part["gy"] + part["dy"], part["gx"] + part["dx"]
         there = [kernels.bilinear(d * (s + p), at_y.to_numpy(), at_x.to_numpy()) for d in (dx, dy)]
         assert np.abs(there[0] + part["dx"]).max() < 1e-5 and np.abs(there[1] + part["dy"]).max() < 1e-5
+
+
+def test_as_of_join_beyond_one_row_of_slices(spark, monkeypatch):
+    monkeypatch.setattr(geometry, "SMALL_ROWS", 60)
+    monkeypatch.setattr(geometry, "CUT_ROWS", 7)
+    rnd = np.random.default_rng(6)
+    starts = np.concatenate([rnd.uniform(0, 1000, 290).round(1), [500.0] * 12])
+    slices = spark.createDataFrame([(i, float(z)) for i, z in enumerate(starts)] + [(999, None)], "slice_id int, lo_z double")
+    at = [*rnd.uniform(-50, 1050, 400).tolist(), *starts[:40].tolist(), 500.0, -1.0, 2000.0]
+    points = spark.createDataFrame([(i, z) for i, z in enumerate(at)] + [(9999, None)], "point_id int, z double")
+    got = {r.point_id: r.slice_id for r in geometry.locate_slice(points, slices).collect()}
+    order = sorted((z, i) for i, z in enumerate(starts))
+    want = {}
+    for i, z in enumerate(at):
+        begun = [s for s in order if s[0] <= z]
+        want[i] = (begun[-1] if begun else order[0])[1]
+    assert {k: v for k, v in got.items() if k != 9999} == want and len(got) == len(at) + 1
+    monkeypatch.setattr(geometry, "SMALL_ROWS", 100_000)
+    assert {r.point_id: r.slice_id for r in geometry.locate_slice(points, slices).collect()} == got
