@@ -33,16 +33,3 @@ def trilinear(block: np.ndarray, z: np.ndarray, y: np.ndarray, x: np.ndarray) ->
         part += w * block[tuple(h if c else k for c, k, h in zip(corner, low, high, strict=True))]
     out[inside] = part
     return out
-
-
-def invert_displacement(d: np.ndarray, steps: int = 100, accuracy: float = 1e-6) -> tuple[np.ndarray, float]:
-    """Inverse of a displacement (2, h, w of y, x) by fixed-point steps, and the last change."""
-    yy, xx = np.mgrid[: d.shape[1], : d.shape[2]].astype(float)
-    inverse, change = np.zeros_like(d), np.inf
-    for _ in range(steps):
-        new = -np.stack([bilinear(c, yy + inverse[0], xx + inverse[1]) for c in d])
-        change = float(np.abs(new - inverse).max())
-        inverse = new
-        if change < accuracy:
-            break
-    return inverse, change

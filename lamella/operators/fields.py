@@ -5,13 +5,16 @@ Fields are tables (keys, gy, gx, dx, dy[, dz]) on an integer grid.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamella.functions.kernels import bilinear, invert_displacement
+from lamella.functions.kernels import bilinear
 from lamella.operators.geometry import _corners, euler_2d
+from lamella.sources.cut import cut
 
 
 def transform_to_field(grid: DataFrame, angle: float, shift: tuple[float, float], centre: tuple[float, float]) -> DataFrame:
@@ -56,64 +59,151 @@ def build_brain(fields: DataFrame, slices: DataFrame, pixel: float, thickness: f
     return fields.select("slice_id").distinct().select("slice_id", *box), field
 
 
-_PAIR = "slice_id int, plane int, gy int, gx int, dx double, dy double"
+#: Field nodes along the side of a tile, nodes beyond it on each side, and points in a group.
+TILE, HALO, GROUP_POINTS = 128, 2, 200_000
+
+
+def field_tiles(fields: DataFrame, tile: int = TILE) -> DataFrame:
+    """(slice_id, ty, tx, h, w, oy, ox, ny, nx, d): tiles of a field with ``HALO`` nodes around, as packed doubles (3, 2, ny, nx).
 
+    h and w are the nodes of the slice's whole grid; absent nodes are zero.
+    """
+    nodes = fields.select("slice_id", "plane", "gy", "gx", *[F.coalesce(f"d{a}", F.lit(0.0)).alias(f"d{a}") for a in "xyz"])
+    grids = nodes.groupBy("slice_id").agg((F.max("gy") + 1).alias("h"), (F.max("gx") + 1).alias("w"))
+    for a in "yx":
+        low, high = (F.floor((F.col(f"g{a}") + o) / tile).cast("int") for o in (-HALO, HALO))
+        nodes = nodes.withColumn(f"t{a}", F.explode(F.sequence(F.greatest(low, F.lit(0)), F.greatest(high, F.lit(0)))))
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        oy, ox = int(rows["gy"].min()), int(rows["gx"].min())
+        d = np.zeros((3, 2, int(rows["gy"].max()) + 1 - oy, int(rows["gx"].max()) + 1 - ox))
+        for k, a in enumerate("xyz"):
+            d[k, rows["plane"], rows["gy"] - oy, rows["gx"] - ox] = rows[f"d{a}"]
+        return pd.DataFrame([[rows["slice_id"].iloc[0], rows["ty"].iloc[0], rows["tx"].iloc[0], oy, ox, *d.shape[2:], d.tobytes()]], columns=["slice_id", "ty", "tx", "oy", "ox", "ny", "nx", "d"])
+
+    kind = fields.schema["slice_id"].dataType.simpleString()
+    packed = nodes.groupBy("slice_id", "ty", "tx").applyInPandas(pack, f"slice_id {kind}, ty int, tx int, oy int, ox int, ny int, nx int, d binary")
+    return packed.join(grids, "slice_id").where((F.col("ty") * tile < F.col("h")) & (F.col("tx") * tile < F.col("w")))
+
+
+class _Tile:
+    """One tile of a field: the map p + D(p), and where it can be looked up."""
+
+    def __init__(self, row: pd.Series, pixel: float, thickness: float, tile: int, extended: bool):
+        self.extended = extended
+        self.d = np.frombuffer(row["d"]).reshape(3, 2, row["ny"], row["nx"])
+        self.h, self.w, self.oy, self.ox = (int(row[c]) for c in ("h", "w", "oy", "ox"))
+        self.pixel, self.thickness, self.top, self.tile = pixel, thickness, (int(row["slice_id"]) - 1) * thickness, tile
+
+    def __call__(self, p: np.ndarray) -> np.ndarray:
+        gx, gy, u = p[:, 0] / self.pixel, p[:, 1] / self.pixel, (p[:, 2] - self.top) / self.thickness
+        inside = self.extended | ((gx >= -0.5) & (gx < self.w - 0.5) & (gy >= -0.5) & (gy < self.h - 0.5) & (u >= -0.5) & (u < 1.5))
+        level = np.clip(u, 0, 1)
+        gy, gx = np.clip(gy, 0, self.h - 1) - self.oy, np.clip(gx, 0, self.w - 1) - self.ox
+        move = np.stack([bilinear(self.d[a, 0], gy, gx) * (1 - level) + bilinear(self.d[a, 1], gy, gx) * level for a in range(3)], 1)
+        return p + move * inside[:, None]
+
+    def place(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tile numbers of positions; those beyond the grid belong to its border."""
+        cell = lambda v, n: np.clip(np.floor(v / self.pixel), 0, n - 1).astype(int) // self.tile
+        return cell(p[:, 1], self.h), cell(p[:, 0], self.w)
+
+    def covers(self, p: np.ndarray, ty: int, tx: int) -> np.ndarray:
+        """Whether a look-up at p and at p + 0.01 stays within the tile and one node around it."""
+        out = np.ones(len(p), bool)
+        for v, n, t in ((p[:, 1], self.h, ty), (p[:, 0], self.w, tx)):
+            g = np.clip(v / self.pixel, 0, n - 1)
+            out &= (g >= t * self.tile - 1) & (g < (t + 1) * self.tile + 1)
+        return out
+
+
+def slice_to_brain(points: DataFrame, fields: DataFrame, pixel: float, thickness: float, steps: int = 100, accuracy: float = 0.001, tile: int = TILE, group_points: int = GROUP_POINTS) -> DataFrame:
+    """Brain positions of slice points (point_id, slice_id, x, y, z), by fixed-point steps on the slice's field.
 
-def invert_field(fields: DataFrame) -> DataFrame:
-    """(slice_id, plane, gy, gx, dx, dy, change): inverse displacement of each field by fixed-point steps."""
+    From (x, y, top of the slice): p becomes p - D d / 0.013 a step with D = f(p) - target and
+    d = f(p + 0.01) - f(p), until |D| < ``accuracy`` on all axes or ``steps`` steps.
+    """
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        h, w = rows["gy"].max() + 1, rows["gx"].max() + 1
-        d = np.zeros((2, h, w))
-        d[0, rows["gy"], rows["gx"]], d[1, rows["gy"], rows["gx"]] = rows["dy"], rows["dx"]
-        inv, change = invert_displacement(d)
-        y, x = (a.ravel() for a in np.mgrid[:h, :w])
-        return pd.DataFrame({"slice_id": key[0], "plane": key[1], "gy": y, "gx": x, "dx": inv[1, y, x], "dy": inv[0, y, x], "change": change})
+    def step(f: _Tile, p: np.ndarray, now: np.ndarray, off: np.ndarray) -> np.ndarray:
+        return p - off * (f(p + 0.01) - now) / 0.013
 
-    return fields.select("slice_id", "plane", "gy", "gx", "dx", "dy").groupBy("slice_id", "plane").applyInPandas(run, _PAIR + ", change double")
+    out = _invert(points, fields, pixel, thickness, steps, accuracy, tile, group_points, step, False)
+    return out.select("point_id", "slice_id", "bx", "by", "bz", "converged", "steps", "residual")
 
 
-def slice_to_brain(points: DataFrame, fields: DataFrame, pixel: float, thickness: float, steps: int = 100, accuracy: float = 0.001) -> DataFrame:
-    """Brain positions of slice points (point_id, slice_id, x, y, z), by fixed-point steps on the slice's field.
+def _invert(points: DataFrame, fields: DataFrame, pixel: float, thickness: float, steps: int, accuracy: float, tile: int, group_points: int, step: Callable, extended: bool) -> DataFrame:
+    """Positions (bx, by, bz) that the field of their slice moves to the points, by ``step(f, p, f(p), f(p) - target)``.
 
-    From (x, y, top of the slice): p becomes p - D d / 0.013 a step with D = f(p) - target and
-    d = f(p + 0.01) - f(p), until |D| < 0.001 on all axes or 100 steps. Points are cut into
-    groups of a slice and a salt, so that a hot slice is many groups that share its field.
+    Points iterate with the tile of the field that they stand on. Those that leave it are keyed
+    to the next tile and go on there, round by round until none is left; each round takes every
+    point one step at least. Only tiles with points are shuffled, and one is copied only where
+    more than ``group_points`` points stand on it, once for each group that these are cut into.
+    Without a field a point stays and is not converged. Repeated ids are points of their own.
+    ``extended`` fields go on beyond their border with its values, others end there.
     """
-    salted = points.withColumn("salt", F.pmod(F.xxhash64("point_id"), F.lit(16)).cast("int"))
-    grid = fields.select("slice_id", "plane", "gy", "gx", "dx", "dy", "dz").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
-
-    def run(key: tuple, pts: pd.DataFrame, cells: pd.DataFrame) -> pd.DataFrame:
-        target = pts[["x", "y", "z"]].to_numpy(float)
-        if len(cells) == 0 or len(pts) == 0:
-            return pd.DataFrame({"point_id": pts["point_id"], "slice_id": pts["slice_id"], "bx": target[:, 0], "by": target[:, 1], "bz": target[:, 2], "converged": False, "steps": 0, "residual": np.inf})
-        h, w, top = cells["gy"].max() + 1, cells["gx"].max() + 1, (key[0] - 1) * thickness
-        d = np.zeros((3, 2, h, w))
-        for a, c in enumerate(("dx", "dy", "dz")):
-            d[a, cells["plane"], cells["gy"], cells["gx"]] = cells[c]
-
-        def f(p: np.ndarray) -> np.ndarray:
-            gx, gy, u = p[:, 0] / pixel, p[:, 1] / pixel, (p[:, 2] - top) / thickness
-            inside = (gx >= -0.5) & (gx < w - 0.5) & (gy >= -0.5) & (gy < h - 0.5) & (u >= -0.5) & (u < 1.5)
-            level = np.clip(u, 0, 1)
-            move = np.stack([bilinear(d[a, 0], gy, gx) * (1 - level) + bilinear(d[a, 1], gy, gx) * level for a in range(3)], 1)
-            return p + move * inside[:, None]
-
-        p = np.column_stack((target[:, :2], np.full(len(pts), top)))
-        done, taken, residual = np.zeros(len(pts), bool), np.zeros(len(pts), int), np.full(len(pts), np.inf)
-        for k in range(steps):
-            live = ~done
+    kind, slice_kind = (points.schema[c].dataType.simpleString() for c in ("point_id", "slice_id"))
+    tiles = cut(field_tiles(fields, tile))
+    grids = tiles.groupBy("slice_id").agg(F.first("h").alias("h"), F.first("w").alias("w"))
+    at = lambda c, n: F.floor(F.least(F.greatest(F.floor(F.col(c) / pixel), F.lit(0)), F.col(n) - 1) / tile).cast("int")
+    known = points.select("point_id", "slice_id", *[F.col(a).cast("double").alias(f"q{a}") for a in "xyz"]).join(grids, "slice_id", "left")
+    start = known.select("point_id", "slice_id", "qx", "qy", "qz", F.col("qx").alias("bx"), F.col("qy").alias("by"), F.when(F.col("h").isNull(), F.col("qz")).otherwise((F.col("slice_id") - 1) * F.lit(thickness)).alias("bz"), at("qy", "h").alias("ty"), at("qx", "w").alias("tx"), F.lit(False).alias("converged"), F.lit(0).alias("steps"), F.lit(float("inf")).alias("residual"), F.col("h").isNotNull().alias("active"))
+    columns = ["point_id", "slice_id", "qx", "qy", "qz", "bx", "by", "bz", "ty", "tx", "converged", "steps", "residual", "active"]
+    schema = f"point_id {kind}, slice_id {slice_kind}, qx double, qy double, qz double, bx double, by double, bz double, ty int, tx int, converged boolean, steps int, residual double, active boolean"
+
+    def run(pts: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        if pts.empty or own.empty:
+            return pts[columns].assign(active=False)
+        row = own.iloc[0]
+        f, ty, tx = _Tile(row, pixel, thickness, tile, extended), int(row["ty"]), int(row["tx"])
+        target, p = pts[["qx", "qy", "qz"]].to_numpy(float), pts[["bx", "by", "bz"]].to_numpy(float).copy()
+        done, taken, residual = np.zeros(len(p), bool), pts["steps"].to_numpy(int).copy(), np.full(len(p), np.inf)
+        live = np.arange(len(p))
+        while len(live):
             now = f(p[live])
-            off, slope = now - target[live], f(p[live] + 0.01) - now
+            off = now - target[live]
             residual[live] = np.abs(off).max(axis=1)
             near = residual[live] < accuracy
-            taken[live] = k
-            p[np.flatnonzero(live)[~near]] -= (off * slope / 0.013)[~near]
-            done[np.flatnonzero(live)[near]] = True
-            if done.all():
-                break
-        return pd.DataFrame({"point_id": pts["point_id"], "slice_id": pts["slice_id"], "bx": p[:, 0], "by": p[:, 1], "bz": p[:, 2], "converged": done, "steps": taken, "residual": residual})
-
-    kind = points.schema["point_id"].dataType.simpleString()
-    schema = f"point_id {kind}, slice_id int, bx double, by double, bz double, converged boolean, steps int, residual double"
-    return salted.groupBy("slice_id", "salt").cogroup(grid.groupBy("slice_id", "salt")).applyInPandas(run, schema)
+            done[live[near]] = True
+            spent = taken[live] + 1 >= steps
+            go = ~near & ~spent
+            p[live[go]] = step(f, p[live[go]], now[go], off[go])
+            taken[live[go]] += 1
+            live = live[go]
+            live = live[f.covers(p[live], ty, tx)]
+        left = ~done & (taken + 1 < steps)
+        new_ty, new_tx = f.place(p)
+        return pts[columns].assign(bx=p[:, 0], by=p[:, 1], bz=p[:, 2], ty=new_ty, tx=new_tx, converged=done, steps=taken, residual=residual, active=left)
+
+    key = ["slice_id", "ty", "tx"]
+    active, finished = cut(start), []
+    while True:
+        finished.append(active.where("not active"))
+        active = active.where("active")
+        if not active.head(1):
+            break
+        held = cut(active.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / group_points).cast("int").alias("parts")))
+        # The points come from a written table, so a repeated task deals them out alike.
+        dealt = active.join(held, key).withColumn("part", F.floor(F.rand(1) * F.col("parts")).cast("int")).drop("parts")
+        spread = tiles.join(held, key).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+        active = cut(dealt.groupBy(*key, "part").cogroup(spread.groupBy(*key, "part")).applyInPandas(run, schema))
+    out = finished[0]
+    for more in finished[1:]:
+        out = out.union(more)
+    return out
+
+
+def invert_field(fields: DataFrame, steps: int = 200, accuracy: float = 1e-7, tile: int = TILE, group_points: int = GROUP_POINTS) -> DataFrame:
+    """(slice_id, plane, gy, gx, dx, dy, converged, residual): inverse displacement of each field on its own grid.
+
+    For a node q the steps p = q - D(p) find the p that the field moves to q; the inverse is
+    p - q. D goes on beyond the grid with its border's values. Nodes iterate on tiles, as
+    points do in ``slice_to_brain``.
+    """
+    # A plane of a slice is a field of its own, numbered so that nothing else is needed.
+    own = F.col("slice_id") * 2 + F.col("plane")
+    flat = fields.select(own.alias("slice_id"), F.lit(0).alias("plane"), "gy", "gx", "dx", "dy", F.lit(0.0).alias("dz"))
+    nodes = fields.select(F.lit(0).alias("point_id"), own.alias("slice_id"), F.col("gx").alias("x"), F.col("gy").alias("y"), (own - 1).cast("double").alias("z"))
+    found = _invert(nodes, flat, 1.0, 1.0, steps, accuracy, tile, group_points, lambda f, p, now, off: p - off, True)
+    whole = lambda c: F.round(c, 0).cast("int")
+    kind = fields.schema["slice_id"].dataType
+    return found.select(F.floor(F.col("slice_id") / 2).cast(kind).alias("slice_id"), (F.col("slice_id") % 2).cast("int").alias("plane"), whole("qy").alias("gy"), whole("qx").alias("gx"), (F.col("bx") - F.col("qx")).alias("dx"), (F.col("by") - F.col("qy")).alias("dy"), "converged", "residual")

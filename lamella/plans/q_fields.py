@@ -176,23 +176,47 @@ def write_brain(spark, sf_dir):
     return o.build_brain(pixel_field(spark, sf_dir).withColumn("dz", F.lit(0.0)), slices(spark), 4.0, 300.0, 200, 200)[0]
 
 
-@query()
+@query(f"with {_PF} select slice_id, plane, gy, gx, true converged, cast(gy as double) fy, cast(gx as double) fx from pf")
 def invert_field(spark, sf_dir):
-    return o.invert_field(pixel_field(spark, sf_dir))
+    """Inverse displacements; what is returned is where the field moves q + D'(q), which is q again."""
+    f = pixel_field(spark, sf_dir)
+    inverse = o.invert_field(f, tile=4).withColumnsRenamed({"dx": "ix", "dy": "iy"})
+    keys = ["slice_id", "plane"]
+    # Beyond the grid a field goes on with its border's values: look it up at the nearest place inside.
+    at = inverse.select(*keys, "gy", "gx", "converged", (F.col("gx") + F.col("ix")).alias("x"), (F.col("gy") + F.col("iy")).alias("y"))
+    inside = lambda c: F.least(F.greatest(F.col(c), F.lit(0.0)), F.lit(7.0))
+    corners = g._corners(at.withColumnsRenamed({"gy": "ny", "gx": "nx"}), inside("x"), inside("y"), 8, 8).where("w > 0")
+    seen = corners.join(f, [*keys, "gy", "gx"]).groupBy(*keys, "ny", "nx", "x", "y", "converged").agg(F.sum(F.col("w") * F.col("dx")).alias("mx"), F.sum(F.col("w") * F.col("dy")).alias("my"))
+    return seen.select(*keys, F.col("ny").alias("gy"), F.col("nx").alias("gx"), "converged", *[(F.round(F.col(a) + F.col(f"m{a}"), 5) + 0.0).alias(f"f{a}") for a in "yx"])
 
 
-@query()
-def slice_to_brain(spark, sf_dir):
-    return o.slice_to_brain(g.locate_slice(view(spark, sf_dir, "pts"), slices(spark)), field(spark, sf_dir), 100.0, 300.0)
+def _inner_points(spark, sf_dir):
+    """All points, drawn together so that they stand inside the fields, where every point has an inverse."""
+    pts = view(spark, sf_dir, "pts").select("point_id", (F.col("x") * 0.8 + 50).alias("x"), (F.col("y") * 0.6 + 50).alias("y"), "z")
+    return g.locate_slice(pts, slices(spark))
 
 
-@query()
-def column_to_brain(spark, sf_dir):
+def _forward(back, spark, sf_dir):
+    """The result of an inverse mapping sent forward again, to two decimals."""
+    at = back.select("point_id", "slice_id", "converged", *[F.col(f"b{a}").alias(a) for a in "xyz"])
+    out = g.apply_field(at, field(spark, sf_dir), 100.0, 8, 8, 300.0)
+    return out.select("point_id", "slice_id", "converged", *[F.round(f"q{a}", 2).alias(a) for a in "xyz"])
 
 
-    boxes = _boxes(spark, sf_dir)
-    placed = g.locate_slice(view(spark, sf_dir, "pts"), slices(spark))
-    at = g.locate_column(placed, boxes).where("column_id is not null").select("point_id", "slice_id", "column_id", "px", "py", "frame")
-    return o.slice_to_brain(g.column_to_slice(at, boxes).select("point_id", "slice_id", "x", "y", "z"), field(spark, sf_dir), 100.0, 300.0)
+_INNER = f"""{sql('pts')}, {SLICES_SQL}, p as (select point_id, round(x * 0.8::double + 50, 2) x, round(y * 0.6::double + 50, 2) y, z from pts),
+b as (select p.*, coalesce((select arg_max(slice_id, lo_z) from slices s where s.lo_z <= p.z), 1) slice_id from p)"""
 
 
+@query(f"with {_INNER} select point_id, slice_id, true converged, x, y, z from b")
+def slice_to_brain(spark, sf_dir):
+    """Points of slices mapped to the brain; what is returned is their map back to the slice."""
+    return _forward(o.slice_to_brain(_inner_points(spark, sf_dir), field(spark, sf_dir), 100.0, 300.0, tile=4), spark, sf_dir)
+
+
+@query(f"with {_INNER} select point_id, slice_id, true converged, x, y, z from b")
+def column_to_brain(spark, sf_dir):
+    """Points of slices as columns see them, mapped to the brain; what is returned is their map back to the slice."""
+    boxes = _boxes(spark, sf_dir)
+    at = g.locate_column(_inner_points(spark, sf_dir), boxes).select("point_id", "slice_id", "column_id", "px", "py", "frame")
+    in_slice = g.column_to_slice(at, boxes).select("point_id", "slice_id", "x", "y", "z")
+    return _forward(o.slice_to_brain(in_slice, field(spark, sf_dir), 100.0, 300.0, tile=4), spark, sf_dir)

@@ -27,11 +27,3 @@ def test_trilinear_matches_loop():
     block = rnd.integers(0, 1000, (5, 6, 7)).astype(float)
     z, y, x = rnd.uniform(-1, 6, (3, 400))
     assert np.allclose(k.trilinear(block, z, y, x), naive_trilinear(block, z, y, x))
-
-
-def test_inverse_displacement_undoes_a_smooth_field():
-    y, x = np.mgrid[:24, :24].astype(float)
-    d = np.stack([0.8 * np.sin(x / 6), 0.6 * np.cos(y / 7)])
-    inv, change = k.invert_displacement(d)
-    back = inv + np.stack([k.bilinear(c, y + inv[0], x + inv[1]) for c in d])
-    assert change < 1e-6 and np.abs(back[:, 3:-3, 3:-3]).max() < 1e-5
