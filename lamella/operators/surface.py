@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamella.functions.pixels import log_intensity
+from lamella.sources.cut import cut
 
 #: The edge kernel along z (its last tap is positive), and the difference kernel.
 EDGE = (0.5, 1.0, 2.0, 4.0, 8.0, 0.0, -8.0, -4.0, -2.0, -1.0, 0.5)
@@ -58,35 +59,78 @@ def extract_surface(voxels: DataFrame, heights: DataFrame, n_z: int) -> DataFram
     return out.select("slice_id", "side", "y", "x", log_intensity(F.round(F.coalesce("v", F.lit(0.0)), 6), True).alias("v"))
 
 
-def fill_outside(images: DataFrame, keys: list[str], value: int) -> DataFrame:
+#: Pixels along the side of a tile of the fill.
+TILE = 256
+
+
+def _labels(dark: np.ndarray) -> np.ndarray:
+    """4-connected regions of a mask: each pixel gets the smallest number in its region, from 1; others 0."""
+    own = np.where(dark, np.arange(1, dark.size + 1).reshape(dark.shape), 0)
+    while True:
+        before = own
+        # Runs along rows, then along columns, take their smallest number at once.
+        for axis in (1, 0):
+            own = _runs(own, axis)
+        if (own == before).all():
+            return own
+
+
+def _runs(own: np.ndarray, axis: int) -> np.ndarray:
+    flat = own if axis == 1 else own.T
+    padded = np.concatenate((flat, np.zeros((flat.shape[0], 1), flat.dtype)), axis=1).ravel()
+    starts = np.flatnonzero((padded > 0) & (np.concatenate(([0], padded[:-1])) == 0))
+    if not len(starts):
+        return own
+    ends = np.flatnonzero((padded == 0) & (np.concatenate(([0], padded[:-1])) > 0))
+    least = np.minimum.reduceat(padded, np.stack((starts, ends), 1).ravel())[::2]
+    out = padded.copy()
+    out[padded > 0] = np.repeat(least, ends - starts)
+    out = out.reshape(flat.shape[0], -1)[:, :-1]
+    return out if axis == 1 else out.T
+
+
+def fill_outside(images: DataFrame, keys: list[str], value: int, tile: int = TILE) -> DataFrame:
     """Pixels up to ``value`` that 4-connect to a corner become ``value``; corners count as 0.
 
-    One group is one surface image.
+    The regions of each tile are labelled where it lies, and those that touch across a tile's
+    border are linked. From the corners' regions on, linked regions are reached round by round;
+    a round joins the labels reached last, a few rows for each tile. So an image of any size is
+    filled tile by tile, and only labels travel between tiles. Pixels without a row are not dark.
     """
-    schema = ", ".join(f"{k} {images.schema[k].dataType.simpleString()}" for k in keys) + ", y int, x int, v int"
-
-    def fill(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        y, x = rows["y"].to_numpy(), rows["x"].to_numpy()
-        v = np.zeros((y.max() + 1, x.max() + 1), int)
-        v[y, x] = rows["v"]
-        v[[0, 0, -1, -1], [0, -1, 0, -1]] = 0
-        dark = v <= value
-        reached = np.zeros_like(dark)
-        reached[[0, 0, -1, -1], [0, -1, 0, -1]] = True
-        while True:
-            grown = reached.copy()
-            grown[1:] |= reached[:-1]
-            grown[:-1] |= reached[1:]
-            grown[:, 1:] |= reached[:, :-1]
-            grown[:, :-1] |= reached[:, 1:]
-            grown &= dark
-            if (grown == reached).all():
-                break
-            reached = grown
-        v[reached] = value
-        return pd.DataFrame({**dict(zip(keys, key, strict=True)), "y": y, "x": x, "v": v[y, x]})
-
-    return images.select(*keys, "y", "x", "v").groupBy(*keys).applyInPandas(fill, schema)
+    kinds = "".join(f"`{k}` {images.schema[k].dataType.simpleString()}, " for k in keys)
+    place = [*keys, "ty", "tx"]
+    extent = images.groupBy(*keys).agg(F.max("y").alias("ey"), F.max("x").alias("ex"))
+    rows = images.select(*keys, "y", "x", "v").join(extent, keys)
+    ends = [(F.col(a) == 0) | (F.col(a) == F.col(f"e{a}")) for a in "yx"]
+    at_corner = ends[0] & ends[1]
+    rows = rows.select(*keys, "y", "x", F.when(at_corner, 0).otherwise(F.col("v")).alias("v"), at_corner.alias("corner"), *[F.floor(F.col(a) / tile).cast("int").alias(f"t{a}") for a in "yx"])
+
+    def label(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        y, x = part["y"].to_numpy() - key[-2] * tile, part["x"].to_numpy() - key[-1] * tile
+        dark = np.zeros((tile, tile), bool)
+        dark[y, x] = part["v"] <= value
+        return part.assign(label=_labels(dark)[y, x])
+
+    labelled = cut(rows.groupBy(*place).applyInPandas(label, kinds + "y int, x int, v int, corner boolean, ty int, tx int, label int"))
+    dark = labelled.where("label > 0")
+    node = [*keys, "ty", "tx", "label"]
+    # A region meets those of the next tile to the right and below, pixel against pixel.
+    links = None
+    for a, other in (("x", "y"), ("y", "x")):
+        edge = dark.where(F.col(a) % tile == tile - 1).select(*node, (F.col(a) + 1).alias(a), other)
+        beside = dark.where(F.col(a) % tile == 0).select(*keys, a, other, *[F.col(c).alias(f"{c}_2") for c in node[-3:]])
+        pairs = edge.join(beside, [*keys, a, other]).select(*node, *[f"{c}_2" for c in node[-3:]]).distinct()
+        links = pairs if links is None else links.union(pairs)
+    back = links.select(*keys, *[F.col(f"{c}_2").alias(c) for c in node[-3:]], *[F.col(c).alias(f"{c}_2") for c in node[-3:]])
+    links = cut(links.union(back))
+    last = cut(dark.where("corner").select(*node).distinct())
+    reached = last
+    while last.head(1):
+        near = links.join(last, node).select(*keys, *[F.col(f"{c}_2").alias(c) for c in node[-3:]]).distinct()
+        last = cut(near.join(reached, node, "left_anti"))
+        reached = cut(reached.union(last))
+    out = labelled.join(reached.withColumn("_out", F.lit(True)), node, "left")
+    return out.select(*keys, "y", "x", F.when(F.col("_out"), F.lit(value)).otherwise(F.col("v")).alias("v"))
 
 
 def rigidity_mask(images: DataFrame, keys: list[str], outside: int) -> DataFrame:
