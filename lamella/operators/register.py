@@ -90,6 +90,86 @@ def stitch_columns(columns: DataFrame, estimates: DataFrame) -> DataFrame:
     return df.select(*columns.columns, *[F.sum(F.coalesce(steps[a], F.lit(0.0))).over(by).alias(f"d{a}") for a in "xyz"])
 
 
+def stitched_affine(columns: DataFrame, estimates: DataFrame) -> DataFrame:
+    """``columns`` (slice_id, channel_id, column_id, params, pos0_x, raw_x) with ``params`` after stitching.
+
+    A registered column is moved by (pos0_x - raw_x, 0, 0) before its matrix and by the running
+    sum of the steps of ``stitch_columns`` after it. Column 0 gets the first move only; a column
+    without estimates (slice_id, column_id, ...) keeps its map and adds nothing to the sum.
+    """
+    keys = ["slice_id", "channel_id", "column_id"]
+    shifts = stitch_columns(columns.select("slice_id", "column_id").distinct(), estimates)
+    done = estimates.select("slice_id", "column_id").distinct().withColumn("_done", F.lit(True))
+    df = columns.join(shifts, ["slice_id", "column_id"]).join(done, ["slice_id", "column_id"], "left")
+    before, p = F.col("pos0_x") - F.col("raw_x"), F.col("params")
+    moved = [p[9 + r] + p[3 * r] * before for r in range(3)]
+    first, registered = F.col("column_id") == 0, F.col("_done").isNotNull()
+    last = [F.when(first, moved[r]).when(registered, moved[r] + F.col(f"d{a}")).otherwise(p[9 + r]) for r, a in enumerate("xyz")]
+    params = F.concat(F.slice(p, 1, 9), F.array(*last))
+    return df.select(*keys, *[params.alias(c) if c == "params" else F.col(c) for c in columns.columns if c not in keys])
+
+
+def frame_shares(frames: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(slice_id, column_id, c, left, right): shares of background at each threshold for the two frames of a candidate.
+
+    ``frames`` (slice_id, column_id, frame, x, v) are thumbnail pixels; ``pairs`` (slice_id,
+    column_id, x1, x2, z_offset, n_frames) name the later column of a pair. Frame c of the
+    earlier column counts from x1 on, frame c - z_offset of the later one up to x2. Candidates
+    stand 100 frames apart; a frame without pixels in its crop is all background.
+    """
+    z, n = F.col("z_offset"), F.col("n_frames")
+    start, stop = 100 + F.least(z, F.lit(0)), n - 100 - F.least(-z, F.lit(0))
+    wanted = pairs.where(start < stop).withColumn("c", F.explode(F.sequence(start, stop - 1, F.lit(100))))
+    out = wanted.select("slice_id", "column_id", "c")
+    sides = {"left": (F.col("column_id") - 1, F.col("c"), F.col("x") >= F.col("x1")), "right": (F.col("column_id"), F.col("c") - z, F.col("x") < F.col("x2"))}
+    for name, (column, frame, crop) in sides.items():
+        at = wanted.select("slice_id", column.cast("int").alias("_column"), frame.cast("int").alias("frame"), "column_id", "c", "x1", "x2")
+        pixels = frames.withColumnRenamed("column_id", "_column").join(at, ["slice_id", "_column", "frame"]).where(crop)
+        shares = [F.avg(F.when((F.col("v") >= 0) & (F.col("v") <= t), 1.0).otherwise(0.0)) for t in BACKGROUND_THRESHOLDS]
+        per = pixels.groupBy("slice_id", "column_id", "c").agg(F.array(*shares).alias(name))
+        out = out.join(per, ["slice_id", "column_id", "c"], "left").withColumn(name, F.coalesce(name, F.array(*[F.lit(1.0) for _ in BACKGROUND_THRESHOLDS])))
+    return out
+
+
+def registration_windows(shares: DataFrame, pairs: DataFrame, registered: DataFrame, symmetric: bool = True) -> DataFrame:
+    """The first window of each pair whose registration succeeds (slice_id, column_id, threshold, frame, start, stop, start_2, stop_2, tried).
+
+    ``shares`` come from ``frame_shares``; ``registered`` (slice_id, column_id, c, ok) tells
+    where a registration succeeds, and candidates that it doesn't name fail. Thresholds are
+    gone through in order, and the candidates of each in order: background moves on by 100
+    frames, a failed registration by 200, the first success ends the walk. ``tried`` counts
+    the registrations. The window is c - 100 to c + 100 in the earlier column and the same
+    less z_offset in the later one; not ``symmetric``, its upper end there is c + 100.
+
+    Candidates of a pair are one short array, which is folded with the walk as its state.
+    """
+    keys = ["slice_id", "column_id"]
+    n = len(BACKGROUND_THRESHOLDS)
+    known = shares.join(registered.select(*keys, "c", "ok"), [*keys, "c"], "left")
+    worst = F.zip_with("left", "right", lambda a, b: F.greatest(a, b))
+    one = F.struct(F.col("c").cast("long").alias("c"), worst.alias("share"), F.coalesce("ok", F.lit(False)).alias("ok"))
+    walks = known.groupBy(*keys).agg(F.sort_array(F.collect_list(one)).alias("all"))
+    steps = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.transform("all", lambda x: F.struct(k.alias("k"), x["c"].alias("c"), F.get(x["share"], k).alias("share"), x["ok"].alias("ok")))))
+    none = F.lit(None).cast("long")
+    state = lambda k, next_c, found, tried: F.struct(k.cast("int").alias("k"), next_c.cast("long").alias("next"), found.cast("long").alias("found"), tried.cast("int").alias("tried"))
+
+    def walk(s: F.Column, x: F.Column) -> F.Column:
+        next_c = F.when(s["k"] == x["k"], s["next"]).otherwise(x["c"])  # a new threshold begins at its first candidate
+        return (
+            F.when(s["found"].isNotNull(), s)
+            .when(x["c"] < next_c, state(x["k"], next_c, none, s["tried"]))
+            .when(x["share"] > BACKGROUND_SHARE, state(x["k"], x["c"] + 100, none, s["tried"]))
+            .when(x["ok"], state(x["k"], x["c"], x["c"], s["tried"] + 1))
+            .otherwise(state(x["k"], x["c"] + 200, none, s["tried"] + 1))
+        )
+
+    ended = walks.select(*keys, F.aggregate(steps, state(F.lit(-1), F.lit(0), none, F.lit(0)), walk).alias("w")).where("w.found is not null")
+    c, z = F.col("w.found"), F.col("z_offset")
+    threshold = F.element_at(F.array(*map(F.lit, BACKGROUND_THRESHOLDS)), F.col("w.k") + 1)
+    later = (c - 100 - z, c + 100 - z if symmetric else c + 100)
+    return ended.join(pairs.select(*keys, "z_offset"), keys).select(*keys, threshold.alias("threshold"), c.alias("frame"), (c - 100).alias("start"), (c + 100).alias("stop"), later[0].alias("start_2"), later[1].alias("stop_2"), F.col("w.tried").alias("tried"))
+
+
 def joint_histogram(pairs: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, a, b, c): how often each pair of bins meets."""
     return pairs.groupBy(*keys, "a", "b").agg(F.count(F.lit(1)).alias("c"))

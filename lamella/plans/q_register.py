@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lamella.operators import align as al
+from lamella.operators import geometry as g
+from lamella.operators import register as r
 from lamella.operators import scores as sc
 from lamella.plans.catalog import query
+from lamella.plans.q_geometry import _B, _affined
 from lamella.plans.q_volume import vox
 from lamella.plans.views import sql, view
 from lamella.sources import store
@@ -178,3 +181,50 @@ def align_surfaces(spark, sf_dir):
     previous, following, template = _surfaces(spark, sf_dir)
     out = al.align_surfaces(previous, following, template, ["slice_id"], (_SIDE, _SIDE), levels=2, step=_STEP, turns=1, reach=1, bin_width=_BIN, cell=4, local_reach=2, beam=2)
     return out.select("slice_id", "side", "gy", "gx", F.round("dx", 6).alias("dx"), F.round("dy", 6).alias("dy"))
+
+
+_ESTIMATES_SQL = """est as (select cast(l_orderkey % 6 + 1 as int) slice_id, cast(l_suppkey % 4 as int) column_id, cast(l_partkey % 11 - 5 as double) ex, cast(l_suppkey % 7 - 3 as double) ey, cast(l_orderkey % 5 - 2 as double) ez from lineitem where l_suppkey % 4 > 0 and (l_orderkey % 6 + l_suppkey % 4) % 4 <> 1)"""
+
+
+@query(f"""with {_B}, {_ESTIMATES_SQL}, m as (select slice_id, column_id, median(ex) mx, median(ey) my, median(ez) mz from est group by all),
+st as (select tr.*, rw.rx, m.mx is not null ok, p0x - rw.rx pre, sum(coalesce(-mx - 0.25::double, 0)) over w dx, sum(coalesce(-my, 0)) over w dy, sum(coalesce(-mz - 2, 0)) over w dz
+  from tr join rw using (slice_id, channel_id) left join m using (slice_id, column_id) window w as (partition by slice_id order by column_id rows unbounded preceding))
+select slice_id, channel_id, column_id, round(a01, 6) a01, round(a12, 6) a12, round(a20, 6) a20, round(a22, 6) a22,
+  round(t0 + case when column_id > 0 and ok then dx else 0 end, 6) + 0 t0, round(t1 + case when column_id > 0 and ok then dy else 0 end, 6) + 0 t1,
+  round(t2 + case when column_id = 0 or ok then a20 * pre else 0 end + case when column_id > 0 and ok then dz else 0 end, 6) + 0 t2 from st""")
+def stitched_affine(spark, sf_dir):
+    """The maps of all columns after stitching; some columns have no estimate."""
+    line = spark.read.parquet(f"{sf_dir}/lineitem.parquet").where("l_suppkey % 4 > 0 and (l_orderkey % 6 + l_suppkey % 4) % 4 <> 1")
+    d = lambda e: F.expr(f"cast({e} as double)")
+    est = line.select(F.expr("cast(l_orderkey % 6 + 1 as int)").alias("slice_id"), F.expr("cast(l_suppkey % 4 as int)").alias("column_id"), d("l_partkey % 11 - 5").alias("ex"), d("l_suppkey % 7 - 3").alias("ey"), d("l_orderkey % 5 - 2").alias("ez"), F.lit(0.25).alias("offset"), F.lit(2).alias("z_offset"))
+    columns = _affined(spark, sf_dir)
+    raw = g.boxes_of(columns, ["slice_id", "channel_id"]).select("slice_id", "channel_id", F.col("lo_x").alias("raw_x"))
+    out = r.stitched_affine(columns.join(raw, ["slice_id", "channel_id"]).select("slice_id", "channel_id", "column_id", "params", "pos0_x", "raw_x"), est)
+    at = {"a01": 1, "a12": 5, "a20": 6, "a22": 8, "t0": 9, "t1": 10, "t2": 11}
+    return out.select("slice_id", "channel_id", "column_id", *[(F.round(F.col("params")[k], 6) + 0.0).alias(n) for n, k in at.items()])
+
+
+#: Pairs of columns with an overlap, an offset in frames and a number of frames each, and their thumbnails.
+_WALK_FRAMES = ["cast(l_orderkey % 6 + 1 as int) slice_id", "cast(l_suppkey % 4 as int) column_id", "cast(l_partkey % 40 * 25 as int) frame", "cast(l_orderkey // 6 % 16 as int) x", "cast(cast(floor(l_extendedprice) as bigint) % (150 + l_partkey % 40 % 7 * 60) as int) v"]
+_WALK_PAIRS = ["slice_id", "column_id", "cast(3 + column_id as int) x1", "cast(13 - column_id as int) x2", "cast((slice_id + column_id) % 3 * 25 - 25 as int) z_offset", "1000 n_frames"]
+
+
+@query(f"""with recursive f as (select {', '.join(_WALK_FRAMES)} from lineitem), p as (select {', '.join(_WALK_PAIRS)} from (select distinct slice_id, column_id from f where column_id > 0)),
+th as (select * from (values (0, 300.0), (1, 200.0), (2, 150.0), (3, 125.0), (4, 112.5)) t(k, t)),
+ca as (select p.*, 100 + least(z_offset, 0) c0, n_frames - 100 - least(-z_offset, 0) c1, cast(unnest(range(100 + least(z_offset, 0), n_frames - 100 - least(-z_offset, 0), 100)) as int) c from p),
+sl as (select ca.slice_id, ca.column_id, c, k, avg(case when v between 0 and t then 1.0 else 0.0 end) s from ca join f on f.slice_id = ca.slice_id and f.column_id = ca.column_id - 1 and f.frame = c and f.x >= x1 cross join th group by all),
+sr as (select ca.slice_id, ca.column_id, c, k, avg(case when v between 0 and t then 1.0 else 0.0 end) s from ca join f on f.slice_id = ca.slice_id and f.column_id = ca.column_id and f.frame = c - z_offset and f.x < x2 cross join th group by all),
+bg as materialized (select ca.slice_id, ca.column_id, ca.c, th.k, greatest(coalesce(sl.s, 1), coalesce(sr.s, 1)) > 0.8 b, ((ca.c + 25) // 100 + ca.slice_id + ca.column_id) % 4 = 0 ok from ca cross join th
+  left join sl on sl.slice_id = ca.slice_id and sl.column_id = ca.column_id and sl.c = ca.c and sl.k = th.k left join sr on sr.slice_id = ca.slice_id and sr.column_id = ca.column_id and sr.c = ca.c and sr.k = th.k),
+w as (select slice_id, column_id, z_offset, 100 + least(z_offset, 0) c0, n_frames - 100 - least(-z_offset, 0) c1, 0 k, 100 + least(z_offset, 0) c, false found, 0 tried from p
+  union all select w.slice_id, w.column_id, z_offset, c0, c1, case when w.c >= c1 then w.k + 1 else w.k end,
+    case when w.c >= c1 then c0 when b then w.c + 100 when ok then w.c else w.c + 200 end, w.c < c1 and not coalesce(b, true) and coalesce(ok, false), tried + case when w.c < c1 and not coalesce(b, true) then 1 else 0 end
+  from w left join bg on bg.slice_id = w.slice_id and bg.column_id = w.column_id and bg.c = w.c and bg.k = w.k where not found and w.k < 5)
+select slice_id, column_id, cast(t as double) threshold, cast(c as bigint) frame, cast(c - 100 as bigint) "start", cast(c + 100 as bigint) stop, cast(c - 100 - z_offset as bigint) start_2, cast(c + 100 - z_offset as bigint) stop_2, tried from w join th using (k) where found""")
+def registration_windows(spark, sf_dir):
+    """Windows found by walking over several candidates, with background and with failed registrations on the way."""
+    frames = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(*[c.replace("//", "div") for c in _WALK_FRAMES])
+    pairs = frames.where("column_id > 0").select("slice_id", "column_id").distinct().selectExpr(*_WALK_PAIRS)
+    shares = r.frame_shares(frames, pairs)
+    registered = shares.select("slice_id", "column_id", "c", (F.expr("((c + 25) div 100 + slice_id + column_id) % 4") == 0).alias("ok"))
+    return r.registration_windows(shares, pairs, registered)

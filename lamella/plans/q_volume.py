@@ -127,7 +127,7 @@ def shear_volume(spark, sf_dir):
     return o.shear_volume(vox(spark, sf_dir), 0.7)
 
 
-_WARPED = f"""with {_VOX}, {sql('surf')}, {FIELD_SQL}, gr as (select row_number() over () point_id, * from {_GRID}), pt as (select point_id, slice_id, x * 50.0::double x, y * 50.0::double y, (slice_id - 1) * 300 + z * 30.0::double z from gr), {field_sql('pt', 'mv')},
+_WARPED = f"""with {_VOX}, {sql('surf')}, {FIELD_SQL}, gr as materialized (select (((slice_id * 10 + cast(channel_id as int)) * 16 + z) * 16 + y) * 16 + x point_id, * from {_GRID}), pt as materialized (select point_id, slice_id, x * 50.0::double x, y * 50.0::double y, (slice_id - 1) * 300 + z * 30.0::double z from gr), {field_sql('pt', 'mv')},
 ps as (select gr.*, qx / 50 px, qy / 50 py, (qz - (gr.slice_id - 1) * 300) / 50 pz from gr join mv using (point_id)), {_corner_sql('ps', 'cr')},
 su as (select cr.point_id, sum(w * vox.v) v from cr join vox on vox.slice_id = cr.slice_id and vox.channel_id = cr.channel_id and vox.x = s_x and vox.y = s_y and vox.z = s_z group by all)"""
 
