@@ -14,27 +14,44 @@ from pyspark.sql import functions as F
 AXES = "xyz"
 
 
-def plan_blocks(boxes: DataFrame, pixel: float, block_x: int, block_z: int) -> DataFrame:
-    """Tiles of output blocks for each column of a slice, in grid pixels from the slice's lower corner.
-
-    A column's y range is its box on the grid; the first begins and the last ends with
-    the slice. Cut points are the previous column's end and the next column's start where
-    they fall inside. Blocks step x and z; each gives up to three tiles; empty ones go.
+def plan_blocks(boxes: DataFrame, pixel: float, block_x: int | None = None, block_z: int | None = None, roi: dict[str, Column | float] | None = None, column: int | None = None) -> DataFrame:
+    """Tiles of output blocks for each column of a slice, in grid pixels from the lower corner of a region.
+
+    ``roi`` gives lo_x to hi_z in the slice, the slice's box by default; its upper end is moved
+    up to the grid. A column's y range is its box on the grid, cut to the region; columns outside
+    go. The first column of a slice begins and the last ends with the region. Cut points are the
+    previous column's end and the next column's start where they fall inside. With ``column``
+    that one alone is planned, and fills the region. Blocks step x and z, by default as many
+    pixels as fit 8 x depth / 1.6, 512 at most, and 1024; each gives up to three tiles; empty
+    ones go.
     """
-    roi = Window.partitionBy("slice_id", "channel_id")
-    by = roi.orderBy("column_id")
-    lo, hi = {a: F.min(f"lo_{a}").over(roi) for a in AXES}, {a: F.max(f"hi_{a}").over(roi) for a in AXES}
-    df = boxes.select("slice_id", "channel_id", "column_id", *[F.ceil(F.round((hi[a] - lo[a]) / pixel, 6)).cast("int").alias(f"n{a}") for a in AXES], F.ceil(F.round((F.col("lo_y") - lo["y"]) / pixel, 6)).cast("int").alias("b"), F.floor(F.round((F.col("hi_y") - lo["y"]) / pixel, 6)).cast("int").alias("e"))
-    df = df.withColumn("prev", F.lag("e").over(by)).withColumn("next", F.lead("b").over(by))
-    df = df.withColumn("y0", F.when(F.col("prev").isNull(), 0).otherwise(F.col("b"))).withColumn("y3", F.when(F.col("next").isNull(), F.col("ny")).otherwise(F.col("e")))
+    whole = Window.partitionBy("slice_id", "channel_id")
+    by = whole.orderBy("column_id")
+    box = {f"lo_{a}": F.min(f"lo_{a}").over(whole) for a in AXES} | {f"hi_{a}": F.max(f"hi_{a}").over(whole) for a in AXES}
+    region = box if roi is None else {k: F.lit(v) for k, v in roi.items()}
+    on_grid = lambda v: F.round((v - F.col("r_y")) / pixel, 6)
+    depth = F.floor(F.round((box["hi_z"] - box["lo_z"]) / 1.6 / pixel, 6)) * 8
+    df = boxes.select(
+        "slice_id", "channel_id", "column_id", "lo_y", "hi_y",
+        region["lo_y"].alias("r_y"),
+        *[F.ceil(F.round((region[f"hi_{a}"] - region[f"lo_{a}"]) / pixel, 6)).cast("int").alias(f"n{a}") for a in AXES],
+        F.lag("hi_y").over(by).alias("before"), F.lead("lo_y").over(by).alias("after"),
+        (F.least(depth, F.lit(512)).cast("int") if block_x is None else F.lit(block_x)).alias("step_x"), F.lit(1024 if block_z is None else block_z).alias("step_z"),
+    )
+    if column is not None:
+        df = df.where(F.col("column_id") == column).withColumns({c: F.lit(None).cast("double") for c in ("before", "after")})
+    top = F.col("r_y") + F.col("ny") * pixel
+    low, high = F.greatest("lo_y", "r_y"), F.least(F.col("hi_y"), top)
+    df = df.withColumns({"b": F.ceil(on_grid(low)).cast("int"), "e": F.floor(on_grid(high)).cast("int"), "prev": F.floor(on_grid(F.col("before"))).cast("int"), "next": F.ceil(on_grid(F.col("after"))).cast("int")}).where(high > low)
+    df = df.withColumn("y0", F.when(F.col("before").isNull(), 0).otherwise(F.col("b"))).withColumn("y3", F.when(F.col("after").isNull(), F.col("ny")).otherwise(F.col("e")))
     cut = lambda c, other: F.when((F.col(c) > F.col("y0")) & (F.col(c) < F.col("y3")), F.col(c)).otherwise(other)
     df = df.withColumn("y1", cut("prev", F.col("y0"))).withColumn("y2", cut("next", F.col("y3")))
-    steps = lambda n, size: F.sequence(F.lit(0), F.greatest(F.col(n) - 1, F.lit(0)), F.lit(size))
-    df = df.withColumn("x0", F.explode(steps("nx", block_x))).withColumn("z0", F.explode(steps("nz", block_z)))
+    steps = lambda a: F.sequence(F.lit(0), F.greatest(F.col(f"n{a}") - 1, F.lit(0)), F.greatest(F.col(f"step_{a}"), F.lit(1)))
+    df = df.withColumn("x0", F.explode(steps("x"))).withColumn("z0", F.explode(steps("z")))
     tiles = F.array(*[F.struct(F.col(a).alias("t0"), F.col(b).alias("t1")) for a, b in (("y0", "y1"), ("y1", "y2"), ("y2", "y3"))])
-    df = df.select("*", F.posexplode(tiles).alias("tile", "t")).where("t.t1 > t.t0")
-    ends = lambda start, size, n: F.least(F.col(start) + size, F.col(n))
-    return df.select("slice_id", "channel_id", "column_id", "tile", "x0", ends("x0", block_x, "nx").alias("x1"), F.col("t.t0").alias("ty0"), F.col("t.t1").alias("ty1"), "z0", ends("z0", block_z, "nz").alias("z1"))
+    df = df.select("*", F.posexplode(tiles).alias("tile", "t")).where("t.t1 > t.t0 and nx > 0 and nz > 0")
+    ends = lambda a: F.least(F.col(f"{a}0") + F.greatest(F.col(f"step_{a}"), F.lit(1)), F.col(f"n{a}")).alias(f"{a}1")
+    return df.select("slice_id", "channel_id", "column_id", "tile", "x0", ends("x"), F.col("t.t0").alias("ty0"), F.col("t.t1").alias("ty1"), "z0", ends("z"))
 
 
 def block_source_range(blocks: DataFrame) -> DataFrame:

@@ -43,6 +43,49 @@ def plan_blocks(spark, sf_dir):
     return o.plan_blocks(_boxes(spark, sf_dir), 4.0, 16, 20)
 
 
+def _plan_sql(only: str = "", step_x: str = "16", step_z: str = "20", cut: bool = True) -> str:
+    """Blocks of a region inside the slice box (or of the box itself), for all columns or for one."""
+    lo, hi = ({"x": "mx + 10", "y": "my + 61", "z": "mz + 5"}, {"x": "ux - 7", "y": "uy - 90.5::double", "z": "uz - 3"}) if cut else ({a: f"m{a}" for a in "xyz"}, {a: f"u{a}" for a in "xyz"})
+    near = ("null", "null") if only else ("lag(hi_y) over w", "lead(lo_y) over w")
+    return f"""with {_B},
+r0 as (select *, min(lo_x) over w mx, min(lo_y) over w my, min(lo_z) over w mz, max(hi_x) over w ux, max(hi_y) over w uy, max(hi_z) over w uz from bx window w as (partition by slice_id, channel_id)),
+r1 as (select *, {', '.join(f'{lo[a]} r{a}' for a in 'xyz')}, {', '.join(f'cast(ceil(round(({hi[a]} - ({lo[a]})) / 4, 6)) as int) n{a}' for a in 'xyz')}, {near[0]} before, {near[1]} after from r0 window w as (partition by slice_id, channel_id order by column_id)),
+r2 as (select *, {step_x} sx, {step_z} sz, cast(ceil(round((greatest(lo_y, ry) - ry) / 4, 6)) as int) b, cast(floor(round((least(hi_y, ry + 4 * ny) - ry) / 4, 6)) as int) e, cast(floor(round((before - ry) / 4, 6)) as int) prev, cast(ceil(round((after - ry) / 4, 6)) as int) nxt
+  from r1 where least(hi_y, ry + 4 * ny) > greatest(lo_y, ry){only}),
+s as (select *, case when before is null then 0 else b end y0, case when after is null then ny else e end y3 from r2),
+t as (select *, case when prev > y0 and prev < y3 then prev else y0 end y1, case when nxt > y0 and nxt < y3 then nxt else y3 end y2 from s),
+u as (select *, unnest(range(0, greatest(nx, 1), sx)) x0 from t), v as (select *, unnest(range(0, greatest(nz, 1), sz)) z0 from u),
+ti as (select *, unnest([0, 1, 2]) tile, unnest([y0, y1, y2]) ty0, unnest([y1, y2, y3]) ty1 from v)
+select slice_id, channel_id, column_id, tile, cast(x0 as int) x0, cast(least(x0 + sx, nx) as int) x1, ty0, ty1, cast(z0 as int) z0, cast(least(z0 + sz, nz) as int) z1 from ti where ty1 > ty0"""
+
+
+def _region(boxes):
+    """``boxes`` with a region inside each slice's box as columns."""
+    box = boxes.groupBy("slice_id", "channel_id").agg(*[f(f"{e}_{a}").alias(f"{e}b_{a}") for e, f in (("lo", F.min), ("hi", F.max)) for a in "xyz"])
+    inset = {"lo_x": 10, "lo_y": 61, "lo_z": 5, "hi_x": -7, "hi_y": -90.5, "hi_z": -3}
+    return boxes.join(box, ["slice_id", "channel_id"]), {k: F.col(f"{k[:2]}b_{k[3:]}") + v for k, v in inset.items()}
+
+
+@query(_plan_sql())
+def plan_blocks_region(spark, sf_dir):
+    """A region that cuts the first and the last column."""
+    boxes, roi = _region(_boxes(spark, sf_dir))
+    return o.plan_blocks(boxes, 4.0, 16, 20, roi)
+
+
+@query(_plan_sql(" and column_id = 2"))
+def plan_blocks_column(spark, sf_dir):
+    """One column alone fills the region."""
+    boxes, roi = _region(_boxes(spark, sf_dir))
+    return o.plan_blocks(boxes, 4.0, 16, 20, roi, 2)
+
+
+@query(_plan_sql(step_x="cast(least(floor(round((uz - mz) / cast(1.6 as double) / 4, 6)) * 8, 512) as int)", step_z="1024", cut=False))
+def plan_blocks_default(spark, sf_dir):
+    """The slice's box in blocks of the default size."""
+    return o.plan_blocks(_boxes(spark, sf_dir), 4.0)
+
+
 _CORNER = ", ".join(f"a20 * {e}_x + a22 * {f}_z + t2" for e in ("lo", "hi") for f in ("lo", "hi"))
 
 
