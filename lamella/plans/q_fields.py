@@ -12,6 +12,8 @@ from lamella.plans.q_geometry import _B, _affined, _boxes
 from lamella.plans.q_manifest import _BUILT, built
 from lamella.plans.q_volume import vox
 from lamella.plans.views import FIELD_SQL, IMAGE_SQL, SLICES_SQL, field, images, slices, sql, view
+from lamella.sources import store
+from lamella.sources.cut import fresh_path
 
 _V, _S = sql("vox"), sql("surf")
 _GY = "(select cast(unnest(range(0, 8)) as int) gy), (select cast(unnest(range(0, 8)) as int) gx)"
@@ -171,9 +173,15 @@ def build_brain(spark, sf_dir):
     return out.select("slice_id", "plane", "gy", "gx", *[F.round(c, 6).alias(c) for c in ("dx", "dy", "dz")])
 
 
-@query(f"with {_S} select distinct slice_id, cast(0 as double) lo_x, cast(0 as double) lo_y, cast((slice_id - 1) * 300 as double) lo_z, cast(800 as double) hi_x, cast(800 as double) hi_y, cast(slice_id * 300 as double) hi_z from surf")
+@query(f"""with {_PF}, {SLICES_SQL} select slice_id, plane, gy, gx, round(dx * 4, 6) dx, round(dy * 4, 6) dy, round(lo_z - (slice_id - 1 + plane) * 300, 6) dz,
+  cast((slice_id - 1) * 300 as double) lo_z, cast(slice_id * 300 as double) hi_z, cast(200 * 4 as double) hi_x from pf join slices using (slice_id)""")
 def write_brain(spark, sf_dir):
-    return o.build_brain(pixel_field(spark, sf_dir).withColumn("dz", F.lit(0.0)), slices(spark), 4.0, 300.0, 200, 200)[0]
+    """A brain written and read back: its fields with the boxes of their slices."""
+    path = fresh_path(spark, "brain")
+    store.write_brain(*o.build_brain(pixel_field(spark, sf_dir).withColumn("dz", F.lit(0.0)), slices(spark), 4.0, 300.0, 200, 200), path)
+    boxes, stored = store.read_brain(spark, path)
+    out = stored.join(boxes, "slice_id")
+    return out.select("slice_id", "plane", "gy", "gx", *[F.round(c, 6).alias(c) for c in ("dx", "dy", "dz")], "lo_z", "hi_z", "hi_x")
 
 
 @query(f"with {_PF} select slice_id, plane, gy, gx, true converged, cast(gy as double) fy, cast(gx as double) fx from pf")

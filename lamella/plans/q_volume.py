@@ -11,6 +11,7 @@ from lamella.plans.catalog import query
 from lamella.plans.q_geometry import _B, _affined, _boxes, field_sql
 from lamella.plans.views import FIELD_SQL, field, sql, view
 from lamella.sources import store
+from lamella.sources.cut import fresh_path
 
 K = ["slice_id", "channel_id"]
 SIZES = {"x": 16, "y": 16, "z": 10}
@@ -228,6 +229,10 @@ def read_frames(spark, sf_dir):
     return got.select("slice_id", "column_id", "frame", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("s", F.lit(0)).cast("bigint").alias("s"), "missing")
 
 
-@query(f"with {_VOX} select slice_id, channel_id, z, y, x, least(((v + 8) >> 4) << 4, 65520) v from vox")
+@query(f"with {_VOX} select slice_id, channel_id, z, y, x, least(((v + 8) >> 4) << 4, 65520) v from vox where v >= 8")
 def write_planes(spark, sf_dir):
-    return store.planes(vox(spark, sf_dir), quantized=True)
+    """Chunks written as quantised planes, and what is read back."""
+    path = fresh_path(spark, "planes")
+    store.write_planes(store.from_voxels(vox(spark, sf_dir), K, 8), path, K, quantized=True)
+    kinds = "z int, y0 int, height int, width int, data binary, slice_id int, channel_id string"
+    return store.planes_to_voxels(store.read_planes(spark, path, kinds), K)

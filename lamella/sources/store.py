@@ -13,8 +13,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamella.functions.pixels import quantize
-
 
 def _keyed(df: DataFrame, keys: list[str]) -> str:
     return ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
@@ -78,13 +76,61 @@ def max_projection_chunks(chunks: DataFrame, keys: list[str]) -> DataFrame:
     return chunks.mapInPandas(run, f"{_keyed(chunks, keys)}, y int, x int, v int").groupBy(*keys, "y", "x").agg(F.max("v").alias("v"))
 
 
-def planes(voxels: DataFrame, quantized: bool = False) -> DataFrame:
-    """Voxels as they are written plane by plane, quantised on request."""
-    return voxels.withColumn("v", quantize(F.col("v"))) if quantized else voxels
+def planes(chunks: DataFrame, keys: list[str], quantized: bool = False) -> DataFrame:
+    """(keys, z, y0, height, width, data): planes in strips as high as a chunk, quantised on request.
+
+    Each chunk is cut into slabs where it lies, and the slabs of a strip are put side by side
+    in one group, so a group holds one strip whatever the size of a plane. Strips of zeros are
+    not stored; a missing strip reads as zeros.
+    """
+    place = [*keys, "z", "cy", "cx"]
+
+    def slabs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for i, block in _blocks(batch):
+                row = batch.iloc[i]
+                n = row["size"]
+                if quantized:
+                    block = np.minimum((block.astype(np.int64) + 8 >> 4) << 4, 65520).astype("<u2")
+                found += [[*row[keys], row["cz"] * n + k, row["cy"], row["cx"], n, slab.tobytes()] for k, slab in enumerate(block) if slab.any()]
+            yield pd.DataFrame(found, columns=[*place, "size", "data"])
+
+    def strip(rows: pd.DataFrame) -> pd.DataFrame:
+        n, first = int(rows["size"].iloc[0]), rows.iloc[0]
+        out = np.zeros((n, (int(rows["cx"].max()) + 1) * n), "<u2")
+        for cx, data in zip(rows["cx"], rows["data"], strict=True):
+            out[:, cx * n : cx * n + n] = np.frombuffer(data, "<u2").reshape(n, n)
+        return pd.DataFrame([[*first[keys], first["z"], first["cy"] * n, *out.shape, out.tobytes()]], columns=[*keys, "z", "y0", "height", "width", "data"])
+
+    kinds = f"{_keyed(chunks, keys)}, z int, "
+    cut = chunks.mapInPandas(slabs, kinds + "cy int, cx int, size int, data binary")
+    return cut.groupBy(*keys, "z", "cy").applyInPandas(strip, kinds + "y0 int, height int, width int, data binary")
+
 
+def write_planes(chunks: DataFrame, path: str, keys: list[str], quantized: bool = False) -> None:
+    """Planes of chunks as Parquet, a folder for each volume, so that one volume or plane is read alone."""
+    planes(chunks, keys, quantized).write.mode("overwrite").partitionBy(*keys).parquet(path)
 
-def write_planes(voxels: DataFrame, path: str, quantized: bool = False) -> None:
-    planes(voxels, quantized).write.partitionBy("slice_id", "channel_id").parquet(path)
+
+def read_planes(spark: SparkSession, path: str, schema: str | None = None, first: int | None = None, last: int | None = None) -> DataFrame:
+    """Strips of written planes, of planes ``first`` to ``last`` on request; ``schema`` fixes the kinds of the keys."""
+    df = (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    df = df if first is None else df.where(F.col("z") >= first)
+    return df if last is None else df.where(F.col("z") <= last)
+
+
+def planes_to_voxels(strips: DataFrame, keys: list[str]) -> DataFrame:
+    """Long form of strips, without zeros."""
+
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.to_dict("records"):
+                strip = np.frombuffer(row["data"], "<u2").reshape(row["height"], row["width"])
+                y, x = np.nonzero(strip)
+                yield pd.DataFrame({**{k: row[k] for k in keys}, "z": row["z"], "y": y + row["y0"], "x": x, "v": strip[y, x].astype(int)})
+
+    return strips.mapInPandas(unpack, f"{_keyed(strips, keys)}, z int, y int, x int, v int")
 
 
 def read_frames(frames: DataFrame, keys: list[str], start: int, stop: int | None = None) -> DataFrame:
@@ -95,10 +141,12 @@ def read_frames(frames: DataFrame, keys: list[str], start: int, stop: int | None
     return wanted.join(inside, [*keys, "frame"], "left").withColumn("missing", F.col("_here").isNull()).drop("_here")
 
 
-def write_brain(slices: DataFrame, field: DataFrame, path: str) -> None:
-    """Slice boxes and displacement fields; the field is split by slice, so one slice is read alone."""
+def write_brain(slices: DataFrame, field: DataFrame, path: str, sphere_map: DataFrame | None = None) -> None:
+    """Slice boxes, displacement fields and the sphere map; the field is split by slice, so one slice is read alone."""
     slices.write.mode("overwrite").parquet(f"{path}/slices")
     field.write.mode("overwrite").partitionBy("slice_id").parquet(f"{path}/field")
+    if sphere_map is not None:
+        sphere_map.write.mode("overwrite").parquet(f"{path}/sphere_map")
 
 
 def read_brain(spark: SparkSession, path: str, slice_id: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -107,3 +155,8 @@ def read_brain(spark: SparkSession, path: str, slice_id: int | None = None) -> t
     if slice_id is None:
         return slices, field
     return slices.where(F.col("slice_id") == slice_id), field.where(F.col("slice_id") == slice_id)
+
+
+def read_sphere_map(spark: SparkSession, path: str) -> DataFrame:
+    """The sphere map of a written brain."""
+    return spark.read.parquet(f"{path}/sphere_map")
