@@ -34,6 +34,19 @@ from lamella.llm.common import table
 #: Fixed value: the published word pattern of byte-level vocabularies of this kind.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: Code points, in hexadecimal, that the regex module counts as letters or digits since versions of
+#: Unicode after 16.0, whose tables the tokenizers library has. A test goes through all letters and digits.
+NEWER_POINTS = """
+558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959
+10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB 11DE0-11DE9 11DF1 1246F 12475-1247F 12550-12686 16EA0-16EB8
+16EBB-16ED3 16FF2-16FF6 187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128
+1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED
+1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F
+"""
+NEWER = "".join("-".join(f"\\U{int(c, 16):08x}" for c in r.split("-")) for r in NEWER_POINTS.split())
+#: Texts with such a character are rare and are split by a pattern that takes it as neither letter nor digit.
+OLDER_WORDS = WORDS.replace(r"\p{L}+", rf"(?:(?![{NEWER}])\p{{L}})+").replace(r"\p{N}+", rf"(?:(?![{NEWER}])\p{{N}})+").replace(r"[^\s\p{L}\p{N}]+", rf"(?:[^\s\p{{L}}\p{{N}}]|[{NEWER}])+")
+
 MAX_VOCABULARY_BYTES = 64 << 20
 LONG_WORD = 256
 #: Words whose tokens a worker remembers, twice: when the newer memory is full it becomes the older
@@ -76,7 +89,8 @@ class Vocabulary:
         self.table = np.frombuffer(b"".join(parts), np.uint8)
         self.lengths = np.array([len(p) for p in parts], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
-        self.words = regex.compile(WORDS)
+        self.words, self.older_words = regex.compile(WORDS), regex.compile(OLDER_WORDS)
+        self.newer = regex.compile(f"[{NEWER}]")
         self.split = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -136,7 +150,8 @@ class Vocabulary:
             if k % 2:
                 out.append(array("I", [self.special[section]]).tobytes())
                 continue
-            words = self.words.findall(section)
+            newer = not section.isascii() and self.newer.search(section)
+            words = (self.older_words if newer else self.words).findall(section)
             for at in range(0, len(words), FOUND):
                 known = self.known.get
                 out += [known(w) or pack(w) for w in words[at : at + FOUND]]

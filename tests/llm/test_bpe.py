@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import regex
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
@@ -41,6 +42,20 @@ def test_every_code_point_splits_alike():
             assert np.frombuffer(own.encode(text), "<u4").tolist() == enc.ids, repr(text)
 
 
+def test_words_break_alike_at_every_letter_and_digit():
+    path = bpe.public_vocabulary()
+    library, own = Tokenizer.from_file(path), bpe.Vocabulary(open(path, encoding="utf-8").read())
+    wide = [(0x3400, 0x9F00), (0xAC00, 0xD700), (0x17000, 0x18C00), (0x20000, 0x2A000), (0x2B000, 0x2EB00), (0x30000, 0x31200)]
+    known = regex.compile(r"[\p{L}\p{N}\s]")
+    points = [c for c in range(0x34000) if not 0xD800 <= c < 0xE000 and (c % 13 == 0 or not any(a <= c < b for a, b in wide)) and known.match(chr(c))]
+    newer = [ord(c) for c in regex.findall(f"[{bpe.NEWER}]", "".join(chr(c) for c in range(0x40000) if not 0xD800 <= c < 0xE000))]
+    points = sorted({*points, *newer})
+    for at in range(0, len(points), 50):
+        some = ["\n".join(f"{chr(c)}'s|a{chr(c)}'t|{chr(c)}1|1{chr(c)} {chr(c)}" for c in points[i : i + 5]) for i in range(at, at + 50, 5)]
+        for text, enc in zip(some, library.encode_batch(some, add_special_tokens=False), strict=True):
+            assert np.frombuffer(own.encode(text), "<u4").tolist() == enc.ids, text
+
+
 def test_short_and_long_words_agree():
     own = bpe.Vocabulary(open(bpe.public_vocabulary(), encoding="utf-8").read())
     rnd = random.Random(1)
