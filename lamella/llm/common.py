@@ -95,6 +95,14 @@ def _of_files(df: DataFrame) -> bool:
     return node.nodeName() == "LogicalRelation"
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def row_keyed(df: DataFrame, name: str = "_row") -> DataFrame:
     """Add a unique row key that comes out the same each time the input is read.
 
@@ -118,6 +126,6 @@ BROADCAST_KEYS = 500_000
 
 
 def without_rows(keyed: DataFrame, gone: DataFrame, name: str = "_row") -> DataFrame:
-    """The rows of ``keyed`` whose key isn't in the written table ``gone``; while that is small, whole rows are not shuffled."""
-    gone = gone.select(name)
+    """The rows of ``keyed``, with the key ``name``, whose key isn't among the ``_row`` of the written table ``gone``; while that is small, whole rows are not shuffled."""
+    gone = gone.select(F.col("_row").alias(name))
     return keyed.join(F.broadcast(gone) if gone.count() <= BROADCAST_KEYS else gone, name, "left_anti").drop(name)

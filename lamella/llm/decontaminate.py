@@ -26,7 +26,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamella.llm.common import BROADCAST_KEYS, Scratch, row_keyed, table, without_rows
+from lamella.llm.common import BROADCAST_KEYS, Scratch, free_name, row_keyed, table, without_rows
 
 SHINGLE_WORDS, THRESHOLD = 5, 0.8
 #: Sketch size of the partition of items with up to 2**c shingles: the square root of the size, this at least.
@@ -139,10 +139,11 @@ def _matches(keyed: DataFrame, items: DataFrame, threshold: float, item_col: str
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The documents that hold no item at the threshold, with all their columns."""
-    keyed = row_keyed(docs)
-    found = _matches(keyed.select("_row", F.lit(None).cast("string").alias("id"), F.col(text_col).alias("text")), items, threshold, item_col, item_text_col)
+    row = free_name(docs, "_row")
+    keyed = row_keyed(docs, row)
+    found = _matches(keyed.select(F.col(row).alias("_row"), F.lit(None).cast("string").alias("id"), F.col(text_col).alias("text")), items, threshold, item_col, item_text_col)
     found = Scratch(docs.sparkSession, "contaminated").keep(found.select("_row").distinct(), "found")
-    return without_rows(keyed, found).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return without_rows(keyed, found, row).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,6 +56,9 @@ def test_matches_brute_force(spark):
     assert kept.columns == df.columns
     bad = {i for i, *_ in want}
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r[0]) for r in docs if str(r[0]) not in bad)
+    clash = df.withColumnRenamed(df.columns[-1], "_row").withColumnRenamed(df.columns[-2], "_words")
+    kept = d.remove_contaminated(clash, tests)
+    assert kept.columns == clash.columns and kept.where("_row is not null").count() > 0
 
 
 def test_empty_tables_and_no_python(spark):
