@@ -126,6 +126,7 @@ def downsample(voxels: DataFrame, keys: list[str], sizes: dict[str, int], factor
     """Linear samples at k * factor for k up to ceil(n / factor); zeros left out.
 
     A source voxel gives its weight to the outputs within one voxel of it, so no grid is made.
+    Past the last voxel, by less than half of one, a sample takes the last value.
     """
     df = voxels
     for a in AXES:
@@ -133,7 +134,7 @@ def downsample(voxels: DataFrame, keys: list[str], sizes: dict[str, int], factor
         f = F.lit(float(factor[a]))
         near = F.sequence(F.greatest(F.ceil((F.col(a) - 1) / f), F.lit(0)), F.least(F.floor((F.col(a) + 1) / f), F.lit(int(n) - 1)))
         near = F.when(F.ceil((F.col(a) - 1) / f) <= F.least(F.floor((F.col(a) + 1) / f), F.lit(int(n) - 1)), near)
-        df = df.withColumn(f"o_{a}", F.explode(near)).withColumn(f"w_{a}", 1 - F.abs(F.col(f"o_{a}") * f - F.col(a))).where(f"w_{a} > 0").where(F.col(f"o_{a}") * f <= sizes[a] - 0.5)
+        df = df.withColumn(f"o_{a}", F.explode(near)).withColumn(f"w_{a}", 1 - F.abs(F.least(F.col(f"o_{a}") * f, F.lit(sizes[a] - 1.0)) - F.col(a))).where(f"w_{a} > 0").where(F.col(f"o_{a}") * f < sizes[a] - 0.5)
     return df.groupBy(*keys, *[F.col(f"o_{a}").cast("int").alias(a) for a in ("z", "y", "x")]).agg(F.sum(F.col("w_x") * F.col("w_y") * F.col("w_z") * F.col("v")).alias("v"))
 
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lamella.operators import chunks
 from lamella.operators import surface as o
 from lamella.plans.catalog import query
 from lamella.plans.q_volume import _GRID, SIZES, _grid, vox
 from lamella.plans.views import IMAGE_SQL, images, sql
+from lamella.sources import store
 
 K = ["slice_id", "channel_id"]
 _V, _S = sql("vox"), sql("surf")
@@ -24,6 +26,14 @@ def fill_blank(spark, sf_dir):
     return o.fill_blank(dense(spark, sf_dir), K).select(*K, "z", "y", "x", "v")
 
 
+@query(f"""with {_V}, {_DENSE}, f as (select slice_id, channel_id, z, y, x, coalesce(last_value(case when v > 90 then v end ignore nulls) over (partition by slice_id, channel_id, y, x order by z rows between unbounded preceding and current row),
+ first_value(case when v > 90 then v end ignore nulls) over (partition by slice_id, channel_id, y, x order by z rows between current row and unbounded following), 0) v from dn)
+select slice_id, channel_id, z, y, x, v from f where v > 0""")
+def fill_blank_chunks(spark, sf_dir):
+    """Chunks of four voxels, so that values pass through two borders."""
+    return store.to_voxels(chunks.fill_blank_chunks(store.from_voxels(vox(spark, sf_dir), K, 4), K, 10, 4))
+
+
 _TAPS = ", ".join(f"({5 - i}, cast({k} as double))" for i, k in enumerate(o.EDGE))
 
 

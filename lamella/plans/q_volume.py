@@ -166,16 +166,38 @@ def downsample(spark, sf_dir):
     return o.downsample(vox(spark, sf_dir), K, SIZES, {"x": 3, "y": 2, "z": 1}).withColumn("v", F.round("v", 6))
 
 
+_FACTOR = {"x": 3.0, "y": 2.2, "z": 1.35}
+_STEPS = ", ".join(f"{a}s as (select * from (select cast(unnest(range(0, {int(-(-SIZES[a] // f))})) as int) o_{a}) where o_{a} * cast({f} as double) < {SIZES[a] - 0.5})" for a, f in _FACTOR.items())
+_CW = {a: f"(1 - abs(least(o_{a} * cast({f} as double), {SIZES[a] - 1}) - vox.{a}))" for a, f in _FACTOR.items()}
+
+
+@query(f"""with {_VOX}, {_STEPS}, su as (select slice_id, channel_id, o_z z, o_y y, o_x x, sum({_CW['x']} * {_CW['y']} * {_CW['z']} * v) v
+from vox join xs on {_CW['x']} > 0 join ys on {_CW['y']} > 0 join zs on {_CW['z']} > 0 group by all)
+select slice_id, channel_id, z, y, x, cast(floor(round(v, 6) + 0.5) as int) v from su where round(v, 6) >= 0.5""")
+def downsample_chunks(spark, sf_dir):
+    """Steps that are no whole voxels; the last sample along y and z lies past the last voxel's centre."""
+    return store.to_voxels(chunks.downsample_chunks(store.from_voxels(vox(spark, sf_dir), K, 8), K, SIZES, _FACTOR, 8))
+
+
 @query(f"with {_VOX} select slice_id, channel_id, z, cast(round_even(y + z * cast(0.7 as double), 0) as int) y, x, v from vox")
 def shear_volume(spark, sf_dir):
     return o.shear_volume(vox(spark, sf_dir), 0.7)
 
 
-_WARPED = f"""with {_VOX}, {sql('surf')}, {FIELD_SQL}, gr as materialized (select (((slice_id * 10 + cast(channel_id as int)) * 16 + z) * 16 + y) * 16 + x point_id, * from {_GRID}), pt as materialized (select point_id, slice_id, x * 50.0::double x, y * 50.0::double y, (slice_id - 1) * 300 + z * 30.0::double z from gr), {field_sql('pt', 'mv')},
-ps as (select gr.*, qx / 50 px, qy / 50 py, (qz - (gr.slice_id - 1) * 300) / 50 pz from gr join mv using (point_id)), {_corner_sql('ps', 'cr')},
+def _warped(sizes: dict[str, int], lo: dict[str, float], origin: dict[str, float]) -> str:
+    """Values of the grid that begins at ``lo`` below the slice's corner, from a source whose voxel 0 is at ``origin``."""
+    grid = "(select slice_id, channel_id from vox group by all), " + ", ".join(f"(select cast(unnest(range(0, {sizes[a]})) as int) {a})" for a in "zyx")
+    d = lambda v: f"cast({v} as double)"
+    return f"""with {_VOX}, {sql('surf')}, {FIELD_SQL}, gr as materialized (select (((slice_id * 10 + cast(channel_id as int)) * 16 + z) * 16 + y) * 16 + x point_id, * from {grid}),
+pt as materialized (select point_id, slice_id, x * 50.0::double + {d(lo['x'])} x, y * 50.0::double + {d(lo['y'])} y, (slice_id - 1) * 300 + z * 30.0::double + {d(lo['z'])} z from gr), {field_sql('pt', 'mv')},
+ps as (select gr.*, (qx - {d(origin['x'])}) / 50 px, (qy - {d(origin['y'])}) / 50 py, (qz - (gr.slice_id - 1) * 300 - {d(origin['z'])}) / 50 pz from gr join mv using (point_id)), {_corner_sql('ps', 'cr')},
 su as (select cr.point_id, sum(w * vox.v) v from cr join vox on vox.slice_id = cr.slice_id and vox.channel_id = cr.channel_id and vox.x = s_x and vox.y = s_y and vox.z = s_z group by all)"""
 
 
+_NONE = dict.fromkeys("xyz", 0.0)
+_WARPED = _warped(SIZES, _NONE, _NONE)
+
+
 @query(f"{_WARPED} select slice_id, channel_id, z, y, x, round(coalesce(v, 0), 4) v from gr left join su using (point_id)")
 def warp_slice(spark, sf_dir):
     grid = _grid(spark, sf_dir).withColumn("point_id", F.concat_ws(":", *K, "z", "y", "x"))
@@ -191,6 +213,18 @@ def warp_chunks(spark, sf_dir):
     return store.to_voxels(chunks.warp_chunks(stored, K, field(spark, sf_dir), SIZES, SIZES, 8, {"x": 50.0, "y": 50.0, "z": 30.0}, 50.0, 100.0, 8, 8, 300.0))
 
 
+_ROI = {"x": (-60.0, 545.0), "y": (130.0, 790.0), "z": (40.0, 275.0)}
+_SPACING = {"x": 50.0, "y": 50.0, "z": 30.0}
+_ORIGIN = {"x": 20.0, "y": -35.0, "z": 10.0}
+
+
+@query(f"{_warped(chunks.region_sizes(_ROI, _SPACING), {a: r[0] for a, r in _ROI.items()}, _ORIGIN)} select slice_id, channel_id, z, y, x, cast(floor(round(v, 6) + 0.5) as int) v from gr join su using (point_id) where round(v, 6) >= 0.5")
+def warp_chunks_region(spark, sf_dir):
+    """A region that begins before the slice along x and inside it along y and z, from a source that is moved."""
+    stored = store.from_voxels(vox(spark, sf_dir), K, 8)
+    return store.to_voxels(chunks.warp_chunks(stored, K, field(spark, sf_dir), SIZES, SIZES, 8, _SPACING, 50.0, 100.0, 8, 8, 300.0, _ROI, _ORIGIN))
+
+
 @query(f"with {_VOX} select distinct slice_id, z k, cast((slice_id - 1) * 75 + z as int) plane, slice_id || '/Z' || lpad(cast((slice_id - 1) * 75 + z as varchar), 5, '0') || '_C488' as \"name\", cast(0.004 as double) spacing_mm from vox")
 def brain_planes(spark, sf_dir):
     return o.brain_planes(vox(spark, sf_dir).select("slice_id", F.col("z").alias("k")).distinct(), 300.0, 4.0, "488")
