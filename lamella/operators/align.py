@@ -20,7 +20,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamella.operators.register import mutual_information
@@ -196,13 +196,58 @@ def best_candidates(scores: DataFrame, keys: list[str], n: int) -> DataFrame:
     return scores.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= n).drop("_r")
 
 
-def rigid_levels(fixed: DataFrame, moving: DataFrame, keys: list[str], levels: int, step: float, turns: int, reach: int, centre: Centre, bin_width: int, beam: int = 3) -> DataFrame:
+def _turned(x: Column, y: Column, angle: Column, centre: Centre) -> tuple[Column, Column]:
+    c, s = F.round(F.cos(angle), 12), F.round(F.sin(angle), 12)
+    px, py = x - centre[0], y - centre[1]
+    return px * c - py * s + centre[0], px * s + py * c + centre[1]
+
+
+def points_before(points: DataFrame, found: DataFrame, keys: list[str], step: float, centre: Centre) -> DataFrame:
+    """``points`` (keys, px, py) moved by the inverse of their key's rigid map (keys, k, sx, sy); other columns are kept.
+
+    The maps take a template's place to a surface's, so points marked on a surface come back
+    to the template. A key without a map keeps its points.
+    """
+    maps = found.select(*keys, F.col("k").alias("_k"), F.col("sx").alias("_sx"), F.col("sy").alias("_sy"))
+    nx, ny = _turned(F.col("px") - F.col("_sx"), F.col("py") - F.col("_sy"), -F.col("_k") * step, centre)
+    return points.join(maps, keys, "left").withColumns({"px": F.coalesce(nx, "px"), "py": F.coalesce(ny, "py")}).drop("_k", "_sx", "_sy")
+
+
+def pulled_scores(scores: DataFrame, anchors: DataFrame, keys: list[str], step: float, centre: Centre, weight: float, scale: int = 1) -> DataFrame:
+    """Scores of rigid candidates less ``weight`` times the distances of their maps' points from the anchors.
+
+    ``anchors`` (keys, px, py, qx, qy) pair a fixed with a moving place on the finest grid, a few
+    a key; shifts and ``centre`` are pixels of ``scale`` of it. A key without anchors keeps its scores.
+    """
+    rest = (scale - 1) / 2  # a coarse pixel's centre on the finest grid
+    both = scores.join(anchors.select(*keys, "px", "py", "qx", "qy"), keys)
+    nx, ny = _turned((F.col("px") - rest) / scale, (F.col("py") - rest) / scale, F.col("k") * step, centre)
+    far = F.hypot((nx + F.col("sx")) * scale + rest - F.col("qx"), (ny + F.col("sy")) * scale + rest - F.col("qy"))
+    pull = both.groupBy(*keys, "k", "sx", "sy").agg(F.sum(far).alias("_far"))
+    return scores.join(pull, [*keys, "k", "sx", "sy"], "left").withColumn("mi", F.round(F.col("mi") - weight * F.coalesce("_far", F.lit(0.0)), 9)).drop("_far")
+
+
+def rigid_levels(
+    fixed: DataFrame,
+    moving: DataFrame,
+    keys: list[str],
+    levels: int,
+    step: float,
+    turns: int,
+    reach: int,
+    centre: Centre,
+    bin_width: int,
+    beam: int = 3,
+    anchors: DataFrame | None = None,
+    weight: float = 0.0,
+) -> DataFrame:
     """(keys, k, sx, sy, mi): best rotation by k * ``step`` and shift of each key, found over ``levels`` of halved tiles.
 
     The coarsest level looks at all angles up to ``turns`` of its steps (each 2^(levels - 1)
     of the finest) and all shifts up to ``reach`` of its pixels. The best ``beam`` candidates of
     a level expand on the next to the angles half a step around and the shifts one pixel around,
-    so (beam x 27) candidates a key and level bound the work whatever the reach.
+    so (beam x 27) candidates a key and level bound the work whatever the reach. ``anchors``
+    pull the scores of every level (see ``pulled_scores``).
     """
     pyramid = [(fixed, moving, centre)]
     for _ in range(levels - 1):
@@ -215,7 +260,9 @@ def rigid_levels(fixed: DataFrame, moving: DataFrame, keys: list[str], levels: i
     for level in reversed(range(levels)):
         a, b, c = pyramid[level]
         # A few rows a key, used twice on the next level: without the cut plans double from level to level.
-        scores = cut(best_candidates(rigid_scores(a, b, keys, _gathered(candidates, keys), step, c, bin_width), keys, beam if level else 1))
+        found = rigid_scores(a, b, keys, _gathered(candidates, keys), step, c, bin_width)
+        found = found if anchors is None else pulled_scores(found, anchors, keys, step, c, weight, 1 << level)
+        scores = cut(best_candidates(found, keys, beam if level else 1))
         if level:
             half = 1 << (level - 1)
             wider = scores.select(*keys, "k", (2 * F.col("sx")).alias("sx"), (2 * F.col("sy")).alias("sy"))

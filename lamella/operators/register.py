@@ -204,6 +204,30 @@ def surface_pairs(surfaces: DataFrame) -> DataFrame:
     return pairs.union(ends)
 
 
+def surface_pair_lists(surfaces: DataFrame, channels: DataFrame, reference: str) -> DataFrame:
+    """(slice_id, channel_id, lower, upper, last): what each slice of the reference channel is aligned with.
+
+    ``surfaces`` (slice_id, channel_id, side, path) and ``channels`` (channel_id, channel_ord),
+    the few channels to stitch by. A slice has one row without a channel: the upper surfaces of
+    all channels in their order, and the lower ones of the slice just before it, null if the
+    reference channel has no such slice. Where no slice follows there is a row for each channel
+    with its lower surface alone. An absent surface is null in its place in a list.
+    """
+    refs = surfaces.where(F.col("channel_id") == reference).select("slice_id").distinct()
+    order = channels.agg(F.collect_list(F.struct("channel_id", "channel_ord")).alias("c"))  # one row of a handful of channels
+    wanted = refs.join(F.broadcast(order), F.lit(True)).select("slice_id", F.inline("c"))
+    sides = surfaces.groupBy("slice_id", "channel_id").agg(*[F.max(F.when(F.col("side") == s, F.col("path"))).alias(s) for s in "ul"])
+    lists = wanted.join(sides, ["slice_id", "channel_id"], "left")
+    ordered = lambda side: F.transform(F.sort_array(F.collect_list(F.struct("channel_ord", side))), lambda x: x[side])
+    by = lists.groupBy("slice_id").agg(ordered("u").alias("upper"), ordered("l").alias("own_lower"))
+    before = by.select((F.col("slice_id") + 1).alias("slice_id"), F.col("own_lower").alias("lower"))
+    none = F.lit(None)
+    pairs = by.join(before, "slice_id", "left").select("slice_id", none.cast("string").alias("channel_id"), "lower", "upper", F.lit(False).alias("last"))
+    following = refs.select((F.col("slice_id") - 1).alias("slice_id"))
+    ends = lists.join(following, "slice_id", "left_anti").select("slice_id", "channel_id", F.array("l").alias("lower"), none.cast("array<string>").alias("upper"), F.lit(True).alias("last"))
+    return pairs.union(ends)
+
+
 def rigid_align(fixed: DataFrame, moving: DataFrame, keys: list[str], angles: list[float], reach: int, centre: tuple[float, float], bin_width: int) -> DataFrame:
     """Rotation and shift of 2-D images with the largest mutual information, nearest pixel; ``channel`` metrics add up.
 

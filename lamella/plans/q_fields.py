@@ -86,6 +86,19 @@ def surface_pairs(spark, sf_dir):
     return r.surface_pairs(sides.withColumn("path", F.concat("side", "path")))
 
 
+@query(f"""with {_BUILT}, refs as (select distinct slice_id from acq where channel_id = '1'), a as (select slice_id, channel_id, min(path) path from acq group by all),
+wt as (select slice_id, channel_id, channel_ord, path from refs cross join ch left join a using (slice_id, channel_id)),
+l as (select slice_id, string_agg(coalesce('u' || path, '-'), '|' order by channel_ord) u, string_agg(coalesce('l' || path, '-'), '|' order by channel_ord) l from wt group by slice_id)
+select l.slice_id, cast(null as varchar) channel_id, p.l lower, l.u upper, false "last" from l left join l p on p.slice_id = l.slice_id - 1
+union all select slice_id, channel_id, coalesce('l' || path, '-'), null, true from wt where slice_id + 1 not in (select slice_id from refs)""")
+def surface_pair_lists(spark, sf_dir):
+    channels, acquisitions, _ = built(spark, sf_dir)
+    s = acquisitions.groupBy("slice_id", "channel_id").agg(F.min("path").alias("path"))
+    sides = s.select("slice_id", "channel_id", F.explode(F.array(F.lit("u"), F.lit("l"))).alias("side"), "path").withColumn("path", F.concat("side", "path"))
+    text = lambda c: F.when(F.col(c).isNotNull(), F.array_join(c, "|", "-")).alias(c)
+    return r.surface_pair_lists(sides, channels, "1").select("slice_id", "channel_id", text("lower"), text("upper"), "last")
+
+
 def _faces(spark, sf_dir):
     """Upper surface of a slice and lower one of the slice before, as fixed and moving images."""
     i = images(spark, sf_dir).withColumn("channel", F.lit("1"))

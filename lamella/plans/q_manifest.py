@@ -68,6 +68,16 @@ def read_reconstruction_index(spark, sf_dir):
     return m.read_reconstruction_index(entries, channels)[0]
 
 
+@query(f"with {_BUILT}, f as (select min(channel_ord) o, channel_name from ch group by all) select ch.channel_id, cast(hdr.slice_index as int) slice_id, '/data/Reconstruction/SliceTransform/' || hdr.file path from hdr join ch on ch.wave_length = hdr.wave_length join f on f.o = ch.channel_ord")
+def read_index_json(spark, sf_dir):
+    """Index texts, one for each slice, made of the headers."""
+    channels = built(spark, sf_dir)[0]
+    h = view(spark, sf_dir, "hdr").join(channels.select("wave_length", "channel_name"), "wave_length")
+    entry = F.struct("file", F.struct(F.col("channel_name").alias("ChannelName"), F.col("slice_index").cast("string").alias("SliceID")))
+    texts = h.groupBy("slice_index").agg(F.to_json(F.struct(F.map_from_entries(F.collect_list(entry)).alias("SliceTransform"))).alias("json"))
+    return m.read_reconstruction_index(m.index_entries(texts, "/data"), channels)[0]
+
+
 @query("select max_by('raw/' || s_name || '.flsm', s_suppkey) path from supplier")
 def brain_transform_path(spark, sf_dir):
     h = view(spark, sf_dir, "hdr").select("ord", F.col("file").alias("path"), F.lit("brain").alias("kind"), F.lit(None).cast("string").alias("channel_name"), F.lit(None).cast("string").alias("slice_id"))
@@ -90,6 +100,29 @@ def write_slice_geometry(spark, sf_dir):
     return m.read_slice_geometry(_geometry(spark, sf_dir))[0]
 
 
+def _slice_files(spark, sf_dir):
+    """Slice texts with every key; odd slices have no image."""
+    c = view(spark, sf_dir, "cols")
+    ends = lambda df: df.agg(F.min("stage_x").alias("lo_x"), F.min("stage_y").alias("lo_y"), F.lit(0.0).alias("lo_z"), F.max("stage_x").alias("hi_x"), F.max("stage_y").alias("hi_y"), F.lit(300.0).alias("hi_z"))
+    image = F.when(F.col("slice_id") % 2 == 0, F.concat(F.lit("img/"), "slice_id"))
+    triple = lambda v: F.when(F.col("slice_id") % 2 == 0, F.array(F.col("slice_id") * v, F.lit(v), F.lit(0.5)))
+    sources = c.select("slice_id").distinct().select("slice_id", F.concat(F.lit("raw/"), "slice_id").alias("stack_source"), image.alias("image_source"), triple(2.5).alias("image_origin"), triple(4.0).alias("image_spacing"))
+    texts = m.write_slice_files(ends(c.groupBy("slice_id")), c.select("slice_id", "column_id", F.array("spacing", "stage_x").alias("params")), ends(c.groupBy("slice_id", "column_id")), sources, "0.4.0")
+    return texts.withColumn("path", F.lit("/data/SliceTransform/s.json"))
+
+
+@query(f"with {sql('cols')} select slice_id, column_id, stage_x lo_x, stage_y lo_y, cast(0 as double) lo_z, stage_x hi_x, stage_y hi_y, cast(300 as double) hi_z from cols")
+def read_column_spheres(spark, sf_dir):
+    return m.read_column_spheres(_slice_files(spark, sf_dir))
+
+
+@query(f"""with {sql('cols')}, s as (select distinct slice_id, slice_id % 2 = 0 has from cols) select slice_id, 'raw/' || slice_id stack_source, case when has then '/data/SliceTransform/img/' || slice_id end image_source,
+ case when has then slice_id * cast(2.5 as double) || '|2.5|0.5' end image_origin, case when has then slice_id * cast(4 as double) || '|4.0|0.5' end image_spacing from s""")
+def write_slice_files(spark, sf_dir):
+    text = lambda c: F.when(F.col(c).isNotNull(), F.array_join(F.col(c).cast("array<string>"), "|")).alias(c)
+    return m.read_slice_sources(_slice_files(spark, sf_dir)).select("slice_id", "stack_source", "image_source", text("image_origin"), text("image_spacing"))
+
+
 _PARAM_TEXT = "'(Key' || (s_suppkey % 5) || ' ' || s_suppkey || ' \"v\")'"
 
 
@@ -100,6 +133,16 @@ def read_params(spark, sf_dir):
     return m.read_params(lines.select("path", F.concat(F.lit("// no bracket\n"), F.array_join(F.transform("l", lambda x: x["l"]), "\n")).alias("json"))).select("path", "key", F.array_join("values", "|").alias("values"))
 
 
+@query("""with t as (select s_nationkey, s_suppkey % 5 k, max(s_suppkey) v from supplier group by all), u as (select *, unnest([0, 1, 2, 3]) pos from t)
+select cast(s_nationkey as varchar) path, 'Key' || k as "key", cast(pos as int) pos, case pos when 1 then 'v' || v end as "text", case pos when 0 then cast(v as double) when 2 then v * cast(-1000 as double) end "number" from u""")
+def read_typed_params(spark, sf_dir):
+    """A whole number, a quoted text, a number with an exponent and a bare word on each line."""
+    s = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    line = F.format_string('(Key%d %d "v%d" -%de3 word)', F.col("s_suppkey") % 5, "s_suppkey", "s_suppkey", "s_suppkey")
+    texts = s.groupBy(F.col("s_nationkey").cast("string").alias("path")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("s_suppkey", line.alias("l")))), lambda x: x["l"]), "\n").alias("json"))
+    return m.read_typed_params(texts)
+
+
 @query(f"with {sql('pts')} select cast(point_id // 1000 as varchar) path, cast(row_number() over (partition by point_id // 1000 order by point_id) - 1 as int) point_id, x, y, z from pts")
 def read_points(spark, sf_dir):
     return m.read_points(m.write_points(view(spark, sf_dir, "pts"), 1000))
@@ -126,6 +169,21 @@ def product_index(spark, sf_dir):
     return index.groupBy("category").agg(F.count(F.lit(1)).alias("n"), F.sum("meta.slice_id").alias("ids"), F.min("path").alias("first_path"))
 
 
+_CATEGORY = {0: "Projection", 1: "SliceImage", 2: "BrainImage", 3: "BrainProjection", 4: "Masks"}
+
+
+@query(f"""with {sql('hdr')}, c as (select case ord % 5 {' '.join(f"when {k} then '{v}'" for k, v in _CATEGORY.items())} end category, max(pixel_size) p from hdr group by 1)
+select category, 'Type' as "key", category as "value" from c union all select category, 'Parameter', '../Parameters.json' from c union all select category, 'Version', '1' from c
+union all select category, 'PixelSize', cast(p as varchar) from c where category = 'Projection'
+union all select category, 'Transform', case category when 'BrainImage' then '../BrainTransform/BrainTransform.json' else '../SliceTransform/SliceTransform.json' end from c where category in ('Projection', 'SliceImage', 'BrainImage')
+union all select category, 'BrainImage', '../BrainImage/BrainImage.json' from c where category = 'BrainProjection'""")
+def category_info(spark, sf_dir):
+    h = view(spark, sf_dir, "hdr")
+    category = F.array(F.element_at(F.array(*[F.lit(v) for v in _CATEGORY.values()]), (F.col("ord") % 5 + 1).cast("int")))
+    index = m.product_index(h.select(category.alias("category"), F.col("file").alias("path"), F.col("slice_index").alias("slice_id"), F.col("wave_length").alias("channel_name"), "pixel_size"))
+    return m.category_info(index, {"Version": "1"}, F.col("meta.pixel_size")).select("category", F.explode("info"))
+
+
 @query(f"with {sql('tasks').replace('done from', 'done from')} select task_id, count(*) n_outputs, count(*) filter (where not done) n_missing from tasks group by task_id having not bool_and(done)")
 def pending_products(spark, sf_dir):
     return m.pending_products(view(spark, sf_dir, "tasks"))

@@ -228,3 +228,28 @@ def registration_windows(spark, sf_dir):
     shares = r.frame_shares(frames, pairs)
     registered = shares.select("slice_id", "column_id", "c", (F.expr("((c + 25) div 100 + slice_id + column_id) % 4") == 0).alias("ok"))
     return r.registration_windows(shares, pairs, registered)
+
+
+@query(f"""with {sql('pts')}, p as (select point_id, x, y, cast(point_id % 3 - 1 as int) k, cast(point_id % 5 as int) sx, cast(point_id % 7 as int) sy from pts),
+t as (select *, round(cos(k * cast(-0.25 as double)), 12) c, round(sin(k * cast(-0.25 as double)), 12) s, x - sx - 31.5 dx, y - sy - 24 dy from p)
+select point_id, round(dx * c - dy * s + 31.5, 6) px, round(dx * s + dy * c + 24, 6) py from t""")
+def points_before(spark, sf_dir):
+    """Points back through the inverse of rigid maps, a key a point."""
+    p = view(spark, sf_dir, "pts").select("point_id", F.col("x").alias("px"), F.col("y").alias("py"))
+    number = lambda n, less=0: (F.col("point_id") % n - less).cast("int")
+    maps = p.select("point_id", number(3, 1).alias("k"), number(5).alias("sx"), number(7).alias("sy"))
+    out = al.points_before(p, maps, ["point_id"], 0.25, (31.5, 24.0))
+    return out.select("point_id", F.round("px", 6).alias("px"), F.round("py", 6).alias("py"))
+
+
+@query(f"""with {sql('pts')}, pp as (select cast(point_id % 6 + 1 as int) slice_id, x px, y py, x + point_id % 3 qx, y - point_id % 2 qy from pts),
+m as (select * from (select cast(unnest(range(-1, 2)) as int) k), (select cast(unnest(range(-2, 3)) as int) sx), (select cast(unnest(range(-2, 3)) as int) sy)),
+t as (select *, round(cos(k * cast(0.25 as double)), 12) c, round(sin(k * cast(0.25 as double)), 12) s, (px - 0.5) / 2 - 31.5 dx, (py - 0.5) / 2 - 24 dy from pp, m),
+f as (select slice_id, k, sx, sy, sum(sqrt(pow((dx * c - dy * s + 31.5 + sx) * 2 + 0.5 - qx, 2) + pow((dx * s + dy * c + 24 + sy) * 2 + 0.5 - qy, 2))) far from t group by all)
+select slice_id, k, sx, sy, round(round((sx + sy) * cast(0.5 as double) - cast(0.01 as double) * far, 9), 5) mi from f""")
+def pulled_scores(spark, sf_dir):
+    """Scores of candidates on half the resolution, pulled by pairs of points."""
+    p = view(spark, sf_dir, "pts").select((F.col("point_id") % 6 + 1).cast("int").alias("slice_id"), F.col("x").alias("px"), F.col("y").alias("py"), (F.col("x") + F.col("point_id") % 3).alias("qx"), (F.col("y") - F.col("point_id") % 2).alias("qy"))
+    span = lambda n: F.explode(F.sequence(F.lit(-n), F.lit(n)))
+    scores = p.select("slice_id").distinct().withColumn("k", span(1)).withColumn("sx", span(2)).withColumn("sy", span(2)).withColumn("mi", (F.col("sx") + F.col("sy")) * 0.5)
+    return al.pulled_scores(scores, p, ["slice_id"], 0.25, (31.5, 24.0), 0.01, 2).withColumn("mi", F.round("mi", 5))

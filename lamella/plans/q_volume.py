@@ -263,6 +263,14 @@ def read_frames(spark, sf_dir):
     return got.select("slice_id", "column_id", "frame", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("s", F.lit(0)).cast("bigint").alias("s"), "missing")
 
 
+@query(f"with {sql('frm')}, p as (select slice_id, column_id, frame, sum(v) s from frm group by all), w as (select distinct slice_id, column_id from p), q as (select *, cast(unnest(range(50, 60)) as int) frame from w) select slice_id, column_id, frame, 2 height, 2 width, cast(4 as double) spacing, lpad(coalesce(hex(cast(s as bigint)), '0'), 16, '0') data from q left join p using (slice_id, column_id, frame)")
+def read_frame_pixels(spark, sf_dir):
+    """Thumbnails of 2 x 2 pixels of frames 8 pixels wide."""
+    frames = view(spark, sf_dir, "frm").groupBy("slice_id", "column_id", "frame").agg(F.unhex(F.lpad(F.hex(F.sum("v")), 16, "0")).alias("data"))
+    got = store.read_frame_pixels(frames, ["slice_id", "column_id"], 50, 60, 2, 2, 8)
+    return got.withColumn("data", F.hex("data"))
+
+
 @query(f"with {_VOX} select slice_id, channel_id, z, y, x, least(((v + 8) >> 4) << 4, 65520) v from vox where v >= 8")
 def write_planes(spark, sf_dir):
     """Chunks written as quantised planes, and what is read back."""

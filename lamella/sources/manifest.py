@@ -40,6 +40,24 @@ def read_dataset(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     return channels, files.select("dataset", "slice_id", F.element_at("Channels", F.col("k") + 1)["ChannelId"].alias("channel_id"), path.alias("path"))
 
 
+INDEX = "SliceTransform map<string,struct<ChannelName:string,SliceID:string>>, BrainTransform map<string,string>"
+
+
+def index_entries(files: DataFrame, folder: str) -> DataFrame:
+    """What ``read_reconstruction_index`` takes, of index texts (json) in a dataset's folder.
+
+    An index maps a file's name to its channel's name and slice, or to facts on a brain.
+    Texts without such a map, and unreadable ones, give no entries.
+    """
+    d = files.select(F.from_json("json", INDEX).alias("d"))
+    at = lambda kind: F.concat(F.lit(f"{folder.rstrip('/')}/Reconstruction/{kind}/"), F.col("file"))
+    path = lambda kind: F.when(F.col("file").startswith("/"), F.col("file")).otherwise(at(kind)).alias("path")
+    slices = d.select(F.posexplode("d.SliceTransform").alias("ord", "file", "v")).select("ord", path("SliceTransform"), F.lit("slice").alias("kind"), F.col("v.ChannelName").alias("channel_name"), F.expr("cast(floor(cast(v.SliceID as double)) as string)").alias("slice_id"))
+    none = F.lit(None).cast("string")
+    brains = d.select(F.posexplode("d.BrainTransform").alias("ord", "file", "v")).select("ord", path("BrainTransform"), F.lit("brain").alias("kind"), none.alias("channel_name"), none.alias("slice_id"))
+    return slices.union(brains)
+
+
 def read_reconstruction_index(entries: DataFrame, channels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Slice transforms and the brain transform of index entries (ord, path, kind, channel_name, slice_id).
 
@@ -87,11 +105,44 @@ def read_slice_geometry(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     return boxes, g.select("slice_id", F.explode("g.transforms").alias("column_id", "params")).withColumn("column_id", F.col("column_id").cast("int"))
 
 
+def read_column_spheres(files: DataFrame) -> DataFrame:
+    """(slice_id, column_id, lo_*, hi_*): the box of each column of slice geometry texts (slice_id, json)."""
+    c = files.select("slice_id", F.explode(F.from_json("json", GEOMETRY)["column_spheres"]).alias("column_id", "b"))
+    return c.select("slice_id", F.col("column_id").cast("int").alias("column_id"), *[F.col("b")[e][a].alias(f"{n}_{x}") for e, n in enumerate(("lo", "hi")) for a, x in enumerate("xyz")])
+
+
+def read_slice_sources(files: DataFrame) -> DataFrame:
+    """(slice_id, stack_source, image_source, image_origin, image_spacing) of texts (slice_id, path, json).
+
+    An image's path is joined to the text's folder; without an image its origin and spacing are null.
+    """
+    g = files.select("slice_id", F.regexp_replace("path", "[^/]*$", "").alias("dir"), F.from_json("json", GEOMETRY).alias("g"))
+    image = F.col("g.image_source")
+    path = F.when(image.startswith("/"), image).otherwise(F.concat("dir", image))
+    return g.select("slice_id", "g.stack_source", path.alias("image_source"), *[F.when(image.isNotNull(), F.col(f"g.{c}")).alias(c) for c in ("image_origin", "image_spacing")])
+
+
+def _sphere() -> Column:
+    return F.array(*[F.array(*[F.col(f"{e}_{x}").cast("double") for x in "xyz"]) for e in ("lo", "hi")])
+
+
+def write_slice_files(boxes: DataFrame, transforms: DataFrame, column_boxes: DataFrame, sources: DataFrame, version: str) -> DataFrame:
+    """(slice_id, json) with every key: boxes, transforms, boxes of columns and sources, as the readers give them.
+
+    Paths of images are written as they are. A slice has a handful of columns, so its maps are small.
+    """
+    entry = lambda v: F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col("column_id").cast("string"), v))))
+    maps = transforms.groupBy("slice_id").agg(entry(F.col("params")).alias("transforms"))
+    columns = column_boxes.groupBy("slice_id").agg(entry(_sphere()).alias("column_spheres"))
+    out = boxes.withColumn("sphere", _sphere()).join(maps, "slice_id", "left").join(columns, "slice_id", "left").join(sources, "slice_id", "left")
+    keys = ["sphere", "column_spheres", "transforms", "stack_source", "image_source", "image_origin", "image_spacing"]
+    return out.select("slice_id", F.to_json(F.struct(*keys, F.lit(version).alias("version"))).alias("json"))
+
+
 def write_slice_geometry(boxes: DataFrame, transforms: DataFrame) -> DataFrame:
     """(slice_id, json) from boxes (lo_*, hi_*) and transforms (column_id, params)."""
     per = transforms.groupBy("slice_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col("column_id").cast("string"), "params")))).alias("transforms"))
-    sphere = F.array(*[F.array(*[F.col(f"{e}_{x}").cast("double") for x in "xyz"]) for e in ("lo", "hi")])
-    return boxes.join(per, "slice_id", "left").select("slice_id", F.to_json(F.struct(sphere.alias("sphere"), "transforms", F.lit("0.2.0").alias("version"))).alias("json"))
+    return boxes.join(per, "slice_id", "left").select("slice_id", F.to_json(F.struct(_sphere().alias("sphere"), "transforms", F.lit("0.2.0").alias("version"))).alias("json"))
 
 
 def read_params(files: DataFrame, skip_comments: bool = False) -> DataFrame:
@@ -100,14 +151,38 @@ def read_params(files: DataFrame, skip_comments: bool = False) -> DataFrame:
     Lines without a bracket are skipped. A commented line has one and is read, unless
     ``skip_comments``. Quotes are taken off; values stay text.
     """
-    lines = files.select("path", F.posexplode(F.split("json", "\n")).alias("pos", "line"))
-    lines = lines.where(F.contains("line", F.lit("(")))
-    lines = lines.where(~F.ltrim("line").startswith("//")) if skip_comments else lines
-    words = F.split(F.trim(F.regexp_replace(F.regexp_extract("line", r"\(([^)]*)", 1), '"', "")), r"\s+")
-    keyed = lines.select("path", "pos", words.alias("w")).select("path", "pos", F.element_at("w", 1).alias("key"), F.slice("w", 2, F.size("w")).alias("values"))
+    words = F.split(F.trim(F.regexp_replace(_inside(), '"', "")), r"\s+")
+    keyed = _param_lines(files, skip_comments).select("path", "pos", words.alias("w")).select("path", "pos", F.element_at("w", 1).alias("key"), F.slice("w", 2, F.size("w")).alias("values"))
     return keyed.groupBy("path", "key").agg(F.max_by("values", "pos").alias("values"))
 
 
+def _param_lines(files: DataFrame, skip_comments: bool) -> DataFrame:
+    lines = files.select("path", F.posexplode(F.split("json", "\n")).alias("pos", "line")).where(F.contains("line", F.lit("(")))
+    return lines.where(~F.ltrim("line").startswith("//")) if skip_comments else lines
+
+
+def _inside() -> Column:
+    return F.regexp_extract("line", r"\(([^)]*)", 1)
+
+
+#: What an unquoted value must look like to be a number.
+_NUMBER = r"(?i)^[+-]?([0-9]+\.?[0-9]*(e[+-]?[0-9]+)?|\.[0-9]+(e[+-]?[0-9]+)?|inf|infinity|nan)$"
+
+
+def read_typed_params(files: DataFrame, skip_comments: bool = False) -> DataFrame:
+    """(path, key, pos, text, number): the values of ``read_params`` by kind, a row a value.
+
+    A quoted value is text, an unquoted one a number; an unquoted value that is no number
+    leaves both null. A key without values has one row without a position.
+    """
+    words = F.split(F.trim(_inside()), r"\s+")
+    keyed = _param_lines(files, skip_comments).select("path", "pos", words.alias("w"))
+    last = keyed.groupBy("path", F.element_at("w", 1).alias("key")).agg(F.max_by(F.slice("w", 2, F.size("w")), "pos").alias("values"))
+    each = last.select("path", "key", F.posexplode_outer("values").alias("pos", "v"))
+    text = F.when(F.col("v").startswith('"'), F.regexp_extract("v", '^"(.*?)"?$', 1))
+    return each.select("path", "key", "pos", text.alias("text"), F.when(F.col("v").rlike(_NUMBER), F.col("v").cast("double")).alias("number"))
+
+
 def read_points(files: DataFrame) -> DataFrame:
     """(path, point_id, x, y, z) of point texts (path, json): a header, a count, then coordinates.
 
@@ -154,6 +229,32 @@ def product_index(products: DataFrame) -> DataFrame:
     return products.select(F.explode("category").alias("category"), "path", meta).groupBy("category", "path").agg(F.max("meta").alias("meta"))
 
 
+#: The entry of a category's facts that points to the index it rests on.
+_RESTS_ON = {
+    "Projection": ("Transform", "../SliceTransform/SliceTransform.json"),
+    "SliceImage": ("Transform", "../SliceTransform/SliceTransform.json"),
+    "BrainImage": ("Transform", "../BrainTransform/BrainTransform.json"),
+    "BrainProjection": ("BrainImage", "../BrainImage/BrainImage.json"),
+}
+
+
+def category_info(index: DataFrame, facts: dict[str, str], pixel_size: Column | None = None) -> DataFrame:
+    """(category, info): what an index says of a category as a whole, a map of texts, a row for each category of ``product_index``.
+
+    ``facts`` (software, version, time) go to every category; ``pixel_size``, an expression on
+    the rows of ``index``, to projections alone. A category other than the known ones has its
+    type and the facts only.
+    """
+    by = index.groupBy("category").agg((F.max(pixel_size) if pixel_size is not None else F.lit(None)).cast("string").alias("pixel_size"))
+    common = [F.lit(v) for pair in {"Parameter": "../Parameters.json", **facts}.items() for v in pair]
+    is_one = lambda *names: F.col("category").isin(*names)
+    rests = F.map_from_entries(F.array().cast("array<struct<key:string,value:string>>"))
+    for name, (key, path) in _RESTS_ON.items():
+        rests = F.when(is_one(name), F.create_map(F.lit(key), F.lit(path))).otherwise(rests)
+    size = F.when(is_one("Projection") & F.col("pixel_size").isNotNull(), F.create_map(F.lit("PixelSize"), F.col("pixel_size"))).otherwise(F.map_from_entries(F.array().cast("array<struct<key:string,value:string>>")))
+    return by.select("category", F.map_concat(F.create_map(F.lit("Type"), F.col("category"), *common), rests, size).alias("info"))
+
+
 def pending_products(outputs: DataFrame) -> DataFrame:
     """Tasks (task_id, output_id, done) with an output that isn't there; the others are skipped."""
     return outputs.groupBy("task_id").agg(F.bool_and("done").alias("all_done"), F.count(F.lit(1)).alias("n_outputs"), F.count_if(~F.col("done")).alias("n_missing")).where("not all_done").drop("all_done")

@@ -141,6 +141,19 @@ def read_frames(frames: DataFrame, keys: list[str], start: int, stop: int | None
     return wanted.join(inside, [*keys, "frame"], "left").withColumn("missing", F.col("_here").isNull()).drop("_here")
 
 
+def read_frame_pixels(frames: DataFrame, keys: list[str], start: int, stop: int | None, height: int, width: int, full_width: int | None = None) -> DataFrame:
+    """(keys, frame, height, width, spacing, data): frames [start, stop) as little-endian 16-bit pixels.
+
+    ``frames`` (keys, frame, data) hold pixels of ``height`` by ``width``; an absent frame is
+    zeros of that size. Thumbnails give ``full_width``, the width of what they show, and get
+    the ratio of the widths as their spacing; else it is 1.
+    """
+    zeros = F.unhex(F.repeat(F.lit("0000"), height * width))
+    got = read_frames(frames.select(*keys, "frame", "data"), keys, start, stop)
+    spacing = full_width / width if full_width else 1.0
+    return got.select(*keys, "frame", F.lit(height).alias("height"), F.lit(width).alias("width"), F.lit(float(spacing)).alias("spacing"), F.coalesce("data", zeros).alias("data"))
+
+
 def write_brain(slices: DataFrame, field: DataFrame, path: str, sphere_map: DataFrame | None = None) -> None:
     """Slice boxes, displacement fields and the sphere map; the field is split by slice, so one slice is read alone."""
     slices.write.mode("overwrite").parquet(f"{path}/slices")

@@ -135,3 +135,29 @@ def test_penalties_and_one_pass(spark):
     cells = spark.createDataFrame([(1, 0, 0, 1.0, 0.0), (1, 0, 1, 3.0, -2.0), (1, 5, 5, 7.0, 7.0)], "slice_id int, cy int, cx int, sx double, sy double")
     out = {(r.cy, r.cx): (round(r.sx, 9), round(r.sy, 9)) for r in align.smooth_penalised(cells, align.cell_penalties(masks, KEYS, 4, 0.2, 0.6), KEYS, 1).collect()}
     assert out == {(0, 0): (2.2, -1.2), (0, 1): (2.6, -1.6), (5, 5): (7.0, 7.0)}
+
+
+def test_points_go_back_through_the_rigid_map(spark):
+    points = spark.createDataFrame([(1, 10.0, 4.0, "a"), (1, 31.5, 24.0, "b"), (2, 7.0, 9.0, "c")], "slice_id int, px double, py double, name string")
+    found = spark.createDataFrame([(1, 2, 3, -5, 0.0)], "slice_id int, k int, sx int, sy int, mi double")
+    got = {r.name: (r.px, r.py) for r in align.points_before(points, found, KEYS, 0.1, (31.5, 24.0)).collect()}
+    for name, want in (("a", (10.0, 4.0)), ("b", (31.5, 24.0))):
+        x, y = got[name][0] - 31.5, got[name][1] - 24.0
+        there = (x * math.cos(0.2) - y * math.sin(0.2) + 31.5 + 3, x * math.sin(0.2) + y * math.cos(0.2) + 24.0 - 5)
+        assert there == pytest.approx(want, abs=1e-9)
+    assert got["c"] == (7.0, 9.0)
+
+
+def test_anchors_pull_the_search_over_levels(spark):
+    """A flat image says nothing; the anchors alone name the map, on the coarse and on the fine level."""
+    flat = frame(spark, [(k, "1", y, x, 100) for k in (1, 2) for y in range(16) for x in range(16)])
+    images = align.tiles(flat, KEYS, 8)
+    c, angle, shift = 7.5, 0.2, (3, -2)
+    places = [(2.0, 3.0), (11.0, 4.0), (6.0, 13.0)]
+    to = [((x - c) * math.cos(angle) - (y - c) * math.sin(angle) + c + shift[0], (x - c) * math.sin(angle) + (y - c) * math.cos(angle) + c + shift[1]) for x, y in places]
+    anchors = spark.createDataFrame([(1, *p, *q) for p, q in zip(places, to, strict=True)], "slice_id int, px double, py double, qx double, qy double")
+    got = align.rigid_levels(images, images, KEYS, 2, 0.1, 2, 2, (c, c), 30, 3, anchors, 1.0)
+    found = {r.slice_id: r for r in got.collect()}
+    assert (found[1].k, found[1].sx, found[1].sy) == (2, *shift) and found[1].mi == pytest.approx(0.0, abs=1e-6)
+    # Without anchors all candidates are equal and the first of each level stands.
+    assert found[2].mi == 0.0
