@@ -86,10 +86,10 @@ def surface_pairs(spark, sf_dir):
     return r.surface_pairs(sides.withColumn("path", F.concat("side", "path")))
 
 
-@query(f"""with {_BUILT}, refs as (select distinct slice_id from acq where channel_id = '1'), a as (select slice_id, channel_id, min(path) path from acq group by all),
-wt as (select slice_id, channel_id, channel_ord, path from refs cross join ch left join a using (slice_id, channel_id)),
-l as (select slice_id, string_agg(coalesce('u' || path, '-'), '|' order by channel_ord) u, string_agg(coalesce('l' || path, '-'), '|' order by channel_ord) l from wt group by slice_id)
-select l.slice_id, cast(null as varchar) channel_id, p.l lower, l.u upper, false "last" from l left join l p on p.slice_id = l.slice_id - 1
+@query(f"""with {_BUILT}, refs as (select distinct slice_id from acq where channel_id = '1'), ap as (select slice_id, channel_id, min(path) path from acq group by all),
+wt as (select slice_id, channel_id, channel_ord, path from refs cross join ch left join ap using (slice_id, channel_id)),
+li as (select slice_id, string_agg(coalesce('u' || path, '-'), '|' order by channel_ord) u, string_agg(coalesce('l' || path, '-'), '|' order by channel_ord) l from wt group by slice_id)
+select li.slice_id, cast(null as varchar) channel_id, p.l lower, li.u upper, false "last" from li left join li p on p.slice_id = li.slice_id - 1
 union all select slice_id, channel_id, coalesce('l' || path, '-'), null, true from wt where slice_id + 1 not in (select slice_id from refs)""")
 def surface_pair_lists(spark, sf_dir):
     channels, acquisitions, _ = built(spark, sf_dir)
