@@ -6,10 +6,15 @@ attempt, and returns their names; only the names that Spark kept from successful
 attempts are read back, so a lost executor leaves no record twice.
 
 The reader checks every record: the gzip member's own checksum, the version line, the
-header fields, the declared length, the closing blank lines and the payload digest.
+header fields, continued lines among them, the declared length, the closing blank lines, and
+the digests of block and payload. A digest is taken by its own kind (SHA-1, SHA-256, SHA-512 or
+MD5, in hexadecimal or base 32); one of another kind, or of an HTTP body that was sent in
+pieces, can't be checked, and ``digest_check`` says so. The payload of HTTP records is their body for this.
 After a failed check it searches for the next valid gzip member or version line, inside
 a member's content for the next version line, goes on there, and reports the bytes in
-between as a quarantined gap with the reason.
+between as a quarantined gap with the reason. The next place of each mark is remembered, and so
+are headers that failed, so a search passes over the bytes once, whatever stands in them. Only
+records that fail by their digest, and lie inside each other, are read more than once.
 
 Defined results: a null payload is empty; a null id, address or reference is left out
 of the record and read back as null; rows with equal payloads and the same smallest id
@@ -20,8 +25,11 @@ is read twice; other columns are ignored.
 
 from __future__ import annotations
 
+import base64
+import binascii
 import gzip
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -44,8 +52,8 @@ VERSION = b"WARC/1.1"
 _MAGIC = b"\x1f\x8b\x08"
 _CHUNK = 1 << 16
 
-_FIELDS = ["path", "start", "end", "problem", "record_id", "record_type", "uri", "refers_to", "payload_bytes", "payload_digest", "payload"]
-_SCHEMA = "path string, start long, end long, problem string, record_id string, record_type string, uri string, refers_to string, payload_bytes long, payload_digest string, payload binary"
+_FIELDS = ["path", "start", "end", "problem", "record_id", "record_type", "uri", "refers_to", "payload_bytes", "payload_digest", "digest_check", "payload"]
+_SCHEMA = "path string, start long, end long, problem string, record_id string, record_type string, uri string, refers_to string, payload_bytes long, payload_digest string, digest_check string, payload binary"
 _ARROW = pa.schema([(n, pa.int64() if n in ("start", "end", "payload_bytes") else pa.binary() if n == "payload" else pa.string()) for n in _FIELDS])
 
 
@@ -74,43 +82,120 @@ class BadRecord(ValueError):
     """A check on a record failed."""
 
 
-def parse_record(data: bytes, at: int = 0) -> tuple[dict, int]:
-    """The record at an offset, and where it ends."""
-    if not data.startswith(b"WARC/1.", at):
-        raise BadRecord("no version line")
-    fields, first, stop = {}, True, at
+_VERSION_LINE = re.compile(rb"WARC/1\.[0-9]+\r\n")
+_MARK, _LINE_END = b"WARC/1.", b"\r\n"
+_KINDS = ("sha1", "sha256", "sha512", "md5")
+
+
+class Marks:
+    """Where marks come next in some bytes, and headers that failed; asking forward costs one pass over the bytes."""
+
+    def __init__(self, data: bytes):
+        self.data = data
+        self.next: dict[bytes, tuple[int, int]] = {}
+        self.failed: tuple[int, int, str] | None = None
+
+    def find(self, mark: bytes, start: int) -> int:
+        """The first place of a mark from ``start`` on, or the end of the bytes."""
+        asked, place = self.next.get(mark, (0, -1))
+        if not asked <= start <= place:
+            place = self.data.find(mark, start)
+            place = len(self.data) if place < 0 else place
+            self.next[mark] = (start, place)
+        return place
+
+    def fail(self, start: int, stop: int, why: str) -> BadRecord:
+        """Every header that begins inside these lines ends as they do."""
+        self.failed = (start, stop, why)
+        return BadRecord(why)
+
+
+def _header(data: bytes, at: int, marks: Marks) -> tuple[dict[bytes, str], int]:
+    """Fields from a line's start on, and where the block begins; a line that begins with a blank goes on with the one before."""
+    if marks.failed and marks.failed[0] <= at < marks.failed[1]:
+        raise BadRecord(marks.failed[2])
+    fields: dict[bytes, list[bytes]] = {}
+    last, stop = None, at
     while True:  # line by line, so that a false version line ends at its first line that is no field
-        start, stop = stop, data.find(b"\r\n", stop)
-        if stop < 0:
-            raise BadRecord("unfinished header")
+        start, stop = stop, marks.find(_LINE_END, stop)
+        if stop == len(data):
+            raise marks.fail(at, len(data), "unfinished header")
         line, stop = data[start:stop], stop + 2
-        if not first:
-            if not line:
-                break
-            name, colon, value = line.partition(b":")
-            if not colon:
-                raise BadRecord("bad header line")
-            fields[name.strip().lower()] = value.strip().decode("utf-8", "replace")
-        first = False
+        if not line:
+            return {k: b" ".join(v).decode("utf-8", "replace") for k, v in fields.items()}, stop
+        if line[:1] in b" \t" and last is not None:
+            fields[last].append(line.strip())
+            continue
+        name, colon, value = line.partition(b":")
+        if not colon or line[:1] in b" \t":
+            raise marks.fail(at, stop, "bad header line")
+        last = name.strip().lower()
+        fields[last] = [value.strip()]
+
+
+def _same(label: str, content: bytes) -> bool | None:
+    """Whether a labelled digest is that of the content; None for a kind that isn't known here."""
+    kind, _, value = label.rpartition(":")
+    kind = kind.strip().lower().replace("-", "")
+    if not kind and re.fullmatch("[0-9A-Fa-f]{64}", value):
+        kind = "sha256"
+    if kind not in _KINDS:
+        return None
+    own, value = hashlib.new(kind, content).digest(), value.strip()
+    if len(value) == 2 * len(own):
+        return value.lower() == own.hex()
+    try:
+        return base64.b32decode(value.rstrip("=") + "=" * (-len(value.rstrip("=")) % 8), casefold=True) == own
+    except binascii.Error:
+        return False
+
+
+def _checked(fields: dict[bytes, str], block: bytes) -> str:
+    """"verified", "unverified" or "absent", over both digests; a wrong one raises."""
+    found = []
+    if label := fields.get(b"warc-block-digest"):
+        found.append(_same(label, block))
+    if label := fields.get(b"warc-payload-digest"):
+        same = _same(label, block)
+        if same is False and fields.get(b"content-type", "").lower().startswith("application/http"):
+            head, blank, body = block.partition(b"\r\n\r\n")
+            same = _same(label, body) if blank else None
+            if same is False and re.search(rb"(?i)\r\n(transfer|content)-encoding:", head):
+                same = None  # kept as sent, or decoded: archives differ
+        found.append(same)
+    if False in found:
+        raise BadRecord("wrong digest")
+    return "absent" if not found else "unverified" if None in found else "verified"
+
+
+def parse_record(data: bytes, at: int = 0, marks: Marks | None = None) -> tuple[dict, int]:
+    """The record at an offset, and where it ends."""
+    marks = Marks(data) if marks is None else marks
+    version = _VERSION_LINE.match(data, at)
+    if not version:
+        # What is cut off, or has no line end, is told from what is no version line.
+        raise BadRecord("unfinished header" if data.startswith(_MARK, at) and marks.find(_LINE_END, at) == len(data) else "no version line")
+    fields, stop = _header(data, version.end(), marks)
     try:
         length = int(fields[b"content-length"])
-        size = int(fields.get(b"warc-payload-length", length))
     except (KeyError, ValueError):
-        raise BadRecord("no length") from None
+        raise marks.fail(version.end(), stop, "no length") from None
     end = stop + length
     if length < 0 or data[end : end + 4] != b"\r\n\r\n":
-        raise BadRecord("wrong length")
+        raise marks.fail(version.end(), stop, "wrong length")
+    try:
+        size = int(fields.get(b"warc-payload-length", length))
+    except ValueError:
+        raise BadRecord("no length") from None
     payload = data[stop:end]
     digest = fields.get(b"warc-payload-digest", "").removeprefix("sha256:")
-    kind = fields.get(b"warc-type", "")
-    if kind != "revisit":
-        own = hashlib.sha256(payload).hexdigest()
-        if digest and digest != own:
-            raise BadRecord("wrong digest")
-        digest, size = own, length
+    kind, check = fields.get(b"warc-type", ""), "unverified" if b"warc-payload-digest" in fields else "absent"
+    if kind != "revisit":  # a revisit's digest is that of a payload that stands elsewhere
+        check = _checked(fields, payload)
+        digest, size = hashlib.sha256(payload).hexdigest(), length
     bare = lambda key: fields[key].removeprefix("<urn:record:").removesuffix(">") if key in fields else None
     found = {"record_id": bare(b"warc-record-id"), "record_type": kind, "uri": fields.get(b"warc-target-uri"), "refers_to": bare(b"warc-refers-to")}
-    return found | {"payload_bytes": size, "payload_digest": digest, "payload": None if kind == "revisit" else payload}, end + 4
+    return found | {"payload_bytes": size, "payload_digest": digest, "digest_check": check, "payload": None if kind == "revisit" else payload}, end + 4
 
 
 def inflate(data: memoryview, at: int) -> tuple[bytes, int, str]:
@@ -136,14 +221,14 @@ def inflate(data: memoryview, at: int) -> tuple[bytes, int, str]:
 def _inner(content: bytes) -> tuple[list[tuple[dict, int, int]], list[tuple[int, int, str]]]:
     """(record, start, end) and gaps (start, end, problem) of a member's content; after a failed check at the next version line."""
     records, gaps, at, gap, problem = [], [], 0, None, ""
+    marks = Marks(content)
     while at < len(content):
         try:
-            record, end = parse_record(content, at)
+            record, end = parse_record(content, at, marks)
         except BadRecord as e:
             if gap is None:
                 gap, problem = at, str(e)
-            at = content.find(b"WARC/1.", at + 1)
-            at = len(content) if at < 0 else at
+            at = marks.find(_MARK, at + 1)
             continue
         if gap is not None:
             gaps.append((gap, at, problem))
@@ -166,9 +251,10 @@ def salvage(data: bytes) -> Iterator[dict]:
     view, at, gap, problem = memoryview(data), 0, None, ""
     known: set[bytes] = set()  # read from a broken member, whose stored blocks show them again
     known_to = 0
+    marks = Marks(data)
 
     def after(at: int) -> int:
-        return min([p for p in (data.find(_MAGIC, at + 1), data.find(b"WARC/1.", at + 1)) if p >= 0], default=len(data))
+        return min(marks.find(_MAGIC, at + 1), marks.find(_MARK, at + 1))
 
     while at < len(data):
         found: list[dict] = []
@@ -189,7 +275,7 @@ def salvage(data: bytes) -> Iterator[dict]:
                 failed = gaps[0][2]
         else:
             try:
-                record, end = parse_record(data, at)
+                record, end = parse_record(data, at, marks)
                 if at >= known_to or hashlib.sha256(data[at:end]).digest() not in known:
                     found = [record]
                 else:

@@ -1,3 +1,4 @@
+import base64
 import gzip
 import hashlib
 import random
@@ -112,3 +113,79 @@ def test_every_written_record_must_come_back(spark, tmp_path):
     short = scratch.keep(written.withColumn("records", written["records"] + 1), "short")
     with pytest.raises(warc.BadRecord):
         warc.read_all(spark, folder, short, scratch)
+
+
+def labelled(body, *lines):
+    return b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:record:7>\r\n" + b"".join(line + b"\r\n" for line in lines) + b"Content-Length: %d\r\n\r\n" % len(body) + body + b"\r\n\r\n"
+
+
+def test_digests_are_checked_by_their_kind():
+    body = b"<p>some page</p>"
+    sha1, sha256 = hashlib.sha1(body).digest(), hashlib.sha256(body).digest()
+    base32 = base64.b32encode(sha1)
+    wrong = base64.b32encode(hashlib.sha1(b"other").digest())
+    for line, want in (
+        (b"WARC-Payload-Digest: sha1:" + base32, "verified"),
+        (b"WARC-Payload-Digest: SHA-1:" + base32.lower(), "verified"),
+        (b"WARC-Payload-Digest: sha1:" + sha1.hex().encode(), "verified"),
+        (b"WARC-Block-Digest: sha256:" + base64.b32encode(sha256).rstrip(b"="), "verified"),
+        (b"WARC-Payload-Digest: " + sha256.hex().upper().encode(), "verified"),
+        (b"WARC-Payload-Digest: blake3:abc", "unverified"),
+        (b"X: y", "absent"),
+        (b"WARC-Payload-Digest: sha1:" + wrong, None),
+        (b"WARC-Block-Digest: sha1:" + wrong, None),
+        (b"WARC-Payload-Digest: sha1:no digest", None),
+    ):
+        found = list(warc.salvage(labelled(body, line)))
+        assert [f.get("digest_check") for f in found] == [want], line
+        assert [f.get("problem") for f in found] == [None if want else "wrong digest"]
+        assert want is None or found[0]["payload_digest"] == sha256.hex()
+
+
+def test_payload_digests_of_http_records_are_those_of_the_body():
+    body = b"<p>page</p>"
+    line = b"WARC-Payload-Digest: sha1:" + base64.b32encode(hashlib.sha1(body).digest())
+    kind = b"Content-Type: application/http; msgtype=response"
+    head = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n"
+    check = lambda data: [f.get("digest_check") or f["problem"] for f in warc.salvage(data)]
+    assert check(labelled(head + body, line, kind)) == ["verified"]
+    assert check(labelled(head + b"other", line, kind)) == ["wrong digest"]
+    assert check(labelled(b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\nb\r\n" + body + b"\r\n0\r\n\r\n", line, kind)) == ["unverified"]
+    assert check(labelled(head + body, line)) == ["wrong digest"]
+
+
+def test_continued_header_lines():
+    body = b"x"
+    found = list(warc.salvage(labelled(body, b"WARC-Target-URI: http://a/", b"\tand more ", b"Other: 1")))
+    assert [f["uri"] for f in found] == ["http://a/ and more"]
+    assert [f["problem"] for f in warc.salvage(b"WARC/1.1\r\n first: 1\r\nContent-Length: 0\r\n\r\n\r\n\r\n")] == ["bad header line"]
+
+
+@pytest.mark.parametrize(
+    "first,again,last",
+    [
+        (b"", b"WARC/1.1 " + b"x" * 91, b""),
+        (b"", b"WARC/1.1\r\na: WARC/1.1\r\n" + b"x: y\r\n" * 10, b""),
+        (b"WARC/1.1\r\n", b"a: WARC/1.1\r\n", b""),
+        (b"WARC/1.1\r\na: b\r\n", b" WARC/1.1\r\n", b"\r\n"),
+        (b"WARC/1.1\r\nContent-Length: 9\r\n", b"a: WARC/1.1\r\n", b"\r\n"),
+        (b"", b"\x1f\x8b\x08" + b"z" * 97, b""),
+    ],
+)
+def test_salvage_passes_over_false_marks_once(monkeypatch, first, again, last):
+    """Bytes that searches pass over, and lines that headers read, follow the length of the data."""
+    data = first + again * (400_000 // len(again)) + last + record(1, b"after")
+    passed = []
+
+    class Counted(warc.Marks):
+        def find(self, mark, start):
+            before = self.next.get(mark)
+            place = super().find(mark, start)
+            if self.next.get(mark) is not before:
+                passed.append(place - start)
+            return place
+
+    monkeypatch.setattr(warc, "Marks", Counted)
+    found = list(warc.salvage(data))
+    assert [f["record_id"] for f in found if "record_id" in f] == ["1"]
+    assert sum(passed) < 8 * len(data)
