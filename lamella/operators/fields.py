@@ -5,14 +5,15 @@ Fields are tables (keys, gy, gx, dx, dy[, dz]) on an integer grid.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamella.functions.kernels import bilinear
 from lamella.operators.geometry import _corners, euler_2d
 from lamella.sources.cut import cut
 
@@ -60,60 +61,80 @@ def build_brain(fields: DataFrame, slices: DataFrame, pixel: float, thickness: f
 
 
 #: Field nodes along the side of a tile, nodes beyond it on each side, and points in a group.
-TILE, HALO, GROUP_POINTS = 128, 2, 200_000
+TILE, HALO, GROUP_POINTS = 128, 2, 20_000
+#: Most tiles whose keys are sent to all tasks; beyond it the tiles of a round are found by a shuffle.
+SENT_KEYS = 100_000
 
 
 def field_tiles(fields: DataFrame, tile: int = TILE) -> DataFrame:
-    """(slice_id, ty, tx, h, w, oy, ox, ny, nx, d): tiles of a field with ``HALO`` nodes around, as packed doubles (3, 2, ny, nx).
+    """(slice_id, ty, tx, nodes, h, w, oy, ny, ox, nx): tiles of a field with ``HALO`` nodes around, nodes as (plane, gy, gx, dx, dy, dz).
 
     h and w are the nodes of the slice's whole grid; absent nodes are zero.
     """
-    nodes = fields.select("slice_id", "plane", "gy", "gx", *[F.coalesce(f"d{a}", F.lit(0.0)).alias(f"d{a}") for a in "xyz"])
+    nodes = fields.select("slice_id", *[F.col(c).cast("int").alias(c) for c in ("plane", "gy", "gx")], *[F.coalesce(f"d{a}", F.lit(0.0)).alias(f"d{a}") for a in "xyz"])
     grids = nodes.groupBy("slice_id").agg((F.max("gy") + 1).alias("h"), (F.max("gx") + 1).alias("w"))
     for a in "yx":
         low, high = (F.floor((F.col(f"g{a}") + o) / tile).cast("int") for o in (-HALO, HALO))
         nodes = nodes.withColumn(f"t{a}", F.explode(F.sequence(F.greatest(low, F.lit(0)), F.greatest(high, F.lit(0)))))
-
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        oy, ox = int(rows["gy"].min()), int(rows["gx"].min())
-        d = np.zeros((3, 2, int(rows["gy"].max()) + 1 - oy, int(rows["gx"].max()) + 1 - ox))
-        for k, a in enumerate("xyz"):
-            d[k, rows["plane"], rows["gy"] - oy, rows["gx"] - ox] = rows[f"d{a}"]
-        return pd.DataFrame([[rows["slice_id"].iloc[0], rows["ty"].iloc[0], rows["tx"].iloc[0], oy, ox, *d.shape[2:], d.tobytes()]], columns=["slice_id", "ty", "tx", "oy", "ox", "ny", "nx", "d"])
-
-    kind = fields.schema["slice_id"].dataType.simpleString()
-    packed = nodes.groupBy("slice_id", "ty", "tx").applyInPandas(pack, f"slice_id {kind}, ty int, tx int, oy int, ox int, ny int, nx int, d binary")
-    return packed.join(grids, "slice_id").where((F.col("ty") * tile < F.col("h")) & (F.col("tx") * tile < F.col("w")))
-
-
-class _Tile:
-    """One tile of a field: the map p + D(p), and where it can be looked up."""
-
-    def __init__(self, row: pd.Series, pixel: float, thickness: float, tile: int, extended: bool):
-        self.extended = extended
-        self.d = np.frombuffer(row["d"]).reshape(3, 2, row["ny"], row["nx"])
-        self.h, self.w, self.oy, self.ox = (int(row[c]) for c in ("h", "w", "oy", "ox"))
-        self.pixel, self.thickness, self.top, self.tile = pixel, thickness, (int(row["slice_id"]) - 1) * thickness, tile
-
-    def __call__(self, p: np.ndarray) -> np.ndarray:
-        gx, gy, u = p[:, 0] / self.pixel, p[:, 1] / self.pixel, (p[:, 2] - self.top) / self.thickness
-        inside = self.extended | ((gx >= -0.5) & (gx < self.w - 0.5) & (gy >= -0.5) & (gy < self.h - 0.5) & (u >= -0.5) & (u < 1.5))
-        level = np.clip(u, 0, 1)
-        gy, gx = np.clip(gy, 0, self.h - 1) - self.oy, np.clip(gx, 0, self.w - 1) - self.ox
-        move = np.stack([bilinear(self.d[a, 0], gy, gx) * (1 - level) + bilinear(self.d[a, 1], gy, gx) * level for a in range(3)], 1)
+    packed = nodes.groupBy("slice_id", "ty", "tx").agg(F.collect_list(F.struct("plane", "gy", "gx", "dx", "dy", "dz")).alias("nodes"))
+    packed = packed.join(grids, "slice_id").where((F.col("ty") * tile < F.col("h")) & (F.col("tx") * tile < F.col("w")))
+    for a, n in (("y", "h"), ("x", "w")):
+        packed = packed.withColumn(f"o{a}", F.greatest(F.col(f"t{a}") * tile - HALO, F.lit(0)))
+        packed = packed.withColumn(f"n{a}", F.least((F.col(f"t{a}") + 1) * tile + HALO, F.col(n)) - F.col(f"o{a}"))
+    return packed
+
+
+def _flat(column: pa.ListArray) -> tuple[np.ndarray, list[pa.Array]]:
+    """The row of each element of an array-of-structs column, and the fields of the elements."""
+    counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(column)), counts), column.flatten().flatten()
+
+
+class _Tiles:
+    """Tiles of fields, one a row: the map p + D(p) of points p on the tiles t, and where it can be looked up."""
+
+    def __init__(self, rows: pa.RecordBatch, pixel: float, thickness: float, tile: int, extended: bool):
+        self.pixel, self.thickness, self.tile, self.extended = pixel, thickness, tile, extended
+        number = lambda c: pc.fill_null(rows.column(c), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.h, self.w, self.oy, self.ox, self.ny, self.nx, self.ty, self.tx = map(number, ("h", "w", "oy", "ox", "ny", "nx", "ty", "tx"))
+        self.top = (number("slice_id") - 1) * thickness
+        sizes = 2 * self.ny * self.nx
+        self.first = np.cumsum(sizes) - sizes
+        t, (plane, gy, gx, *moves) = _flat(rows.column("nodes"))
+        plane, gy, gx, *moves = (c.to_numpy(zero_copy_only=False) for c in (plane, gy, gx, *moves))
+        self.d = np.zeros((int(sizes.sum()), 3))
+        self.d[self.first[t] + (plane * self.ny[t] + gy - self.oy[t]) * self.nx[t] + gx - self.ox[t]] = np.stack(moves, 1)
+
+    def __call__(self, p: np.ndarray, t: np.ndarray) -> np.ndarray:
+        gx, gy, u = p[:, 0] / self.pixel, p[:, 1] / self.pixel, (p[:, 2] - self.top[t]) / self.thickness
+        h, w, ny, nx = self.h[t], self.w[t], self.ny[t], self.nx[t]
+        inside = self.extended | ((gx >= -0.5) & (gx < w - 0.5) & (gy >= -0.5) & (gy < h - 0.5) & (u >= -0.5) & (u < 1.5))
+        level = np.clip(u, 0, 1)[:, None]
+        gy, gx = (np.clip(np.clip(g, 0, whole - 1) - o, 0, n - 1) for g, whole, o, n in ((gy, h, self.oy[t], ny), (gx, w, self.ox[t], nx)))
+        y0, x0 = np.floor(gy).astype(int), np.floor(gx).astype(int)
+        y1, x1 = np.minimum(y0 + 1, ny - 1), np.minimum(x0 + 1, nx - 1)
+        fy, fx = (gy - y0)[:, None], (gx - x0)[:, None]
+
+        def seen(plane: int) -> np.ndarray:
+            low, high = (self.first[t] + (plane * ny + y) * nx for y in (y0, y1))
+            return (self.d[low + x0] * (1 - fx) + self.d[low + x1] * fx) * (1 - fy) + (self.d[high + x0] * (1 - fx) + self.d[high + x1] * fx) * fy
+
+        move = seen(0) * (1 - level)
+        if level.any():
+            move += seen(1) * level
         return p + move * inside[:, None]
 
-    def place(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def place(self, p: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Tile numbers of positions; those beyond the grid belong to its border."""
-        cell = lambda v, n: np.clip(np.floor(v / self.pixel), 0, n - 1).astype(int) // self.tile
+        cell = lambda v, n: np.clip(np.floor(v / self.pixel), 0, n[t] - 1).astype(int) // self.tile
         return cell(p[:, 1], self.h), cell(p[:, 0], self.w)
 
-    def covers(self, p: np.ndarray, ty: int, tx: int) -> np.ndarray:
+    def covers(self, p: np.ndarray, t: np.ndarray) -> np.ndarray:
         """Whether a look-up at p and at p + 0.01 stays within the tile and one node around it."""
         out = np.ones(len(p), bool)
-        for v, n, t in ((p[:, 1], self.h, ty), (p[:, 0], self.w, tx)):
+        for v, n, at in ((p[:, 1], self.h[t], self.ty[t]), (p[:, 0], self.w[t], self.tx[t])):
             g = np.clip(v / self.pixel, 0, n - 1)
-            out &= (g >= t * self.tile - 1) & (g < (t + 1) * self.tile + 1)
+            out &= (g >= at * self.tile - 1) & (g < (at + 1) * self.tile + 1)
         return out
 
 
@@ -124,7 +145,7 @@ def slice_to_brain(points: DataFrame, fields: DataFrame, pixel: float, thickness
     d = f(p + 0.01) - f(p), until |D| < ``accuracy`` on all axes or ``steps`` steps.
     """
 
-    def step(f: _Tile, p: np.ndarray, now: np.ndarray, off: np.ndarray) -> np.ndarray:
+    def step(f: Callable, p: np.ndarray, now: np.ndarray, off: np.ndarray) -> np.ndarray:
         return p - off * (f(p + 0.01) - now) / 0.013
 
     out = _invert(points, fields, pixel, thickness, steps, accuracy, tile, group_points, step, False)
@@ -138,6 +159,7 @@ def _invert(points: DataFrame, fields: DataFrame, pixel: float, thickness: float
     to the next tile and go on there, round by round until none is left; each round takes every
     point one step at least. Only tiles with points are shuffled, and one is copied only where
     more than ``group_points`` points stand on it, once for each group that these are cut into.
+    A row is a tile with a group of points, and all rows of an Arrow batch iterate together.
     Without a field a point stays and is not converged. Repeated ids are points of their own.
     ``extended`` fields go on beyond their border with its values, others end there.
     """
@@ -150,42 +172,48 @@ def _invert(points: DataFrame, fields: DataFrame, pixel: float, thickness: float
     columns = ["point_id", "slice_id", "qx", "qy", "qz", "bx", "by", "bz", "ty", "tx", "converged", "steps", "residual", "active"]
     schema = f"point_id {kind}, slice_id {slice_kind}, qx double, qy double, qz double, bx double, by double, bz double, ty int, tx int, converged boolean, steps int, residual double, active boolean"
 
-    def run(pts: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        if pts.empty or own.empty:
-            return pts[columns].assign(active=False)
-        row = own.iloc[0]
-        f, ty, tx = _Tile(row, pixel, thickness, tile, extended), int(row["ty"]), int(row["tx"])
-        target, p = pts[["qx", "qy", "qz"]].to_numpy(float), pts[["bx", "by", "bz"]].to_numpy(float).copy()
-        done, taken, residual = np.zeros(len(p), bool), pts["steps"].to_numpy(int).copy(), np.full(len(p), np.inf)
-        live = np.arange(len(p))
-        while len(live):
-            now = f(p[live])
-            off = now - target[live]
-            residual[live] = np.abs(off).max(axis=1)
-            near = residual[live] < accuracy
-            done[live[near]] = True
-            spent = taken[live] + 1 >= steps
-            go = ~near & ~spent
-            p[live[go]] = step(f, p[live[go]], now[go], off[go])
-            taken[live[go]] += 1
-            live = live[go]
-            live = live[f.covers(p[live], ty, tx)]
-        left = ~done & (taken + 1 < steps)
-        new_ty, new_tx = f.place(p)
-        return pts[columns].assign(bx=p[:, 0], by=p[:, 1], bz=p[:, 2], ty=new_ty, tx=new_tx, converged=done, steps=taken, residual=residual, active=left)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            f = _Tiles(batch, pixel, thickness, tile, extended)
+            own, (ids, *values) = _flat(batch.column("pts"))
+            qx, qy, qz, bx, by, bz, taken, residual = (v.to_numpy(zero_copy_only=False) for v in values)
+            target, p = np.stack((qx, qy, qz), 1), np.stack((bx, by, bz), 1)
+            done, taken, residual, held = np.zeros(len(p), bool), taken.copy(), residual.copy(), f.ny[own] > 0
+            live = np.flatnonzero(held)
+            while len(live):
+                t = own[live]
+                now = f(p[live], t)
+                off = now - target[live]
+                residual[live] = np.abs(off).max(axis=1)
+                near = residual[live] < accuracy
+                done[live[near]] = True
+                go = ~near & (taken[live] + 1 < steps)
+                p[live[go]] = step(partial(f, t=t[go]), p[live[go]], now[go], off[go])
+                taken[live[go]] += 1
+                live = live[go]
+                live = live[f.covers(p[live], own[live])]
+            ty, tx = (v.astype(np.int32) for v in f.place(p, own))
+            left = held & ~done & (taken + 1 < steps)
+            arrays = [ids, batch.column("slice_id").take(pa.array(own)), *map(pa.array, (qx, qy, qz, p[:, 0], p[:, 1], p[:, 2], ty, tx, done, taken, residual, left))]
+            yield pa.RecordBatch.from_arrays(arrays, columns)
 
     key = ["slice_id", "ty", "tx"]
+    point = F.struct("point_id", "qx", "qy", "qz", "bx", "by", "bz", "steps", "residual")
+    parts = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
     active, finished = cut(start), []
     while True:
         finished.append(active.where("not active"))
         active = active.where("active")
-        if not active.head(1):
-            break
         held = cut(active.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / group_points).cast("int").alias("parts")))
-        # The points come from a written table, so a repeated task deals them out alike.
-        dealt = active.join(held, key).withColumn("part", F.floor(F.rand(1) * F.col("parts")).cast("int")).drop("parts")
-        spread = tiles.join(held, key).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-        active = cut(dealt.groupBy(*key, "part").cogroup(spread.groupBy(*key, "part")).applyInPandas(run, schema))
+        n = held.count()
+        if not n:
+            break
+        # At most one row for each ``group_points`` points, and points come from a written table, so a repeated task deals them out alike.
+        crowded = F.broadcast(held.where("parts > 1"))
+        dealt = active.join(crowded, key, "left").withColumn("part", F.floor(F.rand(1) * F.coalesce("parts", F.lit(1))).cast("int"))
+        groups = dealt.groupBy(*key, "part").agg(F.collect_list(point).alias("pts"))
+        spread = tiles.join(F.broadcast(held) if n <= SENT_KEYS else held, key).select(*tiles.columns, parts)
+        active = cut(groups.join(spread, [*key, "part"], "left").mapInArrow(run, schema))
     out = finished[0]
     for more in finished[1:]:
         out = out.union(more)

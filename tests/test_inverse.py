@@ -98,3 +98,11 @@ def test_inverse_field_on_tiles_undoes_the_field(spark):
     assert all(np.allclose(results[0][k], results[1][k], atol=1e-6) for k in results[0])
     back = geometry.apply_field(inverse.where("plane = 0 and gy between 3 and 16 and gx between 3 and 16").select("gy", "gx", F.lit(1).alias("slice_id"), (F.col("gx") + F.col("dx")).alias("x"), (F.col("gy") + F.col("dy")).alias("y"), F.lit(0.0).alias("z")), field.where("plane = 0").withColumn("slice_id", F.lit(1)).withColumn("dz", F.lit(0.0)), 1.0, 20, 20, 1.0)
     assert all(abs(r.qx - r.gx) < 1e-5 and abs(r.qy - r.gy) < 1e-5 for r in back.collect())
+
+
+def test_tiles_of_a_field_with_gaps_are_whole_and_packed_by_spark(spark):
+    rows = [(1, plane, 0, x, 1.0, 0.0, 0.0) for plane in (0, 1) for x in (0, 1, 2, 3, 4, 5, 11)]
+    tiles = fields.field_tiles(spark.createDataFrame(rows, "slice_id int, plane int, gy int, gx int, dx double, dy double, dz double"), 4)
+    # Nodes 6 to 9 are absent and zero; a tile that ends with its last node would repeat that one's values.
+    assert {(r.ty, r.tx): (r.oy, r.ox, r.ny, r.nx) for r in tiles.collect()} == {(0, 0): (0, 0, 1, 6), (0, 1): (0, 2, 1, 8), (0, 2): (0, 6, 1, 6)}
+    assert "Pandas" not in tiles._jdf.queryExecution().toString()
