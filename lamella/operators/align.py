@@ -1,9 +1,9 @@
 """Alignment of surface images on tiles: rigid search over levels, local shifts, dense fields, and the chain of them.
 
 Images are tables of square tiles. A fixed tile meets the moving tiles that its pixels can reach
-under any candidate in one group; out of it come histogram bins for each candidate, the best local
-shift of each control cell, or a warped tile. Pixels are rows only where an image enters and where
-a dense field leaves.
+under any candidate in one row, and the rows of an Arrow batch are worked on together; out of them come
+a histogram for each candidate, the differences of each control cell, or warped tiles. Pixels are
+rows only where an image enters and where a dense field leaves.
 
 A rigid candidate is an angle number and a whole shift: p goes to R(k * step) (p - c) + c + s and
 takes the nearest pixel there. On half the resolution pixel i stands for pixels 2 i and 2 i + 1, so
@@ -19,73 +19,115 @@ import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lamella.operators.register import mutual_information
 from lamella.operators.transforms import spline_cells, spline_weights
 from lamella.sources.cut import cut
 
 Centre = tuple[float, float]
+#: Pixels, and candidates of tiles, that a task works on at once.
+CELLS, CANDIDATES = 1 << 20, 1 << 17
 
 
 def _kinds(df: DataFrame, keys: list[str]) -> str:
     return "".join(f"`{k}` {df.schema[k].dataType.simpleString()}, " for k in keys)
 
 
+def _portions(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
+    for first in range(0, batch.num_rows, max(1, rows)):
+        yield batch.slice(first, max(1, rows))
+
+
+def _numbers(array: pa.Array) -> np.ndarray:
+    return array.to_numpy(zero_copy_only=False)
+
+
+def _flat(column: pa.ListArray) -> tuple[np.ndarray, list[pa.Array]]:
+    """The row of each element of an array-of-structs column, and the fields of the elements."""
+    return np.repeat(np.arange(len(column)), _numbers(pc.list_value_length(column))), column.flatten().flatten()
+
+
+def _stack(data: pa.BinaryArray, n: int) -> np.ndarray:
+    """Tiles of side n as one array (tile, y, x)."""
+    return np.frombuffer(b"".join(data.to_pylist()), "<u2").reshape(-1, n, n)
+
+
+def _packed(blocks: np.ndarray) -> pa.Array:
+    return pa.array([block.tobytes() for block in blocks.astype("<u2", copy=False)], pa.binary())
+
+
 def tiles(images: DataFrame, keys: list[str], size: int) -> DataFrame:
     """(keys, channel, ty, tx, size, data) of pixels (keys, channel, y, x, v): 16-bit values plus one, 0 where absent."""
     df = images.select(*keys, "channel", *[F.floor(F.col(a) / size).cast("int").alias(f"t{a}") for a in "yx"], *[F.pmod(F.col(a), F.lit(size)).alias(a) for a in "yx"], "v")
     place = [*keys, "channel", "ty", "tx"]
 
-    def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        block = np.zeros((size, size), "<u2")
-        block[rows["y"], rows["x"]] = np.clip(rows["v"], 0, 65534) + 1
-        return pd.DataFrame([[*key, size, block.tobytes()]], columns=[*place, "size", "data"])
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _portions(batch, CELLS // size**2):
+                own, pixel = _flat(part.column("pixels"))
+                y, x, v = map(_numbers, pixel)
+                blocks = np.zeros((part.num_rows, size, size), "<u2")
+                blocks[own, y, x] = np.clip(v, 0, 65534) + 1
+                yield pa.RecordBatch.from_arrays([*part.select(place).columns, pa.array(np.full(part.num_rows, size, np.int32)), _packed(blocks)], [*place, "size", "data"])
 
-    return df.groupBy(*place).applyInPandas(pack, _kinds(df, [*keys, "channel"]) + "ty int, tx int, size int, data binary")
+    grouped = df.groupBy(*place).agg(F.collect_list(F.struct("y", "x", "v")).alias("pixels"))
+    return grouped.mapInArrow(pack, _kinds(df, [*keys, "channel"]) + "ty int, tx int, size int, data binary")
 
 
 def pixels(images: DataFrame, keys: list[str]) -> DataFrame:
     """Pixel rows (keys, channel, y, x, v) of tiles."""
     columns = [*keys, "channel"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_dict("records"):
-                n = row["size"]
-                block = np.frombuffer(row["data"], "<u2").reshape(n, n).astype(int) - 1
-                y, x = np.nonzero(block >= 0)
-                yield pd.DataFrame({**{k: row[k] for k in columns}, "y": y + row["ty"] * n, "x": x + row["tx"] * n, "v": block[y, x]})
+            if not batch.num_rows:
+                continue
+            n = batch.column("size")[0].as_py()
+            for part in _portions(batch, CELLS // n**2):
+                blocks = _stack(part.column("data"), n)
+                t, y, x = np.nonzero(blocks)
+                place = [y + _numbers(part.column("ty"))[t] * n, x + _numbers(part.column("tx"))[t] * n, blocks[t, y, x].astype(np.int32) - 1]
+                yield pa.RecordBatch.from_arrays([*part.select(columns).take(pa.array(t)).columns, *[pa.array(v.astype(np.int32)) for v in place]], [*columns, "y", "x", "v"])
 
-    return images.mapInPandas(run, _kinds(images, columns) + "y int, x int, v int")
+    return images.select(*columns, "ty", "tx", "size", "data").mapInArrow(run, _kinds(images, columns) + "y int, x int, v int")
 
 
 def halve_tiles(images: DataFrame, keys: list[str]) -> DataFrame:
     """Tiles of half the resolution: the mean of the present pixels of each 2 x 2, rounded half up."""
     columns = [*keys, "channel"]
+    names = [*columns, "ty", "tx", "size", "data"]
 
-    def shrink(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            n = batch.column("size")[0].as_py()
+            for part in _portions(batch, CELLS // n**2):
+                cells = _stack(part.column("data"), n).reshape(-1, n // 2, 2, n // 2, 2)
+                present = (cells > 0).sum(axis=(2, 4))
+                total = cells.sum(axis=(2, 4), dtype=np.int64) - present
+                small = np.where(present > 0, (2 * total + present) // np.maximum(2 * present, 1) + 1, 0)
+                yield pa.RecordBatch.from_arrays([*part.select(names[:-1]).columns, _packed(small)], names)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            small = []
-            for n, data in zip(batch["size"], batch["data"], strict=True):
-                cells = np.frombuffer(data, "<u2").reshape(n // 2, 2, n // 2, 2)
-                present = (cells > 0).sum(axis=(1, 3))
-                total = cells.sum(axis=(1, 3), dtype=np.int64) - present
-                small.append(np.where(present > 0, (2 * total + present) // np.maximum(2 * present, 1) + 1, 0).astype("<u2").tobytes())
-            yield batch[[*columns, "ty", "tx", "size"]].assign(data=small)
-
-    def gather(rows: pd.DataFrame) -> pd.DataFrame:
-        n, first = int(rows["size"].iloc[0]), rows.iloc[0]
-        block = np.zeros((n, n), "<u2")
-        for ty, tx, data in zip(rows["ty"], rows["tx"], rows["data"], strict=True):
-            block[ty % 2 * n // 2 : ty % 2 * n // 2 + n // 2, tx % 2 * n // 2 : tx % 2 * n // 2 + n // 2] = np.frombuffer(data, "<u2").reshape(n // 2, n // 2)
-        return pd.DataFrame([[*first[columns], first["ty"] // 2, first["tx"] // 2, n, block.tobytes()]], columns=[*columns, "ty", "tx", "size", "data"])
+            if not batch.num_rows:
+                continue
+            n = batch.column("size")[0].as_py()
+            for part in _portions(batch, CELLS // n**2):
+                own, (ty, tx, data) = _flat(part.column("parts"))
+                blocks = np.zeros((part.num_rows, 2, n // 2, 2, n // 2), "<u2")
+                blocks[own, _numbers(ty) % 2, :, _numbers(tx) % 2] = _stack(data, n // 2)
+                yield pa.RecordBatch.from_arrays([*part.select(names[:-1]).columns, _packed(blocks.reshape(-1, n, n))], names)
 
     schema = _kinds(images, columns) + "ty int, tx int, size int, data binary"
-    small = images.select(*columns, "ty", "tx", "size", "data").mapInPandas(shrink, schema)
-    return small.groupBy(*columns, F.floor(F.col("ty") / 2).alias("_ty"), F.floor(F.col("tx") / 2).alias("_tx")).applyInPandas(gather, schema)
+    small = images.select(*names).mapInArrow(shrink, schema)
+    half = [F.floor(F.col(a) / 2).cast("int").alias(a) for a in ("ty", "tx")]
+    fours = small.select(*columns, *half, "size", F.struct("ty", "tx", "data").alias("part"))
+    return fours.groupBy(*names[:-1]).agg(F.collect_list("part").alias("parts")).mapInArrow(gather, schema)
 
 
 def first_of(keys: list[str], *images: DataFrame) -> DataFrame:
@@ -96,8 +138,10 @@ def first_of(keys: list[str], *images: DataFrame) -> DataFrame:
     return out
 
 
-def _rotated(y: np.ndarray, x: np.ndarray, angle: float, centre: Centre) -> tuple[np.ndarray, np.ndarray]:
-    c, s = round(math.cos(angle), 12), round(math.sin(angle), 12)
+def _rotated(y: np.ndarray, x: np.ndarray, k: np.ndarray, step: float, centre: Centre) -> tuple[np.ndarray, np.ndarray]:
+    """Places (pair, ...) turned by the angle number k of each pair."""
+    numbers, at = np.unique(k, return_inverse=True)
+    c, s = (np.array([round(f(int(n) * step), 12) for n in numbers])[at].reshape(-1, *[1] * (y.ndim - 1)) for f in (math.cos, math.sin))
     px, py = x - centre[0], y - centre[1]
     return px * s + py * c + centre[1], px * c - py * s + centre[0]
 
@@ -106,85 +150,141 @@ def _nearest(v: np.ndarray) -> np.ndarray:
     return np.floor(np.round(v, 6) + 0.5).astype(int)
 
 
-class _Region:
-    """Moving tiles of a group as one image with an origin; absent pixels are -1."""
+class _Meeting:
+    """Fixed tiles, their candidates and what they can reach, of a batch of rows.
 
-    def __init__(self, rows: pd.DataFrame, n: int):
-        self.oy, self.ox = int(rows["my"].min()) * n, int(rows["mx"].min()) * n
-        self.image = np.full(((int(rows["my"].max()) + 1) * n - self.oy, (int(rows["mx"].max()) + 1) * n - self.ox), -1, int)
-        for my, mx, data in zip(rows["my"], rows["mx"], rows["moving"], strict=True):
-            y, x = int(my) * n - self.oy, int(mx) * n - self.ox
-            self.image[y : y + n, x : x + n] = np.frombuffer(data, "<u2").reshape(n, n).astype(int) - 1
+    ``of`` is the fixed tile of each candidate (k, sx, sy); absent pixels are -1.
+    """
 
-    def at(self, y: np.ndarray, x: np.ndarray) -> np.ndarray:
-        y, x = y - self.oy, x - self.ox
-        inside = (y >= 0) & (y < self.image.shape[0]) & (x >= 0) & (x < self.image.shape[1])
-        out = np.full(y.shape, -1, int)
-        out[inside] = self.image[y[inside], x[inside]]
-        return out
+    def __init__(self, rows: pa.RecordBatch):
+        self.n = n = rows.column("size")[0].as_py()
+        self.values = _stack(rows.column("data"), n).astype(int) - 1
+        self.ty, self.tx = (_numbers(rows.column(c)).astype(int) for c in ("ty", "tx"))
+        self.of, maps = _flat(rows.column("maps"))
+        self.k, self.sx, self.sy = (_numbers(m).astype(int) for m in maps)
+        t, (my, mx, data) = _flat(rows.column("others"))
+        my, mx = _numbers(my).astype(int), _numbers(mx).astype(int)
+        # The first moving tile is an absent one; a tile's region is a block of numbers of moving tiles.
+        self.moving = np.concatenate((np.zeros((1, n, n), "<u2"), _stack(data, n)))
+        starts = np.flatnonzero(np.diff(t, prepend=-1))
+        self.oy, self.ox = np.minimum.reduceat(my, starts), np.minimum.reduceat(mx, starts)
+        self.gh, self.gw = np.maximum.reduceat(my, starts) + 1 - self.oy, np.maximum.reduceat(mx, starts) + 1 - self.ox
+        self.first = np.cumsum(self.gh * self.gw) - self.gh * self.gw
+        self.slots = np.zeros(int((self.gh * self.gw).sum()), int)
+        self.slots[self.first[t] + (my - self.oy[t]) * self.gw[t] + mx - self.ox[t]] = np.arange(len(t)) + 1
+
+    def portions(self, count: int) -> Iterator[slice]:
+        size = max(1, CELLS // self.n**2)
+        return (slice(i, min(i + size, count)) for i in range(0, count, size))
+
+    def grid(self, t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pixel places (y, x) of fixed tiles, each (tile, y, x)."""
+        own = np.arange(self.n)
+        shape = (len(t), self.n, self.n)
+        return np.broadcast_to((self.ty[t, None] * self.n + own)[:, :, None], shape), np.broadcast_to((self.tx[t, None] * self.n + own)[:, None, :], shape)
+
+    def turned(self, pairs: slice, step: float, centre: Centre) -> tuple[np.ndarray, np.ndarray]:
+        """Nearest moving places of the pixels under candidates."""
+        y, x = _rotated(*self.grid(self.of[pairs]), self.k[pairs], step, centre)
+        return _nearest(y + self.sy[pairs, None, None]), _nearest(x + self.sx[pairs, None, None])
+
+    def at(self, t: np.ndarray, y: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """Moving values at places that the fixed tiles t look at."""
+        each = lambda v: v[t][:, None, None]
+        ty, tx = y // self.n - each(self.oy), x // self.n - each(self.ox)
+        inside = (ty >= 0) & (ty < each(self.gh)) & (tx >= 0) & (tx < each(self.gw))
+        slot = np.where(inside, self.slots[np.where(inside, each(self.first) + ty * each(self.gw) + tx, 0)], 0)
+        return self.moving[slot, y % self.n, x % self.n].astype(int) - 1
 
 
 def _meet(fixed: DataFrame, moving: DataFrame, keys: list[str], maps: DataFrame, step: float, centre: Centre, margin: int, run: Callable, columns: str) -> DataFrame:
-    """``run(values, y, x, region, maps)`` for each fixed tile: its values and pixel places, what its pixels can reach, its key's maps.
+    """``run(meeting)`` for batches of fixed tiles with what their pixels can reach and their key's maps.
 
     ``maps`` (keys, maps array of (k, sx, sy)) are the candidates of each key; ``margin`` is
-    how much farther than under these a pixel looks. ``run`` gives rows of ``columns``.
+    how much farther than under these a pixel looks. ``run`` gives numbers of fixed tiles and
+    Arrow arrays of ``columns``.
     """
     place = [*keys, "channel", "ty", "tx"]
     here = fixed.join(maps, keys).select(*place, "size", "data", "maps")
+    ends = ["low_y", "high_y", "low_x", "high_x"]
 
-    def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for r in batch.to_dict("records"):
-                n = r["size"]
-                y, x = (np.array(v) for v in ([r["ty"] * n, r["ty"] * n + n - 1] * 2, [r["tx"] * n, r["tx"] * n, r["tx"] * n + n - 1, r["tx"] * n + n - 1]))
-                ends = []
-                for m in r["maps"]:
-                    my, mx = _rotated(y, x, m["k"] * step, centre)
-                    ends.append((my.min() + m["sy"], my.max() + m["sy"], mx.min() + m["sx"], mx.max() + m["sx"]))
-                low_y, high_y, low_x, high_x = (f(e) for f, e in zip((min, max, min, max), zip(*ends, strict=True), strict=True))
-                for ty in range(math.floor((low_y - margin - 1) / n), math.floor((high_y + margin + 1) / n) + 1):
-                    for tx in range(math.floor((low_x - margin - 1) / n), math.floor((high_x + margin + 1) / n) + 1):
-                        rows.append([*[r[k] for k in place], ty, tx])
-            yield pd.DataFrame(rows, columns=[*place, "my", "mx"])
-
-    planned = here.select(*place, "size", "maps").mapInPandas(plan, _kinds(fixed, [*keys, "channel"]) + "ty int, tx int, my int, mx int")
+            if not batch.num_rows:
+                continue
+            of, found = _flat(batch.column("maps"))
+            k, sx, sy = (_numbers(m).astype(int) for m in found)
+            n, ty, tx = (_numbers(batch.column(c)).astype(int)[of, None] for c in ("size", "ty", "tx"))
+            y, x = _rotated(ty * n + (n - 1) * np.array([0, 0, 1, 1]), tx * n + (n - 1) * np.array([0, 1, 0, 1]), k, step, centre)
+            starts, n = np.flatnonzero(np.diff(of, prepend=-1)), _numbers(batch.column("size"))
+            low = [np.floor((np.minimum.reduceat(v.min(axis=1) + s, starts) - margin - 1) / n) for v, s in ((y, sy), (x, sx))]
+            high = [np.floor((np.maximum.reduceat(v.max(axis=1) + s, starts) + margin + 1) / n) for v, s in ((y, sy), (x, sx))]
+            yield pa.RecordBatch.from_arrays([*batch.select(place).columns, *[pa.array(v.astype(np.int32)) for v in (low[0], high[0], low[1], high[1])]], [*place, *ends])
+
+    planned = here.select(*place, "size", "maps").mapInArrow(plan, _kinds(fixed, [*keys, "channel"]) + "ty int, tx int, " + ", ".join(f"{e} int" for e in ends))
+    planned = planned.withColumn("my", F.explode(F.sequence("low_y", "high_y"))).withColumn("mx", F.explode(F.sequence("low_x", "high_x"))).drop(*ends)
     near = planned.join(moving.select(*keys, "channel", F.col("ty").alias("my"), F.col("tx").alias("mx"), F.col("data").alias("moving")), [*keys, "channel", "my", "mx"])
-    names = [*keys, "channel", *[c.split()[0] for c in columns.split(", ")]]
-
-    def both(own: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-        if own.empty or others.empty:
-            return pd.DataFrame(columns=names)
-        r = own.iloc[0]
-        n = int(r["size"])
-        values = np.frombuffer(r["data"], "<u2").reshape(n, n).astype(int) - 1
-        y, x = np.mgrid[r["ty"] * n : r["ty"] * n + n, r["tx"] * n : r["tx"] * n + n]
-        own_keys = [r[k] for k in (*keys, "channel")]
-        return pd.DataFrame([[*own_keys, *found] for found in run(values, y, x, _Region(others, n), r["maps"])], columns=names)
+    others = near.groupBy(*place).agg(F.collect_list(F.struct("my", "mx", "moving")).alias("others"))
+    own = [*keys, "channel"]
+    names = [*own, *[c.split()[0] for c in columns.split(", ")]]
 
-    return here.groupBy(*place).cogroup(near.groupBy(*place)).applyInPandas(both, _kinds(fixed, [*keys, "channel"]) + columns)
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # So many candidates at once that what leaves them stays small.
+            counts = np.cumsum(_numbers(pc.list_value_length(batch.column("maps"))))
+            first = 0
+            while first < batch.num_rows:
+                stop = max(first + 1, int(np.searchsorted(counts, (counts[first - 1] if first else 0) + CANDIDATES, "right")))
+                part = batch.slice(first, stop - first)
+                for t, arrays in run(_Meeting(part)):
+                    yield pa.RecordBatch.from_arrays([*part.select(own).take(pa.array(t)).columns, *arrays], names)
+                first = stop
+
+    return here.join(others, place).mapInArrow(both, _kinds(fixed, own) + columns)
+
+
+def _information(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Mutual information, summed over the channels, of histograms ``found`` (channel, bins, counts), a list a row; other columns stay."""
+    for batch in batches:
+        own, (channel, bins, counts) = _flat(batch.column("found"))
+        codes = pc.dictionary_encode(channel).indices.to_numpy()
+        lengths = _numbers(pc.list_value_length(bins))
+        joint = np.repeat(own * (int(codes.max(initial=0)) + 1) + codes, lengths)
+        bins = bins.flatten().to_numpy().view(np.uint32).astype(np.int64)
+        cells, at = np.unique(joint << 32 | bins, return_inverse=True)
+        c = np.bincount(at, _numbers(counts.flatten()), len(cells))
+        sums = lambda key: (lambda u: np.bincount(u, c)[u])(np.unique(key, return_inverse=True)[1])
+        group = cells >> 32
+        n, ca, cb = sums(group), sums(cells >> 16), sums(group << 16 | cells & 0xFFFF)
+        row = group // (int(codes.max(initial=0)) + 1)
+        mi = np.bincount(row, c / n * np.log(c * n / (ca * cb)), batch.num_rows)
+        kept = [f for f in batch.schema.names if f != "found"]
+        yield pa.RecordBatch.from_arrays([*batch.select(kept).columns, pa.array(mi)], [*kept, "mi"])
 
 
 def rigid_scores(fixed: DataFrame, moving: DataFrame, keys: list[str], maps: DataFrame, step: float, centre: Centre, bin_width: int) -> DataFrame:
-    """(keys, k, sx, sy, mi): mutual information of every candidate, summed over the channels."""
-
-    def run(values: np.ndarray, y: np.ndarray, x: np.ndarray, region: _Region, candidates: list) -> list[list]:
-        rows, turned = [], {}
-        for m in candidates:
-            if m["k"] not in turned:
-                turned[m["k"]] = _rotated(y, x, m["k"] * step, centre)
-            my, mx = turned[m["k"]]
-            others = region.at(_nearest(my + m["sy"]), _nearest(mx + m["sx"]))
+    """(keys, k, sx, sy, mi): mutual information of every candidate, summed over the channels.
+
+    A tile sends one row for each candidate, with the filled bins of its histogram; the rows of
+    a candidate's tiles are added up in one place.
+    """
+
+    def run(m: _Meeting) -> Iterator[tuple[np.ndarray, list]]:
+        for pairs in m.portions(len(m.of)):
+            t = m.of[pairs]
+            values, others = m.values[t], m.at(t, *m.turned(pairs, step, centre))
             both = (values >= 0) & (others >= 0)
-            pairs, counts = np.unique((values[both] // bin_width << 16) + others[both] // bin_width, return_counts=True)
-            rows += [[m["k"], m["sx"], m["sy"], p >> 16, p & 0xFFFF, c] for p, c in zip(pairs.tolist(), counts.tolist(), strict=True)]
-        return rows
+            pair = np.nonzero(both)[0]
+            cells, counts = np.unique(pair << 32 | values[both] // bin_width << 16 | others[both] // bin_width, return_counts=True)
+            met, starts = np.unique(cells >> 32, return_index=True)
+            offsets = pa.array(np.append(starts, len(cells)).astype(np.int32))
+            bins = (cells & 0xFFFFFFFF).astype(np.uint32).view(np.int32)
+            yield t[met], [*[pa.array(v[pairs][met].astype(np.int32)) for v in (m.k, m.sx, m.sy)], pa.ListArray.from_arrays(offsets, pa.array(bins)), pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.int32)))]
 
-    bins = _meet(fixed, moving, keys, maps, step, centre, 0, run, "k int, sx int, sy int, a int, b int, c long")
-    by = [*keys, "channel", "k", "sx", "sy"]
-    each = mutual_information(bins.groupBy(*by, "a", "b").agg(F.sum("c").alias("c")), by)
-    return each.groupBy(*keys, "k", "sx", "sy").agg(F.round(F.sum("mi"), 9).alias("mi"))
+    found = _meet(fixed, moving, keys, maps, step, centre, 0, run, "k int, sx int, sy int, bins array<int>, counts array<int>")
+    by = [*keys, "k", "sx", "sy"]
+    each = found.groupBy(*by).agg(F.collect_list(F.struct("channel", "bins", "counts")).alias("found"))
+    return each.mapInArrow(_information, _kinds(found, by) + "mi double").withColumn("mi", F.round("mi", 9))
 
 
 def _gathered(candidates: DataFrame, keys: list[str]) -> DataFrame:
@@ -283,11 +383,13 @@ def rigid_field(size: tuple[int, int], found: DataFrame, keys: list[str], step:
 def warp_tiles(grid: DataFrame, moving: DataFrame, keys: list[str], found: DataFrame, step: float, centre: Centre) -> DataFrame:
     """Tiles of the moving image seen on the pixels of ``grid`` tiles through its key's rigid map, nearest pixel."""
 
-    def run(values: np.ndarray, y: np.ndarray, x: np.ndarray, region: _Region, maps: list) -> list[list]:
-        m, n = maps[0], len(values)
-        my, mx = _rotated(y, x, m["k"] * step, centre)
-        seen = np.where(values >= 0, region.at(_nearest(my + m["sy"]), _nearest(mx + m["sx"])), -1)
-        return [[int(y[0, 0]) // n, int(x[0, 0]) // n, n, (seen + 1).astype("<u2").tobytes()]] if (seen >= 0).any() else []
+    def run(m: _Meeting) -> Iterator[tuple[np.ndarray, list]]:
+        for part in m.portions(len(m.of)):  # a key has one map, so a tile has one
+            t = m.of[part]
+            seen = np.where(m.values[t] >= 0, m.at(t, *m.turned(part, step, centre)), -1)
+            some = (seen >= 0).any(axis=(1, 2))
+            t = t[some]
+            yield t, [*[pa.array(v.astype(np.int32)) for v in (m.ty[t], m.tx[t], np.full(len(t), m.n))], _packed(seen[some] + 1)]
 
     return _meet(grid, moving, keys, _gathered(found, keys), step, centre, 0, run, "ty int, tx int, size int, data binary")
 
@@ -298,19 +400,19 @@ def local_shifts(fixed: DataFrame, moving: DataFrame, keys: list[str], found: Da
     Differences are averaged over all channels. A cell has to divide the tiles, so it lies in one.
     """
 
-    def run(values: np.ndarray, y: np.ndarray, x: np.ndarray, region: _Region, maps: list) -> list[list]:
-        m, n = maps[0], len(values)
-        my, mx = _rotated(y, x, m["k"] * step, centre)
-        my, mx = _nearest(my + m["sy"]), _nearest(mx + m["sx"])
-        cells = lambda v: v.reshape(n // cell, cell, n // cell, cell).sum(axis=(1, 3))
-        rows, cy, cx = [], y[::cell, ::cell] // cell, x[::cell, ::cell] // cell
-        for sy in range(-reach, reach + 1):
-            for sx in range(-reach, reach + 1):
-                others = region.at(my + sy, mx + sx)
-                both = (values >= 0) & (others >= 0)
-                count, apart = cells(both.astype(np.int64)), cells(np.where(both, (values - others) ** 2, 0))
-                rows += [[int(cy[i]), int(cx[i]), sx, sy, int(count[i]), int(apart[i])] for i in zip(*np.nonzero(count), strict=True)]
-        return rows
+    def run(m: _Meeting) -> Iterator[tuple[np.ndarray, list]]:
+        cells = lambda v: v.reshape(len(v), m.n // cell, cell, m.n // cell, cell).sum(axis=(2, 4))
+        for part in m.portions(len(m.of)):
+            t = m.of[part]
+            values, (my, mx) = m.values[t], m.turned(part, step, centre)
+            for sy in range(-reach, reach + 1):
+                for sx in range(-reach, reach + 1):
+                    others = m.at(t, my + sy, mx + sx)
+                    both = (values >= 0) & (others >= 0)
+                    count, apart = cells(both.astype(np.int64)), cells(np.where(both, (values - others) ** 2, 0))
+                    i, cy, cx = np.nonzero(count)
+                    whole = [m.ty[t[i]] * (m.n // cell) + cy, m.tx[t[i]] * (m.n // cell) + cx, np.full(len(i), sx), np.full(len(i), sy)]
+                    yield t[i], [*[pa.array(v.astype(np.int32)) for v in whole], pa.array(count[i, cy, cx]), pa.array(apart[i, cy, cx])]
 
     each = _meet(fixed, moving, keys, _gathered(found, keys), step, centre, reach, run, "cy int, cx int, sx int, sy int, n long, apart long")
     total = each.groupBy(*keys, "cy", "cx", "sx", "sy").agg((F.sum("apart") / F.sum("n")).alias("e"))

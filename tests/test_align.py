@@ -161,3 +161,16 @@ def test_anchors_pull_the_search_over_levels(spark):
     assert (found[1].k, found[1].sx, found[1].sy) == (2, *shift) and found[1].mi == pytest.approx(0.0, abs=1e-6)
     # Without anchors all candidates are equal and the first of each level stands.
     assert found[2].mi == 0.0
+
+
+def test_tiles_of_many_keys_are_worked_on_in_batches(spark):
+    images = frame(spark, *[rows(blobs(k % 3 + 1, 8), key=k) for k in range(40)])
+    packed = align.tiles(images, KEYS, 8)
+    none = images.select("slice_id", F.lit(0).alias("k"), F.lit(0).alias("sx"), F.lit(0).alias("sy")).distinct()
+    maps = none.groupBy("slice_id").agg(F.collect_list(F.struct("k", "sx", "sy")).alias("maps"))
+    scores = align.rigid_scores(packed, packed, KEYS, maps, 0.1, (3.5, 3.5), 16)
+    cells = align.local_shifts(packed, packed, KEYS, none, 0.1, (3.5, 3.5), 4, 1)
+    for df in (packed, align.halve_tiles(packed, KEYS), scores, cells):
+        assert "Pandas" not in df._jdf.queryExecution().toString()  # no call of Python for each tile
+    assert len({(r.slice_id % 3, r.mi) for r in scores.collect()}) == 3
+    assert [(r.sx, r.sy) for r in cells.collect()] == [(0.0, 0.0)] * 160
