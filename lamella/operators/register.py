@@ -9,7 +9,10 @@ sorts first. Score sums are partial per task, so a shuffle carries one row a can
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -247,14 +250,46 @@ def rigid_align(fixed: DataFrame, moving: DataFrame, keys: list[str], angles: li
 
 
 def nonrigid_align(fixed: DataFrame, moving: DataFrame, keys: list[str], cell: int, reach: int) -> DataFrame:
-    """(keys, cy, cx, sx, sy): for each control cell the local shift with the smallest mean squared difference."""
-    shift = F.sequence(F.lit(-reach), F.lit(reach))
-    a = fixed.select(*keys, "y", "x", F.col("v").alias("a")).withColumn("sx", F.explode(shift)).withColumn("sy", F.explode(shift))
-    at = a.select(*keys, F.floor(F.col("y") / cell).cast("int").alias("cy"), F.floor(F.col("x") / cell).cast("int").alias("cx"), "sx", "sy", (F.col("y") + F.col("sy")).alias("y"), (F.col("x") + F.col("sx")).alias("x"), "a")
-    both = at.join(moving.select(*keys, "y", "x", F.col("v").alias("b")), [*keys, "y", "x"])
-    scores = both.groupBy(*keys, "cy", "cx", "sx", "sy").agg(F.avg((F.col("a") - F.col("b")) * (F.col("a") - F.col("b"))).alias("e"))
-    best = scores.groupBy(*keys, "cy", "cx").agg(F.min(F.struct(F.round("e", 6).alias("e"), F.abs("sx") + F.abs("sy"), "sx", "sy")).alias("m"))
-    return best.select(*keys, "cy", "cx", "m.sx", "m.sy")
+    """(keys, cy, cx, sx, sy): for each control cell the local shift with the smallest mean squared difference.
+
+    A cell is a row with its fixed pixels and the moving ones within ``reach``, so a pixel is
+    shuffled once for each cell that sees it and not once for each shift.
+    """
+    places = [*keys, "cy", "cx"]
+    side = cell + 2 * reach
+
+    def packed(images: DataFrame, margin: int, name: str) -> DataFrame:
+        df = images.select(*keys, "y", "x", F.col("v").cast("double").alias("v")).where("v is not null")
+        for a in "yx":
+            df = df.withColumn(f"c{a}", F.explode(F.sequence(*[F.floor((F.col(a) + o) / cell).cast("int") for o in (-margin, margin)])))
+        own = [(F.col(a) - F.col(f"c{a}") * cell + reach).cast("int").alias(a) for a in "yx"]
+        return df.groupBy(*places).agg(F.collect_list(F.struct(*own, "v")).alias(name))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # Number, sum and sum of squares of the pixels at each place, as a place may have several rows.
+            sums = []
+            for name in ("fixed", "moving"):
+                pixels = batch.column(name)
+                row = np.repeat(np.arange(len(pixels)), pixels.value_lengths().to_numpy(zero_copy_only=False))
+                y, x, v = (c.to_numpy(zero_copy_only=False) for c in pixels.flatten().flatten())
+                at = (row * side + y) * side + x
+                sums.append([np.bincount(at, w, batch.num_rows * side * side).reshape(-1, side, side) for w in (np.ones(len(v)), v, v * v)])
+            inner = slice(reach, reach + cell)
+            n_a, s_a, q_a = (f[:, inner, inner] for f in sums[0])
+            for sy in range(2 * reach + 1):
+                for sx in range(2 * reach + 1):
+                    n_b, s_b, q_b = (f[:, sy : sy + cell, sx : sx + cell] for f in sums[1])
+                    n, apart = (n_a * n_b).sum(axis=(1, 2)), (n_b * q_a - 2 * s_a * s_b + n_a * q_b).sum(axis=(1, 2))
+                    some = np.flatnonzero(n)
+                    shift = [pa.array(np.full(len(some), s - reach, np.int32)) for s in (sx, sy)]
+                    yield pa.RecordBatch.from_arrays([*batch.select(places).take(pa.array(some)).columns, *shift, pa.array(apart[some] / n[some])], [*places, "sx", "sy", "e"])
+
+    both = packed(fixed, 0, "fixed").join(packed(moving, reach, "moving"), places)
+    kinds = "".join(f"`{k}` {fixed.schema[k].dataType.simpleString()}, " for k in keys)
+    scores = both.mapInArrow(run, kinds + "cy int, cx int, sx int, sy int, e double")
+    best = scores.groupBy(*places).agg(F.min(F.struct(F.round("e", 6).alias("e"), F.abs("sx") + F.abs("sy"), "sx", "sy")).alias("m"))
+    return best.select(*places, "m.sx", "m.sy")
 
 
 def smooth_cells(cells: DataFrame, keys: list[str], weight: float) -> DataFrame:

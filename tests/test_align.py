@@ -174,3 +174,17 @@ def test_tiles_of_many_keys_are_worked_on_in_batches(spark):
         assert "Pandas" not in df._jdf.queryExecution().toString()  # no call of Python for each tile
     assert len({(r.slice_id % 3, r.mi) for r in scores.collect()}) == 3
     assert [(r.sx, r.sy) for r in cells.collect()] == [(0.0, 0.0)] * 160
+
+
+def test_local_shifts_shuffle_a_pixel_once_a_cell(spark):
+    fixed, moving = frame(spark, rows(blobs(5, 12))), frame(spark, rows(blobs(5, 12, (1, 2))))
+    got = register.nonrigid_align(fixed, moving, KEYS, 4, 2)
+    assert "MapInArrow" in got._jdf.queryExecution().toString()
+    a, b = blobs(5, 12), blobs(5, 12, (1, 2))
+    for r in got.collect():
+        means = {}
+        for sy in range(-2, 3):
+            for sx in range(-2, 3):
+                at = [(y, x) for y in range(4 * r.cy, 4 * r.cy + 4) for x in range(4 * r.cx, 4 * r.cx + 4) if 0 <= y + sy < 12 and 0 <= x + sx < 12]
+                means[round(float(np.mean([(a[p] - b[p[0] + sy, p[1] + sx]) ** 2 for p in at])), 6), abs(sx) + abs(sy), sx, sy] = None
+        assert (r.sx, r.sy) == min(means)[2:]
