@@ -145,7 +145,8 @@ def _marked(docs: DataFrame, text_col: str) -> DataFrame:
     keyed = row_keyed(docs.select(whole))
     text = F.col(f"_whole.`{text_col}`").alias("text")
     places = removed_lines(keyed.select("_row", text), scratch)
-    joined = keyed.join(places, "_row", "left").select("_whole", text, "gone")
+    # Few bytes a document meet whole texts: in a hash join only the places are held, and no text is sorted.
+    joined = keyed.join(places.hint("shuffle_hash"), "_row", "left").select("_whole", text, "gone")
     split = joined.withColumn("_lines", F.split("text", "\n"))
     # A map from the removed places would be searched for each line; a merge by place is linear.
     flags = F.transform(F.array_repeat(F.lit(True), F.size("_lines")), lambda _, i: i)

@@ -143,3 +143,9 @@ def test_lines_are_normal_with_any_white_space():
         text = "".join(rnd.choice(signs, int(rnd.integers(0, 14))))
         want = [(i, " ".join(line.split())) for i, line in enumerate(text.split("\n")) if line.split()]
         assert list(d.lines_of(text)) == want
+
+
+def test_whole_texts_are_not_sorted(spark):
+    rows = [(i, "the same line in every document\nline %d" % i, "r", i) for i in range(20)]
+    plan = d.dedup_lines(spark.createDataFrame(rows, SCHEMA))._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
