@@ -27,6 +27,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +36,10 @@ from lamella.llm.components import components
 
 #: Multiplier of the rolling hash and seed of the permutations.
 _STEP, _SEED = np.uint64(0x9E3779B97F4A7C15), 20_011
-#: Tokens hashed at once; bounds a task's memory.
-_BLOCK = 1 << 18
+#: Tokens hashed at once, few enough for a core's cache.
+_BLOCK = 1 << 16
+#: Bits for the number of a pair among those verified at once, and characters in them; one pair may hold more.
+_PAIR_BITS, _PAIR_CHARS = 8, 1 << 18
 #: Pieces, and bytes of text, in a block of an open bucket; two blocks are compared in memory.
 BLOCK_PIECES, BLOCK_BYTES = 256, 1 << 19
 #: Shingles in one matrix product.
@@ -144,29 +147,56 @@ def _picked(keys: DataFrame, picks: Picks) -> DataFrame:
     return keys.mapInArrow(run, keys.schema)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, scratch: Scratch, shingles_of: Callable[[str], frozenset], most_shingles: Callable[[str], int], threshold: float) -> DataFrame:
+def _placed(hashes: np.ndarray, counts: np.ndarray, places: np.ndarray, bits: int) -> np.ndarray:
+    """Hashes with the place of their piece in the low ``bits``; the top bits of a hash go."""
+    return hashes << np.uint64(bits) | np.repeat(places.astype(np.uint64), counts)
+
+
+def _different(cells: np.ndarray) -> np.ndarray:
+    """The values of ``cells``, sorted, each once; sorts in place."""
+    cells.sort()
+    new = np.ones(len(cells), bool)
+    np.not_equal(cells[1:], cells[:-1], out=new[1:])
+    return cells[new]
+
+
+def overlaps(own: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray], of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different shingles that each piece of ``own`` shares with the piece of ``other`` at ``of``, and those of both.
+
+    Pieces are (shingle hashes, counts), 2^8 pairs at most; a shingle is known by 56 bits of its hash.
+    """
+    n = len(of)
+    sizes = lambda cells, n: np.bincount((_different(cells) & np.uint64((1 << _PAIR_BITS) - 1)).astype(np.intp), minlength=n)
+    counts = other[1][of]
+    at = np.arange(counts.sum()) + np.repeat((np.cumsum(other[1]) - other[1])[of] - (np.cumsum(counts) - counts), counts)
+    mine = _placed(*own, np.arange(n), _PAIR_BITS)
+    both = sizes(np.concatenate((mine, _placed(other[0][at], counts, np.arange(n), _PAIR_BITS))), n)
+    known = sizes(_placed(*other, np.arange(len(other[1])), _PAIR_BITS), len(other[1]))
+    return sizes(mine, n) + known[of] - both, both
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, scratch: Scratch, tokens_of: Tokens, width: int, threshold: float) -> DataFrame:
     """The (a, b) of ``pairs`` (rep, uid) whose texts have a Jaccard similarity of ``threshold`` or more.
 
-    The second join sorts by the chosen piece, whose shingles are so made once for all its pairs.
+    The second join sorts by the chosen piece, whose shingles are so made once for many of its pairs.
     """
     both = pairs.join(texts.select("uid", F.col("text").alias("own")), "uid").join(texts.select(F.col("uid").alias("rep"), F.col("text").alias("other")), "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, known = None, frozenset()
         for batch in batches:
-            hit, other = [], batch.column("other")
-            for i, (rep, own) in enumerate(zip(batch.column("rep").to_pylist(), batch.column("own"), strict=True)):
-                if rep != at:
-                    at, known = rep, shingles_of(other[i].as_py())
-                own = own.as_py()
-                if most_shingles(own) < threshold * len(known):
-                    hit.append(False)
-                    continue
-                mine = shingles_of(own)
-                # Without an overlap as large as this the similarity can't be reached, whatever is common.
-                common = len(known & mine) if threshold * len(mine) <= len(known) else 0
-                hit.append(common >= threshold * (len(known) + len(mine) - common))
-            mask = pa.array(hit, pa.bool_())
+            reps = batch.column("rep").to_numpy()
+            lengths = np.cumsum(pc.add(pc.utf8_length(batch.column("own")), pc.utf8_length(batch.column("other"))).to_numpy(zero_copy_only=False), dtype=np.int64)
+            at, hit = 0, np.zeros(batch.num_rows, bool)
+            while at < batch.num_rows:
+                stop = max(at + 1, int(np.searchsorted(lengths, (lengths[at - 1] if at else 0) + _PAIR_CHARS, "right")))
+                stop = min(stop, at + (1 << _PAIR_BITS))
+                starts = np.flatnonzero(np.diff(reps[at:stop], prepend=~reps[at]))
+                own, other = (_shingles(*tokens_of(t.to_pylist()), width) for t in (batch.column("own").slice(at, stop - at), batch.column("other").take(pa.array(at + starts))))
+                of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, stop - at)))
+                common, union = overlaps(own, other, of)
+                hit[at:stop] = common >= threshold * union
+                at = stop
+            mask = pa.array(hit)
             yield pa.RecordBatch.from_arrays([batch.column("rep").filter(mask), batch.column("uid").filter(mask)], ["a", "b"])
 
     return scratch.keep(both.select("rep", "uid", "own", "other").mapInArrow(run, "a long, b long"), "verified")
@@ -180,12 +210,11 @@ def similar_pairs(hashes: np.ndarray, counts: np.ndarray, roots: np.ndarray, sid
     join already is left out.
     """
     n = len(counts)
-    order = np.argsort(hashes)
-    sorted_hashes = hashes[order]
-    column = np.zeros(len(hashes), np.int64)
-    np.cumsum(sorted_hashes[1:] != sorted_hashes[:-1], out=column[1:])
-    cells = np.unique(column * n + np.repeat(np.arange(n), counts)[order])  # a shingle counts once in a piece
-    columns, places = cells // n, cells % n
+    bits = n.bit_length()
+    cells = _different(_placed(hashes.astype(np.uint64), counts, np.arange(n), bits))  # a shingle counts once in a piece
+    places, cells = (cells & np.uint64((1 << bits) - 1)).astype(np.int64), cells >> np.uint64(bits)
+    columns = np.zeros(len(cells), np.int64)
+    np.cumsum(cells[1:] != cells[:-1], out=columns[1:])
     sizes = np.bincount(places, minlength=n)
     # No pair lies inside the largest component, so only the other pieces, and their shingles, are counted.
     _, component, members = np.unique(roots, return_inverse=True, return_counts=True)
@@ -272,15 +301,13 @@ def classes(
     pieces: Callable[[Picks], DataFrame],
     tokens_of: Tokens,
     width: int,
-    shingles_of: Callable[[str], frozenset],
-    most_shingles: Callable[[str], int],
     threshold: float,
 ) -> DataFrame:
     """(node, root) of the pieces that are similar to another, root the smallest of the class.
 
     ``keys`` is a written table (bucket, uid); ``pieces`` gives (uid, text) of the pieces that
-    a test picks, so that only texts of pieces in pairs are fetched. ``most_shingles`` bounds
-    the number of different shingles of a text from above. Its own tables are dropped again.
+    a test picks, so that only texts of pieces in pairs are fetched. Its own tables are
+    dropped again.
     """
     sizes = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("uid").alias("lo"), F.max("uid").alias("hi")).where("lo < hi")
     sizes = scratch.keep(sizes, "sizes")
@@ -297,7 +324,7 @@ def classes(
     scratch.drop(sizes)
     needed = scratch.keep(pairs.select("uid").union(pairs.select("rep")).distinct(), "needed")
     texts = scratch.keep(pieces(_bitmap(needed, "uid")).join(needed, "uid", "left_semi").groupBy("uid").agg(F.first("text").alias("text")), "texts")
-    links = _verified(pairs, texts, scratch, shingles_of, most_shingles, threshold)
+    links = _verified(pairs, texts, scratch, tokens_of, width, threshold)
     scratch.drop(pairs, needed)
     roots = components(scratch, links)
     joins = _open_links(met, chosen, roots, texts, scratch, tokens_of, width, threshold)

@@ -47,10 +47,6 @@ def shingles(line: str) -> frozenset:
     return frozenset(map(line.__getitem__, _RUNS[:n]))
 
 
-def most_shingles(line: str) -> int:
-    return max(1, len(line) - SHINGLE_CHARS + 1)
-
-
 def characters(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer("".join(lines).encode("utf-32-le"), "<u4"), np.array([len(t) for t in lines])
 
@@ -119,7 +115,7 @@ def removed_lines(keyed: DataFrame, scratch: Scratch) -> DataFrame:
     scanned = scratch.keep(_scan(keyed), "scanned")
     lines = scanned.where("bucket is null").select("uid", "_row", "pos")
     keys = scanned.where("bucket is not null").select("bucket", "uid")
-    roots = classes(scratch, keys, partial(_pieces, keyed), characters, SHINGLE_CHARS, shingles, most_shingles, THRESHOLD)
+    roots = classes(scratch, keys, partial(_pieces, keyed), characters, SHINGLE_CHARS, THRESHOLD)
     counted = lines.groupBy("uid").agg(F.min(F.struct("_row", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
     counted = counted.join(roots, counted["uid"] == roots["node"], "left").where("n > 1 or root is not null")
     counted = scratch.keep(counted.select("uid", "first", F.coalesce("root", "uid").alias("component")), "repeated")

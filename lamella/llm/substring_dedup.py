@@ -71,10 +71,6 @@ def shingles(paragraph: str) -> frozenset:
     return frozenset(zip(*[w[k:] for k in range(SHINGLE_WORDS)], strict=False))
 
 
-def most_shingles(paragraph: str) -> int:
-    return max(1, paragraph.count(" ") + 2 - SHINGLE_WORDS)
-
-
 def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     hashes = np.array(list(map(_KNOWN.__getitem__, " ".join(texts).split(" "))), np.uint64)
     return hashes, np.array([t.count(" ") + 1 for t in texts])
@@ -137,7 +133,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     scanned = scratch.keep(_scan(keyed), "scanned")
     found = scanned.where("bucket is null").drop("bucket")
     keys = scanned.where("bucket is not null").select("bucket", "uid")
-    roots = classes(scratch, keys, partial(_pieces, keyed), words, SHINGLE_WORDS, shingles, most_shingles, THRESHOLD)
+    roots = classes(scratch, keys, partial(_pieces, keyed), words, SHINGLE_WORDS, THRESHOLD)
     counted = found.groupBy("uid").agg(F.min(F.struct("_row", "pos")).alias("first"), F.max("_row").alias("last"))
     alone = counted.where("first._row < last")
     # A piece of one row only counts where its class reaches into another row.

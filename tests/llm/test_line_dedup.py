@@ -145,6 +145,18 @@ def test_lines_are_normal_with_any_white_space():
         assert list(d.lines_of(text)) == want
 
 
+def test_overlaps_are_those_of_sets():
+    rnd = np.random.default_rng(4)
+    for n in (1, 2, 256):
+        own, other = ([rnd.integers(0, 60, int(rnd.integers(1, 50))) for _ in range(k)] for k in (n, max(1, n // 3)))
+        of = np.sort(rnd.integers(0, len(other), n))
+        packed = [(np.concatenate(p).astype(np.uint64), np.array([len(v) for v in p])) for p in (own, other)]
+        common, union = banding.overlaps(*packed, of)
+        sets = [(set(a.tolist()), set(other[b].tolist())) for a, b in zip(own, of, strict=True)]
+        assert common.tolist() == [len(a & b) for a, b in sets]
+        assert union.tolist() == [len(a | b) for a, b in sets]
+
+
 def test_whole_texts_are_not_sorted(spark):
     rows = [(i, "the same line in every document\nline %d" % i, "r", i) for i in range(20)]
     plan = d.dedup_lines(spark.createDataFrame(rows, SCHEMA))._jdf.queryExecution().executedPlan().toString()
