@@ -253,27 +253,50 @@ def nonrigid_align(fixed: DataFrame, moving: DataFrame, keys: list[str], cell: i
     """(keys, cy, cx, sx, sy): for each control cell the local shift with the smallest mean squared difference.
 
     A cell is a row with its fixed pixels and the moving ones within ``reach``, so a pixel is
-    shuffled once for each cell that sees it and not once for each shift.
+    shuffled once for each cell that sees it and not once for each shift. The pixels of an Arrow
+    batch that a cell sees become one row before they are sorted by cells, which keeps tasks small.
     """
     places = [*keys, "cy", "cx"]
     side = cell + 2 * reach
 
     def packed(images: DataFrame, margin: int, name: str) -> DataFrame:
         df = images.select(*keys, "y", "x", F.col("v").cast("double").alias("v")).where("v is not null")
-        for a in "yx":
-            df = df.withColumn(f"c{a}", F.explode(F.sequence(*[F.floor((F.col(a) + o) / cell).cast("int") for o in (-margin, margin)])))
-        own = [(F.col(a) - F.col(f"c{a}") * cell + reach).cast("int").alias(a) for a in "yx"]
-        return df.groupBy(*places).agg(F.collect_list(F.struct(*own, "v")).alias(name))
+        kinds = "".join(f"`{k}` {df.schema[k].dataType.simpleString()}, " for k in keys)
+
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                y, x = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in "yx")
+                low, high = ([(c + o) // cell for c in (y, x)] for o in (-margin, margin))
+                spread = range(2 * margin // cell + 2)  # a pixel is seen by at most so many cells along an axis
+                seen = [(np.flatnonzero((low[0] + a <= high[0]) & (low[1] + b <= high[1])), a, b) for a in spread for b in spread]
+                row = np.concatenate([r for r, _, _ in seen])
+                cy, cx = (np.concatenate([low[n][part[0]] + part[1 + n] for part in seen]) for n in (0, 1))
+                codes = [batch.column(k).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)[row] for k in keys]
+                order = np.lexsort((cx, cy, *codes))
+                row, by = row[order], [c[order] for c in (cy, cx, *codes)]
+                starts = np.flatnonzero(np.concatenate(([True], np.any([c[1:] != c[:-1] for c in by], axis=0))))
+                at = (y[row] - by[0] * cell + reach) * side + x[row] - by[1] * cell + reach
+                offsets = pa.array(np.append(starts, len(row)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(offsets, v) for v in (pa.array(at.astype(np.int32)), batch.column("v").take(pa.array(row)))]
+                cells = [pa.array(c[starts].astype(np.int32)) for c in by[:2]]
+                yield pa.RecordBatch.from_arrays([*batch.select(keys).take(pa.array(row[starts])).columns, *cells, *lists], [*places, "at", "v"])
+
+        seen = df.mapInArrow(pack, kinds + "cy int, cx int, at array<int>, v array<double>")
+        return seen.groupBy(*places).agg(F.collect_list(F.struct("at", "v")).alias(name))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             # Number, sum and sum of squares of the pixels at each place, as a place may have several rows.
             sums = []
             for name in ("fixed", "moving"):
-                pixels = batch.column(name)
-                row = np.repeat(np.arange(len(pixels)), pixels.value_lengths().to_numpy(zero_copy_only=False))
-                y, x, v = (c.to_numpy(zero_copy_only=False) for c in pixels.flatten().flatten())
-                at = (row * side + y) * side + x
+                parts = batch.column(name)
+                row = np.repeat(np.arange(len(parts)), parts.value_lengths().to_numpy(zero_copy_only=False))
+                places_of, values = parts.flatten().flatten()
+                row = np.repeat(row, places_of.value_lengths().to_numpy(zero_copy_only=False))
+                v = values.flatten().to_numpy(zero_copy_only=False)
+                at = row * side * side + places_of.flatten().to_numpy(zero_copy_only=False)
                 sums.append([np.bincount(at, w, batch.num_rows * side * side).reshape(-1, side, side) for w in (np.ones(len(v)), v, v * v)])
             inner = slice(reach, reach + cell)
             n_a, s_a, q_a = (f[:, inner, inner] for f in sums[0])

@@ -188,3 +188,13 @@ def test_local_shifts_shuffle_a_pixel_once_a_cell(spark):
                 at = [(y, x) for y in range(4 * r.cy, 4 * r.cy + 4) for x in range(4 * r.cx, 4 * r.cx + 4) if 0 <= y + sy < 12 and 0 <= x + sx < 12]
                 means[round(float(np.mean([(a[p] - b[p[0] + sy, p[1] + sx]) ** 2 for p in at])), 6), abs(sx) + abs(sy), sx, sy] = None
         assert (r.sx, r.sy) == min(means)[2:]
+
+
+def test_cells_are_packed_before_they_are_sorted(spark):
+    rnd = np.random.default_rng(8)
+    rows = [(k, y, x, int(rnd.integers(0, 50))) for k in range(30) for y in range(8) for x in range(8)]
+    images = spark.createDataFrame(rows, "slice_id int, y int, x int, v int")
+    got = register.nonrigid_align(images, images, ["slice_id"], 4, 2)
+    assert all((r.sx, r.sy) == (0, 0) for r in got.collect()) and got.count() == 120
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" not in plan
