@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -105,13 +108,38 @@ def fill_outside(images: DataFrame, keys: list[str], value: int, tile: int = TIL
     at_corner = ends[0] & ends[1]
     rows = rows.select(*keys, "y", "x", F.when(at_corner, 0).otherwise(F.col("v")).alias("v"), at_corner.alias("corner"), *[F.floor(F.col(a) / tile).cast("int").alias(f"t{a}") for a in "yx"])
 
-    def label(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        y, x = part["y"].to_numpy() - key[-2] * tile, part["x"].to_numpy() - key[-1] * tile
-        dark = np.zeros((tile, tile), bool)
-        dark[y, x] = part["v"] <= value
-        return part.assign(label=_labels(dark)[y, x])
-
-    labelled = cut(rows.groupBy(*place).applyInPandas(label, kinds + "y int, x int, v int, corner boolean, ty int, tx int, label int"))
+    def label(part: pa.Table) -> pa.Table:
+        """Whole tiles with their labels; they stand below each other in one array, with a row between."""
+        y, x, ty, tx = (part.column(c).to_numpy().astype(np.int64) for c in ("y", "x", "ty", "tx"))
+        starts = tile_starts(part)
+        sizes = np.diff(np.append(starts, len(y)))
+        y, x = y - ty * tile, x - tx * tile
+        heights = np.maximum.reduceat(y, starts) + 2
+        y += np.repeat(np.cumsum(heights) - heights, sizes)
+        mask = np.zeros((heights.sum(), x.max() + 1), bool)
+        mask[y, x] = pc.fill_null(pc.less_equal(part.column("v"), value), False).to_numpy()
+        return part.append_column("label", pa.array(_labels(mask)[y, x].astype(np.int32)))
+
+    def tile_starts(part: pa.Table) -> np.ndarray:
+        codes = [part.column(c).combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False) for c in place]
+        return np.flatnonzero(np.concatenate(([True], np.any([c[1:] != c[:-1] for c in codes], axis=0))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last tile of a batch may go on in the next
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            part = pa.Table.from_batches([batch])
+            part = (part if held is None else pa.concat_tables([held, part])).combine_chunks()
+            last = int(tile_starts(part)[-1])
+            if last:
+                yield from label(part.slice(0, last)).combine_chunks().to_batches()
+            held = part.slice(last)
+        if held is not None:
+            yield from label(held).combine_chunks().to_batches()
+
+    rows = rows.withColumns({c: F.col(c).cast("int") for c in ("y", "x", "v")})
+    labelled = cut(rows.repartition(*place).sortWithinPartitions(*place).mapInArrow(run, kinds + "y int, x int, v int, corner boolean, ty int, tx int, label int"))
     dark = labelled.where("label > 0")
     node = [*keys, "ty", "tx", "label"]
     # A region meets those of the next tile to the right and below, pixel against pixel.

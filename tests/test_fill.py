@@ -50,3 +50,18 @@ def test_labels_are_connected_regions():
         both = (a > 0) & (b > 0)
         assert (a[both] == b[both]).all()
     assert labels.max() <= dark.size and all(labels.ravel()[n - 1] == n for n in np.unique(labels) if n)
+
+
+def test_many_small_images_are_labelled_together(spark):
+    calls = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")  # images that go on in the next batch
+    try:
+        rnd = np.random.default_rng(6)
+        images = {f"s{k}": rnd.integers(0, 100, (int(rnd.integers(1, 9)), int(rnd.integers(1, 9)))) for k in range(40)}
+        rows = [(k, int(y), int(x), int(v)) for k, i in images.items() for (y, x), v in np.ndenumerate(i)]
+        filled = surface.fill_outside(spark.createDataFrame(rows, "slice_id string, y int, x int, v long").repartition(3), ["slice_id"], 45, 4)
+        got = sorted(map(tuple, filled.collect()))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", calls)
+    assert got == sorted((k, int(y), int(x), int(v)) for k, i in images.items() for (y, x), v in np.ndenumerate(loop(i, 45)))
+    assert not hasattr(surface, "pd")  # no call of pandas for each tile
