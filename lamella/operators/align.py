@@ -458,7 +458,9 @@ def dense_field(cells: DataFrame, keys: list[str], cell: int, size: tuple[int, i
         first = F.when(at == 0, F.array(F.lit(-1), F.lit(-2))).otherwise(F.array().cast("array<int>"))
         beyond = F.when(at == last, F.array(F.lit(last + 1), F.lit(last + 2))).otherwise(F.array().cast("array<int>"))
         nodes = nodes.withColumn(f"c{a}", F.explode(F.concat(F.array(at), first, beyond)))
-    support = spline_cells(nodes.select(*keys, F.col("cy").alias("iy"), F.col("cx").alias("ix"), F.col("sx").alias("dx"), F.col("sy").alias("dy")), keys, 2)
+    # Nodes are counted from the outermost, two before the first cell.
+    nodes = nodes.select(*keys, (F.col("cy") + 2).alias("iy"), (F.col("cx") + 2).alias("ix"), F.col("sx").alias("dx"), F.col("sy").alias("dy"))
+    support = spline_cells(nodes, keys, [-(-extent // cell) + 4 for extent in (width, height)]).withColumns({c: F.col(c) - 2 for c in ("_cy", "_cx")})
     df = support
     for a, extent in (("y", height), ("x", width)):
         start = F.ceil((F.col(f"_c{a}") + 1.5) * cell - 0.5)

@@ -118,3 +118,39 @@ def test_chain_is_read_from_parameter_files(spark, tmp_path):
     own = spark.createDataFrame([("c", '(Transform "AffineTransform")\n(FixedImageDimension 2)\n(TransformParameters 1 0 0 1 4 5)\n(InitialTransformParametersFileName "c")')], "path string, json string")
     with pytest.raises(ValueError):
         tf.chain_of(manifest.read_params(own), "c")
+
+
+def test_blocks_of_many_cells_with_absent_and_repeated_nodes(spark):
+    rnd, size, origin, spacing = random.Random(7), [10, 6, 9], [-10.0, -20.0, -15.0], [10.0, 25.0, 12.0]
+    nodes = {k: np.random.default_rng(i).normal(0, 4, (3, *size[::-1])) for i, k in enumerate("ab")}
+    table = nodes_of(spark, nodes["a"]).withColumn("key", F.lit("a")).union(nodes_of(spark, nodes["b"]).withColumn("key", F.lit("b")))
+    gone, twice = (4, 3, 5), (8, 1, 9)
+    here = lambda at: F.struct("key", "iz", "iy", "ix") == F.struct(F.lit("a"), *[F.lit(v).cast("long") for v in at])
+    table = table.where(~here(gone)).union(table.where(here(twice))).withColumn("dy", F.when(~((F.col("key") == "b") & (F.col("iz") == 8)), F.col("dy")))
+    table = table.union(table.where("ix = 0 and iy = 0 and iz = 0").withColumns({"ix": F.lit(-1).cast("long")}))
+    nodes["a"][:, *gone] = nodes["a"][:, *twice] = nodes["b"][1, 8] = np.nan
+    rows = [(i, *[rnd.uniform(o + s * 0.5, o + s * (n - 1.5)) for o, s, n in zip(origin, spacing, size, strict=True)], rnd.choice("ab")) for i in range(400)]
+    stage = {"kind": "bspline", "nodes": table.repartition(3), "keys": ["key"], "size": size, "origin": origin, "spacing": spacing}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    try:
+        got = {r.point_id: (r.x, r.y, r.z) for r in tf.apply_transforms(spark.createDataFrame(rows, "point_id int, x double, y double, z double, key string"), [stage]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    stayed = 0
+    for i, *p, key in rows:
+        want = loop_spline(p, nodes[key], origin, spacing)
+        if any(map(math.isnan, want)):
+            want = [o if math.isnan(w) else w for o, w in zip(p, want, strict=True)]
+            stayed += 1
+        assert np.allclose(got[i], want, rtol=0, atol=1e-9), (i, key)
+    assert len(got) == 400 and 20 < stayed < 300
+
+
+def test_nodes_and_points_are_shuffled_once_and_a_node_to_few_blocks(spark):
+    nodes = nodes_of(spark, np.random.default_rng(4).normal(0, 4, (3, 4, 8, 8))).withColumn("key", F.col("iz") % 1)
+    _, df = points(spark)
+    stage = {"kind": "bspline", "nodes": nodes, "keys": ["key"], "size": [8, 8, 4], "origin": [-15.0, -15.0, -50.0], "spacing": [12.0, 12.0, 50.0]}
+    plan = tf.apply_transforms(df.withColumn("key", (F.col("point_id") % 1).cast("long")), [stage])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "BroadcastHashJoin" not in plan
+    copies = tf.spline_blocks(nodes, ["key"], [8, 8, 4]).select(F.size("_nodes").alias("n")).agg(F.sum("n")).first()[0]
+    assert copies < 2 * 8 * 8 * 4
